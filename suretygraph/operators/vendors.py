@@ -90,3 +90,9 @@ def enriched_vendors(
         rule.enrichment_status(F.col("domain")).alias("enrichment_status"),
         F.lit(run_date[:10] if run_date else None).cast("string").alias("execution_date"),
     )
+
+
+def hashed_tax_ids(vendors: DataFrame, *, salt: str, null_tax_id: str | None = None) -> DataFrame:
+    return vendors.select(
+        "vendor_id", rule.hash_tax_id(F.col("tax_id_pii"), salt, null_tax_id).alias("tax_id_sha256")
+    )

@@ -80,5 +80,4 @@ ENRICHED_VENDORS = T.StructType([
     T.StructField("processed_at", T.StringType()),
     T.StructField("enrichment_status", T.StringType()),
     T.StructField("execution_date", T.StringType()),
-    T.StructField("day", T.StringType()),
 ])

@@ -76,3 +76,9 @@ def scan_curated(spark: SparkSession, path: str, process_date=None, *, days: int
     """Stored curated transactions, all days or one window (pruned to its folders)."""
     curated = spark.read.schema(schemas.CURATED).parquet(path)
     return curated if process_date is None else incremental_window(curated, process_date, days=days)
+
+
+def scan_enriched_vendors(spark: SparkSession, path: str, run_date: str | None = None) -> DataFrame:
+    """Stored vendor records of one run date."""
+    folder = f"{path}/day={run_date[:10] if run_date else 'unknown'}"
+    return spark.read.schema(schemas.ENRICHED_VENDORS).parquet(folder)
