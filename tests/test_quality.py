@@ -1,0 +1,66 @@
+from datetime import date
+from decimal import Decimal
+
+import pytest
+from conftest import ids, plan_of, tx
+
+from suretygraph.operators import quality
+
+
+def test_window_holds_both_ends(transactions):
+    days = ("2026-05-07 23:59:59", "2026-05-01 00:00:00", "2026-04-30 23:59:59", "2026-05-08 00:00:00", None)
+    rows = transactions(*[tx(id=f"T{i}", at=at) for i, at in enumerate(days)])
+    assert ids(quality.incremental_window(rows, "2026-05-07")) == ["T0", "T1"]
+    assert quality.window_bounds(date(2026, 3, 2)) == (date(2026, 2, 24), date(2026, 3, 2))
+
+
+@pytest.mark.parametrize(
+    "change, kept",
+    [
+        ({}, True),
+        ({"id": None}, False),
+        ({"amount": None}, False),
+        ({"amount": "0.00"}, False),
+        ({"amount": "-1.00"}, False),
+        ({"amount": "0.01"}, True),
+        ({"fee": None}, False),
+        ({"fee": "-1.00"}, False),
+        ({"fee": "0.00"}, True),
+        ({"country": None}, False),
+        ({"country": "AR"}, False),
+        ({"source": None}, True),
+        ({"status": "DECLINED"}, True),
+    ],
+)
+def test_validation(transactions, change, kept):
+    assert (quality.validate_data_quality(transactions(tx(**change))).count() == 1) is kept
+
+
+def test_dedup_precedes_the_value_checks(transactions):
+    rows = transactions(
+        tx(id="A", amount="-1.00", at="2026-05-01 08:00:00"), tx(id="A", at="2026-05-01 09:00:00"),
+        tx(id="B", at="2026-05-01 08:00:00"), tx(id="B", amount="-1.00", at="2026-05-01 09:00:00"),
+    )
+    assert ids(quality.validate_data_quality(rows)) == ["B"]
+
+
+def test_dedup_keeps_the_first_in_a_fixed_order(transactions):
+    rows = [
+        tx(id="A", at=None), tx(id="A", amount=None), tx(id="A", amount="7.00", fee="3.00"),
+        tx(id="A", amount="7.00", fee="2.00"), tx(id=None), tx(id=None),
+    ]
+    for ordered in (rows, rows[::-1]):
+        kept = quality.dedup_transactions(transactions(*ordered)).collect()
+        assert [(r.transaction_id, r.guarantee_amount_usd, r.fee_amount_usd) for r in kept] == [
+            ("A", Decimal("7.00"), Decimal("2.00"))
+        ]
+
+
+def test_a_repeated_id_is_cut_before_the_shuffle(transactions):
+    plan = plan_of(quality.dedup_transactions(transactions(tx())))
+    assert plan.count("WindowGroupLimit") == 2
+
+
+def test_approved_is_exact(transactions):
+    rows = transactions(tx(id="A"), tx(id="B", status="approved"), tx(id="C", status=None), tx(id="D", status="DECLINED"))
+    assert ids(quality.approved_transactions(rows)) == ["A"]
