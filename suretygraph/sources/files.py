@@ -28,7 +28,8 @@ def scan_transactions(
     ``trust_day_folders`` also filters on the folder's day, so that only the window's folders are
     listed and read; turn it on where a folder holds nothing but its own day's events.
     ``keep_corrupt`` adds ``_corrupt`` with the raw text of lines that do not fit the schema;
-    either way the cells that can't be parsed are null and later fail validation.
+    either way the cells that can't be parsed are null and later fail validation. A file whose header has
+    other columns, or another order, is refused.
     """
     fields = list(schemas.TRANSACTIONS.fields)
     if keep_corrupt:
@@ -38,6 +39,7 @@ def scan_transactions(
         spark.read.schema(T.StructType(fields))
         .option("header", True)
         .option("basePath", root)
+        .option("enforceSchema", False)
         .option("columnNameOfCorruptRecord", CORRUPT_COLUMN)
         .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss")
         .csv(f"{root}/day=*")

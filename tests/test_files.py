@@ -1,0 +1,87 @@
+import gzip
+import json
+from datetime import date, datetime
+from decimal import Decimal
+
+import pytest
+from conftest import ids, plan_of
+
+from suretygraph.sources import files
+
+HEADER = "transaction_id,source_account_id,target_account_id,guarantee_amount_usd,fee_amount_usd,status,timestamp,country_code"
+
+
+@pytest.fixture
+def folder(tmp_path_factory):
+    return tmp_path_factory.mktemp("files")
+
+
+def write_day(folder, day, *lines, header=HEADER):
+    (folder / f"day={day}").mkdir()
+    (folder / f"day={day}" / "transactions.csv").write_text("\n".join([header, *lines]) + "\n")
+
+
+def test_daily_csv(spark, folder):
+    write_day(folder, "2026-05-01", "T1,ACC_1,ACC_2,123.45,2.50,APPROVED,2026-05-01 10:20:30,CL")
+    write_day(folder, "2026-05-02", "T2,,ACC_2,1,0,DECLINED,2026-05-01 23:59:59,", "2026,ACC_3,ACC_4,7.005,0,APPROVED,2026-05-02 00:00:00,PE")
+    (folder / "notes.txt").write_text("not data")
+    rows = {r.transaction_id: r for r in files.scan_transactions(spark, str(folder)).collect()}
+    assert set(rows) == {"T1", "T2", "2026"}
+    assert rows["T1"].guarantee_amount_usd == Decimal("123.45") and rows["T1"].timestamp == datetime(2026, 5, 1, 10, 20, 30)
+    assert rows["T2"].source_account_id is None and rows["T2"].country_code is None
+    assert rows["T2"].transaction_day == date(2026, 5, 1)  # the event's day, not the folder's
+
+
+def test_window_and_folder_pruning(spark, folder):
+    for n in (1, 2, 8, 9):
+        write_day(folder, f"2026-05-0{n}", f"T{n},A,B,1.00,0.00,APPROVED,2026-05-0{n} 00:00:00,CL")
+    write_day(folder, "2026-05-20", "late,A,B,1.00,0.00,APPROVED,2026-05-08 00:00:00,CL")
+    assert ids(files.scan_transactions(spark, str(folder), "2026-05-08")) == ["T2", "T8", "late"]
+    pruned = files.scan_transactions(spark, str(folder), "2026-05-08", trust_day_folders=True)
+    assert ids(pruned) == ["T2", "T8"]
+    filters = plan_of(pruned).split("PartitionFilters: ")[1].split("]")[0]
+    assert "2026-05-02" in filters and "2026-05-08" in filters
+
+
+def test_bad_cells_are_null_and_reported(spark, folder):
+    write_day(
+        folder, "2026-05-01",
+        "good,A,B,1.00,0.00,APPROVED,2026-05-01 00:00:00,CL",
+        "number,A,B,many,0.00,APPROVED,2026-05-01 00:00:00,CL",
+        "short,A,B",
+    )
+    rows = files.scan_transactions(spark, str(folder), keep_corrupt=True).cache()
+    assert {r.transaction_id: r[files.CORRUPT_COLUMN] is None for r in rows.collect()} == {
+        "good": True, "number": False, "short": False
+    }
+    assert rows.filter("transaction_id = 'number'").first().guarantee_amount_usd is None
+    assert files.CORRUPT_COLUMN not in files.scan_transactions(spark, str(folder)).columns
+
+
+def test_columns_in_another_order_are_refused(spark, folder):
+    write_day(folder, "2026-05-01", "A,T1,B,1,1,APPROVED,2026-05-01 00:00:00,CL",
+              header=HEADER.replace("transaction_id,source_account_id", "source_account_id,transaction_id"))
+    with pytest.raises(Exception, match="header"):
+        files.scan_transactions(spark, str(folder)).collect()
+
+
+def test_gzip_accounts(spark, folder):
+    path = folder / "free_accounts.csv.gz"
+    with gzip.open(path, "wt") as out:
+        out.write("account_id,account_name,client_segment,benefit_type,activation_date\n"
+                  "ACC_1,Partner 1 S.A.C.,SME,WELCOME_OFFER,2026-01-10\n")
+    assert [tuple(r) for r in files.scan_free_accounts(spark, str(path)).collect()] == [
+        ("ACC_1", "Partner 1 S.A.C.", "SME", "WELCOME_OFFER", date(2026, 1, 10))
+    ]
+
+
+def test_json_vendors(spark, folder):
+    records = [
+        {"vendor_id": f"V{i}", "legal_name": "n", "country": "CL", "tax_id_pii": "1-K", "search_api_endpoint": "e"}
+        for i in range(3)
+    ]
+    array, lines = folder / "array.json", folder / "lines.json"
+    array.write_text(json.dumps(records, indent=2))
+    lines.write_text("\n".join(json.dumps(r) for r in records))
+    assert ids(files.scan_vendors(spark, str(array)), "vendor_id") == ["V0", "V1", "V2"]
+    assert ids(files.scan_vendors(spark, str(lines), multi_line=False), "vendor_id") == ["V0", "V1", "V2"]
