@@ -28,12 +28,16 @@ def test_entry(spark):
     ]
 
 
-def test_staging_follows_the_cluster(spark, tmp_path, monkeypatch):
+def test_staging_follows_the_cluster(spark, tmp_path):
     from suretygraph.plans import catalog
 
-    assert catalog.staging(spark).startswith("/tmp/run-")
-    spark.conf.set("spark.checkpoint.dir", str(tmp_path))
+    before = spark.conf.get("spark.checkpoint.dir", None)
     try:
-        assert catalog.staging(spark).startswith(f"{tmp_path}/suretygraph-")
-    finally:
+        spark.conf.set("spark.checkpoint.dir", str(tmp_path))
+        first, second = catalog.staging(spark), catalog.staging(spark)
+        assert first.startswith(f"{tmp_path}/suretygraph-") and first != second
         spark.conf.unset("spark.checkpoint.dir")
+        assert catalog.staging(spark)
+    finally:
+        if before is not None:
+            spark.conf.set("spark.checkpoint.dir", before)
