@@ -52,13 +52,12 @@ def account_pairs(edges: DataFrame, mode: str = "latest") -> DataFrame:
     )
 
 
-def directed_triangles(pairs: DataFrame) -> DataFrame:
-    """Three-account rings ``a -> b -> c -> a``, each once, ``a`` being the account of lowest rank.
+def neighbours_above(pairs: DataFrame) -> DataFrame:
+    """Per account ``low``, its neighbours of higher rank: ``to`` those it guarantees, ``from`` its guarantors.
 
-    Accounts are ranked by the number of their neighbours, and every pair is kept at its lower end. An
-    account then has at most sqrt(2 * pairs) neighbours above it, however many it has in all: a hub's
-    pairs are held by its neighbours, and the lists below stay small with a hub that touches a third of
-    all edges. Rings come from intersecting two such lists, so no open two-edge path is ever emitted.
+    Accounts are ranked by the number of their neighbours, and every pair is kept at its lower end. A list
+    then holds at most sqrt(2 * pairs) accounts, however many neighbours its account has in all: a hub's
+    pairs are held by its neighbours.
     """
     pairs = pairs.filter(~F.col("loop"))
     lower = F.struct(F.col("lo").alias("id"), F.col("up").alias("outgoing"), F.col("down").alias("incoming"))
@@ -88,10 +87,18 @@ def directed_triangles(pairs: DataFrame) -> DataFrame:
         (F.when(lo_first, F.col("up")).otherwise(F.col("down")) > 0).alias("leaves"),
         (F.when(lo_first, F.col("down")).otherwise(F.col("up")) > 0).alias("enters"),
     )
-    above = kept.groupBy("low").agg(
+    return kept.groupBy("low").agg(
         F.collect_list(F.when(F.col("leaves"), F.col("high"))).alias("to"),
         F.collect_list(F.when(F.col("enters"), F.col("high"))).alias("from"),
     )
+
+
+def directed_triangles(pairs: DataFrame) -> DataFrame:
+    """Three-account rings ``a -> b -> c -> a``, each once, ``a`` being the account of lowest rank.
+
+    Rings come from intersecting two lists of ``neighbours_above``, so no open two-edge path is emitted.
+    """
+    above = neighbours_above(pairs)
     # Forward: low -> mid -> top -> low. Backward: low -> top -> mid -> low.
     forward = F.struct(F.lit(True).alias("forward"), F.col("to").alias("mids"), F.col("from").alias("closing"))
     backward = F.struct(F.lit(False).alias("forward"), F.col("from").alias("mids"), F.col("to").alias("closing"))

@@ -9,7 +9,9 @@ from uuid import uuid4
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from suretygraph import schemas
 from suretygraph.operators import exclusion, graph, quality, rings, risk, vendors
+from suretygraph.plans import jobs
 from suretygraph.sinks import parquet as sink
 from suretygraph.sources import files, tables
 
@@ -299,34 +301,47 @@ def enrichment_counters(spark, sf_dir):
 # -- files: written from the tables by Spark, then read through the scans ---------------------------
 
 
-@query
-def scan_transactions(spark, sf_dir):
+def _stage_transactions(spark, sf_dir) -> str:
+    """Transaction CSVs, one delivery folder per month: the event's own time decides its day."""
     root = staging(spark)
-    raw = tables.transactions(spark, sf_dir)
     (
-        raw.withColumn("day", F.to_date("timestamp"))
+        tables.transactions(spark, sf_dir)
+        .withColumn("day", F.trunc("timestamp", "month"))
         .hint("rebalance", "day")
         .write.option("header", True)
         .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss")
         .partitionBy("day")
         .csv(root)
     )
-    return _amounts(files.scan_transactions(spark, root))
+    return root
 
 
-@query
-def scan_free_accounts(spark, sf_dir):
+def _stage_free_accounts(spark, sf_dir) -> str:
     root = staging(spark)
     accounts = tables.free_accounts(spark, sf_dir)
     accounts.write.option("header", True).option("compression", "gzip").csv(root)
-    return files.scan_free_accounts(spark, root)
+    return root
 
 
-@query
-def scan_vendors(spark, sf_dir):
+def _stage_vendors(spark, sf_dir) -> str:
     root = staging(spark)
     tables.vendors(spark, sf_dir).write.json(root)
-    return files.scan_vendors(spark, root, multi_line=False)
+    return root
+
+
+@query
+def scan_transactions(spark, sf_dir):
+    return _amounts(files.scan_transactions(spark, _stage_transactions(spark, sf_dir)))
+
+
+@query
+def scan_free_accounts(spark, sf_dir):
+    return files.scan_free_accounts(spark, _stage_free_accounts(spark, sf_dir))
+
+
+@query
+def scan_vendors(spark, sf_dir):
+    return files.scan_vendors(spark, _stage_vendors(spark, sf_dir), multi_line=False)
 
 
 @query
@@ -377,3 +392,31 @@ def save_vendors_json(spark, sf_dir):
     written = enriched_vendors_from_attempts(spark, sf_dir)
     sink.save_vendors_json(written, root, RUN_DATE)
     return spark.read.schema(written.schema).json(sink.run_folder(root, RUN_DATE))
+
+
+# -- whole jobs ------------------------------------------------------------------------------------
+
+
+@query
+def run_transactions(spark, sf_dir):
+    """The transaction job for one process date, from files to files; its metrics are returned."""
+    paths = jobs.Paths(
+        _stage_transactions(spark, sf_dir), _stage_free_accounts(spark, sf_dir), "", staging(spark)
+    )
+    jobs.run_transactions(spark, paths, PROCESS_DATE)
+    return spark.read.schema(schemas.RISK_METRICS).parquet(paths.out("risk_metrics"))
+
+
+@query
+def run_vendors(spark, sf_dir):
+    paths = jobs.Paths("", "", _stage_vendors(spark, sf_dir), staging(spark))
+    log = tables.attempt_log(spark, sf_dir)
+    jobs.run_vendors(spark, paths, RUN_DATE, salt=SALT, attempts=log, multi_line=False)
+    return files.scan_enriched_vendors(spark, paths.out("enriched_vendors"), RUN_DATE).drop("processed_at")
+
+
+@query
+def run_graph(spark, sf_dir):
+    paths = jobs.Paths("", "", "", staging(spark))
+    _edges(spark, sf_dir).write.parquet(paths.out("graph_edges"))
+    return _whole(jobs.run_graph(spark, paths), "value")

@@ -28,16 +28,16 @@ def test_entry(spark):
     ]
 
 
-def test_staging_follows_the_cluster(spark, tmp_path):
+def test_staging_follows_the_cluster():
+    from types import SimpleNamespace
+
     from suretygraph.plans import catalog
 
-    before = spark.conf.get("spark.checkpoint.dir", None)
-    try:
-        spark.conf.set("spark.checkpoint.dir", str(tmp_path))
-        first, second = catalog.staging(spark), catalog.staging(spark)
-        assert first.startswith(f"{tmp_path}/suretygraph-") and first != second
-        spark.conf.unset("spark.checkpoint.dir")
-        assert catalog.staging(spark)
-    finally:
-        if before is not None:
-            spark.conf.set("spark.checkpoint.dir", before)
+    def session(folder):
+        # The setting belongs to the cluster and can't be changed in a running session.
+        settings = {} if folder is None else {"spark.checkpoint.dir": folder}
+        return SimpleNamespace(conf=SimpleNamespace(get=settings.get))
+
+    first, second = (catalog.staging(session("hdfs://shared/checkpoints/")) for _ in range(2))
+    assert first.startswith("hdfs://shared/checkpoints/suretygraph-") and first != second
+    assert catalog.staging(session(None)).startswith("/tmp/run-")
