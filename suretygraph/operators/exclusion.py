@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from suretygraph.constants import BROADCAST_MAX_BYTES, BROADCAST_MAX_ROWS, FREE_BENEFITS
+from suretygraph.operators.skew import split_key
 
 
 def promotional_ids(free_accounts: DataFrame, *, benefits=FREE_BENEFITS) -> DataFrame:
@@ -36,7 +37,7 @@ def exclusion_list(
     ).first()
     if size["n"] <= max_rows and size["bytes"] <= max_bytes:
         return F.broadcast(ids)
-    return ids.distinct().hint("merge")
+    return ids.select("account_id", split_key("account_id")).distinct().select("account_id").hint("merge")
 
 
 def without_accounts(transactions: DataFrame, column: str, excluded: DataFrame) -> DataFrame:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from suretygraph.operators.skew import split_key
+
 PAIR = ("source_account_id", "target_account_id")
 
 
@@ -40,7 +42,7 @@ def graph_nodes(edges: DataFrame) -> DataFrame:
 
 def _first_per_pair(edges: DataFrame, order) -> DataFrame:
     # The row number's bound reaches the map side, so a pair with very many edges is cut before the shuffle.
-    rank = F.row_number().over(Window.partitionBy(*PAIR).orderBy(*order))
+    rank = F.row_number().over(Window.partitionBy(*PAIR, split_key(PAIR[0])).orderBy(*order))
     return edges.withColumn("_row", rank).filter(F.col("_row") == 1).drop("_row")
 
 

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from suretygraph.operators.graph import PAIR, connected, latest_edges
+from suretygraph.operators.skew import split_key
 from suretygraph.schemas import PATH_COUNT
 
 MODES = ("latest", "temporal")
@@ -28,8 +29,9 @@ def account_pairs(edges: DataFrame, mode: str = "latest") -> DataFrame:
     """One row per unordered pair with its number of edges each way (0 or 1 in ``latest`` mode).
 
     A hash aggregate on two keys, combined on the map side: parallel edges collapse before the shuffle.
-    A self-loop has ``loop`` set and counts in ``up``. The flag is an aggregate, not ``lo = hi``, so that
-    a filter on it stays above the shuffle, which all readers of the pairs then share.
+    A self-loop has ``loop`` set and counts in ``up``. All readers of the pairs share one shuffle, as long as
+    none has a filter of its own below it: so the flag is an aggregate, not ``lo = hi``, and the null tests
+    that joins would add are stated here.
     """
     source, target = (F.col(c) for c in PAIR)
     upward, downward = F.when(source <= target, 1), F.when(source > target, 1)
@@ -43,12 +45,14 @@ def account_pairs(edges: DataFrame, mode: str = "latest") -> DataFrame:
             downward.cast("long").alias("d"),
             (source == target).alias("l"),
         )
-        .groupBy("lo", "hi")
+        .filter(F.col("lo").isNotNull() & F.col("hi").isNotNull())
+        .groupBy("lo", "hi", split_key("lo"))
         .agg(
             F.coalesce(combine("u"), F.lit(0)).alias("up"),
             F.coalesce(combine("d"), F.lit(0)).alias("down"),
             F.max(F.col("l")).alias("loop"),
         )
+        .drop("_split")
     )
 
 
@@ -65,7 +69,7 @@ def neighbours_above(pairs: DataFrame) -> DataFrame:
     # An account that only gives or only takes guarantees is on no ring; its pairs drop out in the joins.
     ranks = (
         pairs.select(F.inline(F.array(lower, upper)))
-        .groupBy("id")
+        .groupBy("id", split_key("id"))
         .agg(
             F.count("*").alias("degree"),
             F.max("outgoing").alias("outgoing"),
@@ -86,11 +90,11 @@ def neighbours_above(pairs: DataFrame) -> DataFrame:
         F.when(lo_first, F.col("hi")).otherwise(F.col("lo")).alias("high"),
         (F.when(lo_first, F.col("up")).otherwise(F.col("down")) > 0).alias("leaves"),
         (F.when(lo_first, F.col("down")).otherwise(F.col("up")) > 0).alias("enters"),
-    )
-    return kept.groupBy("low").agg(
+    ).filter(F.col("low").isNotNull())  # as a join on it would add: both readers share the shuffle
+    return kept.groupBy("low", split_key("low")).agg(
         F.collect_list(F.when(F.col("leaves"), F.col("high"))).alias("to"),
         F.collect_list(F.when(F.col("enters"), F.col("high"))).alias("from"),
-    )
+    ).drop("_split")
 
 
 def directed_triangles(pairs: DataFrame) -> DataFrame:

@@ -56,7 +56,7 @@ def random_graphs(seed, count=25):
 
 
 @pytest.mark.parametrize("mode", rings.MODES)
-@pytest.mark.parametrize("lengths", [(1, 3), (2, 3), (2, 2), (3, 3), (1, 1), (1, 2)])
+@pytest.mark.parametrize("lengths", [(1, 3), (2, 3), (3, 3), (1, 2)])
 def test_paths_and_amounts_agree_with_brute_force(edges, mode, lengths):
     rows = random_graphs(seed=hash(lengths) % 1000)
     low, high = lengths
