@@ -18,7 +18,7 @@ def main(argv=None) -> None:
     parser.add_argument("--free-accounts", default="data/free_accounts.csv.gz")
     parser.add_argument("--vendors", default="data/sap_vendors.json")
     parser.add_argument("--output", default="data/curated")
-    parser.add_argument("--trust-day-folders", action="store_true")
+    parser.add_argument("--folder-slack-days", type=int, help="how far event and folder days can lie apart")
     parser.add_argument("--salt-variable", default="PII_SALT", help="environment variable with the salt")
     args = parser.parse_args(argv)
 
@@ -30,9 +30,7 @@ def main(argv=None) -> None:
             parser.error(f"set {args.salt_variable}: tax ids are only written as salted hashes")
         jobs.run_vendors(spark, paths, args.process_date, salt=salt)
     if args.job in ("transactions", "all"):
-        jobs.run_transactions(
-            spark, paths, args.process_date, trust_day_folders=args.trust_day_folders
-        )
+        jobs.run_transactions(spark, paths, args.process_date, folder_slack_days=args.folder_slack_days)
     if args.job in ("graph", "all"):
         jobs.run_graph(spark, paths).show(truncate=False)
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import date, timedelta
+from datetime import date, datetime, timedelta
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -27,7 +27,10 @@ def transaction_day(transactions: DataFrame) -> DataFrame:
 
 def window_bounds(process_date, days: int = WINDOW_DAYS) -> tuple[date, date]:
     """First and last day of the window that ends on ``process_date`` (a date or ``YYYY-MM-DD``)."""
-    last = process_date if isinstance(process_date, date) else date.fromisoformat(process_date)
+    if isinstance(process_date, datetime):
+        last = process_date.date()
+    else:
+        last = process_date if isinstance(process_date, date) else date.fromisoformat(process_date)
     return last - timedelta(days=days - 1), last
 
 

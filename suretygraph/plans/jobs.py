@@ -43,7 +43,7 @@ def run_transactions(
     paths: Paths,
     process_date=None,
     *,
-    trust_day_folders: bool = False,
+    folder_slack_days: int | None = None,
     processed_at=None,
 ) -> None:
     """Writes curated transactions, then metrics, high-volume accounts and edges.
@@ -51,7 +51,7 @@ def run_transactions(
     The last three read the curated days just written, each only its own columns. Nothing is cached:
     what they need is on storage and outlives a lost executor.
     """
-    raw = files.scan_transactions(spark, paths.transactions, process_date, trust_day_folders=trust_day_folders)
+    raw = files.scan_transactions(spark, paths.transactions, process_date, folder_slack_days=folder_slack_days)
     enriched = scored_transactions(
         raw, files.scan_free_accounts(spark, paths.free_accounts), processed_at=processed_at
     )

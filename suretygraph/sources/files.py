@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import timedelta
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -19,14 +21,15 @@ def scan_transactions(
     process_date=None,
     *,
     days: int = WINDOW_DAYS,
-    trust_day_folders: bool = False,
+    folder_slack_days: int | None = None,
     keep_corrupt: bool = False,
 ) -> DataFrame:
     """Daily transaction CSVs under ``root/day=YYYY-MM-DD/``, with ``transaction_day`` added.
 
     ``process_date`` keeps the ``days`` days ending there, by the event's own timestamp.
-    ``trust_day_folders`` also filters on the folder's day, so that only the window's folders are
-    listed and read; turn it on where a folder holds nothing but its own day's events.
+    ``folder_slack_days`` says how far an event's day and its folder's day can lie apart (0 where a folder
+    holds nothing but its own day), and restricts the read to the window's folders and that many days around
+    it. Without it every folder is read, as nothing is known of what it holds.
     ``keep_corrupt`` adds ``_corrupt`` with the raw text of lines that do not fit the schema;
     either way the cells that can't be parsed are null and later fail validation. A file whose header has
     other columns, or another order, is refused.
@@ -44,9 +47,10 @@ def scan_transactions(
         .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss")
         .csv(f"{root}/day=*")
     )
-    if process_date is not None and trust_day_folders:
+    if process_date is not None and folder_slack_days is not None:
         first, last = window_bounds(process_date, days)
-        raw = raw.filter(F.col("day").between(F.lit(first), F.lit(last)))
+        slack = timedelta(days=folder_slack_days)
+        raw = raw.filter(F.col("day").between(F.lit(first - slack), F.lit(last + slack)))
     dated = transaction_day(raw.drop("day"))
     return dated if process_date is None else incremental_window(dated, process_date, days=days)
 

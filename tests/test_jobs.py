@@ -48,7 +48,7 @@ def data(tmp_path_factory):
 
 
 def test_the_week(spark, data):
-    counts = jobs.run_all(spark, data, "2026-05-07", salt="s", trust_day_folders=True)
+    counts = jobs.run_all(spark, data, "2026-05-07", salt="s", folder_slack_days=0)
     values = {r.measure: int(r.value) for r in counts.collect()}
     # Three ring edges on five days and four others on seven; the promotional ring is gone.
     assert values == {"edge_count": 43, "cycle_count": 3}

@@ -1,4 +1,4 @@
-from datetime import date
+from datetime import date, datetime
 from decimal import Decimal
 
 import pytest
@@ -11,7 +11,8 @@ def test_window_holds_both_ends(transactions):
     days = ("2026-05-07 23:59:59", "2026-05-01 00:00:00", "2026-04-30 23:59:59", "2026-05-08 00:00:00", None)
     rows = transactions(*[tx(id=f"T{i}", at=at) for i, at in enumerate(days)])
     assert ids(quality.incremental_window(rows, "2026-05-07")) == ["T0", "T1"]
-    assert quality.window_bounds(date(2026, 3, 2)) == (date(2026, 2, 24), date(2026, 3, 2))
+    for day in ("2026-03-02", date(2026, 3, 2), datetime(2026, 3, 2, 5)):
+        assert quality.window_bounds(day) == (date(2026, 2, 24), date(2026, 3, 2))
 
 
 @pytest.mark.parametrize(
