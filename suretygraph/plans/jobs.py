@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from suretygraph.constants import DOMAIN_KEYWORDS
+from suretygraph.constants import DOMAIN_KEYWORDS, WINDOW_DAYS
 from suretygraph.operators import exclusion, graph, quality, rings, risk, vendors
 from suretygraph.schemas import PATH_COUNT
 from suretygraph.sinks import parquet as sink
@@ -101,16 +101,30 @@ def run_vendors(
 
 
 def run_graph(
-    spark: SparkSession, paths: Paths, *, graph_path: str | None = None, previous_graph: str | None = None
+    spark: SparkSession,
+    paths: Paths,
+    process_date=None,
+    *,
+    graph_path: str | None = None,
+    previous_graph: str | None = None,
+    days: int = WINDOW_DAYS,
 ) -> DataFrame:
-    """Merges all stored edges into the graph tables and counts its rings of two and three accounts.
+    """Merges stored edges into the graph tables and counts the rings of two and three accounts.
 
-    Returns, lazily, a row for ``edge_count`` (edges offered) and one for ``cycle_count`` (closed paths).
+    Without a date all stored edges are offered and the graph is built anew, or merged with
+    ``previous_graph``. With one, only its window's edges are read and merged with ``previous_graph``,
+    which has the older ones. Returns, lazily, a row for ``edge_count`` (edges offered) and one for
+    ``cycle_count`` (closed paths in the graph).
     """
     target = graph_path or paths.out("graph")
     if previous_graph is not None and previous_graph.rstrip("/") == target.rstrip("/"):
         raise ValueError("the graph must be written to another folder than the one it is merged from")
-    offered = files.scan_edges(spark, paths.out("graph_edges"))
+    window = (None, None)
+    if process_date is not None:
+        if previous_graph is None:
+            raise ValueError("a window of edges is only part of a graph: name the previous one")
+        window = quality.window_bounds(process_date, days)
+    offered = files.scan_edges(spark, paths.out("graph_edges"), *window)
     existing = None if previous_graph is None else files.scan_edges(spark, f"{previous_graph}/edges")
     sink.save_graph(offered, target, existing)
     stored = files.scan_edges(spark, f"{target}/edges")

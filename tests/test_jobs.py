@@ -111,6 +111,22 @@ def test_graph_is_merged_into_a_new_folder(spark, data, edges):
         jobs.run_graph(spark, data, graph_path=data.out("g2"), previous_graph=data.out("g2") + "/")
 
 
+def test_a_window_of_edges_gives_the_graph_of_all(spark, data, edges):
+    from suretygraph.sinks import parquet as sink
+
+    first = [("A", "B", 1, 1), ("B", "A", 1, 2), ("C", "C", 1, 3)]
+    sink.save_edges(edges(*first), data.out("graph_edges"))
+    jobs.run_graph(spark, data, graph_path=data.out("g1"))
+    sink.save_edges(edges(*first, ("A", "B", 7, 9), ("B", "C", 1, 9), ("C", "A", 1, 10)), data.out("graph_edges"))
+    jobs.run_graph(spark, data, graph_path=data.out("all"))
+    counts = jobs.run_graph(spark, data, "2026-05-10", graph_path=data.out("g2"), previous_graph=data.out("g1"))
+    assert {r.measure: int(r.value) for r in counts.collect()} == {"edge_count": 3, "cycle_count": 2 + 3}
+    merged, whole = (sorted(files.scan_edges(spark, data.out(f"{g}/edges")).collect()) for g in ("g2", "all"))
+    assert merged == whole and len(whole) == 5
+    with pytest.raises(ValueError):
+        jobs.run_graph(spark, data, "2026-05-10", graph_path=data.out("g3"))
+
+
 def test_command_line(spark, data, monkeypatch, capsys):
     from suretygraph import cli
 
