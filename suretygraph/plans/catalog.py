@@ -301,6 +301,11 @@ def enrichment_counters(spark, sf_dir):
 # -- files: written from the tables by Spark, then read through the scans ---------------------------
 
 
+def _tasks(spark) -> int:
+    """Writers of a whole history at once: years of days, each small next to a window's."""
+    return max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
 def _stage_transactions(spark, sf_dir) -> str:
     """Transaction CSVs, one delivery folder per month: the event's own time decides its day."""
     root = staging(spark)
@@ -347,14 +352,14 @@ def scan_vendors(spark, sf_dir):
 @query
 def scan_edges(spark, sf_dir):
     root = staging(spark)
-    sink.save_edges(_edges(spark, sf_dir), root)
-    return _money(files.scan_edges(spark, root, first_day="1995-01-01", last_day=PROCESS_DATE), "guarantee_amount_usd")
+    sink.save_edges(_edges(spark, sf_dir), root, tasks=_tasks(spark))
+    return _money(files.scan_edges(spark, root), "guarantee_amount_usd")
 
 
 @query
 def save_curated(spark, sf_dir):
     root = staging(spark)
-    sink.save_curated(_enriched(spark, sf_dir), root)
+    sink.save_curated(_enriched(spark, sf_dir), root, tasks=_tasks(spark))
     return _amounts(files.scan_curated(spark, root).drop("processed_at"))
 
 
@@ -375,7 +380,7 @@ def save_high_volume(spark, sf_dir):
 @query
 def save_edges(spark, sf_dir):
     root = staging(spark)
-    sink.save_edges(_edges(spark, sf_dir), root)
+    sink.save_edges(_edges(spark, sf_dir), root, tasks=_tasks(spark))
     return _money(files.scan_edges(spark, root), "guarantee_amount_usd")
 
 

@@ -229,8 +229,7 @@ _SELECTS = {
     "scan_transactions": f"SELECT {_TX} FROM transactions",
     "scan_free_accounts": "SELECT * FROM free_accounts",
     "scan_vendors": "SELECT * FROM vendors",
-    "scan_edges":
-        f"SELECT {_EDGE} FROM clean WHERE transaction_day BETWEEN DATE '1995-01-01' AND DATE '1998-06-30'",
+    "scan_edges": f"SELECT {_EDGE} FROM clean",
     "save_curated": f"SELECT {_TX}, {_SCORES} FROM enriched",
     "save_risk_metrics": "SELECT * FROM metrics",
     "save_high_volume": "SELECT * FROM high_volume",

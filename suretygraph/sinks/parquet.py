@@ -5,6 +5,7 @@ from __future__ import annotations
 from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from suretygraph.constants import WINDOW_DAYS
 from suretygraph.operators.graph import graph_nodes, upsert_edges
@@ -14,12 +15,20 @@ DAY = "transaction_day"
 
 
 def save_by_day(
-    rows: DataFrame, path: str, process_date=None, *, days: int = WINDOW_DAYS, max_records_per_file: int = 0
+    rows: DataFrame,
+    path: str,
+    process_date=None,
+    *,
+    days: int = WINDOW_DAYS,
+    max_records_per_file: int = 0,
+    tasks: int | None = None,
 ) -> None:
     """One folder per ``transaction_day``.
 
     Rows are rebalanced by day: a small day becomes one file, and a day that holds a large part of the
     rows is split over several tasks and files, each of about the session's advisory partition size.
+    Adaptive execution sizes the tasks by bytes, so a load of very many small days may come to few of them;
+    ``tasks`` sets their number instead, each writing a range of rows by day (a hot day spans several).
 
     A run for a ``process_date`` owns the days of its window: it replaces those it has rows for, removes
     the others (a day whose last row went away must not keep its old rows), and leaves all other days
@@ -27,9 +36,12 @@ def save_by_day(
     """
     folders = [] if process_date is None else _window_folders(path, process_date, days)
     before = [_files(rows.sparkSession, folder) for folder in folders]
+    if tasks is None:
+        placed = rows.hint("rebalance", DAY)
+    else:
+        placed = rows.repartitionByRange(tasks, DAY, F.xxhash64(*rows.columns))
     (
-        rows.hint("rebalance", DAY)
-        .write.mode("overwrite")
+        placed.write.mode("overwrite")
         .option("maxRecordsPerFile", max_records_per_file)
         .option("partitionOverwriteMode", "dynamic" if folders else "static")
         .partitionBy(DAY)

@@ -66,6 +66,14 @@ def test_a_hot_day_is_split_and_kept_whole(spark, root):
     assert sum(days(spark, root).values()) == 400_000
 
 
+def test_a_set_number_of_tasks(spark, edges, root):
+    hot = edges(*[("A", f"B{i}", 1, 1) for i in range(500)]).union(week(edges, first=2, last=20, times=5))
+    sink.save_edges(hot, root, tasks=6)
+    assert data_files(root).count("transaction_day=2026-05-01") > 1
+    assert len(data_files(root)) <= 20 + 5
+    assert days(spark, root) == {1: 500} | {d: 5 for d in range(2, 21)}
+
+
 def test_edges_are_pruned_by_day(spark, edges, root):
     sink.save_edges(week(edges), root)
     part = files.scan_edges(spark, root, "2026-05-02", date(2026, 5, 3))
