@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from suretygraph.llm import substring
+from suretygraph.llm import decontamination, minhash, substring
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -28,3 +28,21 @@ def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.remove_repeats(docs).select(
         "doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256")
     )
+
+
+@query
+def op8_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return minhash.classes_and_links(docs).select(
+        "doc_id", "n_shingles", "component_id",
+        F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"),
+    )
+
+
+@query
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return decontamination.contamination(docs, table(spark, sf_dir, "benchmark")).select(
+        "doc_id", "n_words", "n_hit", F.size("item_ids").cast("long").alias("n_items"),
+        F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"), "contaminated",
+    )

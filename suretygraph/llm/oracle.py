@@ -5,6 +5,8 @@ from __future__ import annotations
 #: Words between spaces and the controls 09 to 0D.
 WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
 ORACLE: dict[str, str] = {}
 
 ORACLE["op5_substring_dedup"] = rf"""
@@ -31,3 +33,58 @@ SELECT d.doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(k.n, 0))::BIGINT
        sha256(coalesce(kept, '')) AS kept_sha256
 FROM d LEFT JOIN k ON d.doc_id = k.doc_id
 """
+
+ORACLE["op8_minhash_dedup"] = rf"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, {WORDS.replace("coalesce(text, '')", f"translate(coalesce(text, ''), '{UPPER}', '{LOWER}')")} AS w
+  FROM documents
+),
+s AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(w) - 1), lambda i: array_to_string(w[i : i + 2], ' '))) END AS k
+  FROM d
+),
+t AS (SELECT min(doc_id) AS doc_id, k, len(k) AS n FROM (SELECT doc_id, list_sort(k) AS k FROM s) WHERE len(k) > 0 GROUP BY k),
+e AS (SELECT doc_id, n, md5(unnest(k)) AS g FROM t),
+p AS (
+  SELECT a.doc_id AS a, b.doc_id AS b
+  FROM e a JOIN e b ON a.g = b.g AND a.doc_id < b.doc_id AND 100 * least(a.n, b.n) >= 85 * greatest(a.n, b.n)
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))
+),
+l AS (SELECT a, b FROM p UNION ALL SELECT b, a FROM p),
+r AS (SELECT doc_id AS x, doc_id AS c FROM t UNION SELECT l.b, r.c FROM r JOIN l ON r.x = l.a),
+c AS (SELECT x, min(c) AS c FROM r GROUP BY x),
+m AS (SELECT t.k, c.c FROM t JOIN c ON t.doc_id = c.x)
+SELECT s.doc_id, len(s.k)::BIGINT AS n_shingles, coalesce(m.c, s.doc_id) AS component_id,
+       coalesce(m.c, s.doc_id) = s.doc_id AS kept
+FROM s LEFT JOIN m ON list_sort(s.k) = m.k
+"""
+
+_ALNUM = rf"regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+ORACLE["op10_decontamination"] = rf"""
+WITH b AS (SELECT item_id, {_ALNUM} AS w FROM benchmark),
+v AS (
+  SELECT DISTINCT item_id, array_to_string(w[i : i + least(len(w), 13) - 1], ' ') AS k, least(len(w), 13) AS n
+  FROM b, LATERAL unnest(range(1, greatest(len(w) - 12, 1) + 1)) AS u(i) WHERE len(w) > 0
+),
+d AS (SELECT doc_id, {_ALNUM} AS w FROM documents),
+n AS (SELECT DISTINCT n FROM v),
+h AS (
+  SELECT doc_id, i, n.n, array_to_string(w[i : i + n.n - 1], ' ') AS k
+  FROM d, n, LATERAL unnest(range(1, len(w) - n.n + 2)) AS u(i) WHERE len(w) >= n.n
+),
+m AS (SELECT h.doc_id, h.i, h.n, v.item_id FROM h JOIN v ON h.k = v.k AND h.n = v.n),
+c AS (
+  SELECT doc_id, count(DISTINCT p) AS n_hit
+  FROM (SELECT DISTINCT doc_id, i, n FROM m), LATERAL unnest(range(i, i + n)) AS u(p) GROUP BY doc_id
+),
+j AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(x, ',' ORDER BY x) AS ids
+  FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS x FROM m) GROUP BY doc_id
+)
+SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN c ON d.doc_id = c.doc_id LEFT JOIN j ON d.doc_id = j.doc_id
+"""

@@ -141,3 +141,22 @@ def words(texts: pa.Array, alphabet: Alphabet) -> Iterator[Words]:
         ends = np.flatnonzero(inside & ~after) + 1
         yield Words(row, np.searchsorted(starts, bounds), _hashes(values, starts, ends), starts, ends, buffer)
         row = to
+
+
+_NEXT = U(0x8CB92BA72F3D8DD7)
+
+
+def grams(hashes: np.ndarray, size: int) -> np.ndarray:
+    """For each word the hash of the ``size`` words from it on, as far as there are so many."""
+    out = mix(hashes)
+    for k in range(1, size):
+        out = mix(out[: max(len(hashes) - k, 0)] * _NEXT + hashes[k:]) if len(hashes) > k else out[:0]
+    return out
+
+
+def sequence_hash(hashes: np.ndarray) -> np.uint64:
+    """Of all the words given, and of their number."""
+    out = np.array([len(hashes)], U)
+    for k in range(len(hashes)):
+        out = mix(out * _NEXT + hashes[k : k + 1])
+    return out[0]
