@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from suretygraph.llm import decontamination, minhash, substring
+from suretygraph.llm import crf, decontamination, minhash, substring, toxicity
+from suretygraph.llm.split import held_out
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -46,3 +47,21 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "n_hit", F.size("item_ids").cast("long").alias("n_items"),
         F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"), "contaminated",
     )
+
+
+@query
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    weights = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    return toxicity.score(docs, weights).select(
+        "doc_id", held_out("doc_id").alias("held_out"), "score",
+        F.when(F.col("score") >= 0.7, 1).otherwise(0).alias("predicted"),
+    )
+
+
+@query
+def op2_language_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    field = crf.fit(docs)
+    return crf.predict(docs.select("doc_id", "text"), field).select(
+        "doc_id", held_out("doc_id").alias("held_out"), "lang_pred", "score")
