@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from suretygraph.llm import crf, decontamination, minhash, substring, toxicity
+from suretygraph.llm import crf, decontamination, minhash, substring, toxicity, url_filter
 from suretygraph.llm.split import held_out
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -65,3 +65,18 @@ def op2_language_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     field = crf.fit(docs)
     return crf.predict(docs.select("doc_id", "text"), field).select(
         "doc_id", held_out("doc_id").alias("held_out"), "lang_pred", "score")
+
+
+#: Fixed values of the task.
+URL_RULES = (
+    url_filter.Rule("block", "net/"),
+    url_filter.Rule("allow", "example.net/en/"),
+    url_filter.Rule("block", "example.com/de/"),
+    url_filter.Rule("allow", "org/fr/"),
+)
+
+
+@query
+def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    return url_filter.judge_urls(pages, URL_RULES).select("page_id", "host", "path", "rule", "verdict")
