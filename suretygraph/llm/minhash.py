@@ -7,17 +7,22 @@
    densification). Bands of bins give the buckets.
 3. Candidates are stars: in each bucket the first member with all others, of a size that can reach the threshold.
    Links are confirmed on the whole sets. Then members already joined are one, and buckets that still hold several
-   components get further centres, twice as many each round, until every two members of different components have
-   met. No pair is left out; a group of copies costs one star, not all its pairs.
+   components get further stars: around the member with the most company in all its buckets, which is the likely
+   original of a group of copies; within buckets of up to SMALL members every two that are still apart; and around
+   members drawn anew each round until a round finds no link.
+
+A group of copies costs a few stars, not all its pairs. Two texts can only stay apart wrongly if they share no small
+bucket and are linked to no centre of their large ones; the number of rounds isn't limited.
 """
 
 from __future__ import annotations
 
 import hashlib
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from suretygraph.llm.arrow import arrow_map, batch, long_lists, longs
@@ -29,6 +34,8 @@ from suretygraph.llm.tokens import FOLDED, U, grams, mix, sequence_hash, words
 #: A pair at the threshold of 0.85 shares no bucket of 42 bands of 6 bins with a probability of 2e-9.
 BANDS, BINS_PER_BAND = 42, 6
 _BINS = BANDS * BINS_PER_BAND
+#: Buckets of up to so many members are compared pair by pair, a bounded number of pairs for each member.
+SMALL = 16
 _SALT = U(0x8CB92BA72F3D8DD7)
 
 
@@ -133,16 +140,34 @@ def _links(pairs: DataFrame, sets: DataFrame, share: int) -> DataFrame:
 
 
 def _apart(members: DataFrame, labels: DataFrame) -> DataFrame:
-    """Members of the buckets that hold several components, with their present component."""
+    """Members of the buckets that hold several components, with their present component and the bucket's size."""
     own = members.join(labels.withColumnRenamed("node", "doc"), "doc", "left").withColumn(
         "own", F.coalesce("component", "doc")).drop("component")
     several = (
-        own.groupBy("bucket", (F.col("bucket") % 7).alias("_split")).agg(F.min("own").alias("u"), F.max("own").alias("v"))
-        .filter("u < v").select("bucket")
+        own.groupBy("bucket", (F.col("bucket") % 7).alias("_split"))
+        .agg(F.min("own").alias("u"), F.max("own").alias("v"), F.count("*").alias("size"))
+        .filter("u < v").select("bucket", "size")
     )
     return own.join(several, "bucket")
 
 
+def _star(apart: DataFrame, choice, share: int) -> DataFrame:
+    """In each bucket the member that is largest by ``choice``, with those of other components."""
+    hubs = (
+        apart.groupBy("bucket", (F.col("bucket") % 7).alias("_split"))
+        .agg(F.max(F.struct(choice.alias("choice"), "doc", "n", "own")).alias("hub"))
+        .select("bucket", F.col("hub.doc").alias("hub"), F.col("hub.n").alias("hub_n"), F.col("hub.own").alias("hub_own"))
+    )
+    return apart.join(hubs, "bucket").filter((F.col("own") != F.col("hub_own")) & _reach(share))
+
+
+def _all_of_small(apart: DataFrame, share: int) -> DataFrame:
+    small = apart.filter(F.col("size") <= SMALL)
+    other = small.select("bucket", F.col("doc").alias("hub"), F.col("n").alias("hub_n"), F.col("own").alias("hub_own"))
+    return small.join(other, "bucket").filter(
+        (F.col("doc") > F.col("hub")) & (F.col("own") != F.col("hub_own")) & _reach(share))
+
+
 def _reach(share: int):
     """Whether two set sizes allow the similarity at all."""
     return 100 * F.least("n", "hub_n") >= share * F.greatest("n", "hub_n")
@@ -179,8 +204,9 @@ def classes_and_links(
     members = lists.select(F.explode("buckets").alias("bucket"), "doc", "n")
     centres = (
         members.groupBy("bucket", (F.col("bucket") % 7).alias("_split"))
-        .agg(F.min(F.struct("doc", "n")).alias("hub"), F.max("doc").alias("last")).filter("hub.doc < last")
-        .select("bucket", F.col("hub.doc").alias("hub"), F.col("hub.n").alias("hub_n"))
+        .agg(F.min(F.struct("doc", "n")).alias("hub"), F.max("doc").alias("last"), F.count("*").alias("company"))
+        .filter("hub.doc < last")
+        .select("bucket", F.col("hub.doc").alias("hub"), F.col("hub.n").alias("hub_n"), "company")
     )
     members = stored(members.join(centres, "bucket"), "shared_buckets")
     wanted = stored(members.select(F.xxhash64("doc").alias("key")).distinct(), "wanted")
@@ -197,29 +223,29 @@ def classes_and_links(
     )
     links = stored(_links(pairs, sets, share), "links")
     labels = components(links)
-    rank = Window.partitionBy("bucket").orderBy("doc")
-    apart = stored(
-        _apart(members.select("bucket", "doc", "n"), labels).withColumn("rank", F.row_number().over(rank)), "apart")
-    met, last = 1, apart.agg(F.max("rank")).first()[0] or 0
-    while met < last:  # the members up to rank ``met`` have been centres
-        hubs = apart.filter((F.col("rank") > met) & (F.col("rank") <= 2 * met)).select(
-            "bucket", F.col("doc").alias("hub"), F.col("n").alias("hub_n"), F.col("rank").alias("hub_rank"),
-            F.col("own").alias("hub_own"))
-        new = (
-            apart.join(hubs, "bucket")
-            .filter((F.col("rank") > F.col("hub_rank")) & (F.col("own") != F.col("hub_own")) & _reach(share))
-            .select(F.least("hub", "doc").alias("a"), F.greatest("hub", "doc").alias("b")).distinct()
-            .join(pairs, ["a", "b"], "left_anti")
+    company = members.groupBy("doc").agg(F.sum("company").alias("company"))
+    apart = members.select("bucket", "doc", "n").join(company, "doc")
+    for step in count(1):
+        apart = stored(_apart(apart, labels), "apart")
+        if apart.isEmpty():
+            break
+        if step == 2:
+            new = _all_of_small(apart, share)
+            apart = apart.filter(F.col("size") > SMALL)
+        else:
+            new = _star(apart, F.col("company") if step == 1 else F.xxhash64(F.lit(step), "bucket", "doc"), share)
+        new = stored(
+            new.select(F.least("hub", "doc").alias("a"), F.greatest("hub", "doc").alias("b")).distinct()
+            .join(pairs, ["a", "b"], "left_anti"),
+            "pairs",
         )
-        new = stored(new, "pairs")
         found = stored(_links(new, sets, share), "links")
-        pairs, met = pairs.union(new), 2 * met
+        pairs, apart = pairs.union(new), apart.drop("own", "size")
         if not found.isEmpty():
             links = links.union(found)
             labels = components(links)
-        if met < last:
-            apart = stored(_apart(apart.drop("own"), labels), "apart")
-            last = apart.agg(F.max("rank")).first()[0] or 0
+        elif step > 2:
+            break
     classes = leaders.join(labels.withColumnRenamed("node", "leader"), "leader", "left").select(
         "set_key", F.coalesce("component", "leader").alias("component_id"))
     return rows.join(classes, "set_key", "left").select(
