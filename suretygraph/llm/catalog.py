@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from suretygraph.llm import crf, decontamination, minhash, substring, toxicity, url_filter
+from suretygraph.llm import crf, decontamination, minhash, substring, toxicity, url_filter, warc
 from suretygraph.llm.split import held_out
+from suretygraph.llm.staging import shared_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -80,3 +81,11 @@ URL_RULES = (
 def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
     return url_filter.judge_urls(pages, URL_RULES).select("page_id", "host", "path", "rule", "verdict")
+
+
+@query
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = f"{shared_folder(spark)}/warc"
+    warc.write_archives(table(spark, sf_dir, "pages"), folder)
+    return warc.read_records(spark, folder).select(
+        "page_id", "payload_bytes", "payload_digest", F.col("kind").alias("record_type"), "refers_to")

@@ -88,3 +88,14 @@ SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
        coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
 FROM d LEFT JOIN c ON d.doc_id = c.doc_id LEFT JOIN j ON d.doc_id = j.doc_id
 """
+
+ORACLE["op3_warc"] = """
+WITH p AS (
+  SELECT page_id, octet_length(encode(coalesce(html, ''))) AS n, sha256(coalesce(html, '')) AS k FROM pages
+),
+f AS (SELECT *, min(page_id) OVER (PARTITION BY k) AS first FROM p)
+SELECT page_id, n::BIGINT AS payload_bytes, k AS payload_digest,
+       CASE WHEN n >= 100 AND page_id > first THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN n >= 100 AND page_id > first THEN first END AS refers_to
+FROM f
+"""

@@ -86,7 +86,7 @@ def contexts(texts: pa.Array) -> tuple[list[np.ndarray], list[np.ndarray], np.nd
     for k in range(ORDER + 1):
         if k:
             context = context * U(0x9E3779B97F4A7C15) + flat[at - k] + U(3)
-        name = mix(context + U(k) * U(0xD6E8FEB86659FD93))
+        name = mix(context + U(k << 32))
         names.append(name)
         grams.append(mix(name * U(0xC2B2AE3D27D4EB4F) + flat[at]))
     return names, grams, text, length
