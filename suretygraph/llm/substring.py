@@ -160,13 +160,12 @@ def remove_repeats(
     bits = spark.sparkContext.broadcast(bitmap(shared, "name", most_bits))
     windows = arrow_map(texts, _windows(window, bits), "name long, check int, doc_id long, place long")
     # The last key follows from the others: it makes the join shuffle anew, so that a hot window can be split there.
-    repeated = (
+    least = (
         windows.groupBy("name", "check", (F.col("name") % 7).alias("_split"))
-        .agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most"))
-        .filter("least < most").select("name", "check", "least")
+        .agg(F.min("doc_id").alias("least")).select("name", "check", "least")
     )
     places = (
-        windows.join(repeated, ["name", "check"]).filter("doc_id > least")
+        windows.join(least, ["name", "check"]).filter("doc_id > least")
         .groupBy("doc_id").agg(F.collect_list("place").alias("places"))
     )
     row = docs.select(
