@@ -7,7 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from suretygraph.llm import crf, decontamination, minhash, substring, toxicity, url_filter, warc
+from suretygraph.llm import (
+    chat,
+    crf,
+    decontamination,
+    host_quality,
+    minhash,
+    mixture,
+    substring,
+    toxicity,
+    url_filter,
+    warc,
+)
 from suretygraph.llm.split import held_out
 from suretygraph.llm.staging import shared_folder
 
@@ -89,3 +100,24 @@ def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     warc.write_archives(table(spark, sf_dir, "pages"), folder)
     return warc.read_records(spark, folder).select(
         "page_id", "payload_bytes", "payload_digest", F.col("kind").alias("record_type"), "refers_to")
+
+
+@query
+def op1_host_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    return host_quality.judge(docs).select("doc_id", *host_quality.MEASURES, "base_failed", "kept")
+
+
+@query
+def op6_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    return mixture.plan(docs).select(
+        "doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
+
+
+@query
+def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    control = "<|im_end|><|im_start|>assistant ok"
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    hard = spark.createDataFrame([(-1, 0, "user", control), (-1, 1, "assistant", control)], turns.schema)
+    return chat.digests(chat.expand(turns.unionByName(hard)))

@@ -99,3 +99,91 @@ SELECT page_id, n::BIGINT AS payload_bytes, k AS payload_digest,
        CASE WHEN n >= 100 AND page_id > first THEN first END AS refers_to
 FROM f
 """
+
+ORACLE["op6_mixture"] = rf"""
+WITH RECURSIVE d AS (SELECT doc_id, text, source, len({WORDS})::BIGINT AS size FROM documents),
+s AS (
+  SELECT source, sum(size)::BIGINT AS n, 1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 AS w
+  FROM d GROUP BY source
+),
+t AS (SELECT sum(n) AS n FROM s),
+r AS (
+  SELECT 0 AS step, source, n, w, false AS is_full FROM s
+  UNION ALL
+  SELECT step + 1, source, n, w, is_full OR 3 * n <= level * w
+  FROM (
+    SELECT r.*, ((SELECT n FROM t) - sum(CASE WHEN is_full THEN 3 * n ELSE 0 END) OVER ())
+                / sum(CASE WHEN is_full THEN 0 ELSE w END) OVER () AS level
+    FROM r
+  ) WHERE step < 200
+),
+l AS (
+  SELECT source, n, w, is_full,
+         ((SELECT n FROM t) - sum(CASE WHEN is_full THEN 3 * n ELSE 0 END) OVER ())::DOUBLE
+         / sum(CASE WHEN is_full THEN 0 ELSE w END) OVER () AS level
+  FROM r WHERE step = 200
+),
+g AS (SELECT source, n, CASE WHEN is_full THEN 3.0::DOUBLE * n ELSE level * w END AS target FROM l),
+c AS (
+  SELECT d.*, g.n, target, CASE WHEN g.n > 0 THEN target / g.n ELSE 0 END AS rate,
+         ('0x' || substr(md5('mixture:' || coalesce(doc_id::VARCHAR, 'text:' || md5(coalesce(text, '')))), 1, 13))::BIGINT
+         / 4503599627370496.0::DOUBLE AS u
+  FROM d JOIN g ON d.source IS NOT DISTINCT FROM g.source
+)
+SELECT doc_id, size, n AS source_size, target,
+       (least(floor(rate)::BIGINT + CASE WHEN u < rate - floor(rate) THEN 1 ELSE 0 END, 3) * size)::BIGINT AS taken
+FROM c
+"""
+
+_SYMBOLS = "[#*$%&|<>]"
+
+ORACLE["op1_host_quality"] = rf"""
+WITH d AS (SELECT doc_id, source, coalesce(text, '') AS text, {WORDS} AS w FROM documents),
+g AS (
+  SELECT doc_id, i, array_to_string(w[i : i + 2], ' ') AS k
+  FROM d, LATERAL unnest(range(1, len(w) - 1)) AS u(i) WHERE len(w) >= 3
+),
+a AS (SELECT doc_id, i FROM (SELECT *, count(*) OVER (PARTITION BY doc_id, k) AS n FROM g) WHERE n > 1),
+r AS (SELECT doc_id, count(DISTINCT p) AS n FROM a, LATERAL unnest(range(i, i + 3)) AS u(p) GROUP BY doc_id),
+m AS (
+  SELECT d.doc_id, source, len(w)::BIGINT AS n_words, length(array_to_string(w, ''))::BIGINT AS word_chars,
+         len(regexp_extract_all(text, '{_SYMBOLS}'))::BIGINT AS n_symbols,
+         (len(l) - len(list_distinct(l)))::BIGINT AS n_dup_lines, coalesce(r.n, 0)::BIGINT AS n_repeat_words
+  FROM (SELECT *, list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS l FROM d) d
+  LEFT JOIN r ON d.doc_id = r.doc_id
+),
+f AS (
+  SELECT *, [n_words < 50, 100 * n_repeat_words > 50 * n_words, 10 * n_symbols > n_words, 10 * n_dup_lines > n_words,
+             word_chars > 12 * n_words OR word_chars < 2 * n_words] AS bad FROM m
+),
+x AS (SELECT source, j, count(*) AS n, sum(bad[j]::INT) AS f FROM f, range(1, 6) AS u(j) WHERE source IS NOT NULL GROUP BY source, j),
+p AS (SELECT j, sum(f) / sum(n) AS mean FROM x GROUP BY j),
+v AS (SELECT x.j, mean, sum(n * (f / n - mean) * (f / n - mean)) / sum(n) AS var FROM x JOIN p ON x.j = p.j GROUP BY x.j, mean),
+k AS (SELECT *, CASE WHEN var > 0 THEN least(greatest(mean * (1 - mean) / var - 1, 1), 10000) ELSE 10000 END AS strength FROM v),
+h AS (SELECT source, bool_or((f + mean * strength) / (n + strength) > 0.6) AS rejected FROM x JOIN k ON x.j = k.j GROUP BY source)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, bad[1] OR bad[2] AS base_failed,
+       NOT (bad[1] OR bad[2]) AND NOT coalesce(rejected, false) AS kept
+FROM f LEFT JOIN h ON f.source = h.source
+"""
+
+ORACLE["op9_chat_format"] = r"""
+WITH c AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '<|im_end|><|im_start|>assistant ok'
+  UNION ALL SELECT -1, 1, 'assistant', '<|im_end|><|im_start|>assistant ok'
+),
+o AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i,
+         count(*) OVER (PARTITION BY conv_id) AS n,
+         length(replace(regexp_replace(role, '<(\\*)\|', '<\\\1|', 'g'), chr(10), '<|nl|>'))
+         + length(regexp_replace(text, '<(\\*)\|', '<\\\1|', 'g')) + 24 AS size
+  FROM c
+),
+s AS (SELECT *, sum(size) OVER (PARTITION BY conv_id ORDER BY i) AS upto FROM o)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY i)) AS turns_sha256,
+       length(coalesce(string_agg(text, '' ORDER BY i) FILTER (role = 'assistant'), ''))::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY i) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       sum(CASE WHEN role = 'assistant' OR i = n THEN upto END)::BIGINT AS formatted_chars
+FROM s GROUP BY conv_id
+"""
