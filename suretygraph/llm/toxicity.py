@@ -185,3 +185,21 @@ def score(docs: DataFrame, weights: Weights, text_col: str = "text") -> DataFram
         F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), F.col(text_col).alias("text"))
     schema = T.StructType([rows.schema["_row"], T.StructField("score", T.DoubleType())])
     return put(arrow_map(rows, _score(shared), schema), "_row", "score")
+
+
+def _below(weights, most: float):
+    def run(batches):
+        for b in batches:
+            parts = [weights.value.scores(w.hashes, w.first) for w in words(b["text"], ALNUM)]
+            if parts:
+                yield b.select(["_row"]).filter(pa.array(np.concatenate(parts) < most))
+
+    return run
+
+
+def drop_toxic(docs: DataFrame, weights: Weights, most: float = 0.7, text_col: str = "text") -> DataFrame:
+    """The input without the rows whose score is ``most`` or more."""
+    shared = session_of(docs).sparkContext.broadcast(weights)
+    rows = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), F.col(text_col).alias("text"))
+    return put(arrow_map(rows, _below(shared, most), T.StructType([rows.schema["_row"]])), "_row")
