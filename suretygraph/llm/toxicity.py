@@ -101,8 +101,8 @@ class Weights:
 
 
 def ftrl(
-    lists: list[np.ndarray], labels: np.ndarray, size: int, epochs: int = 6, alpha: float = 0.3, beta: float = 1.0,
-    l1: float = 0.3, l2: float = 0.05,
+    lists: list[np.ndarray], labels: np.ndarray, size: int, epochs: int = 20, alpha: float = 2.0, beta: float = 1.0,
+    l1: float = 10.0, l2: float = 0.01,
 ) -> tuple[np.ndarray, float]:
     """Weights of the features 0 to size and the intercept. One coordinate more, always on, is the intercept."""
     z, n = np.zeros(size + 1), np.zeros(size + 1)
