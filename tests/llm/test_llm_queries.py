@@ -1,0 +1,64 @@
+"""The registered queries of the subpackage against their SQL, and the pipeline's columns."""
+
+import pytest
+from compare import duck, rows_of_duck, rows_of_spark
+from conftest import SF
+
+import __spark_entry__ as driver
+from suretygraph.llm.catalog import QUERIES
+from suretygraph.llm.oracle import ORACLE
+
+
+@pytest.fixture(scope="module")
+def connection():
+    return duck(SF)
+
+
+def test_all_are_registered():
+    assert {f"op{n}_" for n in range(1, 11)} == {name.split("_")[0] + "_" for name in QUERIES}
+    assert set(QUERIES) | {"pipeline"} <= set(driver.queries())
+    assert set(ORACLE) <= set(driver.oracle_sql())
+
+
+@pytest.mark.parametrize("name", sorted(ORACLE))
+def test_query(spark, connection, name):
+    found, columns = rows_of_spark(QUERIES[name](spark, SF))
+    wanted, names = rows_of_duck(connection, ORACLE[name])
+    assert columns == names
+    assert found == wanted
+
+
+def test_predictions_on_held_out_documents(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    rows = QUERIES["op2_language_crf"](spark, SF).join(docs.select("doc_id", "lang"), "doc_id").filter("held_out").collect()
+    assert len(rows) > 40
+    assert sum(r.lang == r.lang_pred for r in rows) / len(rows) > 0.95
+    assert all(0 <= r.score <= 1 for r in rows)
+
+
+def test_verdicts_follow_the_rules(spark):
+    rows = QUERIES["op4_url_filter"](spark, SF).collect()
+    for r in rows:
+        longest = max(
+            (x for x in ("net/", "example.net/en/", "example.com/de/", "org/fr/")
+             if (r.host == x.split("/")[0] or r.host.endswith("." + x.split("/")[0])) and r.path.startswith(x[x.index("/"):])),
+            key=len, default=None)
+        assert r.rule == longest
+        if longest:
+            assert r.verdict == ("block" if longest in ("net/", "example.com/de/") else "allow")
+        assert r.verdict in ("allow", "block")
+
+
+def test_pipeline(spark):
+    import corpus_pipeline as pipeline
+
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    columns = docs.columns
+    for name, stage in pipeline.STAGES[:-1]:
+        before, docs = docs, pipeline.stored(stage(spark, docs, SF), name)
+        assert docs.columns == columns
+        assert docs.count() <= before.count()
+        assert docs.join(before, "doc_id", "left_anti").isEmpty()
+    mixed = pipeline.mix_sources(spark, docs, SF)
+    assert mixed.columns == [*columns, "copy"]
+    assert mixed.join(docs, docs.columns, "left_anti").isEmpty()
