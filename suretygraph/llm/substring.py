@@ -107,38 +107,48 @@ def _windows(size: int, shared):
     return run
 
 
-def _remove(size: int):
+def _cut(text: bytes | None, places: list[int] | None, size: int) -> tuple[int, int, bytes]:
+    """Number of words, of those removed, and the words kept."""
+    split = (text or b"").split()
+    n = len(split)
+    if places and n:
+        w = next(words(pa.array([text]), PLAIN))
+        found = np.array(places, np.int64)
+        found = found[found >> _TAG == _tags(w.hashes, w.first)[0]] & ((1 << _TAG) - 1)
+        cover = np.zeros(n + 1, np.int64)
+        np.add.at(cover, found, 1)
+        np.add.at(cover, found + size, -1)
+        split = [x for x, over in zip(split, np.cumsum(cover[:-1]).tolist()) if not over]
+    return n, n - len(split), b" ".join(split)
+
+
+def _remove(size: int, listed=None):
+    """Cuts the texts; where ``listed`` is given, those that it doesn't hold, which have no places."""
+
     def run(batches):
         for b in batches:
+            if listed:
+                b = b.filter(pa.array(~listed.value.hits(b["key"].to_numpy().view(U))))
             texts = b["text"].cast(pa.large_binary())
-            places = b["places"]
-            n_words, n_removed, kept = [], [], []
-            for i, text in enumerate(texts):
-                split = (text.as_py() or b"").split()
-                n_words.append(len(split))
-                found = places[i].as_py() if places[i].is_valid else None
-                if found and split:
-                    found = np.array(found, np.int64)
-                    w = next(words(pa.array([text.as_py()]), PLAIN))
-                    found = found[found >> _TAG == _tags(w.hashes, w.first)[0]] & ((1 << _TAG) - 1)
-                    cover = np.zeros(len(split) + 1, np.int64)
-                    np.add.at(cover, found, 1)
-                    np.add.at(cover, found + size, -1)
-                    gone = np.cumsum(cover[:-1]) > 0
-                    n_removed.append(int(gone.sum()))
-                    split = [x for x, out in zip(split, gone) if not out]
-                else:
-                    n_removed.append(0)
-                kept.append(b" ".join(split))
+            places = b["places"] if "places" in b.schema.names else None
+            cut = [_cut(t.as_py(), places[i].as_py() if places else None, size) for i, t in enumerate(texts)]
             yield pa.RecordBatch.from_arrays(
-                [b["_row"], longs(np.array(n_words, np.int64)), longs(np.array(n_removed, np.int64)),
-                 pa.array(kept, pa.binary()).cast(pa.string(), safe=False)],
+                [b["_row"], *[pa.array([c[k] for c in cut], pa.int64()) for k in (0, 1)],
+                 pa.array([c[2] for c in cut], pa.binary()).cast(pa.string(), safe=False)],
                 names=["_row", "n_words", "n_removed", "kept_text"],
             )
 
     return run
 
 
+def _listed(listed):
+    def run(batches):
+        for b in batches:
+            yield b.filter(pa.array(listed.value.hits(b["key"].to_numpy().view(U))))
+
+    return run
+
+
 def remove_repeats(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 50, most_bits: int = MOST_BITS
 ) -> DataFrame:
@@ -164,17 +174,22 @@ def remove_repeats(
         windows.groupBy("name", "check", (F.col("name") % 7).alias("_split"))
         .agg(F.min("doc_id").alias("least")).select("name", "check", "least")
     )
-    places = (
+    places = stored(
         windows.join(least, ["name", "check"]).filter("doc_id > least")
-        .groupBy("doc_id").agg(F.collect_list("place").alias("places"))
+        .groupBy("doc_id").agg(F.collect_list("place").alias("places")),
+        "places",
     )
+    # Only texts that may have places are shuffled to them; the others are finished where they are read.
+    listed = spark.sparkContext.broadcast(bitmap(places.select(F.xxhash64("doc_id").alias("key")), "key", most_bits))
     row = docs.select(
-        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"),
-        F.col(id_col).cast("long").alias("_id"), F.col(text_col).alias("text"),
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), F.col(id_col).cast("long").alias("_id"),
+        F.col(text_col).alias("text"), F.xxhash64(F.col(id_col).cast("long")).alias("key"),
     )
-    joined = row.join(places, F.col("_id") == F.col("doc_id"), "left").select("_row", "text", "places")
+    with_places = arrow_map(row, _listed(listed), row.schema).join(places, F.col("_id") == F.col("doc_id"), "left")
     schema = T.StructType([
         row.schema["_row"], T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType()),
         T.StructField("kept_text", T.StringType()),
     ])
-    return put(arrow_map(joined, _remove(window), schema), "_row", "n_words", "n_removed", "kept_text")
+    cut = arrow_map(row.select("_row", "text", "key"), _remove(window, listed), schema).union(
+        arrow_map(with_places.select("_row", "text", "places"), _remove(window), schema))
+    return put(cut, "_row", "n_words", "n_removed", "kept_text")
