@@ -102,12 +102,11 @@ def host_verdicts(measured: DataFrame, host_col: str, most: float = 0.6, least_w
     )
     n, rate = F.col("documents"), {r: F.col(f"f_{r}") / F.col("documents") for r in rules}
     mean = hosts.agg(*[(F.sum(f"f_{r}") / F.sum(n)).alias(r) for r in rules]).first()
-    spread = hosts.agg(*[
-        (F.sum(n * (rate[r] - mean[r]) * (rate[r] - mean[r])) / F.sum(n)).alias(r) for r in rules if mean[r] is not None]).first()
+    mean = {r: mean[r] or 0.0 for r in rules}  # null without hosts
+    spread = hosts.agg(*[(F.sum(n * (rate[r] - mean[r]) * (rate[r] - mean[r])) / F.sum(n)).alias(r) for r in rules]).first()
     beside = hosts
-    for r in rules:
-        m = mean[r] or 0.0
-        strength = min(max(m * (1 - m) / spread[r] - 1, 1.0), 1e4) if mean[r] is not None and spread[r] > 0 else 1e4
+    for r, m in mean.items():
+        strength = min(max(m * (1 - m) / spread[r] - 1, 1.0), 1e4) if spread[r] else 1e4
         beside = beside.withColumn(r, (F.col(f"f_{r}") + m * strength) / (n + strength))
     rejected = reduce(lambda a, b: a | b, [F.col(r) > most for r in rules])
     return beside.select("host", "documents", *rules, rejected.alias("rejected"))
