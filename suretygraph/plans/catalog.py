@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
 from collections.abc import Callable
-from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,10 +11,12 @@ from suretygraph import schemas
 from suretygraph.operators import exclusion, graph, quality, rings, risk, vendors
 from suretygraph.plans import jobs
 from suretygraph.sinks import parquet as sink
+from suretygraph.sinks.storage import staging_folder as staging
 from suretygraph.sources import files, tables
 
 PROCESS_DATE = "1998-06-30"
 RUN_DATE = "1998-06-30"
+AGAIN_FROM = "1996-01-01"
 SALT = "benchmark-salt"
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -28,13 +28,6 @@ def query(function: Query) -> Query:
     return function
 
 
-def staging(spark: SparkSession) -> str:
-    """A new folder for tables a query writes and reads back, in the cluster's shared checkpoint folder."""
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    root = shared.rstrip("/") if shared else tempfile.mkdtemp(prefix="run-", dir="/tmp")
-    return f"{root}/suretygraph-{uuid4().hex}"
-
-
 # -- stages shared by the queries ------------------------------------------------------------------
 
 
@@ -170,11 +163,12 @@ def latest_edges(spark, sf_dir):
 
 @query
 def upsert_edges(spark, sf_dir):
-    """Edges up to a day are stored, those of that day and after come in."""
+    """Edges up to a day are stored; those of the years before it and after come in, with smaller amounts."""
     edges = _edges(spark, sf_dir)
     day = F.col("transaction_day")
-    cut = F.lit(PROCESS_DATE).cast("date")
-    merged = graph.upsert_edges(edges.filter(day <= cut), edges.filter(day >= cut))
+    incoming = edges.filter(day >= F.lit(AGAIN_FROM).cast("date")).withColumn(
+        "guarantee_amount_usd", (F.col("guarantee_amount_usd") / 2).cast(schemas.MONEY))
+    merged = graph.upsert_edges(edges.filter(day <= F.lit(PROCESS_DATE).cast("date")), incoming)
     return _money(merged, "guarantee_amount_usd")
 
 
@@ -351,9 +345,10 @@ def scan_vendors(spark, sf_dir):
 
 @query
 def scan_edges(spark, sf_dir):
+    """A range of days, pruned to their folders."""
     root = staging(spark)
     sink.save_edges(_edges(spark, sf_dir), root, tasks=_tasks(spark))
-    return _money(files.scan_edges(spark, root), "guarantee_amount_usd")
+    return _money(files.scan_edges(spark, root, "1994-01-01", "1996-12-31"), "guarantee_amount_usd")
 
 
 @query
@@ -384,6 +379,18 @@ def save_edges(spark, sf_dir):
     return _money(files.scan_edges(spark, root), "guarantee_amount_usd")
 
 
+@query
+def save_edges_again(spark, sf_dir):
+    """All days are stored, then a second run without a date brings later days with other amounts: the others stay."""
+    root = staging(spark)
+    edges = _edges(spark, sf_dir)
+    sink.save_edges(edges, root, tasks=_tasks(spark))
+    amount = (F.col("guarantee_amount_usd") + 1).cast(schemas.MONEY)
+    later = edges.filter(F.col("transaction_day") >= F.lit(AGAIN_FROM).cast("date"))
+    sink.save_edges(later.withColumn("guarantee_amount_usd", amount), root, tasks=_tasks(spark))
+    return _money(files.scan_edges(spark, root), "guarantee_amount_usd")
+
+
 @query
 def save_vendors(spark, sf_dir):
     root = staging(spark)

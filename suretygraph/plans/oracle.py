@@ -198,7 +198,19 @@ _SELECTS = {
     "edge_count": "SELECT count(*) AS edge_count FROM clean",
     "graph_nodes": "SELECT source_account_id AS id FROM clean UNION SELECT target_account_id FROM clean",
     "latest_edges": _edges(_LATEST),
-    "upsert_edges": _edges(_LATEST),
+    "upsert_edges": """SELECT source_account_id, target_account_id, CAST(amount AS DOUBLE) AS guarantee_amount_usd, transaction_day
+        FROM (
+          SELECT *, row_number() OVER (PARTITION BY source_account_id, target_account_id
+                                       ORDER BY transaction_day DESC, is_new DESC, amount DESC) AS r
+          FROM (
+            SELECT source_account_id, target_account_id, guarantee_amount_usd AS amount, transaction_day, 0 AS is_new
+            FROM clean WHERE transaction_day <= DATE '1998-06-30'
+            UNION ALL
+            SELECT source_account_id, target_account_id,
+                   CAST((CAST(guarantee_amount_usd * 100 AS HUGEINT) + 1) // 2 / 100.0 AS DECIMAL(18,2)), transaction_day, 1
+            FROM clean WHERE transaction_day >= DATE '1996-01-01'
+          )
+        ) WHERE r = 1""",
     "rings_len2": _edges(_PATHS.format(2, 2)),
     "rings_len3": _edges(_PATHS.format(3, 3)),
     "cycle_count": _edges(_COUNT.format(2)),
@@ -229,11 +241,14 @@ _SELECTS = {
     "scan_transactions": f"SELECT {_TX} FROM transactions",
     "scan_free_accounts": "SELECT * FROM free_accounts",
     "scan_vendors": "SELECT * FROM vendors",
-    "scan_edges": f"SELECT {_EDGE} FROM clean",
+    "scan_edges": f"SELECT {_EDGE} FROM clean WHERE transaction_day BETWEEN DATE '1994-01-01' AND DATE '1996-12-31'",
     "save_curated": f"SELECT {_TX}, {_SCORES} FROM enriched",
     "save_risk_metrics": "SELECT * FROM metrics",
     "save_high_volume": "SELECT * FROM high_volume",
     "save_edges": f"SELECT {_EDGE} FROM clean",
+    "save_edges_again": """SELECT source_account_id, target_account_id, transaction_day,
+        CAST(guarantee_amount_usd + CASE WHEN transaction_day >= DATE '1996-01-01' THEN 1 ELSE 0 END AS DOUBLE)
+          AS guarantee_amount_usd FROM clean""",
     "save_vendors": _ENRICHED.format("resolved"),
     "save_vendors_json": _ENRICHED.format("outcomes"),
     "run_transactions": "SELECT * FROM metrics",

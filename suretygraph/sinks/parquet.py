@@ -4,14 +4,17 @@ from __future__ import annotations
 
 from datetime import timedelta
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from suretygraph.constants import WINDOW_DAYS
 from suretygraph.operators.graph import graph_nodes, upsert_edges
 from suretygraph.operators.quality import window_bounds
+from suretygraph.sinks.storage import file_names, remove
 
 DAY = "transaction_day"
+#: Tasks that a day may take where their number is set.
+DAY_PARTS = 8
 
 
 def save_by_day(
@@ -22,35 +25,40 @@ def save_by_day(
     days: int = WINDOW_DAYS,
     max_records_per_file: int = 0,
     tasks: int | None = None,
+    replace_all: bool = False,
 ) -> None:
     """One folder per ``transaction_day``.
 
     Rows are rebalanced by day: a small day becomes one file, and a day that holds a large part of the
     rows is split over several tasks and files, each of about the session's advisory partition size.
     Adaptive execution sizes the tasks by bytes, so a load of very many small days may come to few of them;
-    ``tasks`` sets their number instead, each writing a range of rows by day (a hot day spans several).
+    ``tasks`` sets their number instead. Days are then dealt out by a hash with a salt of DAY_PARTS values, so a
+    day is up to so many files, and a hot day up to so many tasks.
 
-    A run for a ``process_date`` owns the days of its window: it replaces those it has rows for, removes
-    the others (a day whose last row went away must not keep its old rows), and leaves all other days
-    alone. A run over everything replaces everything.
+    A run replaces the days it has rows for and leaves all others alone. A run for a ``process_date`` owns the
+    days of its window, so it also removes those it has no rows for (a day whose last row went away must not keep
+    its old rows). ``replace_all`` gives up everything stored, and only goes without a date.
     """
+    if replace_all and process_date is not None:
+        raise ValueError("a run for a date can't replace all days")
+    spark = rows.sparkSession
     folders = [] if process_date is None else _window_folders(path, process_date, days)
-    before = [_files(rows.sparkSession, folder) for folder in folders]
+    before = [file_names(spark, folder) for folder in folders]
     if tasks is None:
         placed = rows.hint("rebalance", DAY)
     else:
-        placed = rows.repartitionByRange(tasks, DAY, F.xxhash64(*rows.columns))
+        placed = rows.repartition(tasks, F.col(DAY), F.pmod(F.xxhash64(*rows.columns), F.lit(DAY_PARTS)))
     (
         placed.write.mode("overwrite")
         .option("maxRecordsPerFile", max_records_per_file)
-        .option("partitionOverwriteMode", "dynamic" if folders else "static")
+        .option("partitionOverwriteMode", "static" if replace_all else "dynamic")
         .partitionBy(DAY)
         .parquet(path)
     )
     # A day that still has a file of before was not written by this run.
     for folder, old in zip(folders, before):
-        if old & _files(rows.sparkSession, folder):
-            _remove(rows.sparkSession, folder)
+        if old & file_names(spark, folder):
+            remove(spark, folder)
 
 
 def _window_folders(path: str, process_date, days: int) -> list[str]:
@@ -58,21 +66,6 @@ def _window_folders(path: str, process_date, days: int) -> list[str]:
     return [f"{path}/{DAY}={first + timedelta(n)}" for n in range(days)]
 
 
-def _file_system(spark: SparkSession, folder: str):
-    location = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    return location.getFileSystem(spark._jsc.hadoopConfiguration()), location
-
-
-def _files(spark: SparkSession, folder: str) -> set[str]:
-    system, location = _file_system(spark, folder)
-    return {f.getPath().getName() for f in system.listStatus(location)} if system.exists(location) else set()
-
-
-def _remove(spark: SparkSession, folder: str) -> None:
-    system, location = _file_system(spark, folder)
-    system.delete(location, True)
-
-
 def save_curated(enriched: DataFrame, path: str, process_date=None, **options) -> None:
     save_by_day(enriched, path, process_date, **options)
 

@@ -1,0 +1,48 @@
+"""Folders of the cluster's file system.
+
+The only place that reaches for Hadoop's file system through the session's JVM; it isn't there under Spark Connect.
+"""
+
+from __future__ import annotations
+
+from uuid import uuid4
+
+from pyspark.sql import SparkSession
+
+
+def file_system(spark: SparkSession, folder: str):
+    location = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return location.getFileSystem(spark._jsc.hadoopConfiguration()), location
+
+
+def file_names(spark: SparkSession, folder: str) -> set[str]:
+    """What lies directly in a folder; nothing if there is none."""
+    system, location = file_system(spark, folder)
+    return {f.getPath().getName() for f in system.listStatus(location)} if system.exists(location) else set()
+
+
+def remove(spark: SparkSession, folder: str) -> None:
+    system, location = file_system(spark, folder)
+    system.delete(location, True)
+
+
+def shared_root(spark: SparkSession) -> str:
+    """The folder that ``spark.checkpoint.dir`` names, else the warehouse. A warehouse on local disk is refused where
+    executors run on other machines: each would write to its own, and a later read would miss rows."""
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if root:
+        return root.rstrip("/")
+    root = spark.conf.get("spark.sql.warehouse.dir")
+    system, _ = file_system(spark, root)
+    if system.getUri().getScheme() == "file" and not spark.conf.get("spark.master", "").startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+    return root.rstrip("/")
+
+
+def staging_folder(spark: SparkSession) -> str:
+    """A new folder for tables that are written and read back; it goes when the application ends."""
+    folder = f"{shared_root(spark)}/suretygraph-{uuid4().hex}"
+    system, location = file_system(spark, folder)
+    system.mkdirs(location)
+    system.deleteOnExit(location)
+    return folder

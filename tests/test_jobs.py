@@ -103,7 +103,7 @@ def test_graph_is_merged_into_a_new_folder(spark, data, edges):
 
     sink.save_edges(edges(("A", "B", 1, 1), ("B", "A", 1, 1)), data.out("graph_edges"))
     jobs.run_graph(spark, data, graph_path=data.out("g1"))
-    sink.save_edges(edges(("B", "C", 1, 2), ("C", "A", 1, 2)), data.out("graph_edges"))
+    sink.save_edges(edges(("B", "C", 1, 2), ("C", "A", 1, 2)), data.out("graph_edges"), replace_all=True)
     values = {r.measure: int(r.value) for r in jobs.run_graph(
         spark, data, graph_path=data.out("g2"), previous_graph=data.out("g1")).collect()}
     assert values == {"edge_count": 2, "cycle_count": 2 + 3}

@@ -29,16 +29,19 @@ def test_entry(spark):
     ]
 
 
-def test_staging_follows_the_cluster():
+def test_staging_follows_the_cluster(spark):
     from types import SimpleNamespace
 
-    from suretygraph.plans import catalog
+    from suretygraph.sinks import storage
 
-    def session(folder):
-        # The setting belongs to the cluster and can't be changed in a running session.
-        settings = {} if folder is None else {"spark.checkpoint.dir": folder}
-        return SimpleNamespace(conf=SimpleNamespace(get=settings.get))
+    def session(**settings):
+        # These settings belong to the cluster and can't be changed in a running session.
+        conf = {"spark.master": "yarn", "spark.sql.warehouse.dir": "file:/w"} | {k.replace("_", "."): v for k, v in settings.items()}
+        return SimpleNamespace(conf=SimpleNamespace(get=lambda k, *d: conf.get(k, *d)), _jvm=spark._jvm, _jsc=spark._jsc)
 
-    first, second = (catalog.staging(session("hdfs://shared/checkpoints/")) for _ in range(2))
-    assert first.startswith("hdfs://shared/checkpoints/suretygraph-") and first != second
-    assert catalog.staging(session(None)).startswith("/tmp/run-")
+    assert storage.shared_root(session(spark_checkpoint_dir="hdfs://shared/checkpoints/")) == "hdfs://shared/checkpoints"
+    with pytest.raises(ValueError):
+        storage.shared_root(session())
+    assert storage.shared_root(session(spark_master="local[2]")) == "file:/w"
+    first, second = storage.staging_folder(spark), storage.staging_folder(spark)
+    assert first != second and storage.file_names(spark, first) == set()

@@ -42,12 +42,25 @@ def test_a_run_owns_its_window_only(spark, edges, root):
     assert days(spark, root) == {1: 3, 2: 3, 10: 3}
 
 
-def test_a_full_run_replaces_everything(spark, edges, root):
+def test_a_full_run_keeps_days_it_has_no_rows_for(spark, edges, root):
     sink.save_edges(week(edges, last=9), root)
     sink.save_edges(edges(("A", "B", 1, 2), ("A", "C", 1, None)), root)
+    stored = files.scan_edges(spark, root)
+    assert {r.target_account_id for r in stored.filter("transaction_day = '2026-05-02'").collect()} == {"B"}
+    assert stored.filter("transaction_day is null").count() == 1
+    assert stored.count() == 8 * 3 + 2
+    sink.save_edges(week(edges).limit(0), root)
+    assert stored.count() == 8 * 3 + 2
+
+
+def test_all_is_replaced_on_request_only(spark, edges, root):
+    sink.save_edges(week(edges, last=9), root)
+    sink.save_edges(edges(("A", "B", 1, 2), ("A", "C", 1, None)), root, replace_all=True)
     assert {(r.target_account_id, r.transaction_day) for r in files.scan_edges(spark, root).collect()} == {
         ("B", date(2026, 5, 2)), ("C", None)
     }
+    with pytest.raises(ValueError):
+        sink.save_edges(week(edges), root, "2026-05-07", replace_all=True)
 
 
 def test_a_hot_day_is_split_and_kept_whole(spark, root):
@@ -70,7 +83,7 @@ def test_a_set_number_of_tasks(spark, edges, root):
     hot = edges(*[("A", f"B{i}", 1, 1) for i in range(500)]).union(week(edges, first=2, last=20, times=5))
     sink.save_edges(hot, root, tasks=6)
     assert data_files(root).count("transaction_day=2026-05-01") > 1
-    assert len(data_files(root)) <= 20 + 5
+    assert len(data_files(root)) <= 20 * sink.DAY_PARTS
     assert days(spark, root) == {1: 500} | {d: 5 for d in range(2, 21)}
 
 
