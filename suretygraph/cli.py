@@ -18,7 +18,11 @@ def main(argv=None) -> None:
     parser.add_argument("--free-accounts", default="data/free_accounts.csv.gz")
     parser.add_argument("--vendors", default="data/sap_vendors.json")
     parser.add_argument("--output", default="data/curated")
-    parser.add_argument("--folder-slack-days", type=int, help="how far event and folder days can lie apart")
+    parser.add_argument("--again", nargs="*", default=[], help="deliveries (YYYY-MM-DD) to take in anew")
+    parser.add_argument("--attempts", help="Parquet log of lookup attempts")
+    parser.add_argument("--vendor-lines", action="store_true", help="vendors are one JSON object a line")
+    parser.add_argument("--graph", help="folder to write the graph to")
+    parser.add_argument("--previous-graph", help="graph to merge the window's edges into")
     parser.add_argument("--salt-variable", default="PII_SALT", help="environment variable with the salt")
     args = parser.parse_args(argv)
 
@@ -28,11 +32,16 @@ def main(argv=None) -> None:
         salt = os.environ.get(args.salt_variable)
         if not salt:
             parser.error(f"set {args.salt_variable}: tax ids are only written as salted hashes")
-        jobs.run_vendors(spark, paths, args.process_date, salt=salt)
+        attempts = spark.read.parquet(args.attempts) if args.attempts else None
+        counters = jobs.run_vendors(
+            spark, paths, args.process_date, salt=salt, attempts=attempts, multi_line=not args.vendor_lines)
+        if counters is not None:
+            counters.show(truncate=False)
     if args.job in ("transactions", "all"):
-        jobs.run_transactions(spark, paths, args.process_date, folder_slack_days=args.folder_slack_days)
+        jobs.run_transactions(spark, paths, args.process_date, again=args.again)
     if args.job in ("graph", "all"):
-        jobs.run_graph(spark, paths).show(truncate=False)
+        window = args.process_date if args.previous_graph else None
+        jobs.run_graph(spark, paths, window, graph_path=args.graph, previous_graph=args.previous_graph).show(truncate=False)
 
 
 if __name__ == "__main__":

@@ -24,13 +24,27 @@ def attempt_domains(attempts: DataFrame) -> DataFrame:
     return attempts.withColumn("domain", rule.response_domain(F.col("response_body")))
 
 
+def number_attempts(log: DataFrame, max_attempts: int = MAX_ATTEMPTS) -> DataFrame:
+    """The first ``max_attempts`` attempts of each vendor, numbered from 1 as ``attempt``.
+
+    Later attempts can't change an outcome. The bound on the row number lets Spark keep at most that
+    many rows per vendor in each map task, so a vendor with a huge log is cut before the shuffle.
+    """
+    order = Window.partitionBy("vendor_id").orderBy("attempted_at", "attempt_id")
+    return (
+        log.withColumn("attempt", F.row_number().over(order))
+        .filter(F.col("attempt") <= max_attempts)
+        .select("vendor_id", "attempt", "status_code", "response_body")
+    )
+
+
 def vendor_outcome(attempts: DataFrame, *, max_attempts: int = MAX_ATTEMPTS) -> DataFrame:
     """What the attempts came to, per vendor.
 
     The first final attempt among the first ``max_attempts`` decides; without one the vendor failed.
     Only attempts up to the deciding one count. ``attempts`` numbers each vendor's attempts from 1,
     so the window holds at most ``max_attempts`` rows per vendor, and the aggregate after it needs no
-    further shuffle.
+    further shuffle. A log numbered by ``number_attempts`` must have been cut at no fewer.
     """
     earlier = (
         Window.partitionBy("vendor_id").orderBy("attempt").rowsBetween(Window.unboundedPreceding, -1)

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,12 +13,13 @@ from suretygraph import schemas
 from suretygraph.operators import exclusion, graph, quality, rings, risk, vendors
 from suretygraph.plans import jobs
 from suretygraph.sinks import parquet as sink
-from suretygraph.sinks.storage import staging_folder as staging
+from suretygraph.storage import staging_folder as staging
 from suretygraph.sources import files, tables
 
 PROCESS_DATE = "1998-06-30"
 RUN_DATE = "1998-06-30"
 AGAIN_FROM = "1996-01-01"
+PROCESSED_AT = datetime(1998, 7, 1, 12, 30)
 SALT = "benchmark-salt"
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -60,7 +63,7 @@ def _edges(spark, sf_dir, exclude_promotional: bool = True) -> DataFrame:
 
 
 def _outcomes(spark, sf_dir) -> DataFrame:
-    return vendors.vendor_outcome(tables.number_attempts(tables.attempt_log(spark, sf_dir)))
+    return vendors.vendor_outcome(vendors.number_attempts(tables.attempt_log(spark, sf_dir)))
 
 
 def _money(df: DataFrame, *columns: str) -> DataFrame:
@@ -120,7 +123,8 @@ def exclude_free_accounts(spark, sf_dir):
 
 @query
 def enrich_transactions(spark, sf_dir):
-    return _amounts(_enriched(spark, sf_dir).drop("processed_at"))
+    scored = risk.enrich_transactions(_clean(spark, sf_dir), processed_at=PROCESSED_AT)
+    return _amounts(scored.withColumn("processed_at", F.date_format("processed_at", "yyyy-MM-dd HH:mm:ss")))
 
 
 @query
@@ -409,14 +413,36 @@ def save_vendors_json(spark, sf_dir):
 # -- whole jobs ------------------------------------------------------------------------------------
 
 
+def _outputs(spark, paths: jobs.Paths) -> DataFrame:
+    """A row for each output of the transaction job: its rows and the sum of its amounts."""
+    amounts = {
+        "transactions": "guarantee_amount_usd", "risk_metrics": "total_guarantee_amount", "high_risk_accounts": "total_amount",
+        "graph_edges": "guarantee_amount_usd", "rejected_lines": "0",
+    }
+    rows = [
+        spark.read.parquet(paths.out(name)).agg(
+            F.lit(name).alias("output"), F.count("*").alias("n_rows"),
+            F.coalesce(F.sum(F.expr(amount).cast("decimal(20,2)")).cast("double"), F.lit(0.0)).alias("amount"))
+        for name, amount in amounts.items()
+    ]
+    return reduce(DataFrame.unionByName, rows)
+
+
+def _run_transactions(spark, sf_dir, process_date) -> DataFrame:
+    paths = jobs.Paths(_stage_transactions(spark, sf_dir), _stage_free_accounts(spark, sf_dir), "", staging(spark))
+    jobs.run_transactions(spark, paths, process_date)
+    return _outputs(spark, paths)
+
+
 @query
 def run_transactions(spark, sf_dir):
-    """The transaction job for one process date, from files to files; its metrics are returned."""
-    paths = jobs.Paths(
-        _stage_transactions(spark, sf_dir), _stage_free_accounts(spark, sf_dir), "", staging(spark)
-    )
-    jobs.run_transactions(spark, paths, PROCESS_DATE)
-    return spark.read.schema(schemas.RISK_METRICS).parquet(paths.out("risk_metrics"))
+    """The transaction job for one process date, from monthly deliveries to its outputs."""
+    return _run_transactions(spark, sf_dir, PROCESS_DATE)
+
+
+@query
+def run_transactions_all_days(spark, sf_dir):
+    return _run_transactions(spark, sf_dir, None)
 
 
 @query
@@ -429,6 +455,23 @@ def run_vendors(spark, sf_dir):
 
 @query
 def run_graph(spark, sf_dir):
+    """A graph of all edges before a window, then the window's edges merged into it."""
     paths = jobs.Paths("", "", "", staging(spark))
-    _edges(spark, sf_dir).write.parquet(paths.out("graph_edges"))
-    return _whole(jobs.run_graph(spark, paths), "value")
+    edges = _edges(spark, sf_dir)
+    first, _ = quality.window_bounds(PROCESS_DATE)
+    sink.save_edges(edges.filter(F.col("transaction_day") < F.lit(first)), paths.out("graph_edges"), tasks=_tasks(spark))
+    jobs.run_graph(spark, paths, graph_path=paths.out("before"))
+    sink.save_edges(edges, paths.out("graph_edges"), tasks=_tasks(spark))
+    return _whole(jobs.run_graph(spark, paths, PROCESS_DATE, previous_graph=paths.out("before")), "value")
+
+
+@query
+def run_all(spark, sf_dir):
+    """The three jobs for one date: the graph's counts and the counters of the lookups."""
+    paths = jobs.Paths(
+        _stage_transactions(spark, sf_dir), _stage_free_accounts(spark, sf_dir), _stage_vendors(spark, sf_dir), staging(spark))
+    log = tables.attempt_log(spark, sf_dir)
+    counts, counters = jobs.run_all(spark, paths, RUN_DATE, salt=SALT, attempts=log, multi_line=False)
+    names = counters.columns
+    pairs = F.explode(F.array(*[F.struct(F.lit(n).alias("measure"), F.col(n).cast("long").alias("value")) for n in names])).alias("x")
+    return _whole(counts, "value").unionByName(counters.select(pairs).select("x.*"))

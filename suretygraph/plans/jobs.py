@@ -2,17 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from suretygraph.constants import DOMAIN_KEYWORDS, WINDOW_DAYS
+from suretygraph.constants import DOMAIN_KEYWORDS, MAX_ATTEMPTS, WINDOW_DAYS
 from suretygraph.operators import exclusion, graph, quality, rings, risk, vendors
 from suretygraph.schemas import PATH_COUNT
 from suretygraph.sinks import parquet as sink
 from suretygraph.sources import files
-from suretygraph.sources.tables import number_attempts
 
 
 @dataclass(frozen=True)
@@ -43,15 +43,19 @@ def run_transactions(
     paths: Paths,
     process_date=None,
     *,
-    folder_slack_days: int | None = None,
+    again: Iterable[str] = (),
     processed_at=None,
 ) -> None:
-    """Writes curated transactions, then metrics, high-volume accounts and edges.
+    """Takes new deliveries in, then writes curated transactions, metrics, high-volume accounts and edges, and the
+    delivered lines that don't fit the schema.
 
-    The last three read the curated days just written, each only its own columns. Nothing is cached:
-    what they need is on storage and outlives a lost executor.
+    A window is read from what was taken in, by the event's day: of all deliveries, but only of its days. ``again``
+    names deliveries to take in anew. Metrics, accounts and edges come from the curated days just written, each only
+    its own columns. Nothing is cached: what they need is on storage and outlives a lost executor.
     """
-    raw = files.scan_transactions(spark, paths.transactions, process_date, folder_slack_days=folder_slack_days)
+    files.take_in(spark, paths.transactions, paths.out("intake"), again)
+    sink.save_rejected(files.rejected_lines(spark, paths.out("intake")), paths.out("rejected_lines"))
+    raw = files.scan_taken_in(spark, paths.out("intake"), process_date)
     enriched = scored_transactions(
         raw, files.scan_free_accounts(spark, paths.free_accounts), processed_at=processed_at
     )
@@ -72,21 +76,23 @@ def run_vendors(
     attempts: DataFrame | None = None,
     keywords=DOMAIN_KEYWORDS,
     multi_line: bool = True,
+    max_attempts: int = MAX_ATTEMPTS,
     processed_at=None,
 ) -> DataFrame | None:
     """Writes the enriched vendors as JSON and as Parquet.
 
     Domains come from the log of lookup attempts if there is one (a table with ``vendor_id``,
     ``status_code``, ``response_body`` and either ``attempt`` or ``attempted_at`` and ``attempt_id``),
-    else from the keywords. With a log the run's counters are returned, lazily, as one row.
+    else from the keywords. With a log its outcomes are stored, and the run's counters are returned, as one row.
     """
     records = files.scan_vendors(spark, paths.vendors, multi_line=multi_line)
     counters = None
     if attempts is None:
         resolved = vendors.resolve_vendor_domain(records, keywords=keywords)
     else:
-        numbered = attempts if "attempt" in attempts.columns else number_attempts(attempts)
-        outcomes = vendors.vendor_outcome(numbered)
+        numbered = attempts if "attempt" in attempts.columns else vendors.number_attempts(attempts, max_attempts)
+        sink.save_outcomes(vendors.vendor_outcome(numbered, max_attempts=max_attempts), paths.out("vendor_outcomes"), run_date)
+        outcomes = files.scan_outcomes(spark, paths.out("vendor_outcomes"), run_date)
         resolved = vendors.domains_from_outcomes(records, outcomes)
         counters = vendors.enrichment_counters(outcomes)
     enriched = vendors.enriched_vendors(resolved, salt=salt, run_date=run_date, processed_at=processed_at)
@@ -113,7 +119,8 @@ def run_graph(
 
     Without a date all stored edges are offered and the graph is built anew, or merged with
     ``previous_graph``. With one, only its window's edges are read and merged with ``previous_graph``,
-    which has the older ones. Returns, lazily, a row for ``edge_count`` (edges offered) and one for
+    which has the older ones. An edge that a corrected window no longer offers stays in the merged graph; only a graph
+    built anew lacks it. Returns, lazily, a row for ``edge_count`` (edges offered) and one for
     ``cycle_count`` (closed paths in the graph).
     """
     target = graph_path or paths.out("graph")
@@ -137,9 +144,24 @@ def run_graph(
 
 
 def run_all(
-    spark: SparkSession, paths: Paths, run_date: str, *, salt: str, attempts: DataFrame | None = None, **options
-) -> DataFrame:
-    """Vendors, transactions and graph for one run date. Returns the graph job's counts."""
-    run_vendors(spark, paths, run_date, salt=salt, attempts=attempts)
-    run_transactions(spark, paths, run_date[:10], **options)
-    return run_graph(spark, paths)
+    spark: SparkSession,
+    paths: Paths,
+    run_date: str,
+    *,
+    salt: str,
+    attempts: DataFrame | None = None,
+    multi_line: bool = True,
+    graph_path: str | None = None,
+    previous_graph: str | None = None,
+    again: Iterable[str] = (),
+    processed_at=None,
+) -> tuple[DataFrame, DataFrame | None]:
+    """Vendors, transactions and graph for one run date. Returns the graph job's counts and the vendors' counters.
+
+    With ``previous_graph`` only the window's edges are merged into it; without, the graph is built of all stored edges.
+    """
+    counters = run_vendors(
+        spark, paths, run_date, salt=salt, attempts=attempts, multi_line=multi_line, processed_at=processed_at)
+    run_transactions(spark, paths, run_date[:10], again=again, processed_at=processed_at)
+    window = None if previous_graph is None else run_date[:10]
+    return run_graph(spark, paths, window, graph_path=graph_path, previous_graph=previous_graph), counters

@@ -179,6 +179,12 @@ sha256('benchmark-salt' || v.tax_id_pii) AS tax_id_sha256,
 CASE WHEN length(d.domain) > 0 THEN 'SUCCESS' ELSE 'FAILED' END AS enrichment_status,
 '1998-06-30' AS execution_date FROM vendors v LEFT JOIN {} d ON v.vendor_id = d.vendor_id"""
 
+_OUTPUTS = """SELECT 'transactions' AS output, count(*) AS n_rows, coalesce(CAST(sum(guarantee_amount_usd) AS DOUBLE), 0) AS amount FROM enriched
+UNION ALL SELECT 'risk_metrics', count(*), coalesce(CAST(sum(CAST(total_guarantee_amount AS DECIMAL(20,2))) AS DOUBLE), 0) FROM metrics
+UNION ALL SELECT 'high_risk_accounts', count(*), coalesce(CAST(sum(CAST(total_amount AS DECIMAL(20,2))) AS DOUBLE), 0) FROM high_volume
+UNION ALL SELECT 'graph_edges', count(*), coalesce(CAST(sum(guarantee_amount_usd) AS DOUBLE), 0) FROM clean
+UNION ALL SELECT 'rejected_lines', 0, 0.0::DOUBLE"""
+
 _SELECTS = {
     "transaction_day": f"SELECT {_TX} FROM transactions",
     "incremental_window":
@@ -189,7 +195,7 @@ _SELECTS = {
     "qualifying_free_accounts": "SELECT account_id FROM promotional",
     "exclude_free_source": f"SELECT {_TX} FROM clean_source",
     "exclude_free_accounts": f"SELECT {_TX} FROM clean",
-    "enrich_transactions": f"SELECT {_TX}, {_SCORES} FROM enriched",
+    "enrich_transactions": f"SELECT {_TX}, {_SCORES}, '1998-07-01 12:30:00' AS processed_at FROM enriched",
     "daily_risk_metrics": "SELECT * FROM metrics",
     "high_volume_accounts": "SELECT * FROM high_volume",
     "graph_edges": f"SELECT {_EDGE} FROM clean",
@@ -251,10 +257,19 @@ _SELECTS = {
           AS guarantee_amount_usd FROM clean""",
     "save_vendors": _ENRICHED.format("resolved"),
     "save_vendors_json": _ENRICHED.format("outcomes"),
-    "run_transactions": "SELECT * FROM metrics",
+    "run_transactions": _OUTPUTS,
+    "run_transactions_all_days": _OUTPUTS,
     "run_vendors": _ENRICHED.format("outcomes"),
     "run_graph": _edges("""SELECT 'edge_count' AS measure, count(*) AS value FROM clean
-        UNION ALL SELECT 'cycle_count', count(*) FROM paths WHERE cycle_length BETWEEN 2 AND 3"""),
+        WHERE transaction_day BETWEEN DATE '1998-06-24' AND DATE '1998-06-30'
+        UNION ALL SELECT 'cycle_count', count(*) FROM paths WHERE cycle_length BETWEEN 2 AND 3""",
+        transactions="""(SELECT * FROM clean WHERE transaction_day <= DATE '1998-06-30')"""),
+    "run_all": _edges("""SELECT 'edge_count' AS measure, count(*) AS value FROM clean
+        UNION ALL SELECT 'cycle_count', count(*) FROM paths WHERE cycle_length BETWEEN 2 AND 3
+        UNION ALL SELECT 'success', count(*) FROM outcomes WHERE outcome = 'SUCCESS'
+        UNION ALL SELECT 'failed', count(*) FROM outcomes WHERE outcome = 'FAILED'
+        UNION ALL SELECT 'retries', CAST(sum(retries) AS BIGINT) FROM outcomes
+        UNION ALL SELECT 'network_errors', CAST(sum(network_errors) AS BIGINT) FROM outcomes"""),
 }
 
 # The job takes its window before anything else, so duplicates outside of it play no part.
@@ -262,6 +277,6 @@ _ALL_DAYS = "JOIN customer ON o_custkey = c_custkey"
 _WINDOW = _ALL_DAYS + " WHERE CAST(o_orderdate AS DATE) BETWEEN DATE '1998-06-24' AND DATE '1998-06-30'"
 
 ORACLE = {
-    name: (STAGES.replace(_ALL_DAYS, _WINDOW) if name == "run_transactions" else STAGES) + select
+    name: (STAGES.replace(_ALL_DAYS, _WINDOW) if name in ("run_transactions", "run_all") else STAGES) + select
     for name, select in _SELECTS.items()
 }

@@ -81,3 +81,11 @@ ENRICHED_VENDORS = T.StructType([
     T.StructField("enrichment_status", T.StringType()),
     T.StructField("execution_date", T.StringType()),
 ])
+
+OUTCOMES = T.StructType([
+    T.StructField("vendor_id", T.StringType()),
+    T.StructField("outcome", T.StringType()),
+    T.StructField("domain", T.StringType()),
+    T.StructField("retries", T.LongType()),
+    T.StructField("network_errors", T.LongType()),
+])

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from suretygraph.constants import WINDOW_DAYS
 from suretygraph.operators.graph import graph_nodes, upsert_edges
 from suretygraph.operators.quality import window_bounds
-from suretygraph.sinks.storage import file_names, remove
+from suretygraph.storage import file_names, remove
 
 DAY = "transaction_day"
 #: Tasks that a day may take where their number is set.
@@ -84,6 +84,11 @@ def save_high_volume(accounts: DataFrame, path: str) -> None:
     accounts.write.mode("overwrite").parquet(path)
 
 
+def save_rejected(lines: DataFrame, path: str) -> None:
+    """Replaced whole: all lines ever rejected, by delivery."""
+    lines.write.mode("overwrite").parquet(path)
+
+
 def run_folder(path: str, run_date: str | None) -> str:
     return f"{path}/day={run_date[:10] if run_date else 'unknown'}"
 
@@ -99,6 +104,11 @@ def save_vendors(vendors: DataFrame, path: str, run_date: str | None = None) ->
     vendors.write.mode("overwrite").parquet(run_folder(path, run_date))
 
 
+def save_outcomes(outcomes: DataFrame, path: str, run_date: str | None = None) -> None:
+    """One row for each vendor of the run's attempt log."""
+    outcomes.write.mode("overwrite").parquet(run_folder(path, run_date))
+
+
 def save_graph(incoming: DataFrame, path: str, existing: DataFrame | None = None) -> None:
     """Writes ``path/edges`` and ``path/nodes``: the stored edges, if any, with the new ones merged in.
 

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from datetime import timedelta
+from collections.abc import Iterable
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,49 +11,81 @@ from pyspark.sql import types as T
 
 from suretygraph import schemas
 from suretygraph.constants import WINDOW_DAYS
-from suretygraph.operators.quality import incremental_window, transaction_day, window_bounds
+from suretygraph.operators.quality import incremental_window, transaction_day
+from suretygraph.storage import file_names
 
 CORRUPT_COLUMN = "_corrupt"
+DELIVERY_FOLDER, DELIVERY = "day", "delivery"
 
 
 def scan_transactions(
-    spark: SparkSession,
-    root: str,
-    process_date=None,
-    *,
-    days: int = WINDOW_DAYS,
-    folder_slack_days: int | None = None,
-    keep_corrupt: bool = False,
+    spark: SparkSession, root: str, process_date=None, *, days: int = WINDOW_DAYS, keep_corrupt: bool = False
 ) -> DataFrame:
     """Daily transaction CSVs under ``root/day=YYYY-MM-DD/``, with ``transaction_day`` added.
 
-    ``process_date`` keeps the ``days`` days ending there, by the event's own timestamp.
-    ``folder_slack_days`` says how far an event's day and its folder's day can lie apart (0 where a folder
-    holds nothing but its own day), and restricts the read to the window's folders and that many days around
-    it. Without it every folder is read, as nothing is known of what it holds.
+    ``process_date`` keeps the ``days`` days ending there, by the event's own timestamp. All folders are read, as
+    nothing is known of what they hold; a job that runs every day takes them in once (``take_in``) and reads the
+    window from there.
     ``keep_corrupt`` adds ``_corrupt`` with the raw text of lines that do not fit the schema;
     either way the cells that can't be parsed are null and later fail validation. A file whose header has
     other columns, or another order, is refused.
     """
+    dated = transaction_day(_delivered(spark, root, keep_corrupt).drop(DELIVERY_FOLDER))
+    return dated if process_date is None else incremental_window(dated, process_date, days=days)
+
+
+def _delivered(spark: SparkSession, root: str, keep_corrupt: bool) -> DataFrame:
     fields = list(schemas.TRANSACTIONS.fields)
     if keep_corrupt:
         fields.append(T.StructField(CORRUPT_COLUMN, T.StringType()))
-    fields.append(T.StructField("day", T.DateType()))
-    raw = (
+    fields.append(T.StructField(DELIVERY_FOLDER, T.DateType()))
+    return (
         spark.read.schema(T.StructType(fields))
         .option("header", True)
         .option("basePath", root)
         .option("enforceSchema", False)
         .option("columnNameOfCorruptRecord", CORRUPT_COLUMN)
         .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss")
-        .csv(f"{root}/day=*")
+        .csv(f"{root}/{DELIVERY_FOLDER}=*")
     )
-    if process_date is not None and folder_slack_days is not None:
-        first, last = window_bounds(process_date, days)
-        slack = timedelta(days=folder_slack_days)
-        raw = raw.filter(F.col("day").between(F.lit(first - slack), F.lit(last + slack)))
-    dated = transaction_day(raw.drop("day"))
-    return dated if process_date is None else incremental_window(dated, process_date, days=days)
+
+
+def take_in(spark: SparkSession, root: str, store: str, again: Iterable[str] = ()) -> None:
+    """Takes delivered CSV folders into ``store``, each once: Parquet in a folder for the delivery, below it for the
+    event's day, whatever folder the event came in. Lines that don't fit the schema keep their text as ``_corrupt``.
+
+    New are the deliveries that the store has no folder of; they are appended in one job, rows spread by delivery and
+    day. ``again`` names deliveries (YYYY-MM-DD) to take in anew, each replacing what it brought before. Only names of
+    folders come to the driver.
+    """
+    known = file_names(spark, store)
+    delivered = {name.removeprefix(f"{DELIVERY_FOLDER}=") for name in file_names(spark, root) if name.startswith(f"{DELIVERY_FOLDER}=")}
+    new = sorted(d for d in delivered if f"{DELIVERY}={d}" not in known and d not in again)
+    rows = transaction_day(_delivered(spark, root, keep_corrupt=True)).withColumnRenamed(DELIVERY_FOLDER, DELIVERY)
+    if new:
+        # A delivery without rows gets no folder and is looked at again.
+        chosen = rows.filter(F.col(DELIVERY).isin([date.fromisoformat(d) for d in new]))
+        chosen.hint("rebalance", DELIVERY, "transaction_day").write.mode("append").partitionBy(DELIVERY, "transaction_day").parquet(store)
+    for d in again:
+        part = rows.filter(F.col(DELIVERY) == F.lit(date.fromisoformat(d))).drop(DELIVERY)
+        part.hint("rebalance", "transaction_day").write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(
+            "transaction_day").parquet(f"{store}/{DELIVERY}={d}")
+
+
+def scan_taken_in(spark: SparkSession, store: str, process_date=None, *, days: int = WINDOW_DAYS, keep_corrupt: bool = False) -> DataFrame:
+    """Transactions taken in, all days or one window, of which only the days' folders are read."""
+    fields = [*schemas.TRANSACTIONS.fields, T.StructField(CORRUPT_COLUMN, T.StringType()),
+              T.StructField(DELIVERY, T.DateType()), T.StructField("transaction_day", T.DateType())]
+    rows = spark.read.schema(T.StructType(fields)).parquet(store).drop(DELIVERY)
+    rows = rows if keep_corrupt else rows.drop(CORRUPT_COLUMN)
+    return rows if process_date is None else incremental_window(rows, process_date, days=days)
+
+
+def rejected_lines(spark: SparkSession, store: str) -> DataFrame:
+    """Lines taken in that don't fit the schema, with their delivery."""
+    fields = [T.StructField(CORRUPT_COLUMN, T.StringType()), T.StructField(DELIVERY, T.DateType())]
+    rows = spark.read.schema(T.StructType(fields)).parquet(store)
+    return rows.filter(F.col(CORRUPT_COLUMN).isNotNull()).select(DELIVERY, F.col(CORRUPT_COLUMN).alias("line"))
 
 
 def scan_free_accounts(spark: SparkSession, path: str) -> DataFrame:
@@ -88,3 +121,9 @@ def scan_enriched_vendors(spark: SparkSession, path: str, run_date: str | None =
     """Stored vendor records of one run date."""
     folder = f"{path}/day={run_date[:10] if run_date else 'unknown'}"
     return spark.read.schema(schemas.ENRICHED_VENDORS).parquet(folder)
+
+
+def scan_outcomes(spark: SparkSession, path: str, run_date: str | None = None) -> DataFrame:
+    """Stored lookup outcomes of one run date."""
+    folder = f"{path}/day={run_date[:10] if run_date else 'unknown'}"
+    return spark.read.schema(schemas.OUTCOMES).parquet(folder)

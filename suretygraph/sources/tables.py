@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from suretygraph.constants import MAX_ATTEMPTS
 from suretygraph.schemas import MONEY
 
 
@@ -103,7 +102,7 @@ KEYWORDS = (("delta", "delta.example"), ("norte", "norte.example"), ("lumen", "l
 
 
 def attempt_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every lookup attempt with its time and id; ``number_attempts`` counts them per vendor."""
+    """Every lookup attempt with its time and id; ``vendors.number_attempts`` counts them per vendor."""
     kind = F.col("event_type")
     body = F.when(F.col("value") < 3, "{}").otherwise(
         F.concat(F.lit('{"domain": "d'), F.col("user_id"), F.lit('.example"}'))
@@ -116,17 +115,3 @@ def attempt_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(kind == "purchase", 404).alias("status_code"),
         F.when(kind == "click", body).alias("response_body"),
     )
-
-
-def number_attempts(log: DataFrame, max_attempts: int = MAX_ATTEMPTS) -> DataFrame:
-    """The first ``max_attempts`` attempts of each vendor, numbered from 1 as ``attempt``.
-
-    Later attempts can't change an outcome. The bound on the row number lets Spark keep at most that
-    many rows per vendor in each map task, so a vendor with a huge log is cut before the shuffle.
-    """
-    order = Window.partitionBy("vendor_id").orderBy("attempted_at", "attempt_id")
-    return (
-        log.withColumn("attempt", F.row_number().over(order))
-        .filter(F.col("attempt") <= max_attempts)
-        .select("vendor_id", "attempt", "status_code", "response_body")
-    )

@@ -40,9 +40,9 @@ def shared_root(spark: SparkSession) -> str:
 
 
 def staging_folder(spark: SparkSession) -> str:
-    """A new folder for tables that are written and read back; it goes when the application ends."""
+    """A folder not yet there, for a table that is written and read back; it goes when the application ends."""
     folder = f"{shared_root(spark)}/suretygraph-{uuid4().hex}"
     system, location = file_system(spark, folder)
     system.mkdirs(location)
     system.deleteOnExit(location)
-    return folder
+    return f"{folder}/data"

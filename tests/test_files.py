@@ -37,11 +37,14 @@ def test_window_and_folder_pruning(spark, folder):
         write_day(folder, f"2026-05-0{n}", f"T{n},A,B,1.00,0.00,APPROVED,2026-05-0{n} 00:00:00,CL")
     write_day(folder, "2026-05-20", "late,A,B,1.00,0.00,APPROVED,2026-05-08 00:00:00,CL")
     assert ids(files.scan_transactions(spark, str(folder), "2026-05-08")) == ["T2", "T8", "late"]
-    pruned = files.scan_transactions(spark, str(folder), "2026-05-08", folder_slack_days=0)
-    assert ids(pruned) == ["T2", "T8"]
-    assert ids(files.scan_transactions(spark, str(folder), "2026-05-08", folder_slack_days=12)) == ["T2", "T8", "late"]
+    store = str(folder / "store")
+    files.take_in(spark, str(folder), store)
+    pruned = files.scan_taken_in(spark, store, "2026-05-08")
+    assert ids(pruned) == ["T2", "T8", "late"]
     filters = plan_of(pruned).split("PartitionFilters: ")[1].split("]")[0]
-    assert "2026-05-02" in filters and "2026-05-08" in filters
+    assert "transaction_day" in filters and "2026-05-02" in filters
+    files.take_in(spark, str(folder), store)
+    assert files.scan_taken_in(spark, store).count() == 5
 
 
 def test_bad_cells_are_null_and_reported(spark, folder):

@@ -3,10 +3,12 @@
 import csv
 import gzip
 import json
+import os
 from datetime import date, datetime, timedelta
 from decimal import Decimal
 
 import pytest
+from conftest import plan_of
 
 from suretygraph.plans import jobs
 from suretygraph.sources import files
@@ -48,7 +50,8 @@ def data(tmp_path_factory):
 
 
 def test_the_week(spark, data):
-    counts = jobs.run_all(spark, data, "2026-05-07", salt="s", folder_slack_days=0)
+    counts, counters = jobs.run_all(spark, data, "2026-05-07", salt="s")
+    assert counters is None
     values = {r.measure: int(r.value) for r in counts.collect()}
     # Three ring edges on five days and four others on seven; the promotional ring is gone.
     assert values == {"edge_count": 43, "cycle_count": 3}
@@ -83,6 +86,32 @@ def test_incremental_runs(spark, data):
     assert spark.read.parquet(data.out("risk_metrics")).count() == 0
 
 
+def test_late_rows_redeliveries_and_rejected_lines(spark, data):
+    def deliver(day, *lines):
+        folder = f"{data.transactions}/day={day}"
+        os.makedirs(folder, exist_ok=True)
+        with open(f"{folder}/transactions.csv", "w") as out:
+            out.write("\n".join([",".join(FIELDS), *lines]) + "\n")
+
+    def ids():
+        jobs.run_transactions(spark, data, "2026-05-07", again=again)
+        return {r.transaction_id for r in files.scan_curated(spark, data.out("transactions"), "2026-05-07").collect()}
+
+    again = []
+    before = ids()
+    deliver("2026-05-18", "LATE,ACC_900,ACC_901,70,1,APPROVED,2026-05-06 10:00:00,CL", "broken,ACC_1", "N,A,B,x,1,APPROVED,2026-05-06 10:00:00,CL")
+    assert ids() == before | {"LATE"}  # twelve days late
+    assert sorted((str(r.delivery), r.line[:6]) for r in spark.read.parquet(data.out("rejected_lines")).collect()) == [
+        ("2026-05-18", "N,A,B,"), ("2026-05-18", "broken")]
+    deliver("2026-05-18", "LATER,ACC_900,ACC_901,70,1,APPROVED,2026-05-05 10:00:00,CL")
+    assert ids() == before | {"LATE"}  # taken in once
+    again = ["2026-05-18"]
+    assert ids() == before | {"LATER"}
+    plan = plan_of(files.scan_taken_in(spark, data.out("intake"), "2026-05-07"))
+    filters = plan.split("PartitionFilters: ")[1].split("]")[0]
+    assert "transaction_day" in filters
+
+
 def test_vendors_from_an_attempt_log(spark, data):
     log = spark.createDataFrame(
         [("VEN_0", datetime(2026, 5, 1), 1, 503, None), ("VEN_0", datetime(2026, 5, 2), 2, 200, '{"domain": "a.example"}')],
@@ -139,4 +168,14 @@ def test_command_line(spark, data, monkeypatch, capsys):
     for job in ("vendors", "transactions", "graph"):
         cli.main([job, *arguments])
     assert "cycle_count" in capsys.readouterr().out
+    log = data.out("log")
+    spark.createDataFrame([("VEN_0", 1, 200, '{"domain": "a.example"}')], "vendor_id string, attempt int, status_code int, response_body string").write.parquet(log)
+    lines = data.vendors.replace(".json", "_lines.json")
+    with open(data.vendors) as array, open(lines, "w") as out:
+        out.writelines(json.dumps(r) + "\n" for r in json.load(array))
+    cli.main(["all", *arguments, "--vendors", lines, "--vendor-lines", "--attempts", log, "--again", "2026-05-03",
+              "--graph", data.out("graph2"), "--previous-graph", data.out("graph")])
+    shown = capsys.readouterr().out
+    assert "network_errors" in shown and "cycle_count" in shown
+    assert files.scan_edges(spark, data.out("graph2/edges")).count() == files.scan_edges(spark, data.out("graph/edges")).count()
     assert files.scan_edges(spark, data.out("graph_edges")).agg({"guarantee_amount_usd": "sum"}).first()[0] > Decimal(0)

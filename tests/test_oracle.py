@@ -32,7 +32,7 @@ def test_entry(spark):
 def test_staging_follows_the_cluster(spark):
     from types import SimpleNamespace
 
-    from suretygraph.sinks import storage
+    from suretygraph import storage
 
     def session(**settings):
         # These settings belong to the cluster and can't be changed in a running session.

@@ -8,7 +8,7 @@ from suretygraph import schemas
 from suretygraph.constants import DOMAIN_KEYWORDS
 from suretygraph.functions import vendor as rule
 from suretygraph.operators import vendors
-from suretygraph.sources.tables import number_attempts
+from suretygraph.operators.vendors import number_attempts
 
 
 @pytest.fixture
