@@ -11,9 +11,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from suretygraph.operators.graph import PAIR, connected, latest_edges
+from suretygraph.operators.graph import PAIR, connected
 from suretygraph.operators.skew import split_key
 from suretygraph.schemas import PATH_COUNT
+from suretygraph.storage import staging_folder
 
 MODES = ("latest", "temporal")
 
@@ -56,6 +57,47 @@ def account_pairs(edges: DataFrame, mode: str = "latest") -> DataFrame:
     )
 
 
+def stored_pairs(edges: DataFrame, mode: str) -> tuple[DataFrame, DataFrame]:
+    """``account_pairs``, and the amounts on each ordered pair: of the latest edge, or in ``temporal`` mode for each day
+    (``source_account_id``, ``target_account_id``, ``transaction_day``, ``amount``).
+
+    Both come from one read and one shuffle of the edges, which runs at once: the aggregate is written to the staging
+    folder. Readers of a plan need different columns of it, and each would else shuffle the edges anew for its own.
+    """
+    spark = edges.sparkSession
+    source, target = (F.col(c) for c in PAIR)
+    upward, downward = source <= target, source > target
+    day, amount = F.col("transaction_day"), F.col("guarantee_amount_usd")
+
+    def written(df: DataFrame) -> DataFrame:
+        folder = staging_folder(spark)
+        df.write.parquet(folder)
+        return spark.read.schema(df.schema).parquet(folder)
+
+    ends = connected(edges).withColumns({"lo": F.least(source, target), "hi": F.greatest(source, target)})
+    if mode == "latest":
+        last = F.struct(day.alias("day"), amount.alias("amount"))  # nulls are least, so they come last
+        both = written(ends.groupBy("lo", "hi").agg(
+            F.max(F.when(upward, last)).alias("up_last"), F.max(F.when(downward, last)).alias("down_last")))
+        there, back = F.col("up_last"), F.col("down_last")
+        pairs = both.select(
+            "lo", "hi", there.isNotNull().cast("long").alias("up"), back.isNotNull().cast("long").alias("down"),
+            (F.col("lo") == F.col("hi")).alias("loop"))
+        ways = [F.struct(F.col(a).alias(PAIR[0]), F.col(b).alias(PAIR[1]), c.alias("x")) for a, b, c in (("lo", "hi", there), ("hi", "lo", back))]
+        steps = both.select(F.inline(F.array(*ways))).filter("x is not null")
+        return pairs, steps.select(*PAIR, F.col("x.day").alias("transaction_day"), F.col("x.amount").alias("amount"))
+    daily = written(ends.groupBy("lo", "hi", "transaction_day").agg(
+        F.count_if(upward).alias("up"), F.count_if(downward).alias("down"),
+        F.sum(F.when(upward, amount)).alias("up_amount"), F.sum(F.when(downward, amount)).alias("down_amount")))
+    pairs = written(daily.groupBy("lo", "hi").agg(
+        F.sum("up").alias("up"), F.sum("down").alias("down"), F.max(F.col("lo") == F.col("hi")).alias("loop")))
+    ways = [
+        F.struct(F.col(a).alias(PAIR[0]), F.col(b).alias(PAIR[1]), "transaction_day", F.col(n).alias("n"), F.col(f"{n}_amount").alias("amount"))
+        for a, b, n in (("lo", "hi", "up"), ("hi", "lo", "down"))
+    ]
+    return pairs, daily.select(F.inline(F.array(*ways))).filter("n > 0").drop("n")
+
+
 def neighbours_above(pairs: DataFrame) -> DataFrame:
     """Per account ``low``, its neighbours of higher rank: ``to`` those it guarantees, ``from`` its guarantors.
 
@@ -170,7 +212,8 @@ def _with_counts(triangles: DataFrame, pairs: DataFrame) -> DataFrame:
         F.greatest("edge.s", "edge.t").alias("hi"),
         (F.col("edge.s") < F.col("edge.t")).alias("upward"),
     )
-    counted = sides.join(pairs, ["lo", "hi"]).withColumn(
+    # No side is a loop; saying so keeps the column, and with it the one shuffle of the pairs.
+    counted = sides.join(pairs.filter(~F.col("loop")), ["lo", "hi"]).withColumn(
         "n", F.when(F.col("upward"), F.col("up")).otherwise(F.col("down"))
     )
     return counted.groupBy("a", "b", "c").agg(
@@ -181,8 +224,11 @@ def _with_counts(triangles: DataFrame, pairs: DataFrame) -> DataFrame:
 def rings(edges: DataFrame, *, mode: str = "latest", min_len: int = 2, max_len: int = 3) -> DataFrame:
     """Each ring once, whatever account it starts at."""
     _check(mode, min_len, max_len)
+    return rings_of_pairs(account_pairs(edges, mode), mode, min_len, max_len)
+
+
+def rings_of_pairs(pairs: DataFrame, mode: str, min_len: int, max_len: int) -> DataFrame:
     temporal = mode == "temporal"
-    pairs = account_pairs(edges, mode)
     loops = pairs.filter("loop").select(F.col("lo").alias("v"), (F.col("up") + F.col("down")).alias("n"))
     mutual = pairs.filter(~F.col("loop") & (F.col("up") > 0) & (F.col("down") > 0))
     v, w, n = F.col("v"), F.col("w"), F.col("n")
@@ -249,15 +295,18 @@ def cycle_paths(edges: DataFrame, *, mode: str = "latest", min_len: int = 1, max
 
 
 def cycle_path_edges(edges: DataFrame, *, min_len: int = 1, max_len: int = 3) -> DataFrame:
-    """``cycle_paths`` of the latest edges, with each step's edge as a struct of ends, day and amount."""
-    sides = rings(edges, min_len=min_len, max_len=max_len).select(
+    """``cycle_paths`` of the latest edges, with each step's edge as a struct of ends, day and amount. The pairs are
+    aggregated when this is called."""
+    _check("latest", min_len, max_len)
+    pairs, amounts = stored_pairs(edges, "latest")
+    sides = rings_of_pairs(pairs, "latest", min_len, max_len).select(
         "nodes", "starts", F.posexplode("steps").alias("step", "edge")
     ).select(
         "nodes", "starts", "step", F.col("edge.source").alias(PAIR[0]), F.col("edge.target").alias(PAIR[1])
     )
     # At most three edges meet per ring, so the lists are bounded.
     complete = (
-        sides.join(latest_edges(edges), list(PAIR))
+        sides.join(amounts.withColumnRenamed("amount", "guarantee_amount_usd"), list(PAIR))
         .groupBy("nodes", "starts")
         .agg(
             F.array_sort(
@@ -281,19 +330,17 @@ def cycle_amounts_by_day(
     """Amount on the closed paths of each start account, per day of the edge.
 
     An edge counts once for every path it is on. Instead of unrolling the paths, each pair's daily sum
-    is multiplied by the number of paths that use one of its edges.
+    is multiplied by the number of paths that use one of its edges. The pairs are aggregated when this is called.
     """
-    found = rings(edges, mode=mode, min_len=min_len, max_len=max_len)
+    _check(mode, min_len, max_len)
+    pairs, daily = stored_pairs(edges, mode)
+    found = rings_of_pairs(pairs, mode, min_len, max_len)
     uses = (
         found.select(F.explode(F.slice("nodes", F.lit(1), F.col("starts"))).alias("account"), "steps")
         .select("account", F.inline("steps"))
         .groupBy("account", F.col("source").alias(PAIR[0]), F.col("target").alias(PAIR[1]))
         .agg(F.sum("uses").cast(PATH_COUNT).alias("uses"))
     )
-    if mode == "latest":
-        daily = latest_edges(edges).withColumnRenamed("guarantee_amount_usd", "amount")
-    else:
-        daily = connected(edges).groupBy(*PAIR, "transaction_day").agg(F.sum("guarantee_amount_usd").alias("amount"))
     result = (
         uses.join(daily, list(PAIR))
         .groupBy("account", F.col("transaction_day").alias("day"))

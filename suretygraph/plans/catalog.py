@@ -248,6 +248,40 @@ def cycle_amount_change(spark, sf_dir):
     return _money(changes, "total_amount", "previous_amount", "change")
 
 
+def _folded(spark, sf_dir) -> DataFrame:
+    """Edges of all lines among fewer accounts: pairs have a few parallel edges, and every account is on several rings."""
+    lines = tables.table(spark, sf_dir, "lineitem")
+    fold = max(40, lines.count() // 15)
+    source = F.col("l_orderkey") % fold
+    name = lambda x: F.concat(F.lit("F_"), F.pmod(x, F.lit(fold)))
+    return lines.select(
+        name(source).alias("source_account_id"), name(source + F.col("l_partkey") % 5 - 2).alias("target_account_id"),
+        F.col("l_extendedprice").cast(schemas.MONEY).alias("guarantee_amount_usd"),
+        F.date_add(F.lit("1998-01-01").cast("date"), F.col("l_quantity").cast("int")).alias("transaction_day"),
+    )
+
+
+@query
+def folded_cycle_counts(spark, sf_dir):
+    edges = _folded(spark, sf_dir)
+    return reduce(DataFrame.unionByName, [
+        _whole(rings.cycle_count(edges, mode=mode, min_len=1), "cycle_count").withColumn("mode", F.lit(mode)) for mode in rings.MODES])
+
+
+@query
+def folded_cycle_paths(spark, sf_dir):
+    edges = _folded(spark, sf_dir)
+    return reduce(DataFrame.unionByName, [_paths(edges, mode, 1, 3).withColumn("mode", F.lit(mode)) for mode in rings.MODES])
+
+
+@query
+def folded_cycle_amount_change(spark, sf_dir):
+    edges = _folded(spark, sf_dir)
+    return reduce(DataFrame.unionByName, [
+        _money(rings.cycle_amount_change(edges, mode=mode), "total_amount", "previous_amount", "change").withColumn("mode", F.lit(mode))
+        for mode in rings.MODES])
+
+
 # -- vendors ---------------------------------------------------------------------------------------
 
 

@@ -164,6 +164,22 @@ def _edges(select: str, transactions: str = "clean", temporal: bool = False) ->
     return EDGES.format(transactions=transactions, kept="true" if temporal else "newest = 1") + select
 
 
+_FOLDED = """(
+    SELECT 'F_' || l_orderkey % fold AS source_account_id,
+           'F_' || (l_orderkey % fold + l_partkey % 5 - 2 + fold) % fold AS target_account_id,
+           CAST(l_extendedprice AS DECIMAL(18,2)) AS guarantee_amount_usd,
+           DATE '1998-01-01' + CAST(l_quantity AS INTEGER) AS transaction_day
+    FROM lineitem, (SELECT greatest(40, count(*) // 15) AS fold FROM lineitem)
+    )"""
+
+
+def _folded(select: str) -> str:
+    """The same question to the edges of few accounts, in both modes."""
+    return " UNION ALL ".join(
+        f"SELECT *, '{mode}' AS mode FROM (WITH none AS (SELECT 1) {_edges(select, _FOLDED, mode == 'temporal')})"
+        for mode in ("latest", "temporal"))
+
+
 _TX = """transaction_id, source_account_id, target_account_id, CAST(guarantee_amount_usd AS DOUBLE) AS guarantee_amount_usd,
 CAST(fee_amount_usd AS DOUBLE) AS fee_amount_usd, status, "timestamp", country_code, transaction_day"""
 _SCORES = "high_risk_transaction, very_high_risk_transaction, fee_percentage, risk_category"
@@ -174,6 +190,10 @@ _PATHS = """SELECT a AS account, cycle_length, path, count(*) AS path_count FROM
 WHERE cycle_length BETWEEN {} AND {} GROUP BY a, cycle_length, path"""
 _COUNT = "SELECT count(*) AS cycle_count FROM paths WHERE cycle_length BETWEEN {} AND 3"
 _BY_DAY = "SELECT account, day, CAST(total AS DOUBLE) AS total_amount FROM by_day"
+_CHANGE = """SELECT account, day, CAST(total AS DOUBLE) AS total_amount,
+CAST(previous AS DOUBLE) AS previous_amount, CAST(total - previous AS DOUBLE) AS change,
+CAST(total - previous AS DOUBLE) / nullif(CAST(previous AS DOUBLE), 0) AS change_ratio
+FROM (SELECT *, lag(total) OVER (PARTITION BY account ORDER BY day) AS previous FROM by_day)"""
 _ENRICHED = """SELECT v.vendor_id, v.legal_name, v.country, d.domain AS official_domain,
 sha256('benchmark-salt' || v.tax_id_pii) AS tax_id_sha256,
 CASE WHEN length(d.domain) > 0 THEN 'SUCCESS' ELSE 'FAILED' END AS enrichment_status,
@@ -230,10 +250,7 @@ _SELECTS = {
     "cycle_amounts_by_day": _edges(_BY_DAY),
     "cycle_amounts_by_day_temporal": _edges(_BY_DAY, temporal=True),
     "cycle_amounts_before_exclusion": _edges(_BY_DAY, transactions="approved", temporal=True),
-    "cycle_amount_change": _edges("""SELECT account, day, CAST(total AS DOUBLE) AS total_amount,
-        CAST(previous AS DOUBLE) AS previous_amount, CAST(total - previous AS DOUBLE) AS change,
-        CAST(total - previous AS DOUBLE) / nullif(CAST(previous AS DOUBLE), 0) AS change_ratio
-        FROM (SELECT *, lag(total) OVER (PARTITION BY account ORDER BY day) AS previous FROM by_day)""", temporal=True),
+    "cycle_amount_change": _edges(_CHANGE, temporal=True),
     "resolve_vendor_domain": "SELECT vendor_id, legal_name, domain FROM resolved",
     "hash_tax_id": "SELECT vendor_id, sha256('benchmark-salt' || tax_id_pii) AS tax_id_sha256 FROM vendors",
     "enriched_vendors": _ENRICHED.format("resolved"),
@@ -276,7 +293,13 @@ _SELECTS = {
 _ALL_DAYS = "JOIN customer ON o_custkey = c_custkey"
 _WINDOW = _ALL_DAYS + " WHERE CAST(o_orderdate AS DATE) BETWEEN DATE '1998-06-24' AND DATE '1998-06-30'"
 
+_FOLDED_SELECTS = {
+    "folded_cycle_counts": _folded(_COUNT.format(1)),
+    "folded_cycle_paths": _folded(_PATHS.format(1, 3)),
+    "folded_cycle_amount_change": _folded(_CHANGE),
+}
+
 ORACLE = {
     name: (STAGES.replace(_ALL_DAYS, _WINDOW) if name in ("run_transactions", "run_all") else STAGES) + select
     for name, select in _SELECTS.items()
-}
+} | _FOLDED_SELECTS

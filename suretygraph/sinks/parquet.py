@@ -13,8 +13,6 @@ from suretygraph.operators.quality import window_bounds
 from suretygraph.storage import file_names, remove
 
 DAY = "transaction_day"
-#: Tasks that a day may take where their number is set.
-DAY_PARTS = 8
 
 
 def save_by_day(
@@ -25,6 +23,7 @@ def save_by_day(
     days: int = WINDOW_DAYS,
     max_records_per_file: int = 0,
     tasks: int | None = None,
+    day_parts: int = 1,
     replace_all: bool = False,
 ) -> None:
     """One folder per ``transaction_day``.
@@ -32,8 +31,8 @@ def save_by_day(
     Rows are rebalanced by day: a small day becomes one file, and a day that holds a large part of the
     rows is split over several tasks and files, each of about the session's advisory partition size.
     Adaptive execution sizes the tasks by bytes, so a load of very many small days may come to few of them;
-    ``tasks`` sets their number instead. Days are then dealt out by a hash with a salt of DAY_PARTS values, so a
-    day is up to so many files, and a hot day up to so many tasks.
+    ``tasks`` sets their number instead. Days are then dealt out by a hash with a salt of ``day_parts`` values, so
+    every day is up to so many files, and a hot day is spread over up to so many tasks.
 
     A run replaces the days it has rows for and leaves all others alone. A run for a ``process_date`` owns the
     days of its window, so it also removes those it has no rows for (a day whose last row went away must not keep
@@ -47,7 +46,7 @@ def save_by_day(
     if tasks is None:
         placed = rows.hint("rebalance", DAY)
     else:
-        placed = rows.repartition(tasks, F.col(DAY), F.pmod(F.xxhash64(*rows.columns), F.lit(DAY_PARTS)))
+        placed = rows.repartition(tasks, F.col(DAY), F.pmod(F.xxhash64(*rows.columns), F.lit(day_parts)))
     (
         placed.write.mode("overwrite")
         .option("maxRecordsPerFile", max_records_per_file)

@@ -81,9 +81,11 @@ def test_a_hot_day_is_split_and_kept_whole(spark, root):
 
 def test_a_set_number_of_tasks(spark, edges, root):
     hot = edges(*[("A", f"B{i}", 1, 1) for i in range(500)]).union(week(edges, first=2, last=20, times=5))
-    sink.save_edges(hot, root, tasks=6)
+    sink.save_edges(hot, root, tasks=6, day_parts=4)
     assert data_files(root).count("transaction_day=2026-05-01") > 1
-    assert len(data_files(root)) <= 20 * sink.DAY_PARTS
+    assert len(data_files(root)) <= 20 * 4
+    sink.save_edges(hot, root, tasks=6)
+    assert len(data_files(root)) == 20
     assert days(spark, root) == {1: 500} | {d: 5 for d in range(2, 21)}
 
 
