@@ -20,7 +20,7 @@ from suretygraph.llm import (
     warc,
 )
 from suretygraph.llm.split import held_out
-from suretygraph.llm.staging import shared_folder
+from suretygraph.storage import staging_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -96,7 +96,7 @@ def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    folder = f"{shared_folder(spark)}/warc"
+    folder = f"{staging_folder(spark)}/warc"
     warc.write_archives(table(spark, sf_dir, "pages"), folder)
     return warc.read_records(spark, folder).select(
         "page_id", "payload_bytes", "payload_digest", F.col("kind").alias("record_type"), "refers_to")

@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-import atexit
-import tempfile
-from uuid import uuid4
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from suretygraph.storage import staging_folder
+
 #: Arrow batches sent to Python workers hold at most so many bytes, so that long texts can't fill a worker.
 BATCH_BYTES = 8 << 20
 
@@ -17,34 +15,11 @@ def session_of(df: DataFrame) -> SparkSession:
     return df.sparkSession
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """A new folder in the one that spark.checkpoint.dir names, which driver and executors share.
-
-    Where the setting is missing, only a local master may go on, with a folder of this machine.
-    """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if not spark.conf.get("spark.master", "").startswith("local"):
-            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-        root = _local_root()
-    return f"{root.rstrip('/')}/suretygraph-{uuid4().hex}"
-
-
-_LOCAL: list[tempfile.TemporaryDirectory] = []
-
-
-def _local_root() -> str:
-    if not _LOCAL:
-        _LOCAL.append(tempfile.TemporaryDirectory(prefix="suretygraph-"))
-        atexit.register(_LOCAL[0].cleanup)
-    return _LOCAL[0].name
-
-
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Writes the rows as Parquet into the shared folder and returns them read back: work before this point
     isn't repeated by later readers or after the loss of an executor."""
     spark = session_of(df)
-    path = f"{shared_folder(spark)}/{name}"
+    path = f"{staging_folder(spark)}/{name}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

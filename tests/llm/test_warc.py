@@ -4,7 +4,7 @@ import pytest
 from helpers import clashing
 
 from suretygraph.llm import warc
-from suretygraph.llm.staging import shared_folder
+from suretygraph.storage import staging_folder
 
 MARK = "\nWARC/1.1\r\n"
 
@@ -14,7 +14,7 @@ def pages(spark, rows):
 
 
 def records(spark, frame, **options):
-    folder = f"{shared_folder(spark)}/warc"
+    folder = f"{staging_folder(spark)}/warc"
     warc.write_archives(frame, folder, **options)
     return folder, warc.read_records(spark, folder).collect()
 
@@ -57,7 +57,7 @@ def test_round_trip(spark, chunk, compression):
 
 
 def test_damage_is_an_error(spark):
-    folder = f"{shared_folder(spark)}/warc"
+    folder = f"{staging_folder(spark)}/warc"
     warc.write_archives(pages(spark, [(1, "u", "abc" * 50)]), folder, compression="none")
     lines = spark.read.option("lineSep", warc._END).text(folder)
     broken = f"{folder}-broken"
