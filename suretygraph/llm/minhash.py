@@ -10,9 +10,12 @@
    components get further stars: around the member with the most company in all its buckets, which is the likely
    original of a group of copies; within buckets of up to SMALL members every two that are still apart; and around
    members drawn anew each round until a round finds no link.
+4. What large buckets still hold apart is settled by a prefix-filtered join: a set's shingles are ordered by rarity
+   among these members, and two sets that reach the threshold share one of their first few, at places that leave
+   enough of both. The pairs that pass are confirmed like the others.
 
-A group of copies costs a few stars, not all its pairs. Two texts can only stay apart wrongly if they share no small
-bucket and are linked to no centre of their large ones; the number of rounds isn't limited.
+A group of copies costs a few stars, not all its pairs. Two texts that reach the threshold are linked, or reachable over
+links, if they share a bucket of any size.
 """
 
 from __future__ import annotations
@@ -28,7 +31,7 @@ from pyspark.sql import functions as F
 from suretygraph.llm.arrow import arrow_map, batch, long_lists, longs
 from suretygraph.llm.bitmaps import MOST_BITS, bitmap
 from suretygraph.llm.components import components
-from suretygraph.llm.staging import session_of, stored
+from suretygraph.llm.staging import session_of, stored, with_small
 from suretygraph.llm.tokens import FOLDED, U, grams, mix, sequence_hash, words
 
 #: A pair at the threshold of 0.85 shares no bucket of 42 bands of 6 bins with a probability of 2e-9.
@@ -36,6 +39,10 @@ BANDS, BINS_PER_BAND = 42, 6
 _BINS = BANDS * BINS_PER_BAND
 #: Buckets of up to so many members are compared pair by pair, a bounded number of pairs for each member.
 SMALL = 16
+#: Most slots of the counts that order shingles by rarity. More shingles than slots blur the order, which costs time, not pairs.
+MOST_RARITY_BITS = 22
+#: A shingle with more members to be found under it is dealt out in parts of this size.
+HOT = 1000
 _SALT = U(0x8CB92BA72F3D8DD7)
 
 
@@ -173,6 +180,77 @@ def _reach(share: int):
     return 100 * F.least("n", "hub_n") >= share * F.greatest("n", "hub_n")
 
 
+def _rarity(sets: DataFrame) -> np.ndarray:
+    """How often the shingles of each slot occur. The driver receives at most 2**MOST_RARITY_BITS counts."""
+    n = sets.agg(F.sum(F.size("shingles").cast("long"))).first()[0] or 0
+    bits = min(max(n.bit_length(), 12), MOST_RARITY_BITS)
+    slots = (
+        sets.select(F.explode("shingles").alias("shingle"))
+        .groupBy(F.col("shingle").bitwiseAND(F.lit((1 << bits) - 1)).alias("slot"))
+        .count().toArrow()
+    )
+    out = np.zeros(1 << bits, np.uint32)
+    out[slots["slot"].to_numpy()] = np.minimum(slots["count"].to_numpy(), 0xFFFFFFFF)
+    return out
+
+
+def _prefixes(share: int, rarity):
+    """The rarest shingles of each set with their places in the order: those by which it finds sets that aren't larger,
+    and marked among them those under which larger ones find it."""
+
+    def run(batches):
+        for b in batches:
+            found, places, finds, lengths = [], [], [], []
+            for x in b["shingles"]:
+                x = x.values.to_numpy().view(U)
+                n = len(x)
+                order = np.lexsort((x, rarity.value[(x & U(len(rarity.value) - 1)).astype(np.int64)]))
+                k = n - max(-(-share * n // 100), 1) + 1
+                found.append(x[order[:k]])
+                places.append(np.arange(k))
+                finds.append(np.arange(k) < n - max(-(-2 * share * n // (100 + share)), 1) + 1)
+                lengths.append(k)
+            if not found:
+                continue
+            row = pa.array(np.repeat(np.arange(len(lengths)), lengths))
+            yield batch(
+                shingle=longs(np.concatenate(found)), place=longs(np.concatenate(places)),
+                indexed=pa.array(np.concatenate(finds)), doc=b["doc_id"].take(row), own=b["own"].take(row),
+                n=longs(np.repeat([len(x.values) for x in b["shingles"]], lengths)),
+            )
+
+    return run
+
+
+def _prefix_pairs(left: DataFrame, sets: DataFrame, share: int) -> DataFrame:
+    """All pairs (a, b) of the members left (doc, own) in different components that can reach the threshold."""
+    own = stored(sets.join(left, sets.doc_id == left.doc).select("doc_id", "own", "shingles"), "left_sets")
+    rarity = session_of(sets).sparkContext.broadcast(_rarity(own))
+    rows = stored(
+        arrow_map(own, _prefixes(share, rarity), "shingle long, place long, indexed boolean, doc long, own long, n long"),
+        "prefixes",
+    )
+    hot = stored(
+        rows.filter("indexed").groupBy("shingle").agg(F.count("*").alias("m")).filter(F.col("m") > HOT)
+        .select("shingle", F.ceil(F.col("m") / HOT).alias("parts")),
+        "hot",
+    )
+    dealt = with_small(rows, hot, "shingle", "left").withColumn("parts", F.coalesce("parts", F.lit(1).cast("long")))
+    finder = dealt.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
+    indexed = dealt.filter("indexed").select(
+        "shingle", F.pmod(F.xxhash64("doc"), "parts").alias("part"), F.col("doc").alias("hub"), F.col("n").alias("hub_n"),
+        F.col("own").alias("hub_own"), F.col("place").alias("hub_place"),
+    )
+    ahead = (F.col("n") > F.col("hub_n")) | ((F.col("n") == F.col("hub_n")) & (F.col("doc") > F.col("hub")))
+    enough = (100 + share) * F.least(F.col("n") - F.col("place"), F.col("hub_n") - F.col("hub_place")) >= share * (
+        F.col("n") + F.col("hub_n"))
+    both = finder.withColumnRenamed("shingle", "s").withColumnRenamed("part", "p")
+    return both.join(
+        indexed,
+        (both.s == indexed.shingle) & (both.p == indexed.part) & (F.col("own") != F.col("hub_own")) & ahead & enough & _reach(share),
+    ).select(F.least("hub", "doc").alias("a"), F.greatest("hub", "doc").alias("b")).distinct()
+
+
 def classes_and_links(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, share: int = 85,
     most_bits: int = MOST_BITS,
@@ -240,11 +318,15 @@ def classes_and_links(
             "pairs",
         )
         found = stored(_links(new, sets, share), "links")
-        pairs, apart = pairs.union(new), apart.drop("own", "size")
+        pairs, left = pairs.union(new), apart.select("doc", "own").distinct()
+        apart = apart.drop("own", "size")
         if not found.isEmpty():
             links = links.union(found)
             labels = components(links)
         elif step > 2:
+            if not left.isEmpty():
+                new = stored(_prefix_pairs(left, sets, share).join(pairs, ["a", "b"], "left_anti"), "pairs")
+                labels = components(links.union(stored(_links(new, sets, share), "links")))
             break
     classes = leaders.join(labels.withColumnRenamed("node", "leader"), "leader", "left").select(
         "set_key", F.coalesce("component", "leader").alias("component_id"))

@@ -47,6 +47,25 @@ def test_groups_of_copies(spark):
         assert out == brute(rows, size, share)
 
 
+def test_close_pairs_in_a_family_below_the_threshold(spark):
+    template, rows = [f"t{i}" for i in range(200)], []
+    for i in range(300):
+        own = [f"own{i}x{k}" for k in range(16)]
+        if i % 30 == 29:  # a few own words of the text before: 183 of 213 shingles, where others share 180 of 216
+            own[:5] = [f"own{i - 1}x{k}" for k in range(5)]
+        rows.append((i, " ".join(template[:90] + own + template[106:])))
+    wanted = brute(rows, 3, 85)
+    assert sorted(i for i, (_, root) in wanted.items() if root != i) == list(range(29, 300, 30))
+    docs = documents(spark, [(i, t, None, None, None) for i, t in rows])
+    for hot in (1000, 7):
+        before, minhash.HOT = minhash.HOT, hot
+        try:
+            out = {r.doc_id: (r.n_shingles, r.component_id) for r in minhash.classes_and_links(docs).collect()}
+        finally:
+            minhash.HOT = before
+        assert out == wanted
+
+
 def test_awkward_rows(spark):
     docs = clashing(awkward(spark))
     rows = minhash.classes_and_links(docs).collect()
