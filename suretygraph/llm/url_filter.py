@@ -6,8 +6,9 @@ the more varied the longer one was seen (Witten-Bell). A URL that no rule fits i
 log-likelihoods, divided by its length and turned into a probability by a logistic curve, which is fitted on a third of
 the rule-judged URLs kept out of the models for that.
 
-The counts are aggregated over all rule-judged URLs by Spark and packed into 2**SLOT_BITS slots of the context's or
-n-gram's hash, so what is broadcast has a fixed size.
+The counts are aggregated over all rule-judged URLs by Spark under the full 64-bit hashes of contexts and n-grams. Up to
+2**SLOT_BITS n-grams they are broadcast; beyond, they stay tables, and the distinct n-grams of each block of URLs are
+looked up by a join. Both ways give the same counts, whatever the size of the input.
 """
 
 from __future__ import annotations
@@ -23,11 +24,13 @@ from pyspark.sql import types as T
 
 from suretygraph.llm.arrow import arrow_map, batch, longs, put
 from suretygraph.llm.split import held_out
-from suretygraph.llm.staging import session_of
+from suretygraph.llm.staging import session_of, small, stored
 from suretygraph.llm.tokens import U, mix
 
 ORDER = 5
 SLOT_BITS = 20
+#: URLs of a block, which is looked up and judged as one.
+BLOCK = 512
 BINS = 400
 _URL = r"(?s)^.*?://([^/?#]*)([^?#]*)"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -96,6 +99,27 @@ def _slot(names: np.ndarray) -> np.ndarray:
     return (names & U((1 << SLOT_BITS) - 1)).astype(np.int64)
 
 
+def _place(keys: np.ndarray | None, names: np.ndarray) -> np.ndarray:
+    if keys is None:
+        return _slot(names)
+    at = np.searchsorted(keys, names)
+    return np.where(np.append(keys, U(0))[at] == names, at, len(keys)) if len(keys) else np.zeros(len(names), np.int64)
+
+
+def _keyed(found: pa.Table) -> Models:
+    """From rows (kind, key, n0, n1, kinds0, kinds1): kind 0 are n-grams, kind 1 contexts."""
+    kind, key = found["kind"].to_numpy(), found["key"].to_numpy().astype(np.int64).view(U)
+    parts = []
+    for k in (0, 1):
+        own = np.flatnonzero(kind == k)
+        own = own[np.argsort(key[own])]
+        columns = [found[c].to_numpy().astype(np.float64)[own] for c in ("n0", "n1", "kinds0", "kinds1")]
+        n0, n1, kinds0, kinds1 = (np.append(c, 0.0) for c in columns)
+        parts.append((key[own], np.stack([n0, n1]), np.stack([kinds0, kinds1])))
+    (gram_keys, grams, _), (context_keys, totals, kinds) = parts
+    return Models(grams, totals, kinds, gram_keys=gram_keys, context_keys=context_keys)
+
+
 def _count_rows(batches):
     for b in batches:
         accepted = b["accepted"].to_numpy(zero_copy_only=False).astype(bool)
@@ -111,13 +135,16 @@ def _count_rows(batches):
 
 @dataclass
 class Models:
-    """Slots of n-gram counts, context counts and numbers of different successors, for rejected and accepted URLs."""
+    """N-gram counts, context counts and numbers of different successors, for rejected and accepted URLs: of the sorted
+    keys given, with one place more for all others, which is 0; without keys, of the slots of the hashes."""
 
     grams: np.ndarray
     totals: np.ndarray
     kinds: np.ndarray
     slope: float = 1.0
     shift: float = 0.0
+    gram_keys: np.ndarray | None = None
+    context_keys: np.ndarray | None = None
 
     def difference(self, texts: pa.Array) -> np.ndarray:
         """log P(accepted) - log P(rejected) of each text, divided by its length."""
@@ -126,9 +153,10 @@ class Models:
         for side, sign in ((1, 1.0), (0, -1.0)):
             p = np.full(len(text), 1 / 257)
             for name, gram in zip(names, grams):
-                total, kinds = self.totals[side][_slot(name)], self.kinds[side][_slot(name)]
+                at = _place(self.context_keys, name)
+                total, kinds = self.totals[side][at], self.kinds[side][at]
                 seen = total > 0
-                p = np.where(seen, (self.grams[side][_slot(gram)] + kinds * p) / np.where(seen, total + kinds, 1), p)
+                p = np.where(seen, (self.grams[side][_place(self.gram_keys, gram)] + kinds * p) / np.where(seen, total + kinds, 1), p)
             out += sign * np.bincount(text, np.log(p), len(length))
         return out / length
 
@@ -152,62 +180,72 @@ def logistic(x: np.ndarray, yes: np.ndarray, no: np.ndarray, steps: int = 50) ->
     return float(w[0]), float(w[1])
 
 
-def _differences(models):
+def counted(judged: DataFrame) -> DataFrame:
+    """Rows (kind, key, n0, n1, kinds0, kinds1) from rows (accepted boolean, text), 0 for rejected and 1 for accepted."""
+    rows = arrow_map(judged.select("accepted", "text"), _count_rows, "accepted boolean, context long, gram long, n long")
+    side = lambda name, which: F.sum(F.when(F.col("accepted") == which, F.col(name)).otherwise(0))
+    both = lambda *names: [side(x, w).alias(f"{x}{int(w)}") for x in names for w in (False, True)]
+    grams = stored(rows.groupBy("accepted", "context", "gram").agg(F.sum("n").alias("n")), "grams")
+    one = lambda key, kind: grams.select(
+        F.lit(kind).alias("kind"), F.col(key).alias("key"), "accepted", "n", F.lit(1).alias("kinds"))
+    return stored(one("gram", 0).union(one("context", 1)).groupBy("kind", "key").agg(*both("n", "kinds")), "counts")
+
+
+def _wanted(batches):
+    for b in batches:
+        names, grams, text, _ = contexts(b["text"])
+        block = b["block"].to_numpy()[text]
+        for number in np.unique(block):
+            own = block == number
+            for kind, all_of in ((0, grams), (1, names)):
+                key = np.unique(np.concatenate([x[own] for x in all_of]))
+                yield batch(block=longs(np.full(len(key), number)), kind=pa.array(np.full(len(key), kind, np.int32)), key=longs(key))
+
+
+def _judge_block(texts: pa.Table, found: pa.Table) -> pa.Table:
+    difference = _keyed(found).difference(texts["text"].combine_chunks())
+    return pa.table({"_row": texts["_row"], "calibrate": texts["calibrate"], "host": texts["host"], "path": texts["path"],
+                     "rule": texts["rule"], "by_rule": texts["by_rule"], "difference": pa.array(difference)})
+
+
+def _judge(models):
     def run(batches):
         for b in batches:
-            yield batch(accepted=b["accepted"], difference=pa.array(models.value.difference(b["text"])))
+            kept = ["_row", "calibrate", "host", "path", "rule", "by_rule"]
+            yield pa.RecordBatch.from_arrays(
+                [*[b[x] for x in kept], pa.array(models.value.difference(b["text"]))], names=[*kept, "difference"])
 
     return run
 
 
-def fit(judged: DataFrame) -> Models | None:
-    """From rows (accepted boolean, text, calibrate boolean); None unless there are some of both kinds to learn from."""
-    spark = session_of(judged)
-    learn = judged.filter("not calibrate").select("accepted", "text")
-    rows = arrow_map(learn, _count_rows, "accepted boolean, context long, gram long, n long")
-    grams = rows.groupBy("accepted", "context", "gram").agg(F.sum("n").alias("n"))
-    slot = lambda c: F.col(c).bitwiseAND(F.lit((1 << SLOT_BITS) - 1)).alias("slot")
-    # Both tables from one pass: kind 0 fills the n-grams' slots, kind 1 the contexts'.
-    parts = grams.select(
-        "accepted", "n",
-        F.explode(F.array(F.struct(F.lit(0).alias("kind"), slot("gram")), F.struct(F.lit(1).alias("kind"), slot("context")))).alias("x"),
-    )
-    found = parts.groupBy("accepted", "x.kind", "x.slot").agg(F.sum("n").alias("n"), F.count("*").alias("kinds")).toArrow()
-    shape = (2, 1 << SLOT_BITS)
-    models = Models(np.zeros(shape, np.float32), np.zeros(shape, np.float32), np.zeros(shape, np.float32))
-    side, kind, at = (found[c].to_numpy().astype(np.int64) for c in ("accepted", "kind", "slot"))
-    n, kinds = found["n"].to_numpy(), found["kinds"].to_numpy()
-    models.grams[side[kind == 0], at[kind == 0]] = n[kind == 0]
-    models.totals[side[kind == 1], at[kind == 1]] = n[kind == 1]
-    models.kinds[side[kind == 1], at[kind == 1]] = kinds[kind == 1]
-    if not (models.totals.sum(axis=1) > 0).all():
-        return None
-    shared = spark.sparkContext.broadcast(models)
+def _with_difference(rows: DataFrame, counts: DataFrame, most_keys: int) -> DataFrame:
+    """The rows without ``text`` and with ``difference``."""
+    schema = T.StructType([
+        *[rows.schema[x] for x in ("_row", "calibrate", "host", "path", "rule", "by_rule")], T.StructField("difference", T.DoubleType())])
+    if small(counts, 2 * most_keys):  # a context has an n-gram at least
+        return arrow_map(rows, _judge(session_of(rows).sparkContext.broadcast(_keyed(counts.toArrow()))), schema)
+    rows = stored(rows.withColumn("block", F.floor(F.monotonically_increasing_id() / BLOCK)), "blocks")
+    wanted = arrow_map(rows.select("block", "text"), _wanted, "block long, kind int, key long").distinct()
+    found = wanted.join(counts, ["kind", "key"])
+    return rows.groupBy("block").cogroup(found.groupBy("block")).applyInArrow(_judge_block, schema)
+
+
+def curve(judged: DataFrame) -> tuple[float, float]:
+    """Slope and shift from rows (accepted boolean, difference)."""
     bins = (
-        arrow_map(judged.filter("calibrate").select("accepted", "text"), _differences(shared), "accepted boolean, difference double")
-        .groupBy("accepted", F.floor(F.least(F.greatest(F.col("difference"), F.lit(-8.0)), F.lit(8.0)) * BINS / 16).alias("bin"))
+        judged.groupBy("accepted", F.floor(F.least(F.greatest(F.col("difference"), F.lit(-8.0)), F.lit(8.0)) * BINS / 16).alias("bin"))
         .count().toArrow()
     )
     x = bins["bin"].to_numpy().astype(float) * 16 / BINS + 8 / BINS
-    yes = bins["accepted"].to_numpy().astype(bool)
+    yes = bins["accepted"].to_numpy(zero_copy_only=False).astype(bool)
     count = bins["count"].to_numpy().astype(float)
     if yes.any() and not yes.all():
-        models.slope, models.shift = logistic(x, np.where(yes, count, 0), np.where(yes, 0, count))
-    return models
-
-
-def _accept(models):
-    def run(batches):
-        for b in batches:
-            yield pa.RecordBatch.from_arrays(
-                [b["_row"], b["host"], b["path"], b["rule"], b["by_rule"], pa.array(models.value.accept(b["text"]))],
-                names=["_row", "host", "path", "rule", "by_rule", "accept"],
-            )
-
-    return run
+        return logistic(x, np.where(yes, count, 0), np.where(yes, 0, count))
+    return 1.0, 0.0
 
 
-def judge_urls(pages: DataFrame, rules: Sequence[Rule], id_col: str = "page_id", url_col: str = "url") -> DataFrame:
+def judge_urls(pages: DataFrame, rules: Sequence[Rule], id_col: str = "page_id", url_col: str = "url",
+               most_keys: int = 1 << SLOT_BITS) -> DataFrame:
     """Adds ``host``, ``path``, ``rule``, ``accept`` (the models' probability) and ``verdict`` to every row.
 
     The rule with the longest text that fits decides; rules are for hosts and their subdomains and the beginning of the
@@ -215,7 +253,6 @@ def judge_urls(pages: DataFrame, rules: Sequence[Rule], id_col: str = "page_id",
     :// has neither host nor path: no rule fits, the models have nothing to go by, and it is allowed. So is every URL
     without a rule if the rules accept none or reject none. Input columns of these names are replaced.
     """
-    spark = session_of(pages)
     url = F.col(url_col)
     rows = pages.select(
         F.struct(*[F.col(f"`{c}`") for c in pages.columns]).alias("_row"), F.col(id_col).alias("_id"),
@@ -224,16 +261,17 @@ def judge_urls(pages: DataFrame, rules: Sequence[Rule], id_col: str = "page_id",
     rows = rows.select(
         "*", _choose(rules, lambda r: r.text).alias("rule"), _choose(rules, lambda r: r.verdict).alias("by_rule"),
         F.concat("host", "path").alias("text"))
-    judged = rows.filter("by_rule is not null").select(
-        (F.col("by_rule") == "allow").alias("accepted"), "text", held_out("_id").alias("calibrate"))
-    models = fit(judged)
-    if models is None:
+    rows = rows.withColumn("calibrate", held_out("_id")).drop("_id")
+    accepted = (F.col("by_rule") == "allow").alias("accepted")
+    counts = counted(rows.filter("by_rule is not null and not calibrate").select(accepted, "text"))
+    sides = counts.filter("kind = 1").agg(F.max("n0"), F.max("n1")).first()
+    if not all(sides):
         out = rows.withColumn("accept", F.lit(1.0))
     else:
-        kinds = {"host": T.StringType(), "path": T.StringType(), "rule": T.StringType(), "by_rule": T.StringType(), "accept": T.DoubleType()}
-        schema = T.StructType([rows.schema["_row"], *[T.StructField(k, v) for k, v in kinds.items()]])
-        out = arrow_map(
-            rows.select("_row", "host", "path", "rule", "by_rule", "text"), _accept(spark.sparkContext.broadcast(models)), schema)
+        scored = stored(_with_difference(rows, counts, most_keys), "scored")
+        slope, shift = curve(scored.filter("by_rule is not null and calibrate").select(accepted, "difference"))
+        z = F.least(F.greatest(F.lit(slope) * F.col("difference") + F.lit(shift), F.lit(-30.0)), F.lit(30.0))
+        out = scored.withColumn("accept", 1 / (1 + F.exp(-z)))
     verdict = F.coalesce(
         "by_rule", F.when((F.col("accept") >= 0.5) | ((F.col("host") == "") & (F.col("path") == "")), "allow").otherwise("block"))
     return put(out.withColumn("verdict", verdict), "_row", "host", "path", "rule", "accept", "verdict")

@@ -165,3 +165,18 @@ def test_urls_without_a_rule_follow_the_models(spark):
     none = url_filter.judge_urls(pages, ())
     assert {r.verdict for r in none.collect()} == {"allow"}
     assert url_filter.judge_urls(pages.limit(0), RULES).count() == 0
+
+
+def test_url_counts_are_kept_under_whole_hashes(spark, monkeypatch):
+    draw = np.random.default_rng(9)
+    word = lambda: "".join(draw.choice(list("abcdefghijklmnopqrstuvwxyz0123456789"), 8))
+    rows = [(i, f"http://{word()}.{'example.net/en/' if i % 2 else 'other.net/'}{word()}") for i in range(300)]
+    rows += [(1000 + i, f"http://{word()}.com/{word()}") for i in range(50)]
+    pages = spark.createDataFrame(rows, "page_id long, url string")
+    verdicts = lambda **options: {
+        r.page_id: (r.verdict, round(r.accept, 9)) for r in url_filter.judge_urls(pages, RULES, **options).collect()}
+    out = verdicts()
+    monkeypatch.setattr(url_filter, "BLOCK", 16)
+    assert verdicts(most_keys=0) == out  # looked up by a join
+    monkeypatch.setattr(url_filter, "SLOT_BITS", 4)
+    assert verdicts() == out
