@@ -46,6 +46,13 @@ def path_of(url: Column) -> Column:
     return F.coalesce(F.regexp_extract(url, _URL, 2), F.lit(""))
 
 
+def text_of(url: Column) -> Column:
+    """The whole URL for the models, A-Z of scheme and host lower-cased as they mean the same; null: empty."""
+    url = F.coalesce(url, F.lit(""))
+    begin = F.regexp_extract(url, r"(?s)^.*?://[^/?#]*", 0)
+    return F.concat(F.translate(begin, _UPPER, _LOWER), F.substr(url, F.length(begin) + 1))
+
+
 @dataclass(frozen=True)
 class Rule:
     verdict: str
@@ -204,14 +211,14 @@ def _wanted(batches):
 
 def _judge_block(texts: pa.Table, found: pa.Table) -> pa.Table:
     difference = _keyed(found).difference(texts["text"].combine_chunks())
-    return pa.table({"_row": texts["_row"], "calibrate": texts["calibrate"], "host": texts["host"], "path": texts["path"],
+    return pa.table({"_row": texts["_row"], "none": texts["none"], "calibrate": texts["calibrate"], "host": texts["host"], "path": texts["path"],
                      "rule": texts["rule"], "by_rule": texts["by_rule"], "difference": pa.array(difference)})
 
 
 def _judge(models):
     def run(batches):
         for b in batches:
-            kept = ["_row", "calibrate", "host", "path", "rule", "by_rule"]
+            kept = ["_row", "none", "calibrate", "host", "path", "rule", "by_rule"]
             yield pa.RecordBatch.from_arrays(
                 [*[b[x] for x in kept], pa.array(models.value.difference(b["text"]))], names=[*kept, "difference"])
 
@@ -221,7 +228,7 @@ def _judge(models):
 def _with_difference(rows: DataFrame, counts: DataFrame, most_keys: int) -> DataFrame:
     """The rows without ``text`` and with ``difference``."""
     schema = T.StructType([
-        *[rows.schema[x] for x in ("_row", "calibrate", "host", "path", "rule", "by_rule")], T.StructField("difference", T.DoubleType())])
+        *[rows.schema[x] for x in ("_row", "none", "calibrate", "host", "path", "rule", "by_rule")], T.StructField("difference", T.DoubleType())])
     if small(counts, 2 * most_keys):  # a context has an n-gram at least
         return arrow_map(rows, _judge(session_of(rows).sparkContext.broadcast(_keyed(counts.toArrow()))), schema)
     rows = stored(rows.withColumn("block", F.floor(F.monotonically_increasing_id() / BLOCK)), "blocks")
@@ -249,18 +256,17 @@ def judge_urls(pages: DataFrame, rules: Sequence[Rule], id_col: str = "page_id",
     """Adds ``host``, ``path``, ``rule``, ``accept`` (the models' probability) and ``verdict`` to every row.
 
     The rule with the longest text that fits decides; rules are for hosts and their subdomains and the beginning of the
-    path. Without one a URL is allowed if the models find it acceptable with 0.5 or more. A null URL or one without
-    :// has neither host nor path: no rule fits, the models have nothing to go by, and it is allowed. So is every URL
-    without a rule if the rules accept none or reject none. Input columns of these names are replaced.
+    path. Without one a URL is allowed if the models, which read all of it, find it acceptable with 0.5 or more. A URL
+    without :// has neither host nor path, so no rule fits. A null URL is allowed; so is every URL without a rule if the
+    rules accept none or reject none. Input columns of these names are replaced.
     """
     url = F.col(url_col)
     rows = pages.select(
         F.struct(*[F.col(f"`{c}`") for c in pages.columns]).alias("_row"), F.col(id_col).alias("_id"),
-        host_of(url).alias("host"), path_of(url).alias("path"),
+        host_of(url).alias("host"), path_of(url).alias("path"), text_of(url).alias("text"), url.isNull().alias("none"),
     )
     rows = rows.select(
-        "*", _choose(rules, lambda r: r.text).alias("rule"), _choose(rules, lambda r: r.verdict).alias("by_rule"),
-        F.concat("host", "path").alias("text"))
+        "*", _choose(rules, lambda r: r.text).alias("rule"), _choose(rules, lambda r: r.verdict).alias("by_rule"))
     rows = rows.withColumn("calibrate", held_out("_id")).drop("_id")
     accepted = (F.col("by_rule") == "allow").alias("accepted")
     counts = counted(rows.filter("by_rule is not null and not calibrate").select(accepted, "text"))
@@ -273,5 +279,5 @@ def judge_urls(pages: DataFrame, rules: Sequence[Rule], id_col: str = "page_id",
         z = F.least(F.greatest(F.lit(slope) * F.col("difference") + F.lit(shift), F.lit(-30.0)), F.lit(30.0))
         out = scored.withColumn("accept", 1 / (1 + F.exp(-z)))
     verdict = F.coalesce(
-        "by_rule", F.when((F.col("accept") >= 0.5) | ((F.col("host") == "") & (F.col("path") == "")), "allow").otherwise("block"))
+        "by_rule", F.when((F.col("accept") >= 0.5) | F.col("none"), "allow").otherwise("block"))
     return put(out.withColumn("verdict", verdict), "_row", "host", "path", "rule", "accept", "verdict")

@@ -180,3 +180,11 @@ def test_url_counts_are_kept_under_whole_hashes(spark, monkeypatch):
     assert verdicts(most_keys=0) == out  # looked up by a join
     monkeypatch.setattr(url_filter, "SLOT_BITS", 4)
     assert verdicts() == out
+
+
+def test_url_models_read_query_fragment_and_urls_without_a_scheme(spark):
+    rows = [(i, f"http://h{i % 7}.example.net/en/?good={i}" if i % 2 else f"http://h{i % 7}.b.net/en/?casino={i}") for i in range(300)]
+    rows += [(1000, "http://h3.c.com/en/?good=5"), (1001, "http://h3.c.com/en/?casino=5"), (1002, "casino=casino=8"), (1003, None)]
+    out = {r.page_id: r for r in url_filter.judge_urls(spark.createDataFrame(rows, "page_id long, url string"), RULES).collect()}
+    assert (out[1000].verdict, out[1001].verdict) == ("allow", "block")
+    assert (out[1002].host, out[1002].path, out[1002].verdict) == ("", "", "block") and out[1003].verdict == "allow"
