@@ -14,6 +14,7 @@ from suretygraph.llm import (
     host_quality,
     minhash,
     mixture,
+    resampling,
     substring,
     toxicity,
     url_filter,
@@ -121,3 +122,10 @@ def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     hard = spark.createDataFrame([(-1, 0, "user", control), (-1, 1, "assistant", control)], turns.schema)
     return chat.digests(chat.expand(turns.unionByName(hard)))
+
+
+@query
+def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return resampling.ranked(docs, table(spark, sf_dir, "benchmark").select("text")).select(
+        "doc_id", "n_features", "weight", "score", "rank")

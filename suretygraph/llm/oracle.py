@@ -187,3 +187,45 @@ SELECT conv_id, count(*) AS n_turns,
        sum(CASE WHEN role = 'assistant' OR i = n THEN upto END)::BIGINT AS formatted_chars
 FROM s GROUP BY conv_id
 """
+
+
+def crc32(text: str) -> str:
+    """The unsigned CRC-32 of a text's UTF-8 bytes, bit by bit, the lowest bit of each byte first."""
+    bits = f"list_transform(range(0, length(bin({text}))), lambda k: substr(bin({text}), k - k % 8 + 8 - k % 8, 1)::BIGINT)"
+    step = "xor(c >> 1, 3988292384 * (xor(c, b) & 1))"
+    return f"xor(list_reduce({bits}, lambda c, b: {step}, 4294967295::BIGINT), 4294967295)"
+
+
+ORACLE["op13_importance_resampling"] = rf"""
+WITH d AS (SELECT doc_id, {_ALNUM} AS w FROM documents),
+b AS (SELECT {_ALNUM} AS w FROM benchmark),
+f AS (
+  SELECT doc_id, unnest(list_concat(w, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]))) AS g FROM d
+),
+x AS (
+  SELECT unnest(list_concat(w, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]))) AS g FROM b
+),
+k AS (SELECT g, {crc32("g")} % 10000 AS bucket FROM (SELECT g FROM f UNION SELECT g FROM x)),
+s AS (SELECT bucket, count(*) AS s FROM f JOIN k ON f.g = k.g GROUP BY bucket),
+t AS (SELECT bucket, count(*) AS t FROM x JOIN k ON x.g = k.g GROUP BY bucket),
+n AS (SELECT (SELECT count(*) FROM f)::DOUBLE AS all_s, (SELECT count(*) FROM x)::DOUBLE AS all_t),
+a AS (
+  SELECT r.bucket, floor(1000 * ln((coalesce(t, 0) + 1.0::DOUBLE) * (all_s + 10000) / ((coalesce(s, 0) + 1.0::DOUBLE) * (all_t + 10000))))::BIGINT AS gain
+  FROM range(10000) r(bucket) CROSS JOIN n LEFT JOIN s ON s.bucket = r.bucket LEFT JOIN t ON t.bucket = r.bucket
+),
+m AS (SELECT doc_id, sum(gain)::BIGINT AS total, count(*)::BIGINT AS n FROM f JOIN k ON f.g = k.g JOIN a ON a.bucket = k.bucket GROUP BY doc_id),
+o AS (
+  SELECT d.doc_id, len(w) AS n_words, coalesce(n, 0)::BIGINT AS n_features,
+         (coalesce(total, 0) - ((coalesce(total, 0) % greatest(coalesce(n, 0), 1)) + greatest(coalesce(n, 0), 1)) % greatest(coalesce(n, 0), 1))
+         // greatest(coalesce(n, 0), 1) AS weight,
+         ('0x' || substr(sha256('7:' || coalesce(d.doc_id::VARCHAR, '')), 1, 8))::BIGINT AS h
+  FROM d LEFT JOIN m ON d.doc_id = m.doc_id
+),
+q AS (SELECT *, weight + floor(-1000 * ln(-ln((h + 0.5::DOUBLE) / 4294967296)))::BIGINT AS score FROM o),
+p AS (
+  SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS place, count(*) OVER () AS n FROM q WHERE n_words >= 20
+)
+SELECT q.doc_id, n_features, weight::BIGINT AS weight, score::BIGINT AS score,
+       CASE WHEN place <= n * 25 // 100 THEN place END::BIGINT AS rank
+FROM q LEFT JOIN p ON q.doc_id = p.doc_id
+"""
