@@ -14,6 +14,7 @@ from suretygraph.llm import (
     host_quality,
     minhash,
     mixture,
+    prefix_trie,
     resampling,
     substring,
     toxicity,
@@ -129,3 +130,8 @@ def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return resampling.ranked(docs, table(spark, sf_dir, "benchmark").select("text")).select(
         "doc_id", "n_features", "weight", "score", "rank")
+
+
+@query
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.rebuilt_trie(table(spark, sf_dir, "conversations")).drop("chars")

@@ -229,3 +229,38 @@ SELECT q.doc_id, n_features, weight::BIGINT AS weight, score::BIGINT AS score,
        CASE WHEN place <= n * 25 // 100 THEN place END::BIGINT AS rank
 FROM q LEFT JOIN p ON q.doc_id = p.doc_id
 """
+
+ORACLE["op12_prefix_trie"] = rf"""
+WITH t AS (
+  SELECT conv_id, turn, length(coalesce(text, ''))::BIGINT AS chars,
+         sha256(length(coalesce(role, ''))::VARCHAR || ':' || coalesce(role, '') || coalesce(text, '')) AS x
+  FROM conversations WHERE conv_id IS NOT NULL
+),
+c AS (
+  SELECT conv_id, {crc32("conv_id::VARCHAR")} % 6 AS h, list(x ORDER BY turn NULLS FIRST, x) AS x, list(chars ORDER BY turn NULLS FIRST, x) AS n
+  FROM t GROUP BY conv_id
+),
+q AS (
+  SELECT c.conv_id, list_concat(coalesce(b.x, [])[1 : c.h], c.x[c.h + 1 :]) AS x, list_concat(coalesce(b.n, [])[1 : c.h], c.n[c.h + 1 :]) AS n
+  FROM c LEFT JOIN c b ON b.conv_id = c.conv_id - c.conv_id % 100
+),
+m AS (
+  SELECT conv_id, d, len(x) AS size, md5(array_to_string(x[1 : d], ',')) AS k, md5(array_to_string(x[1 : d - 1], ',')) AS up,
+         CASE WHEN d > 0 THEN n[d] ELSE 0 END AS chars
+  FROM q, LATERAL unnest(range(0, len(x) + 1)) AS u(d)
+),
+v AS (
+  SELECT d, k, CASE WHEN d > 0 THEN any_value(up) END AS up, min(conv_id) AS conv_id, count(*) AS n_convs, (count(*) - 1) * max(chars) AS saved,
+         sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (d = size), '')) AS ends_sha256
+  FROM m GROUP BY d, k
+),
+w AS (SELECT d - 1 AS d, up, count(*) AS n FROM v WHERE d > 0 GROUP BY d, up),
+y AS (SELECT v.*, coalesce(w.n, 0) AS n_children FROM v LEFT JOIN w ON v.d = w.d AND v.k = w.up),
+s AS (
+  SELECT m.d, m.k, sum(saved)::BIGINT AS saved_tokens, count_if(n_children = 0)::BIGINT AS n_leaves
+  FROM y JOIN m ON m.conv_id = y.conv_id AND m.d <= y.d GROUP BY m.d, m.k
+)
+SELECT y.conv_id, y.d::BIGINT AS depth, p.conv_id AS parent_conv_id, y.n_convs::BIGINT AS n_convs, y.n_children::BIGINT AS n_children,
+       n_leaves, saved_tokens, y.ends_sha256
+FROM y JOIN s ON y.d = s.d AND y.k = s.k LEFT JOIN v p ON p.d = y.d - 1 AND p.k = y.up
+"""
