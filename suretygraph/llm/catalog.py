@@ -16,6 +16,7 @@ from suretygraph.llm import (
     mixture,
     prefix_trie,
     resampling,
+    secrets,
     substring,
     toxicity,
     url_filter,
@@ -135,3 +136,9 @@ def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.rebuilt_trie(table(spark, sf_dir, "conversations")).drop("chars")
+
+
+@query
+def op11_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return secrets.digests(secrets.find_secrets(docs))
