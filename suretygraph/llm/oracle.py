@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from suretygraph.llm import secrets
+
 #: Words between spaces and the controls 09 to 0D.
 WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
@@ -264,3 +266,59 @@ SELECT y.conv_id, y.d::BIGINT AS depth, p.conv_id AS parent_conv_id, y.n_convs::
        n_leaves, saved_tokens, y.ends_sha256
 FROM y JOIN s ON y.d = s.d AND y.k = s.k LEFT JOIN v p ON p.d = y.d - 1 AND p.k = y.up
 """
+
+
+def _located(source: str, key: str, pattern: str) -> str:
+    """All matches of a pattern in ``text``, with their places."""
+    quoted = pattern.replace("'", "''")
+    return rf"""SELECT {key}, s, b + a - length(s) AS b, b + a AS e FROM (
+    SELECT {key}, ms[i] AS s, list_sum(list_transform(ms[1 : i], lambda x: length(x)))::BIGINT AS a,
+           list_sum(list_transform(bs[1 : i], lambda x: length(x)))::BIGINT AS b
+    FROM (SELECT {key}, regexp_extract_all(text, '{quoted}') AS ms, string_split_regex(text, '{quoted}') AS bs FROM {source}),
+         LATERAL unnest(range(1, len(ms) + 1)) AS u(i))"""
+
+
+def _windows(k: int, c: secrets.CharacterClass) -> str:
+    """The ranges of high entropy of one class in the candidates."""
+    table = str(secrets.n_log_n(c.width))
+    counted = f"list_transform(list_distinct(string_split(w, '')), lambda x: {table}[{c.width} - length(replace(w, x, '')) + 1])"
+    return rf"""SELECT doc_id, {k} AS kind, b + min(i) AS b, b + max(i) + {c.width} AS e FROM (
+    SELECT *, sum(CASE WHEN i > before + {c.width} THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id, b ORDER BY i) AS island FROM (
+      SELECT doc_id, b, i, lag(i, 1, i) OVER (PARTITION BY doc_id, b ORDER BY i) AS before
+      FROM (SELECT doc_id, b, i, substr(s, i + 1, {c.width}) AS w FROM c, LATERAL unnest(range(0, length(s) - {c.width} + 1)) AS u(i))
+      WHERE regexp_full_match(w, '{c.pattern}+') AND regexp_matches(w, '[0-9]') AND regexp_matches(w, '[^0-9]')
+        AND list_sum({counted}) <= {secrets.largest_sum(c)}
+    )) GROUP BY doc_id, b, island"""
+
+
+_ALLOWED = "|".join(f"(?:{a})" for a in secrets.ALLOWED)
+_KINDS = [*secrets.BASE, *(c.name for c in secrets.CLASSES)]
+_ASSIGN_END = secrets.ASSIGN.replace("'", "''")
+
+ORACLE["op11_secrets"] = rf"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+a AS ({_located("d", "doc_id", secrets.ASSIGN)}),
+k AS ({_located("d", "doc_id", secrets.ACCESS)}),
+h AS ({_located("d", "doc_id", secrets.HEX)}),
+n AS (
+  SELECT doc_id, 0 AS kind, b, e FROM a WHERE length(regexp_extract(s, '{_ASSIGN_END}', 1)) >= 8
+  UNION ALL SELECT doc_id, 1, b, e FROM k
+  UNION ALL SELECT doc_id, 2, b, e FROM h
+),
+r AS ({_located("d", "doc_id", secrets.CANDIDATE + "{20,}")}),
+c AS (SELECT * FROM r WHERE NOT regexp_matches(s, '{_ALLOWED}')),
+w AS ({" UNION ALL ".join(_windows(k, c) for k, c in enumerate(secrets.CLASSES, len(secrets.BASE)))}),
+x AS (
+  SELECT * FROM n UNION ALL
+  SELECT * FROM w WHERE NOT EXISTS (SELECT 1 FROM n WHERE n.doc_id = w.doc_id AND n.b <= w.b AND n.e >= w.e)
+),
+o AS (SELECT *, {str(_KINDS)}[kind + 1] || ':' || b || ':' || e AS t FROM x),
+g AS (
+  SELECT doc_id, count_if(kind = 0) AS n_assign, count_if(kind = 1) AS n_access, count_if(kind = 2) AS n_hex,
+         coalesce(string_agg(t, ',' ORDER BY b, kind, e) FILTER (kind < 3), '') AS base, string_agg(t, ',' ORDER BY b, kind, e) AS spans
+  FROM o GROUP BY doc_id
+)
+SELECT d.doc_id, coalesce(n_assign, 0)::BIGINT AS n_assign, coalesce(n_access, 0)::BIGINT AS n_access, coalesce(n_hex, 0)::BIGINT AS n_hex,
+       sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM d LEFT JOIN g ON d.doc_id = g.doc_id
+"""
