@@ -15,7 +15,7 @@ def connection():
 
 
 def test_all_are_registered():
-    assert {f"op{n}_" for n in range(1, 11)} == {name.split("_")[0] + "_" for name in QUERIES}
+    assert {f"op{n}_" for n in range(1, 14)} == {name.split("_")[0] + "_" for name in QUERIES}
     assert set(QUERIES) | {"pipeline"} <= set(driver.queries())
     assert set(ORACLE) <= set(driver.oracle_sql())
 
