@@ -24,6 +24,12 @@ HEADLINE = (
     "cycle_amounts_by_day_temporal",
     "enriched_vendors_from_attempts",
     "enrichment_counters",
+    "save_curated",
+    "run_transactions",
+    "folded_cycle_counts",
+    "folded_cycle_amount_change",
+    "merged_graph_counts",
+    "merged_outcomes",
 )
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import date, datetime, timedelta
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from suretygraph.constants import APPROVED_STATUS, VALID_COUNTRIES, WINDOW_DAYS
@@ -54,16 +54,31 @@ def dedup_transactions(transactions: DataFrame) -> DataFrame:
     )
 
 
+def valid_rows(transactions: DataFrame, *, countries=VALID_COUNTRIES) -> DataFrame:
+    """Rows with a positive amount, a fee of at least 0 and a known country; a null fails."""
+    return transactions.filter(
+        (F.col("guarantee_amount_usd") > 0)
+        & (F.col("fee_amount_usd") >= 0)
+        & F.col("country_code").isin(*countries)
+    )
+
+
+def failures(*, countries=VALID_COUNTRIES) -> dict[str, Column]:
+    """For each rule of ``valid_rows`` whether a row fails it."""
+    passes = {
+        "bad_amount": F.col("guarantee_amount_usd") > 0,
+        "bad_fee": F.col("fee_amount_usd") >= 0,
+        "bad_country": F.col("country_code").isin(*countries),
+    }
+    return {name: ~F.coalesce(rule, F.lit(False)) for name, rule in passes.items()}
+
+
 def validate_data_quality(transactions: DataFrame, *, countries=VALID_COUNTRIES) -> DataFrame:
     """Deduplicated rows with a positive amount, a fee of at least 0 and a known country.
 
     The values are checked after the deduplication: an id whose kept row is invalid goes altogether.
     """
-    return dedup_transactions(transactions).filter(
-        (F.col("guarantee_amount_usd") > 0)
-        & (F.col("fee_amount_usd") >= 0)
-        & F.col("country_code").isin(*countries)
-    )
+    return valid_rows(dedup_transactions(transactions), countries=countries)
 
 
 def approved_transactions(transactions: DataFrame, *, status: str = APPROVED_STATUS) -> DataFrame:

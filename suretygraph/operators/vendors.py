@@ -38,6 +38,19 @@ def number_attempts(log: DataFrame, max_attempts: int = MAX_ATTEMPTS) -> DataFra
     )
 
 
+def earliest_attempts(log: DataFrame, max_attempts: int = MAX_ATTEMPTS) -> DataFrame:
+    """The first ``max_attempts`` attempts of each vendor, all columns of the log. Cut on the map side as ``number_attempts``."""
+    order = Window.partitionBy("vendor_id").orderBy("attempted_at", "attempt_id")
+    return log.withColumn("_row", F.row_number().over(order)).filter(F.col("_row") <= max_attempts).drop("_row")
+
+
+def merge_attempts(stored: DataFrame, log: DataFrame, max_attempts: int = MAX_ATTEMPTS) -> DataFrame:
+    """The earliest attempts of what is stored and a further log, in any order of time. No others can decide an outcome, so a
+    log that was merged needn't be read again. An attempt offered twice, with the same time and id, counts once."""
+    both = stored.unionByName(earliest_attempts(log, max_attempts).select(*stored.columns))
+    return earliest_attempts(both.dropDuplicates(["vendor_id", "attempted_at", "attempt_id"]), max_attempts)
+
+
 def vendor_outcome(attempts: DataFrame, *, max_attempts: int = MAX_ATTEMPTS) -> DataFrame:
     """What the attempts came to, per vendor.
 

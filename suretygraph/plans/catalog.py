@@ -6,13 +6,15 @@ from collections.abc import Callable
 from datetime import datetime
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from suretygraph import schemas
-from suretygraph.operators import exclusion, graph, quality, rings, risk, vendors
+from suretygraph.operators import exclusion, graph, quality, ring_change, rings, risk, vendors
 from suretygraph.plans import jobs
+from suretygraph.published import Published
 from suretygraph.sinks import parquet as sink
+from suretygraph.sinks.graph_store import GraphStore
 from suretygraph.storage import staging_folder as staging
 from suretygraph.sources import files, tables
 
@@ -21,6 +23,8 @@ RUN_DATE = "1998-06-30"
 AGAIN_FROM = "1996-01-01"
 PROCESSED_AT = datetime(1998, 7, 1, 12, 30)
 SALT = "benchmark-salt"
+#: Days of the folded edges that come to a graph one after the other; they overlap.
+FOLDED_SPANS = (("1998-01-01", "1998-01-25"), ("1998-01-15", "1998-02-05"), ("1998-02-01", "1998-02-28"))
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -282,6 +286,81 @@ def folded_cycle_amount_change(spark, sf_dir):
         for mode in rings.MODES])
 
 
+def _day(text: str) -> Column:
+    return F.lit(text).cast("date")
+
+
+@query
+def cycle_count_change(spark, sf_dir):
+    """Rings gained and lost between two overlapping spans of days."""
+    edges = _folded(spark, sf_dir)
+    before = edges.filter(F.col("transaction_day") <= _day(FOLDED_SPANS[0][1]))
+    after = edges.filter(F.col("transaction_day") >= _day(FOLDED_SPANS[1][0]))
+    return reduce(DataFrame.unionByName, [
+        _whole(ring_change.cycle_count_change(ring_change.near_changes(ring_change.pair_changes(before, after, mode)), mode=mode, min_len=1), "cycle_count_change")
+        .withColumn("mode", F.lit(mode)) for mode in rings.MODES])
+
+
+def _merged_store(spark, sf_dir, each=lambda store: None) -> GraphStore:
+    """A graph of the first span of days, the others merged in, each with other amounts than the one before."""
+    store = GraphStore(staging(spark), buckets=8)
+    edges = _folded(spark, sf_dir)
+    for k, (first, last) in enumerate(FOLDED_SPANS):
+        span = edges.filter(F.col("transaction_day").between(_day(first), _day(last)))
+        folder = staging(spark)
+        span.withColumn("guarantee_amount_usd", (F.col("guarantee_amount_usd") + k).cast(schemas.MONEY)).write.parquet(folder)
+        offered = spark.read.schema(schemas.GRAPH_EDGES).parquet(folder)
+        (store.merge if k else store.build)(offered)
+        each(store)
+    return store
+
+
+@query
+def merged_graph_edges(spark, sf_dir):
+    return _money(_merged_store(spark, sf_dir).edges(spark), "guarantee_amount_usd")
+
+
+@query
+def merged_graph_nodes(spark, sf_dir):
+    return _merged_store(spark, sf_dir).nodes(spark)
+
+
+@query
+def merged_graph_counts(spark, sf_dir):
+    """The noted number of rings after each merge, kept up by differences."""
+    counts = []
+    _merged_store(spark, sf_dir, lambda store: counts.append((len(counts), store.cycle_count(spark))))
+    return spark.createDataFrame(counts, "step long, cycle_count long")
+
+
+def _graph_job(spark, sf_dir) -> GraphStore:
+    """The graph job on all days before a window, then on the window, merged into the same graph."""
+    paths = jobs.Paths("", "", "", staging(spark))
+    edges, table = _folded(spark, sf_dir), sink.edge_table(paths.out("graph_edges"))
+    sink.publish_by_day(edges.filter(F.col("transaction_day") < _day("1998-01-22")), table)
+    jobs.run_graph(spark, paths, listings=False, buckets=8)
+    sink.publish_by_day(edges, table)
+    jobs.run_graph(spark, paths, "1998-02-20", days=30)
+    return GraphStore(paths.out("graph"))
+
+
+@query
+def run_graph_edges(spark, sf_dir):
+    return _money(_graph_job(spark, sf_dir).edges(spark), "guarantee_amount_usd")
+
+
+@query
+def run_graph_ring_paths(spark, sf_dir):
+    path = f"{_graph_job(spark, sf_dir).path}/ring_paths"
+    return _whole(Published(path, schemas.RING_PATHS).scan(spark), "path_count")
+
+
+@query
+def run_graph_ring_changes(spark, sf_dir):
+    path = f"{_graph_job(spark, sf_dir).path}/ring_changes"
+    return _money(Published(path, schemas.RING_CHANGES).scan(spark), "total_amount", "previous_amount", "change")
+
+
 # -- vendors ---------------------------------------------------------------------------------------
 
 
@@ -325,6 +404,16 @@ def vendor_outcome(spark, sf_dir):
     return _outcomes(spark, sf_dir)
 
 
+@query
+def merged_outcomes(spark, sf_dir):
+    """The log in three parts, in no order of time, each merged into what was stored; one part comes twice."""
+    root, log = staging(spark), tables.attempt_log(spark, sf_dir)
+    for part in (1, 0, 2, 0):
+        sink.publish_attempts(log.filter(F.col("attempt_id") % 3 == part), root, buckets=4)
+    stored = sink.attempt_table(root).scan(spark)
+    return vendors.vendor_outcome(vendors.number_attempts(stored))
+
+
 @query
 def enrichment_counters(spark, sf_dir):
     return vendors.enrichment_counters(_outcomes(spark, sf_dir))
@@ -371,6 +460,55 @@ def scan_transactions(spark, sf_dir):
     return _amounts(files.scan_transactions(spark, _stage_transactions(spark, sf_dir)))
 
 
+def _deliver(rows: DataFrame, root: str, mode: str = "append") -> None:
+    """Writes rows into their months' delivery folders, in files of their own."""
+    (
+        rows.withColumn("day", F.trunc("timestamp", "month")).hint("rebalance", "day")
+        .write.mode(mode).option("partitionOverwriteMode", "dynamic").option("header", True)
+        .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss").partitionBy("day").csv(root)
+    )
+
+
+def _half(rows: DataFrame, k: int) -> DataFrame:
+    return rows.filter(F.length("target_account_id") % 2 == k)
+
+
+@query
+def take_in_grown(spark, sf_dir):
+    """Half of each month's rows is delivered and taken in; then the deliveries grow by the other half."""
+    root, store = staging(spark), staging(spark)
+    rows = tables.transactions(spark, sf_dir)
+    for k in (0, 1):
+        _deliver(_half(rows, k), root)
+        files.take_in(spark, root, store)
+    return _amounts(files.scan_taken_in(spark, store))
+
+
+@query
+def take_in_replaced(spark, sf_dir):
+    """Later months are delivered again, with other amounts."""
+    root, store = staging(spark), staging(spark)
+    rows = tables.transactions(spark, sf_dir)
+    _deliver(rows, root)
+    files.take_in(spark, root, store)
+    more = (F.col("guarantee_amount_usd") + 1).cast(schemas.MONEY)
+    _deliver(rows.filter(F.col("timestamp") >= F.lit(AGAIN_FROM).cast("date")).withColumn("guarantee_amount_usd", more), root, "overwrite")
+    files.take_in(spark, root, store)
+    return _amounts(files.scan_taken_in(spark, store))
+
+
+@query
+def rejected_by_delivery(spark, sf_dir):
+    """Lines with an amount that is no number, taken in by two deliveries' worth of files each."""
+    root, store = staging(spark), staging(spark)
+    rows = tables.transactions(spark, sf_dir)
+    amount = F.when(F.col("fee_amount_usd") < 0, F.lit("n/a")).otherwise(F.col("guarantee_amount_usd").cast("string"))
+    for k in (0, 1):
+        _deliver(_half(rows, k).withColumn("guarantee_amount_usd", amount), root)
+        files.take_in(spark, root, store, rejected_path=f"{store}/rejected")
+    return files.scan_rejected(spark, f"{store}/rejected").groupBy("delivery").agg(F.count("*").alias("n_lines"))
+
+
 @query
 def scan_free_accounts(spark, sf_dir):
     return files.scan_free_accounts(spark, _stage_free_accounts(spark, sf_dir))
@@ -381,6 +519,17 @@ def scan_vendors(spark, sf_dir):
     return files.scan_vendors(spark, _stage_vendors(spark, sf_dir), multi_line=False)
 
 
+@query
+def scan_vendors_array(spark, sf_dir):
+    """JSON arrays, one a file."""
+    root = staging(spark)
+    record = F.struct(*schemas.VENDORS.names)
+    part = F.pmod(F.xxhash64("vendor_id"), F.lit(4)).alias("part")
+    arrays = tables.vendors(spark, sf_dir).groupBy(part).agg(F.to_json(F.collect_list(record)).alias("value"))
+    arrays.write.partitionBy("part").text(root)
+    return files.scan_vendors(spark, f"{root}/part=*")
+
+
 @query
 def scan_edges(spark, sf_dir):
     """A range of days, pruned to their folders."""
@@ -450,14 +599,15 @@ def save_vendors_json(spark, sf_dir):
 def _outputs(spark, paths: jobs.Paths) -> DataFrame:
     """A row for each output of the transaction job: its rows and the sum of its amounts."""
     amounts = {
-        "transactions": "guarantee_amount_usd", "risk_metrics": "total_guarantee_amount", "high_risk_accounts": "total_amount",
-        "graph_edges": "guarantee_amount_usd", "rejected_lines": "0",
+        "transactions": ("guarantee_amount_usd", files.scan_curated), "risk_metrics": ("total_guarantee_amount", files.scan_risk_metrics),
+        "high_risk_accounts": ("total_amount", files.scan_high_volume), "graph_edges": ("guarantee_amount_usd", files.scan_edges),
+        "rejected_lines": ("0", files.scan_rejected),
     }
     rows = [
-        spark.read.parquet(paths.out(name)).agg(
+        scan(spark, paths.out(name)).agg(
             F.lit(name).alias("output"), F.count("*").alias("n_rows"),
             F.coalesce(F.sum(F.expr(amount).cast("decimal(20,2)")).cast("double"), F.lit(0.0)).alias("amount"))
-        for name, amount in amounts.items()
+        for name, (amount, scan) in amounts.items()
     ]
     return reduce(DataFrame.unionByName, rows)
 
@@ -479,6 +629,25 @@ def run_transactions_all_days(spark, sf_dir):
     return _run_transactions(spark, sf_dir, None)
 
 
+@query
+def transaction_counters(spark, sf_dir):
+    """What the transaction job counted while it wrote."""
+    paths = jobs.Paths(_stage_transactions(spark, sf_dir), _stage_free_accounts(spark, sf_dir), "", staging(spark))
+    return jobs.run_transactions(spark, paths).drop("files_taken")
+
+
+@query
+def run_transactions_late(spark, sf_dir):
+    """All days are done with half of the rows; a run for one date then does the days that the other half came for."""
+    root, rows = staging(spark), tables.transactions(spark, sf_dir)
+    paths = jobs.Paths(root, _stage_free_accounts(spark, sf_dir), "", staging(spark))
+    _deliver(_half(rows, 0), root)
+    jobs.run_transactions(spark, paths)
+    _deliver(_half(rows, 1), root)
+    jobs.run_transactions(spark, paths, PROCESS_DATE, late_days=True)
+    return _amounts(files.scan_curated(spark, paths.out("transactions")).drop("processed_at"))
+
+
 @query
 def run_vendors(spark, sf_dir):
     paths = jobs.Paths("", "", _stage_vendors(spark, sf_dir), staging(spark))

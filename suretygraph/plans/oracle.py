@@ -289,6 +289,61 @@ _SELECTS = {
         UNION ALL SELECT 'network_errors', CAST(sum(network_errors) AS BIGINT) FROM outcomes"""),
 }
 
+_SPANS = (("1998-01-01", "1998-01-25"), ("1998-01-15", "1998-02-05"), ("1998-02-01", "1998-02-28"))
+
+
+def _span(k: int) -> str:
+    return f"BETWEEN DATE '{_SPANS[k][0]}' AND DATE '{_SPANS[k][1]}'"
+
+
+def _state(first: str, last: str, select: str, temporal: bool = False) -> str:
+    """A question to the folded edges of some days."""
+    some = f"(SELECT * FROM {_FOLDED} WHERE transaction_day BETWEEN DATE '{first}' AND DATE '{last}')"
+    return f"(WITH none AS (SELECT 1) {_edges(select, some, temporal)})"
+
+
+# Each span comes with other amounts; a later one wins on equal days.
+_MERGED = "SELECT source_account_id, target_account_id, amount, transaction_day FROM (SELECT *, row_number() OVER (" \
+    "PARTITION BY source_account_id, target_account_id ORDER BY transaction_day DESC, step DESC, amount DESC) AS r FROM (" \
+    + " UNION ALL ".join(
+        f"SELECT source_account_id, target_account_id, guarantee_amount_usd + {k} AS amount, transaction_day, {k} AS step "
+        f"FROM {_FOLDED} WHERE transaction_day {_span(k)}" for k in range(3)) + ")) WHERE r = 1"
+
+_MERGE_SELECTS = {
+    "cycle_count_change": " UNION ALL ".join(
+        f"SELECT (SELECT cycle_count FROM {_state(_SPANS[1][0], '1999-01-01', _COUNT.format(1), temporal)})"
+        f" - (SELECT cycle_count FROM {_state('1990-01-01', _SPANS[0][1], _COUNT.format(1), temporal)}) AS cycle_count_change, '{mode}' AS mode"
+        for mode, temporal in (("latest", False), ("temporal", True))),
+    "merged_graph_edges":
+        f"SELECT source_account_id, target_account_id, CAST(amount AS DOUBLE) AS guarantee_amount_usd, transaction_day FROM ({_MERGED})",
+    "merged_graph_nodes": f"SELECT source_account_id AS id FROM ({_MERGED}) UNION SELECT target_account_id FROM ({_MERGED})",
+    "merged_graph_counts": " UNION ALL ".join(
+        f"SELECT {k}::BIGINT AS step, cycle_count FROM {_state('1998-01-01', _SPANS[k][1], _COUNT.format(2))}" for k in range(3)),
+    "run_graph_edges": f"SELECT * FROM (WITH none AS (SELECT 1) {_edges(_LATEST, _FOLDED)})",
+    "run_graph_ring_paths": f"SELECT * FROM (WITH none AS (SELECT 1) {_edges(_PATHS.format(1, 3), _FOLDED)})",
+    "run_graph_ring_changes": f"SELECT * FROM (WITH none AS (SELECT 1) {_edges(_CHANGE, _FOLDED)})",
+}
+
+_SELECTS |= {
+    "merged_outcomes": "SELECT * FROM outcomes",
+    "take_in_grown": f"SELECT {_TX} FROM transactions",
+    "take_in_replaced": f"""SELECT {_TX} FROM (SELECT * REPLACE (CAST(guarantee_amount_usd +
+        CASE WHEN transaction_day >= DATE '1996-01-01' THEN 1 ELSE 0 END AS DECIMAL(18,2)) AS guarantee_amount_usd) FROM transactions)""",
+    "rejected_by_delivery": """SELECT CAST(date_trunc('month', "timestamp") AS DATE) AS delivery, count(*) AS n_lines
+        FROM transactions WHERE fee_amount_usd < 0 GROUP BY delivery""",
+    "scan_vendors_array": "SELECT * FROM vendors",
+    "run_transactions_late": f"SELECT {_TX}, {_SCORES} FROM enriched",
+    "transaction_counters": """SELECT (SELECT count(*) FROM transactions) AS lines_taken, 0::BIGINT AS lines_rejected,
+        (SELECT count(*) FROM transactions) AS rows_read, (SELECT count(*) FROM transactions WHERE transaction_id IS NULL) AS without_id,
+        (SELECT count(transaction_id) FROM transactions) - count(*) AS duplicates, count(*) AS ids,
+        count(*) FILTER (NOT coalesce(guarantee_amount_usd > 0, false)) AS bad_amount,
+        count(*) FILTER (NOT coalesce(fee_amount_usd >= 0, false)) AS bad_fee,
+        count(*) FILTER (NOT coalesce(country_code IN ('CL', 'PE', 'MX', 'BR'), false)) AS bad_country,
+        (SELECT count(*) FROM valid) AS valid, (SELECT count(*) FROM valid) - (SELECT count(*) FROM approved) AS not_approved,
+        (SELECT count(*) FROM approved) AS approved, (SELECT count(*) FROM approved) - (SELECT count(*) FROM clean) AS promotional,
+        (SELECT count(*) FROM clean) AS written FROM dedup""",
+}
+
 # The job takes its window before anything else, so duplicates outside of it play no part.
 _ALL_DAYS = "JOIN customer ON o_custkey = c_custkey"
 _WINDOW = _ALL_DAYS + " WHERE CAST(o_orderdate AS DATE) BETWEEN DATE '1998-06-24' AND DATE '1998-06-30'"
@@ -302,4 +357,4 @@ _FOLDED_SELECTS = {
 ORACLE = {
     name: (STAGES.replace(_ALL_DAYS, _WINDOW) if name in ("run_transactions", "run_all") else STAGES) + select
     for name, select in _SELECTS.items()
-} | _FOLDED_SELECTS
+} | _FOLDED_SELECTS | _MERGE_SELECTS

@@ -57,6 +57,31 @@ GRAPH_EDGES = T.StructType([
     T.StructField("transaction_day", T.DateType()),
 ])
 
+GRAPH_NODES = T.StructType([T.StructField("id", T.StringType())])
+
+GRAPH_NEIGHBOURS = T.StructType([
+    T.StructField("account", T.StringType()),
+    T.StructField("other", T.StringType()),
+    T.StructField("outgoing", T.IntegerType()),
+    T.StructField("incoming", T.IntegerType()),
+])
+
+RING_PATHS = T.StructType([
+    T.StructField("account", T.StringType()),
+    T.StructField("cycle_length", T.IntegerType()),
+    T.StructField("path", T.StringType()),
+    T.StructField("path_count", PATH_COUNT),
+])
+
+RING_CHANGES = T.StructType([
+    T.StructField("account", T.StringType()),
+    T.StructField("day", T.DateType()),
+    T.StructField("total_amount", T.DecimalType(38, 2)),
+    T.StructField("previous_amount", T.DecimalType(38, 2)),
+    T.StructField("change", T.DecimalType(38, 2)),
+    T.StructField("change_ratio", T.DoubleType()),
+])
+
 RISK_METRICS = T.StructType([
     T.StructField("transaction_day", T.DateType()),
     T.StructField("total_transactions", T.LongType()),
@@ -89,3 +114,39 @@ OUTCOMES = T.StructType([
     T.StructField("retries", T.LongType()),
     T.StructField("network_errors", T.LongType()),
 ])
+
+INTAKE = T.StructType([
+    *TRANSACTIONS.fields,
+    T.StructField("_corrupt", T.StringType()),
+    T.StructField("delivery", T.DateType()),
+    T.StructField("take", T.IntegerType()),
+    T.StructField("transaction_day", T.DateType()),
+])
+
+FILES_TAKEN = T.StructType([
+    T.StructField("file", T.StringType()),
+    T.StructField("length", T.LongType()),
+    T.StructField("modified", T.LongType()),
+    T.StructField("delivery", T.DateType()),
+    T.StructField("take", T.IntegerType()),
+])
+
+REJECTED_LINES = T.StructType([
+    T.StructField("line", T.StringType()),
+    T.StructField("delivery", T.DateType()),
+    T.StructField("take", T.IntegerType()),
+])
+
+TRANSACTION_COUNTERS = T.StructType([T.StructField(name, T.LongType()) for name in (
+    "files_taken", "lines_taken", "lines_rejected", "rows_read", "without_id", "duplicates", "ids", "bad_amount", "bad_fee",
+    "bad_country", "valid", "not_approved", "approved", "promotional", "written",
+)])
+
+#: The attempts of a vendor that can still decide its outcome.
+ATTEMPTS = T.StructType([
+    T.StructField("vendor_id", T.StringType()),
+    T.StructField("attempted_at", T.TimestampNTZType()),
+    T.StructField("attempt_id", T.LongType()),
+    T.StructField("status_code", T.IntegerType()),
+    T.StructField("response_body", T.StringType()),
+])

@@ -2,17 +2,24 @@
 
 from __future__ import annotations
 
+from collections.abc import Collection
 from datetime import timedelta
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from suretygraph.constants import WINDOW_DAYS
+from suretygraph import schemas
+from suretygraph.constants import MAX_ATTEMPTS, WINDOW_DAYS
 from suretygraph.operators.graph import graph_nodes, upsert_edges
 from suretygraph.operators.quality import window_bounds
+from suretygraph.operators.vendors import merge_attempts
+from suretygraph.published import Published, Snapshot
 from suretygraph.storage import file_names, remove
 
 DAY = "transaction_day"
+#: Hash buckets of a table that is merged into, and their number where none was chosen.
+BUCKET, BUCKETS = "bucket", 64
 
 
 def save_by_day(
@@ -83,9 +90,41 @@ def save_high_volume(accounts: DataFrame, path: str) -> None:
     accounts.write.mode("overwrite").parquet(path)
 
 
-def save_rejected(lines: DataFrame, path: str) -> None:
-    """Replaced whole: all lines ever rejected, by delivery."""
-    lines.write.mode("overwrite").parquet(path)
+# -- published: written beside what is there, then switched to --------------------------------------
+
+
+def curated_table(path: str) -> Published:
+    return Published(path, schemas.CURATED, (DAY,))
+
+
+def edge_table(path: str) -> Published:
+    return Published(path, schemas.GRAPH_EDGES, (DAY,))
+
+
+def publish_by_day(
+    rows: DataFrame, table: Published, days: Collection[str] | None = None, info: dict | None = None, **options
+) -> Snapshot:
+    """Publishes rows by ``transaction_day``, rebalanced as in ``save_by_day``. A run owns the ``days`` it is for
+    (YYYY-MM-DD): those it has no rows for go. Without, the days it has rows for are replaced."""
+    owned = False if days is None else lambda part: part[DAY] in days
+    return table.publish(rows.hint("rebalance", DAY), owned, info, **options)
+
+
+def publish_risk_metrics(metrics: DataFrame, path: str) -> Snapshot:
+    """Replaced whole: the metrics describe the last run's days."""
+    return Published(path, schemas.RISK_METRICS).publish(metrics, True)
+
+
+def publish_high_volume(accounts: DataFrame, path: str) -> Snapshot:
+    """Replaced whole, as the metrics."""
+    return Published(path, schemas.HIGH_VOLUME_ACCOUNTS).publish(accounts, True)
+
+
+def publish_whole(rows: DataFrame, path: str, schema: T.StructType) -> Snapshot:
+    return Published(path, schema).publish(rows, True)
+
+
+# -- vendors and graph -----------------------------------------------------------------------------
 
 
 def run_folder(path: str, run_date: str | None) -> str:
@@ -108,8 +147,28 @@ def save_outcomes(outcomes: DataFrame, path: str, run_date: str | None = None) -
     outcomes.write.mode("overwrite").parquet(run_folder(path, run_date))
 
 
+def attempt_table(path: str) -> Published:
+    """Each vendor's earliest attempts, in buckets by a hash of the vendor."""
+    return Published(path, T.StructType([*schemas.ATTEMPTS.fields, T.StructField(BUCKET, T.IntegerType())]), (BUCKET,))
+
+
+def publish_attempts(log: DataFrame, path: str, max_attempts: int = MAX_ATTEMPTS, buckets: int = BUCKETS) -> Snapshot:
+    """Merges a log into the stored attempts. Only the buckets of its vendors are read and rewritten; their numbers come to the
+    driver."""
+    spark, table = log.sparkSession, attempt_table(path)
+    before = table.snapshot(spark)
+    n = before.info.get("buckets", buckets)
+    bucket = F.pmod(F.xxhash64("vendor_id"), F.lit(n)).cast("int")
+    fresh = log.select(*schemas.ATTEMPTS.names)
+    touched = {r[0] for r in fresh.select(bucket.alias(BUCKET)).distinct().collect()}
+    mine = lambda part: int(part[BUCKET]) in touched
+    merged = merge_attempts(table.scan(spark, mine, before).drop(BUCKET), fresh, max_attempts)
+    return table.publish(merged.withColumn(BUCKET, bucket).hint("rebalance", BUCKET), mine, {"buckets": n})
+
+
 def save_graph(incoming: DataFrame, path: str, existing: DataFrame | None = None) -> None:
-    """Writes ``path/edges`` and ``path/nodes``: the stored edges, if any, with the new ones merged in.
+    """Writes plain folders ``path/edges`` and ``path/nodes``: the stored edges, if any, with the new ones merged in. For a graph
+    that is merged into time and again see ``graph_store``.
 
     ``path`` must be another folder than the one ``existing`` is read from; readers switch afterwards.
     Nodes come from the edges just written, not from a second merge.

@@ -21,6 +21,29 @@ def file_names(spark: SparkSession, folder: str) -> set[str]:
     return {f.getPath().getName() for f in system.listStatus(location)} if system.exists(location) else set()
 
 
+def read_text(spark: SparkSession, file: str) -> str:
+    system, location = file_system(spark, file)
+    stream = system.open(location)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def write_text(spark: SparkSession, file: str, text: str) -> None:
+    """Writes a small file that isn't there yet; it appears whole or not at all."""
+    system, location = file_system(spark, file)
+    _, beside = file_system(spark, f"{location.getParent()}/.{location.getName()}-{uuid4().hex}")
+    stream = system.create(beside)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+    if system.exists(location) or not system.rename(beside, location):
+        system.delete(beside, False)
+        raise FileExistsError(f"{file} was written by somebody else")
+
+
 def remove(spark: SparkSession, folder: str) -> None:
     system, location = file_system(spark, folder)
     system.delete(location, True)

@@ -10,7 +10,9 @@ from decimal import Decimal
 import pytest
 from conftest import plan_of
 
+from suretygraph import schemas
 from suretygraph.plans import jobs
+from suretygraph.published import Published
 from suretygraph.sources import files
 
 START = date(2026, 5, 1)
@@ -60,10 +62,10 @@ def test_the_week(spark, data):
     assert curated.count() == 43
     assert {r.risk_category for r in curated.select("risk_category").distinct().collect()} == {"NORMAL", "HIGH"}
     assert not curated.filter("source_account_id like 'ACC_1%'").count()
-    metrics = {r.transaction_day: tuple(r)[1:] for r in spark.read.parquet(data.out("risk_metrics")).collect()}
+    metrics = {r.transaction_day: tuple(r)[1:] for r in files.scan_risk_metrics(spark, data.out("risk_metrics")).collect()}
     assert metrics[date(2026, 5, 1)] == (4, 60300.0, 15075.0, 1)
     assert metrics[date(2026, 5, 7)] == (7, 75300.0, 75300.0 / 7, 1)
-    assert spark.read.parquet(data.out("high_risk_accounts")).count() == 0
+    assert files.scan_high_volume(spark, data.out("high_risk_accounts")).count() == 0
     vendor = {r.vendor_id: r.official_domain for r in files.scan_enriched_vendors(spark, data.out("enriched_vendors"), "2026-05-07").collect()}
     assert vendor == {"VEN_0": "apexfinance.cl", "VEN_1": "unknown-company.com"}
 
@@ -72,7 +74,7 @@ def test_incremental_runs(spark, data):
     def run(day):
         jobs.run_transactions(spark, data, day, processed_at=datetime(2026, 5, 9))
         edges = files.scan_edges(spark, data.out("graph_edges"))
-        metrics = spark.read.parquet(data.out("risk_metrics"))
+        metrics = files.scan_risk_metrics(spark, data.out("risk_metrics"))
         return sorted(edges.collect()), {r.transaction_day.day for r in metrics.collect()}
 
     first, shown = run("2026-05-05")
@@ -83,7 +85,7 @@ def test_incremental_runs(spark, data):
     assert run("2026-05-09")[0] == second
     jobs.run_transactions(spark, data, "2026-05-20")
     assert sorted(files.scan_edges(spark, data.out("graph_edges")).collect()) == second
-    assert spark.read.parquet(data.out("risk_metrics")).count() == 0
+    assert files.scan_risk_metrics(spark, data.out("risk_metrics")).count() == 0
 
 
 def test_late_rows_redeliveries_and_rejected_lines(spark, data):
@@ -101,11 +103,11 @@ def test_late_rows_redeliveries_and_rejected_lines(spark, data):
     before = ids()
     deliver("2026-05-18", "LATE,ACC_900,ACC_901,70,1,APPROVED,2026-05-06 10:00:00,CL", "broken,ACC_1", "N,A,B,x,1,APPROVED,2026-05-06 10:00:00,CL")
     assert ids() == before | {"LATE"}  # twelve days late
-    assert sorted((str(r.delivery), r.line[:6]) for r in spark.read.parquet(data.out("rejected_lines")).collect()) == [
+    assert sorted((str(r.delivery), r.line[:6]) for r in files.scan_rejected(spark, data.out("rejected_lines")).collect()) == [
         ("2026-05-18", "N,A,B,"), ("2026-05-18", "broken")]
     deliver("2026-05-18", "LATER,ACC_900,ACC_901,70,1,APPROVED,2026-05-05 10:00:00,CL")
-    assert ids() == before | {"LATE"}  # taken in once
-    again = ["2026-05-18"]
+    assert ids() == before | {"LATER"}  # the file is another one now
+    again = (d for d in ["2026-05-18"])
     assert ids() == before | {"LATER"}
     plan = plan_of(files.scan_taken_in(spark, data.out("intake"), "2026-05-07"))
     filters = plan.split("PartitionFilters: ")[1].split("]")[0]
@@ -156,6 +158,28 @@ def test_a_window_of_edges_gives_the_graph_of_all(spark, data, edges):
         jobs.run_graph(spark, data, "2026-05-10", graph_path=data.out("g3"))
 
 
+def test_the_graph_job_merges_into_the_graph_it_keeps(spark, data, edges):
+    from suretygraph.sinks import parquet as sink
+
+    table = sink.edge_table(data.out("graph_edges"))
+    first = [("A", "B", 1, 1), ("B", "A", 1, 2), ("C", "C", 1, 3)]
+    sink.publish_by_day(edges(*first), table)
+    jobs.run_graph(spark, data)
+    reader = files.scan_edges(spark, data.out("graph/edges"))
+    sink.publish_by_day(edges(("A", "B", 7, 9), ("B", "C", 1, 9), ("C", "A", 1, 10)), table)
+    counts = jobs.run_graph(spark, data, "2026-05-10")
+    assert {r.measure: int(r.value) for r in counts.collect()} == {"edge_count": 3, "cycle_count": 2 + 3}
+    assert reader.count() == 3  # as it was when the reader looked
+    assert files.scan_edges(spark, data.out("graph/edges")).count() == 5
+    listed = Published(data.out("graph/ring_paths"), schemas.RING_PATHS).scan(spark)
+    assert sorted(r.path for r in listed.filter("cycle_length = 3").collect()) == ["A>B>C>A", "B>C>A>B", "C>A>B>C"]
+    sink.publish_by_day(edges(("B", "B", 1, 1)), table)  # a late edge, outside the window
+    jobs.run_graph(spark, data, "2026-05-10", listings=False)
+    assert files.scan_edges(spark, data.out("graph/edges")).count() == 5
+    jobs.run_graph(spark, data, "2026-05-10", listings=False, late_days=True)
+    assert files.scan_edges(spark, data.out("graph/edges")).count() == 6
+
+
 def test_command_line(spark, data, monkeypatch, capsys):
     from suretygraph import cli
 
@@ -173,7 +197,7 @@ def test_command_line(spark, data, monkeypatch, capsys):
     lines = data.vendors.replace(".json", "_lines.json")
     with open(data.vendors) as array, open(lines, "w") as out:
         out.writelines(json.dumps(r) + "\n" for r in json.load(array))
-    cli.main(["all", *arguments, "--vendors", lines, "--vendor-lines", "--attempts", log, "--again", "2026-05-03",
+    cli.main(["all", *arguments, "--vendors", lines, "--vendor-lines", "--attempts", log, "--again", "2026-05-03", "--late-days",
               "--graph", data.out("graph2"), "--previous-graph", data.out("graph")])
     shown = capsys.readouterr().out
     assert "network_errors" in shown and "cycle_count" in shown
