@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Collection, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -32,6 +32,12 @@ def batch(**columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
 
 
+def row_of(df: DataFrame, but: Collection[str] = ()) -> Column:
+    """All columns of a table as one struct, so that none of their names meets one that an operator uses."""
+    left_out = {c.lower() for c in but}
+    return F.struct(*[F.col(f"`{c}`") for c in df.columns if c.lower() not in left_out])
+
+
 def put(df: DataFrame, row: str, *columns: str) -> DataFrame:
     """Opens the struct of a table's own columns again; new columns replace those of the same name."""
     new = {c.lower() for c in columns}

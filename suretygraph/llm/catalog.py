@@ -108,7 +108,7 @@ def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op1_host_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
-    return host_quality.judge(docs).select("doc_id", *host_quality.MEASURES, "base_failed", "kept")
+    return host_quality.judge(docs, keep_text=False).select("doc_id", *host_quality.MEASURES, "base_failed", "kept")
 
 
 @query

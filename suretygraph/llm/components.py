@@ -15,7 +15,8 @@ def _star(edges: DataFrame, both: bool) -> DataFrame:
         edges = edges.select(a, b).union(edges.select(b.alias("a"), a.alias("b")))
     else:
         edges = edges.select(F.greatest(a, b).alias("a"), F.least(a, b).alias("b"))
-    least = edges.groupBy("a").agg(F.least(F.min("b"), a).alias("least"))
+    # The second key follows from the first: it makes the join shuffle anew, so that a node with very many links is split there.
+    least = edges.groupBy("a", F.hash("a").alias("_split")).agg(F.least(F.min("b"), a).alias("least")).drop("_split")
     joined = edges.join(least, "a")
     if both:
         out = joined.filter("b > a").select(F.col("b").alias("a"), F.col("least").alias("b"))

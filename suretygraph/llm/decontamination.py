@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from suretygraph.llm.arrow import arrow_map, batch, long_lists, longs
+from suretygraph.llm.arrow import arrow_map, batch, long_lists, longs, row_of
 from suretygraph.llm.bitmaps import MOST_BITS, bitmap
 from suretygraph.llm.staging import session_of, stored
 from suretygraph.llm.tokens import ALNUM, U, grams, words
@@ -195,5 +195,6 @@ def drop_contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id",
     """The input without the contaminated rows."""
     gone = contamination(docs, items, id_col, text_col, **options).filter("contaminated").select(
         F.col("doc_id").alias("_gone_id"), F.col("text_key").alias("_gone_key")).distinct()
-    same = F.col(id_col).cast("long").eqNullSafe(F.col("_gone_id")) & (F.xxhash64(F.col(text_col)) == F.col("_gone_key"))
-    return docs.join(gone, same, "left_anti")
+    own = docs.select(row_of(docs).alias("_own"), F.col(id_col).cast("long").alias("_id"), F.xxhash64(F.col(text_col)).alias("_key"))
+    same = F.col("_id").eqNullSafe(F.col("_gone_id")) & (F.col("_key") == F.col("_gone_key"))
+    return own.join(gone, same, "left_anti").select("_own.*")

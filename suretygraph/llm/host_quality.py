@@ -14,6 +14,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from suretygraph.llm.arrow import put, row_of
 from suretygraph.llm.staging import stored, with_small
 
 GAP = r"[\x20\x09-\x0D]+"
@@ -55,7 +56,12 @@ def repeated_words(words: Column) -> Column:
 
 def measures(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """Adds the measures of each text to its row, in place of input columns of the same name."""
-    text = F.coalesce(F.col(text_col), F.lit(""))
+    return put(_measured(docs.select(row_of(docs).alias("_own"), F.col(text_col).alias("text"))), "_own", *MEASURES)
+
+
+def _measured(rows: DataFrame) -> DataFrame:
+    """The measures in place of ``text``; other columns are the caller's."""
+    text = F.coalesce(F.col("text"), F.lit(""))
     lines = F.filter(F.split(text, "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
     found = _let(words_of(text), lambda w: F.struct(
         F.size(w).cast("long").alias("n_words"),
@@ -63,12 +69,11 @@ def measures(docs: DataFrame, text_col: str = "text") -> DataFrame:
         repeated_words(w).alias("n_repeat_words"),
     ))
     duplicates = _let(lines, lambda x: (F.size(x) - F.size(F.array_distinct(x))).cast("long"))
-    new = {c.lower() for c in MEASURES}
-    own = [F.col(f"`{c}`") for c in docs.columns if c.lower() not in new]
-    rows = docs.select(
+    own = [c for c in rows.columns if c != "text"]
+    counted = rows.select(
         *own, found.alias("_found"), F.regexp_count(text, F.lit(SYMBOLS)).cast("long").alias("n_symbols"),
         duplicates.alias("n_dup_lines"))
-    return rows.select("*", "_found.*").drop("_found")
+    return counted.select(*own, "n_symbols", "n_dup_lines", "_found.*")
 
 
 def rule_failures(least_words: int = 50) -> dict[str, Column]:
@@ -112,18 +117,24 @@ def host_verdicts(measured: DataFrame, host_col: str, most: float = 0.6, least_w
     return beside.select("host", "documents", *rules, rejected.alias("rejected"))
 
 
-def judge(docs: DataFrame, host_col: str = "source", text_col: str = "text", most: float = 0.6, least_words: int = 50) -> DataFrame:
-    """Adds the measures, ``base_failed`` and ``kept`` to every row.
+def judge(
+    docs: DataFrame, host_col: str = "source", text_col: str = "text", most: float = 0.6, least_words: int = 50,
+    keep_text: bool = True,
+) -> DataFrame:
+    """Adds the measures, ``base_failed`` and ``kept`` to every row, in place of columns of these names.
+
+    Every text is measured once: the rows are written with their measures, for the hosts and then for the verdicts. Without
+    ``keep_text`` they are written, and returned, without their text.
 
     A document fails by itself if it is short or repetitive; else it is kept unless its host is rejected. Null and empty
     texts have no words and are short. Documents without a host have no host to be rejected with. Repeated rows count each.
     """
-    measured = measures(docs, text_col)
-    verdicts = stored(host_verdicts(measured, host_col, most, least_words), "verdicts").filter("rejected").select(
-        F.col("host").alias("_host"))
+    rows = docs.select(
+        row_of(docs, () if keep_text else (text_col,)).alias("_own"), F.col(host_col).alias("_of"), F.col(text_col).alias("text"))
+    measured = stored(_measured(rows), "measured")
+    verdicts = stored(host_verdicts(measured, "_of", most, least_words), "verdicts").filter("rejected").select(
+        F.col("host").alias("_host"), F.lit(True).alias("_rejected"))
     rules = rule_failures(least_words)
     failed = reduce(lambda a, b: a | b, [rules[r] for r in BASE])
-    rejected = with_small(
-        measured.withColumn("base_failed", failed), verdicts.withColumn("_rejected", F.lit(True)),
-        F.col(host_col) == F.col("_host"), "left")
-    return rejected.withColumn("kept", ~F.col("base_failed") & F.col("_rejected").isNull()).drop("_host", "_rejected")
+    judged = with_small(measured.withColumn("base_failed", failed), verdicts, F.col("_of") == F.col("_host"), "left")
+    return put(judged.withColumn("kept", ~F.col("base_failed") & F.col("_rejected").isNull()), "_own", *MEASURES, "base_failed", "kept")

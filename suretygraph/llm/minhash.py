@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from suretygraph.llm.arrow import arrow_map, batch, long_lists, longs
+from suretygraph.llm.arrow import arrow_map, batch, long_lists, longs, row_of
 from suretygraph.llm.bitmaps import MOST_BITS, bitmap
 from suretygraph.llm.components import components
 from suretygraph.llm.staging import session_of, stored, with_small
@@ -251,6 +251,11 @@ def _prefix_pairs(left: DataFrame, sets: DataFrame, share: int) -> DataFrame:
     ).select(F.least("hub", "doc").alias("a"), F.greatest("hub", "doc").alias("b")).distinct()
 
 
+def _stars(labels: DataFrame) -> DataFrame:
+    """Links that join what is known to belong together, one for each node: fewer than those it was found by."""
+    return labels.filter("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b"))
+
+
 def classes_and_links(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, share: int = 85,
     most_bits: int = MOST_BITS,
@@ -321,12 +326,11 @@ def classes_and_links(
         pairs, left = pairs.union(new), apart.select("doc", "own").distinct()
         apart = apart.drop("own", "size")
         if not found.isEmpty():
-            links = links.union(found)
-            labels = components(links)
+            labels = components(_stars(labels).union(found))
         elif step > 2:
             if not left.isEmpty():
                 new = stored(_prefix_pairs(left, sets, share).join(pairs, ["a", "b"], "left_anti"), "pairs")
-                labels = components(links.union(stored(_links(new, sets, share), "links")))
+                labels = components(_stars(labels).union(stored(_links(new, sets, share), "links")))
             break
     classes = leaders.join(labels.withColumnRenamed("node", "leader"), "leader", "left").select(
         "set_key", F.coalesce("component", "leader").alias("component_id"))
@@ -343,5 +347,6 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     """
     gone = classes_and_links(docs, id_col, text_col, **options).filter("doc_id <> component_id").select(
         F.col("doc_id").alias("_gone_id"), F.col("text_key").alias("_gone_key"))
-    same = (F.col(id_col).cast("long") == F.col("_gone_id")) & (F.xxhash64(F.col(text_col)) == F.col("_gone_key"))
-    return docs.join(gone, same, "left_anti")
+    own = docs.select(row_of(docs).alias("_own"), F.col(id_col).cast("long").alias("_id"), F.xxhash64(F.col(text_col)).alias("_key"))
+    same = (F.col("_id") == F.col("_gone_id")) & (F.col("_key") == F.col("_gone_key"))
+    return own.join(gone, same, "left_anti").select("_own.*")

@@ -11,42 +11,43 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from suretygraph.llm.arrow import put, row_of
 from suretygraph.llm.host_quality import words_of
+from suretygraph.llm.places import numbered
 from suretygraph.llm.staging import stored, with_small
 
 
 def targets(sizes: DataFrame, weights: Sequence[int] = (1, 2, 3), most: int = 3) -> DataFrame:
     """From rows (source, size) a row for each source: ``source``, ``source_size``, ``weight``, ``target``.
 
-    Sources by code point, null last, weigh as ``weights`` says, again and again. Filled by weight, sources reach their
-    limit in the order of limit / weight. With the first k full, the others share what is left by weight; the k sought is
-    the number of sources that are full before that level. The sums run over one row for each source.
+    Sources by code point, null last, weigh as ``weights`` says, again and again; their places come from range partitions.
+    A level gives each source its weight times the level, or its limit where that is less. It begins where the weights share
+    all, and rises as sources that are full leave the rest to the others, until no more are full. A round is one aggregate over
+    the sources, and there are about as many as levels of fullness that matter: the level meets its end by Newton's steps.
     """
     totals = sizes.groupBy("source").agg(F.sum("size").alias("source_size"))
-    order = Window.orderBy(F.col("source").asc_nulls_last())
-    k = F.row_number().over(order) - 1
-    weight = F.element_at(F.array(*[F.lit(w) for w in weights]), (k % len(weights) + 1).cast("int"))
-    weighed = stored(totals.select("source", "source_size", weight.cast("long").alias("weight")), "weights")
+    placed = numbered(totals, [F.col("source").asc_nulls_last()], "k")
+    weight = F.element_at(F.array(*[F.lit(w) for w in weights]), ((F.col("k") - 1) % len(weights) + 1).cast("int"))
     limit = F.col("source_size") * most
-    fill = Window.orderBy(limit / F.col("weight"), F.col("source").asc_nulls_last())
-    before = fill.rowsBetween(Window.unboundedPreceding, -1)
-    every = Window.partitionBy()
-    zero = F.lit(0).cast("long")
-    level = (
-        (F.sum("source_size").over(every) - F.coalesce(F.sum(limit).over(before), zero))
-        / (F.sum("weight").over(every) - F.coalesce(F.sum("weight").over(before), zero))
-    )
-    levels = weighed.withColumn("level", level)
-    # The first source that is not full at its level is filled to it, and so are all after it.
-    free = F.when(limit.cast("double") > F.col("level") * F.col("weight"), F.col("level"))
-    reached = levels.withColumn("reached", F.first(free, ignorenulls=True).over(
-        Window.orderBy(limit / F.col("weight"), F.col("source").asc_nulls_last())
-        .rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)))
-    target = F.least(limit.cast("double"), F.coalesce(F.col("reached") * F.col("weight"), limit.cast("double")))
-    return reached.select("source", "source_size", "weight", target.alias("target"))
+    weighed = stored(placed.select("source", "source_size", weight.cast("long").alias("weight"), limit.alias("limit")), "weights")
+    total, full, level = None, None, None
+    while True:
+        is_full = F.lit(False) if level is None else F.col("limit").cast("double") <= F.col("weight") * F.lit(level)
+        sums = weighed.agg(
+            F.sum("source_size"), F.count_if(is_full), F.coalesce(F.sum(F.when(is_full, F.col("limit"))), F.lit(0)),
+            F.coalesce(F.sum(F.when(~is_full, F.col("weight"))), F.lit(0))).first()
+        total = sums[0] or 0
+        if sums[1] == full or not sums[3]:  # no more are full, or all are
+            break
+        full, level = sums[1], (total - sums[2]) / sums[3]
+    if level is None or not sums[3]:
+        target = F.col("limit").cast("double")
+    else:
+        target = F.least(F.col("limit").cast("double"), F.col("weight") * F.lit(level))
+    return weighed.select("source", "source_size", "weight", target.alias("target"))
 
 
 def chance(id_col: Column, text: Column) -> Column:
@@ -64,22 +65,28 @@ def plan(
     Null and empty texts have size 0 and count for nothing. A source whose size is 0 has rate 0. Rows without a source are
     one source, the last. Repeated rows with one id are taken the same number of times.
     """
-    new = ("size", "source_size", "target", "rate", "copies")
+    return put(_planned(docs, id_col, source_col, text_col, weights, most), "_own", "size", "source_size", "target", "rate", "copies")
+
+
+def _planned(docs: DataFrame, id_col: str, source_col: str, text_col: str, weights: Sequence[int], most: int) -> DataFrame:
+    """The plan beside each whole row, ``_own``."""
     text = F.col(text_col)
-    own = [F.col(f"`{c}`") for c in docs.columns if c.lower() not in new]
     key = [F.col(source_col).alias("_source"), F.size(words_of(text)).cast("long").alias("size")]
     shares = stored(targets(docs.select(F.col(source_col).alias("source"), key[1]), weights, most), "targets")
-    rows = docs.select(*own, *key, chance(F.col(id_col), text).alias("_chance"))
+    rows = docs.select(row_of(docs).alias("_own"), *key, chance(F.col(id_col), text).alias("_chance"))
     joined = with_small(
         rows, shares.select(F.col("source").alias("_of"), "source_size", "target"), F.col("_source").eqNullSafe(F.col("_of")), "left")
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     whole = F.floor("rate")
     copies = F.least(whole + (F.col("_chance") < F.col("rate") - whole).cast("long"), F.lit(most).cast("long"))
-    return joined.withColumn("rate", rate).withColumn("copies", copies).drop("_source", "_of", "_chance")
+    return joined.withColumn("rate", rate).withColumn("copies", copies)
 
 
-def mix(docs: DataFrame, **options) -> DataFrame:
-    """The mixed documents: each row as often as planned, numbered by ``copy`` from 1."""
-    planned = plan(docs, **options)
-    return planned.filter("copies > 0").withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))).drop(
-        "size", "source_size", "target", "rate", "copies")
+def mix(
+    docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text",
+    weights: Sequence[int] = (1, 2, 3), most: int = 3,
+) -> DataFrame:
+    """The mixed documents: each row as often as planned, numbered by ``copy`` from 1. A column of that name is replaced, all
+    others stay."""
+    planned = _planned(docs, id_col, source_col, text_col, weights, most).filter("copies > 0")
+    return put(planned.select("_own", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))).alias("copy")), "_own", "copy")

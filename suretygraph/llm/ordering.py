@@ -1,4 +1,4 @@
-"""Places and running sums over range partitions: no task holds more than its range, whatever the groups."""
+"""Running sums in groups of any size: range partitions, none of which has to hold a group."""
 
 from __future__ import annotations
 
@@ -6,37 +6,14 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from suretygraph.llm.arrow import arrow_map, longs, put
+from suretygraph.llm.arrow import arrow_map, longs
 from suretygraph.llm.staging import stored
 from suretygraph.llm.tokens import U
 
-#: A partition's rows are counted in the lower bits of ``monotonically_increasing_id``.
-ROW_BITS = 33
-
-
-def numbered(df: DataFrame, order: list[Column], column: str) -> DataFrame:
-    """Adds each row's place in the order, from 1, as ``column`` (replaced if there is one).
-
-    Rows are sorted by range partitions, which are written; a partition's first place is the number of rows in those before
-    it. That sum runs over one row for each partition. Rows that are equal in ``order`` share a partition, so the order should
-    end with something that tells them apart.
-    """
-    spread = df.repartitionByRange(*order).sortWithinPartitions(*order)
-    at = F.monotonically_increasing_id()
-    rows = stored(spread.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("_own"), at.alias("_at")), "sorted")
-    part = F.shiftright("_at", ROW_BITS)
-    counts = rows.groupBy(part.alias("_part")).agg(F.count("*").alias("_n"))
-    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
-    placed = rows.withColumn("_part", part).join(F.broadcast(offsets), "_part")
-    place = F.col("_before") + F.col("_at").bitwiseAND(F.lit((1 << ROW_BITS) - 1)) + 1
-    return put(placed.select("_own", place.alias(column)), "_own", column)
-
-
 def running_sums(df: DataFrame, group: str, order: list[Column], terms: list[str]) -> DataFrame:
     """Adds to each row the sums of its group's terms up to it (``name_sum``) and before it (``name_before``).
 

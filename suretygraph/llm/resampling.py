@@ -26,8 +26,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from suretygraph.llm.arrow import arrow_map, batch, longs
-from suretygraph.llm.ordering import numbered
+from suretygraph.llm.arrow import arrow_map, batch, longs, row_of
+from suretygraph.llm.places import numbered
 from suretygraph.llm.staging import session_of, stored
 
 BUCKETS, LONGEST = 10_000, 2
@@ -157,5 +157,5 @@ def ranked(
 def resample(docs: DataFrame, target: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """The drawn documents, all their columns. Rows of one id go together, those without an id too."""
     ids = ranked(docs, target, id_col, text_col, **options).filter("rank is not null").select(F.col("doc_id").alias("_drawn")).distinct()
-    own = docs.select(F.col(id_col).alias("_id"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_own"))
+    own = docs.select(F.col(id_col).alias("_id"), row_of(docs).alias("_own"))
     return own.join(ids, F.col("_id").eqNullSafe(F.col("_drawn")), "left_semi").select("_own.*")

@@ -26,7 +26,7 @@ from math import floor, log2
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from suretygraph.llm.arrow import put
+from suretygraph.llm.arrow import put, row_of
 
 # Fixed values of the patterns; letters of the names are written in both cases.
 NAMES = ("password", "passwd", "secret", "token", "api_?key")
@@ -204,7 +204,7 @@ def find_secrets(
     """Adds ``spans``, an array of (``kind``, ``start``, ``end``) ordered by start, then by kind as in ``BASE`` and ``classes``."""
     text = F.coalesce(F.col("_text"), F.lit(""))
     kinds = [*BASE, *(c.name for c in classes)]
-    own = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_own"), F.col(f"`{text_col}`").alias("_text"))
+    own = docs.select(row_of(docs).alias("_own"), F.col(f"`{text_col}`").alias("_text"))
     found = own.select("_own", *[s.alias(f"_k{k}") for k, s in enumerate([*base_spans(text), *entropy_spans(text, classes, allowed)])])
 
     def of_kind(k: int) -> Column:

@@ -22,5 +22,7 @@ def awkward(spark):
 def clashing(df):
     """More columns, named like those that operators make or use."""
     names = ("n_words", "name", "place", "size", "score", "bucket", "kept", "n", "host", "rule", "words", "target", "copies",
-             "text_key", "least", "_id", "path", "digest", "bytes", "first", "at", "toxic", "n_hit", "label")
+             "text_key", "least", "_id", "path", "digest", "bytes", "first", "at", "toxic", "n_hit", "label",
+             "_own", "_found", "_host", "_rejected", "_chance", "_source", "_of", "_gone_id", "_gone_key", "_key", "_text", "_row",
+             "source_size", "rate", "copy", "n_removed", "kept_text", "base_failed", "whole", "item_ids", "_split", "spans")
     return df.withColumns({n: F.lit("x") for n in names if n not in df.columns})

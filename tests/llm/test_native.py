@@ -6,10 +6,13 @@ import re
 from collections import Counter
 
 import pytest
-from conftest import plan_of
+from compare import duck, rows_of_duck, rows_of_spark
+from conftest import SF, plan_of
 from helpers import LONG, awkward, clashing, documents
+from pyspark.sql import functions as F
 
 from suretygraph.llm import chat, host_quality, mixture
+from suretygraph.llm.oracle import ORACLE
 
 
 def measured(text):
@@ -45,6 +48,26 @@ def test_a_bad_host_goes_with_its_good_documents(spark):
     assert "Python" not in plan_of(out) and "MapIn" not in plan_of(out)
 
 
+@pytest.mark.parametrize("most", [0.6, 0.07, 0.02])
+def test_verdicts_at_thresholds_inside_the_range_of_rates(spark, most):
+    """On the given table no host reaches the usual threshold; lower ones reject some."""
+    sql = ORACLE["op1_host_quality"]
+    assert sql.count("> 0.6") == 1
+    wanted, names = rows_of_duck(duck(SF), sql.replace("> 0.6", f"> {most}"))
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    judged = host_quality.judge(docs, most=most).select("doc_id", *host_quality.MEASURES, "base_failed", "kept")
+    assert rows_of_spark(judged) == (wanted, names)
+    by_host = sum(not r[names.index("kept")] and not r[names.index("base_failed")] for r in wanted)
+    assert (by_host > 0) == (most < 0.6)
+
+
+def test_texts_are_measured_once_and_other_columns_stay(spark):
+    docs = clashing(documents(spark, [(1, "a b c", "en", "s", 5)])).withColumn("kept", F.lit("mine"))
+    out = host_quality.judge(docs, keep_text=False)
+    assert "text" not in out.columns and out.first()["_host"] == "x" and out.first()["kept"] is False
+    assert "split" not in plan_of(out).lower()
+
+
 def test_quality_of_awkward_rows(spark):
     docs = clashing(awkward(spark))
     rows = host_quality.judge(docs).collect()
@@ -96,6 +119,25 @@ def test_mixture_takes_what_is_planned(spark):
     assert "Python" not in plan_of(mixed) and "MapIn" not in plan_of(mixed)
 
 
+def test_mixture_of_very_many_sources(spark):
+    """Places and levels come from range partitions and aggregates: no window over all sources."""
+    sizes = spark.range(100_000).selectExpr("concat('s', id) AS source", "1 + id % 7 * id % 1000 AS size")
+    found = mixture.targets(sizes)
+    rows = found.collect()
+    assert [r.weight for r in sorted(rows, key=lambda r: r.source)] == [1 + k % 3 for k in range(100_000)]
+    assert sum(r.target for r in rows) == pytest.approx(sum(r.source_size for r in rows))
+    level = max(r.target / r.weight for r in rows)
+    assert all(r.target == pytest.approx(min(3 * r.source_size, level * r.weight)) for r in rows)
+    assert "Window" not in plan_of(found)
+
+
+def test_mixing_keeps_every_other_column(spark):
+    docs = clashing(documents(spark, [(i, "w " * 5, None, "s", None) for i in range(9)]))
+    mixed = mixture.mix(docs)
+    assert set(mixed.columns) == set(docs.columns)
+    assert all(r["size"] == r["target"] == r["_of"] == "x" and 1 <= r["copy"] <= 3 for r in mixed.collect())
+
+
 def test_mixture_of_awkward_rows(spark):
     docs = awkward(spark)
     rows = mixture.plan(clashing(docs)).collect()

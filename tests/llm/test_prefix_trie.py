@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from helpers import clashing
 
-from suretygraph.llm import ordering, prefix_trie
+from suretygraph.llm import ordering, places, prefix_trie
 from suretygraph.llm.tokens import U
 
 COLUMNS = "conv_id long, turn long, role string, text string"
@@ -140,7 +140,7 @@ def test_running_sums_and_places(spark):
         sums[g] = before + x
         assert found[i] == (wrap(before), wrap(before + x))
     order = [frame.x.desc(), frame.i.asc()]
-    places = {r.i: r.place for r in ordering.numbered(clashing(frame), order, "place").collect()}
-    assert [i for i, _ in sorted(places.items(), key=lambda p: p[1])] == [i for _, i, _ in sorted(rows, key=lambda r: (-r[2], r[1]))]
-    assert sorted(places.values()) == list(range(1, 3001))
-    assert ordering.numbered(frame.limit(0), order, "i").count() == 0
+    at = {r.i: r.place for r in places.numbered(clashing(frame), order, "place").collect()}
+    assert [i for i, _ in sorted(at.items(), key=lambda p: p[1])] == [i for _, i, _ in sorted(rows, key=lambda r: (-r[2], r[1]))]
+    assert sorted(at.values()) == list(range(1, 3001))
+    assert places.numbered(frame.limit(0), order, "i").count() == 0
