@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from suretygraph.llm import decontamination, minhash, mixture, substring, toxicity
+from suretygraph.llm.arrow import row_of
 from suretygraph.llm.staging import stored
 
 
@@ -26,10 +27,13 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def remove_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """A text that loses words is its other words joined by one space; a text that loses none stays as it is."""
-    cut = substring.remove_repeats(docs.withColumn("_text", F.col("text")))
-    text = F.when(F.col("n_removed") > 0, F.col("kept_text")).otherwise(F.col("_text"))
-    n_chars = F.when(F.col("n_removed") > 0, F.length("kept_text").cast("long")).otherwise(F.col("n_chars"))
-    return cut.withColumns({"text": text, "n_chars": n_chars}).select(docs.columns)
+    cut = substring.remove_repeats(docs.select("doc_id", "text", row_of(docs).alias("whole")))
+    changed = F.col("n_removed") > 0
+    new = {
+        "text": F.when(changed, F.col("kept_text")).otherwise(F.col("whole.text")),
+        "n_chars": F.when(changed, F.length("kept_text").cast("long")).otherwise(F.col("whole.n_chars")),
+    }
+    return cut.select(*[new.get(c, F.col("whole").getField(c)).alias(c) for c in docs.columns])
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
