@@ -1,15 +1,18 @@
 """Language of the words of a text by a linear-chain conditional random field.
 
-Labels are the languages. A word's features are its affixes, its character n-grams and what a lexicon of word counts per
-language, taken over all documents to learn from, says about it. Transitions between the labels of neighbouring words
-are learnt too. Forward-backward gives each word's probabilities, so code-switched texts are labelled word by word; a
-document's language is the one with the most expected words.
-
-The lexicon is a table of counts in 2**LEXICON_BITS buckets of the word's hash, filled by one aggregate over the whole
-corpus, so its size doesn't grow with it. The weights of the other features lie in 2**FEATURE_BITS buckets. They are
-fitted on a bounded sample: of up to ``most_texts`` documents of each language, up to SPANS spans each of up to SPAN
-words drawn from the whole text. Spans of different languages are strung together, which shows the field what a switch
-looks like.
+Labels are the languages. A chain's positions are the words; a word of more than ``LONGEST`` bytes, as a line of a script without
+spaces is, takes several, cut between characters, so that all of it is labelled and a switch inside is seen. A position's
+features are its character n-grams (those that reach into the word's next position too), the word's affixes where it begins
+and ends, and what a lexicon of word counts per language, taken over all documents to learn from, says about the whole word.
+Transitions between the labels of neighbouring positions are learnt too. Forward-backward gives each position's probabilities,
+so code-switched texts are labelled word by word; a document's language is the one with the most expected positions.
+
+The lexicon counts every word of every document to learn from, under its whole hash. Of these the most frequent are
+broadcast: those above the least count that leaves at most ``most_words`` of them (and at most LEXICON_BYTES in all, so the more
+languages, the fewer words). Rarer words are told by their characters alone. The weights of the other features lie in
+2**FEATURE_BITS buckets. They are fitted on a bounded sample: of up to ``most_texts`` documents of each language, up to SPANS
+spans each of up to SPAN positions drawn from the whole text. Spans of different languages are strung together, which shows the
+field what a switch looks like, and half of the words are shown without their entry in the lexicon. A span that begins or ends inside a long word takes the cut for the word's end.
 """
 
 from __future__ import annotations
@@ -28,42 +31,128 @@ from suretygraph.llm.staging import session_of, stored
 from suretygraph.llm.tokens import FOLDED, U, Words, mix, words
 
 MOST_TEXTS, SPANS, SPAN = 500, 4, 24
-LEXICON_BITS, FEATURE_BITS = 20, 16
+MOST_WORDS, LEXICON_BYTES, FEATURE_BITS = 1 << 18, 64 << 20, 16
+#: Bytes of one position of a chain at most; a longer word takes several.
+LONGEST = 48
+#: So many positions' features are worked out at once.
+BLOCK = 1 << 14
+#: Totals of words are told apart up to here when the least count is chosen.
+COUNTED = 1 << 16
 _GRAMS = (1, 2, 3)
 UNDETERMINED = "und"
 
 
+# -- positions and their features -------------------------------------------------------------------
 
-# -- features ---------------------------------------------------------------------------------------
 
-
-def character_features(w: Words, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Buckets of the features of the words numbered ``at``, and the place in ``at`` of each: n-grams of up to three
-    bytes anywhere in the word, and those at its beginning and end, which are its affixes."""
-    starts, ends = w.starts[at], w.ends[at]
-    length = np.minimum(ends - starts, 64)  # what follows in a longer word says no more about its language
+@dataclass
+class Positions:
+    """Positions of consecutive rows' chains: row i has those from first[i] to first[i + 1]. ``word`` is the number of the word,
+    ``piece`` counts the word's positions from 0, ``finishes`` says which is its last."""
+
+    starts: np.ndarray
+    ends: np.ndarray
+    word: np.ndarray
+    piece: np.ndarray
+    finishes: np.ndarray
+    first: np.ndarray
+
+
+def positions(w: Words) -> Positions:
+    length = w.ends - w.starts
+    n = np.maximum(-(-length // LONGEST), 1)
+    word = np.repeat(np.arange(len(length)), n)
+    offset = np.concatenate([[0], np.cumsum(n)])
+    piece = np.arange(offset[-1]) - offset[word]
+    starts, finishes = w.starts[word] + piece * LONGEST, piece + 1 == n[word]
+    for _ in range(3):  # back to the first byte of a character
+        starts = starts - ((piece > 0) & (w.buffer[starts] & 0xC0 == 0x80))
+    ends = np.where(finishes, w.ends[word], np.append(starts[1:], 0)) if len(word) else starts
+    return Positions(starts, ends, word, piece, finishes, offset[w.first])
+
+
+def character_features(w: Words, p: Positions, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Buckets of the features of the positions numbered ``at``, and the place in ``at`` of each: n-grams of up to three
+    bytes that begin in the position, and those at the word's beginning and end, which are its affixes."""
+    starts, length = p.starts[at], p.ends[at] - p.starts[at]
+    left = w.ends[p.word[at]] - starts  # bytes to the word's end
     begin = np.concatenate([[0], np.cumsum(length)])
     owner = np.repeat(np.arange(len(at)), length)
     inside = np.arange(begin[-1]) - begin[owner]
-    data = FOLDED.of(w.buffer)[starts[owner] + inside].astype(U) + U(1)
+    place = starts[owner] + inside
+    opens = (p.piece[at] == 0)[owner] & (inside == 0)
     names, owners = [], []
     for n in _GRAMS:
-        if len(data) < n:
-            break
-        m = len(data) - n + 1
-        gram = np.full(m, n, U)
+        whole = np.flatnonzero(inside + n <= left[owner])
+        gram = np.full(len(whole), n, U)
         for k in range(n):
-            gram = gram * U(257) + data[k : k + m]
-        whole = inside[:m] + n <= length[owner[:m]]
-        gram, place, own = gram[whole], inside[:m][whole], owner[:m][whole]
-        for kind, some in ((0, slice(None)), (1, place == 0), (2, place + n == length[own])):
+            gram = gram * U(257) + FOLDED.of(w.buffer[place[whole] + k]).astype(U) + U(1)
+        own = owner[whole]
+        for kind, some in ((0, slice(None)), (1, opens[whole]), (2, inside[whole] + n == left[own])):
             names.append(mix(gram[some] * U(3) + U(kind)) & U((1 << FEATURE_BITS) - 1))
             owners.append(own[some])
-    if not names:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
     return np.concatenate(names).astype(np.int64), np.concatenate(owners)
 
 
+# -- the lexicon ------------------------------------------------------------------------------------
+
+
+@dataclass
+class Lexicon:
+    """Words by whole hash, ascending, and the log share of each language among a word's uses."""
+
+    hashes: np.ndarray
+    shares: np.ndarray
+
+    def of(self, hashes: np.ndarray) -> np.ndarray:
+        """0 for every language where a word isn't known."""
+        out = np.zeros((len(hashes), self.shares.shape[1]), np.float32)
+        if len(self.hashes):
+            at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
+            hit = self.hashes[at] == hashes
+            out[hit] = self.shares[at[hit]]
+        return out
+
+
+def _word_rows(batches):
+    for b in batches:
+        language = b["language"].to_numpy(zero_copy_only=False)
+        for w in words(b["text"], FOLDED):
+            own = language[w.row + np.repeat(np.arange(len(w)), np.diff(w.first))]
+            for j in np.unique(own):
+                hashes, n = np.unique(w.hashes[own == j], return_counts=True)
+                yield batch(hash=longs(hashes), language=longs(np.full(len(hashes), j)), n=longs(n))
+
+
+def lexicon(texts: DataFrame, k: int, most_words: int = MOST_WORDS) -> Lexicon:
+    """From rows (language from 0 to k, text). Counts are taken over all words; the table that comes to the driver has at most
+    ``most_words`` of them and LEXICON_BYTES."""
+    most_words = min(most_words, LEXICON_BYTES // (8 + 4 * k))
+    each = arrow_map(texts, _word_rows, "hash long, language long, n long").groupBy("hash", "language").agg(F.sum("n").alias("n"))
+    pairs = F.collect_list(F.struct("language", "n")).alias("pairs")  # one for each language at most
+    counts = stored(each.groupBy("hash").agg(F.sum("n").alias("total"), pairs), "words")
+    # How many words there are of each total; beyond COUNTED the totals aren't told apart at first.
+    histogram = counts.groupBy(F.least("total", F.lit(COUNTED)).alias("total")).agg(F.count("*").alias("n")).collect()
+    least, known = COUNTED, 0
+    for r in sorted(histogram, key=lambda r: -r["total"]):
+        known += r["n"]
+        if known > most_words:
+            break
+        least = r["total"]
+    while counts.filter(F.col("total") >= least).count() > most_words:
+        least *= 2
+    rows = counts.filter(F.col("total") >= least).select("hash", F.inline("pairs")).toArrow()
+    hashes, at = np.unique(rows["hash"].to_numpy().view(U), return_inverse=True)
+    table = np.zeros((len(hashes), k))
+    table[at, rows["language"].to_numpy()] = rows["n"].to_numpy()
+    in_all = counts.select(F.inline("pairs")).groupBy("language").agg(F.sum("n").alias("n")).collect()
+    sizes = np.ones(k)
+    for r in in_all:
+        sizes[r["language"]] = r["n"]
+    smooth = table / sizes * 1e6 + 0.05
+    return Lexicon(hashes, np.log(smooth / smooth.sum(axis=1, keepdims=True)).astype(np.float32))
+
+
 # -- forward-backward -------------------------------------------------------------------------------
 
 
@@ -141,73 +230,81 @@ def transition_marginals(alpha, beta, e, starts, transition) -> np.ndarray:
 @dataclass
 class Field:
     languages: list[str]
-    lexicon: np.ndarray  # 2**LEXICON_BITS x languages, log share of the language among a bucket's words; 0: unseen
+    lexicon: Lexicon
     characters: np.ndarray  # 2**FEATURE_BITS x languages
     word: float  # weight of the lexicon
     bias: np.ndarray
     transition: np.ndarray
 
-    def emission(self, w: Words, lo: int, hi: int) -> np.ndarray:
-        """Scores of the words lo to hi; each different word is worked out once."""
-        _, one, which = np.unique(w.hashes[lo:hi], return_index=True, return_inverse=True)
-        at = one + lo
-        names, owner = character_features(w, at)
-        out = self.bias + self.word * self.lexicon[lexicon_buckets(w.hashes[at])]
-        size = np.maximum(np.bincount(owner, minlength=len(at)), 1)
-        for k in range(len(self.languages)):
-            out[:, k] += np.bincount(owner, self.characters[names, k], len(at)) / np.sqrt(size)
+    def emission(self, w: Words, p: Positions) -> np.ndarray:
+        """Scores of all positions; each different one is worked out once, a block of them at a time."""
+        hashes = w.hashes[p.word]
+        whole = (p.piece == 0) & p.finishes
+        key = np.where(whole, hashes, mix(hashes + (p.piece + 1).astype(U) * U(0x9E3779B97F4A7C15)))
+        _, one, which = np.unique(key, return_index=True, return_inverse=True)
+        out = np.empty((len(one), len(self.languages)))
+        for begin in range(0, len(one), BLOCK):
+            at = one[begin : begin + BLOCK]
+            names, owner = character_features(w, p, at)
+            size = np.sqrt(np.maximum(np.bincount(owner, minlength=len(at)), 1))
+            scores = self.bias + self.word * self.lexicon.of(hashes[at])
+            for k in range(len(self.languages)):
+                scores[:, k] += np.bincount(owner, self.characters[names, k], len(at)) / size
+            out[begin : begin + BLOCK] = scores
         return out[which]
 
+    def marginals(self, w: Words) -> tuple[Positions, np.ndarray]:
+        """The positions and each language's probability there."""
+        p = positions(w)
+        if not len(p.word):
+            return p, np.zeros((0, len(self.languages)))
+        return p, chain(self.emission(w, p), p.first, self.transition)[0]
+
     def shares(self, w: Words) -> np.ndarray:
-        """Mean probability of each language over the words of each text."""
+        """Mean probability of each language over the positions of each text."""
         out = np.zeros((len(w), len(self.languages)))
-        if len(w.hashes):
-            marginal = chain(self.emission(w, 0, len(w.hashes)), w.first, self.transition)[0]
-            filled = np.diff(w.first) > 0
-            out[filled] = np.add.reduceat(marginal, w.first[:-1][filled]) / np.diff(w.first)[filled, None]
+        p, marginal = self.marginals(w)
+        filled = np.diff(p.first) > 0
+        if filled.any():
+            out[filled] = np.add.reduceat(marginal, p.first[:-1][filled]) / np.diff(p.first)[filled, None]
         return out
 
 
-def lexicon_buckets(hashes: np.ndarray) -> np.ndarray:
-    return (hashes & U((1 << LEXICON_BITS) - 1)).astype(np.int64)
-
-
-def _lexicon_rows(batches):
-    for b in batches:
-        language = b["language"].to_numpy(zero_copy_only=False)
-        for w in words(b["text"], FOLDED):
-            own = language[w.row + np.repeat(np.arange(len(w)), np.diff(w.first))]
-            key, n = np.unique(own.astype(np.int64) << LEXICON_BITS | lexicon_buckets(w.hashes), return_counts=True)
-            yield batch(key=longs(key), n=longs(n))
-
-
 def _span_rows(batches):
     for b in batches:
         for w in words(b["text"], FOLDED):
-            spans, row = [], []
+            p, spans, row = positions(w), [], []
             for i in range(len(w)):
-                lo, hi = w.first[i], w.first[i + 1]
-                drawn = np.random.default_rng(int(w.hashes[lo:hi].sum(dtype=U) & U(0xFFFFFFFF))).integers(lo, max(hi - SPAN, lo) + 1, SPANS)
+                lo, hi = p.first[i], p.first[i + 1]
+                seed = int(w.hashes[w.first[i] : w.first[i + 1]].sum(dtype=U) & U(0xFFFFFFFF))
+                drawn = np.random.default_rng(seed).integers(lo, max(hi - SPAN, lo) + 1, SPANS)
                 for at in sorted(set(drawn.tolist())) if hi > lo else []:
-                    spans.append(b" ".join(bytes(w.buffer[s:e][:256]) for s, e in zip(w.starts[at : min(at + SPAN, hi)], w.ends[at : min(at + SPAN, hi)])))
+                    parts = [(b" " if p.piece[j] == 0 else b"") + bytes(w.buffer[p.starts[j] : p.ends[j]]) for j in range(at, min(at + SPAN, hi))]
+                    spans.append(b"".join(parts).lstrip(b" "))
                     row.append(w.row + i)
             yield batch(language=b["language"].take(pa.array(row, pa.int32())), at=b["at"].take(pa.array(row, pa.int32())), span=pa.array(spans, pa.binary()))
 
 
-def fit_weights(spans: list[bytes], language: np.ndarray, languages: list[str], lexicon: np.ndarray, epochs: int = 40) -> Field:
+def fit_weights(spans: list[bytes], language: np.ndarray, languages: list[str], lexicon: Lexicon, epochs: int = 40) -> Field:
     """Gradient ascent with a rate for each coordinate on the conditional likelihood of the sample."""
     k = len(languages)
     order = np.random.default_rng(2).permutation(len(spans))
     spans, language = [spans[i] for i in order], language[order]
     w = next(words(pa.array([b" ".join(spans)]), FOLDED))
-    label = np.repeat(language, [len(s.split()) for s in spans])
+    p = positions(w)
+    # Where each span's positions begin: its first word's first one.
+    in_words = np.concatenate([[0], np.cumsum([len(s.split()) for s in spans])])
+    bounds = np.append(np.flatnonzero(p.piece == 0), len(p.word))[in_words]
+    label = np.repeat(language, np.diff(bounds))
     # Three spans are one chain, so that a third or more of the spans begin without a switch.
-    bounds = np.concatenate([[0], np.cumsum([len(s.split()) for s in spans])])
     first = np.unique(np.append(bounds[::3], bounds[-1]))
-    _, one, which = np.unique(w.hashes, return_index=True, return_inverse=True)
-    names, owner = character_features(w, one)
+    hashes = w.hashes[p.word]
+    key = mix(hashes + p.piece.astype(U) * U(0x9E3779B97F4A7C15))
+    _, one, which = np.unique(key, return_index=True, return_inverse=True)
+    names, owner = character_features(w, p, one)
     size = np.sqrt(np.maximum(np.bincount(owner, minlength=len(one)), 1))
-    known = lexicon[lexicon_buckets(w.hashes[one])]
+    # Half of the words are shown as unknown, or their characters would never have to tell.
+    known = lexicon.of(hashes[one]) * (mix(hashes[one]) & U(1) == 0)[:, None]
     theta = {"c": np.zeros((1 << FEATURE_BITS, k)), "w": np.ones(1), "b": np.zeros(k), "t": np.zeros((k, k))}
     squares = {x: np.full_like(v, 1e-8) for x, v in theta.items()}
     truth = np.eye(k)[label]
@@ -234,7 +331,8 @@ def fit_weights(spans: list[bytes], language: np.ndarray, languages: list[str],
     return Field(languages, lexicon, theta["c"], float(theta["w"][0]), theta["b"], theta["t"])
 
 
-def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", most_texts: int = MOST_TEXTS) -> Field | None:
+def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", most_texts: int = MOST_TEXTS,
+        most_words: int = MOST_WORDS) -> Field | None:
     """Learns from documents with a language that aren't held out; None if there are none with words.
 
     The languages are collected: their number is that of the label set, not of the documents.
@@ -248,16 +346,7 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
         return None
     number = spark.createDataFrame(list(zip(languages, range(len(languages)))), "lang string, language int")
     numbered = known.join(F.broadcast(number), "lang")  # one row for each language
-    counts = arrow_map(numbered.select("language", "text"), _lexicon_rows, "key long, n long").groupBy("key").agg(
-        F.sum("n").alias("n")).toArrow()  # at most 2**LEXICON_BITS rows for each language
-    table = np.zeros(len(languages) << LEXICON_BITS)
-    table[counts["key"].to_numpy()] = counts["n"].to_numpy()
-    table = table.reshape(len(languages), -1).T
-    table = table / np.maximum(table.sum(axis=0), 1) * 1e6 + 0.0
-    seen = table.sum(axis=1) > 0
-    lexicon = np.zeros(table.shape, np.float32)
-    smooth = table[seen] + 0.05
-    lexicon[seen] = np.log(smooth / smooth.sum(axis=1, keepdims=True))
+    table = lexicon(numbered.select("language", "text"), len(languages), most_words)
     sample = None
     order = draw("id", "language")
     for j in range(len(languages)):
@@ -267,10 +356,10 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
     spans = arrow_map(
         numbered.select("id", "language", "text").join(F.broadcast(sample), ["id", "language"]).select("language", "at", "text"),
         _span_rows, "language int, at long, span binary",
-    ).orderBy("at", "language", "span").toArrow()  # at most most_texts * SPANS spans for each language
+    ).orderBy("at", "language", "span").toArrow()  # at most most_texts * SPANS spans of SPAN * LONGEST bytes for each language
     if not spans.num_rows:
         return None
-    return fit_weights(spans["span"].to_pylist(), spans["language"].to_numpy(), languages, lexicon)
+    return fit_weights(spans["span"].to_pylist(), spans["language"].to_numpy(), languages, table)
 
 
 def _label(field):

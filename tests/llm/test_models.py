@@ -50,10 +50,89 @@ def test_language_of_held_out_and_switched_texts(spark):
     assert out.filter("lang <> lang_pred").isEmpty()
     switched = " ".join(sets["en"] * 5 + sets["de"] * 5)
     w = next(words(pa.array([switched]), FOLDED))
-    best = crf.chain(field.emission(w, 0, 40), w.first, field.transition)[0].argmax(axis=1)
+    best = field.marginals(w)[1].argmax(axis=1)
     assert [field.languages[k] for k in best] == ["en"] * 20 + ["de"] * 20
 
 
+def _positions(text):
+    """Words cut as told: every ``LONGEST`` bytes, back to the first byte of a character."""
+    out = []
+    for word in text.encode().split():
+        cuts = [0]
+        for at in range(crf.LONGEST, len(word), crf.LONGEST):
+            while word[at] & 0xC0 == 0x80:
+                at -= 1
+            cuts.append(at)
+        out += [(word, a, b) for a, b in zip(cuts, [*cuts[1:], len(word)])]
+    return out
+
+
+def _features(word, begin, end):
+    """Numbers of the n-grams that begin in a part of a word, and of its affixes if they do."""
+    word, found = word.lower(), Counter()
+    for n in (1, 2, 3):
+        for at in range(begin, min(end, len(word) - n + 1)):
+            gram = n
+            for byte in word[at : at + n]:
+                gram = (gram * 257 + byte + 1) % (1 << 64)
+            for kind, holds in ((0, True), (1, at == 0), (2, at + n == len(word))):
+                if holds:
+                    found[int(crf.mix(np.array([(gram * 3 + kind) % (1 << 64)], np.uint64))[0]) % (1 << crf.FEATURE_BITS)] += 1
+    return found
+
+
+def test_features_of_whole_words():
+    texts = ["The thing", "", "x", "a" * 64 + "z" * 16, "é" * 100 + "ß", "日本語" * 60 + " word " + "q" * 48, "w" * 49, "a" * 47 + "é" + "b" * 5, None]
+    found = list(words(pa.array(texts), FOLDED))
+    assert len(found) == 1
+    w = found[0]
+    p = crf.positions(w)
+    wanted = [x for t in texts for x in _positions(t or "")]
+    assert [bytes(w.buffer[a:b]) for a, b in zip(p.starts, p.ends)] == [word[a:b] for word, a, b in wanted]
+    assert np.diff(p.first).tolist() == [len(_positions(t or "")) for t in texts]
+    names, owner = crf.character_features(w, p, np.arange(len(p.word)))
+    for k, (word, a, b) in enumerate(wanted):
+        assert Counter(names[owner == k].tolist()) == _features(word, a, b)
+
+
+def test_a_long_word_is_read_to_its_end(spark):
+    docs, sets = _languages(spark)
+    field = crf.fit(docs)
+    run = lambda lang: "".join(sets[lang] * 30)
+    w = next(words(pa.array([run("fr")[:100] + run("en"), run("de"), run("en") + run("de")]), FOLDED))
+    p, marginal = field.marginals(w)
+    best = [field.languages[k] for k in marginal.argmax(axis=1)]
+    first, second, third = (best[a:b] for a, b in zip(p.first[:-1], p.first[1:]))
+    assert first.count("en") > 0.7 * len(first) > 5 and second.count("de") > 0.8 * len(second)
+    half = len(third) // 2
+    assert third[: half - 1].count("en") > 0.7 * half and third[half + 1 :].count("de") > 0.7 * half
+    labelled = crf.predict(documents(spark, [(0, run("fr")[:100] + run("en") * 3, None, None, None)]), field).first()
+    assert labelled.lang_pred == "en"
+
+
+def test_the_lexicon_counts_every_word(spark):
+    draw = np.random.default_rng(3)
+    rows = [(int(draw.integers(0, 2)), " ".join(f"W{x}" for x in draw.zipf(1.3, 50) % 500)) for _ in range(40)]
+    frame = spark.createDataFrame(rows, "language int, text string").repartition(3)
+    counts = Counter((language, word.lower()) for language, text in rows for word in text.split())
+    names = sorted({word for _, word in counts})
+    hashes = next(words(pa.array(names), FOLDED)).hashes
+    in_all = [sum(n for (j, _), n in counts.items() if j == k) for k in (0, 1)]
+    for most in (10_000, 60, 3):
+        totals = Counter()
+        for (_, word), n in counts.items():
+            totals[word] += n
+        least = min((c for c in set(totals.values()) if sum(n >= c for n in totals.values()) <= most), default=None)
+        found = crf.lexicon(frame, 2, most).of(hashes)
+        for word, row in zip(names, found):
+            if least is None or totals[word] < least:
+                assert not row.any()
+            else:
+                rates = np.array([counts[(k, word)] / in_all[k] * 1e6 + 0.05 for k in (0, 1)])
+                assert np.allclose(row, np.log(rates / rates.sum()), atol=1e-5)
+    assert not crf.lexicon(frame.limit(0), 2).of(hashes).any()
+
+
 def test_language_of_awkward_rows(spark):
     docs, _ = _languages(spark)
     rows = crf.predict(clashing(awkward(spark)), crf.fit(docs.union(awkward(spark)))).collect()
