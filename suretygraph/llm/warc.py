@@ -2,7 +2,8 @@
 
 A record's payload is cut into chunks of at most ``chunk`` bytes, rows of a record identifier and a chunk number. Each
 chunk becomes one WARC segment (the first a response, the others continuation records, as WARC 1.1 has it for payloads in
-parts), so no task ever formats, writes or parses a whole large record. Every segment carries the digest of its own
+parts), so no task ever shuffles, formats, writes or parses a whole large record; which page is the first with a payload is found
+from ids and digests alone. A payload comes as one cell of the table, so it is its scan that takes the digest. Every segment carries the digest of its own
 block; reading it back, the SHA-256 of the payload is carried on from chunk to chunk.
 
 Files are plain or gzip text that Spark's own writer puts into any store. Segments are told apart by the line that begins
@@ -19,6 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from suretygraph.llm.arrow import arrow_map, batch, longs
+from suretygraph.llm.staging import stored, with_small
 
 CHUNK = 1 << 16
 #: Payloads below this size are never revisits.
@@ -36,14 +38,13 @@ def payloads(pages: DataFrame, id_col: str, url_col: str, body_col: str) -> Data
     ).withColumns({"bytes": F.octet_length("body").cast("long"), "digest": F.sha2("body", 256)})
 
 
-def with_first(rows: DataFrame) -> DataFrame:
-    """Adds ``first``, the smallest page among equal payloads of at least LEAST bytes; null for smaller ones."""
-    firsts = (
+def first_pages(rows: DataFrame) -> DataFrame:
+    """``digest`` and ``first``, the smallest page, of payloads of at least LEAST bytes that several pages have. Only ids, sizes
+    and digests are shuffled."""
+    return (
         rows.filter(F.col("bytes") >= LEAST).groupBy("digest", F.crc32("digest").alias("_split"))
-        .agg(F.min("page_id").alias("first"), F.max("page_id").alias("last")).filter("first < last").select("digest", "first")
+        .agg(F.min("page_id").alias("first"), F.count("*").alias("n")).filter("first is not null and n > 1").select("digest", "first")
     )
-    joined = rows.join(firsts, "digest", "left")
-    return joined.withColumn("first", F.when(F.col("bytes") >= LEAST, F.col("first")))
 
 
 def _cuts(body: Column, chunk: int) -> Column:
@@ -65,14 +66,15 @@ def _cuts(body: Column, chunk: int) -> Column:
 
 
 def chunks(rows: DataFrame, chunk: int = CHUNK) -> DataFrame:
-    """A row for each chunk of a payload: ``record``, ``number`` from 1, ``of`` (how many), ``block``."""
+    """A row for each chunk of a payload: ``record``, ``number`` from 1, ``of`` (how many), ``block``. No payload is shuffled
+    before it is cut."""
     cut = rows.withColumn("cuts", _cuts(F.col("body"), chunk))
     return cut.select(
         "*", F.size("cuts").alias("of"), F.posexplode("cuts").alias("number", "begin")
     ).select(
         "*", F.coalesce(F.get("cuts", F.col("number") + 1), F.octet_length("body").cast("long")).alias("end")
     ).select(
-        "record", "page_id", "url", "bytes", "digest", "kind", "first", "of", (F.col("number") + 1).alias("number"),
+        "record", "page_id", "url", "bytes", "digest", "of", (F.col("number") + 1).alias("number"),
         F.substring("body", F.col("begin").cast("int") + 1, (F.col("end") - F.col("begin")).cast("int")).alias("block"),
     )
 
@@ -115,15 +117,18 @@ def write_archives(
     responses, the others revisits without a payload. A null id is larger than all others: such rows revisit a row with
     an id, and are responses where there is none. A null body is an empty payload. Repeated rows are records of their own.
     """
-    rows = with_first(payloads(pages, id_col, url_col, body_col))
+    rows = payloads(pages, id_col, url_col, body_col)
+    firsts = stored(first_pages(rows.select("page_id", "bytes", "digest")), "firsts")
+    named = rows.withColumn("record", F.concat(F.coalesce(F.col("page_id").cast("string"), F.lit("none")), F.lit("-"), F.monotonically_increasing_id()))
     revisit = F.col("first").isNotNull() & (F.col("page_id").isNull() | (F.col("page_id") > F.col("first")))
-    kept = rows.withColumns({
-        "kind": F.when(revisit, "revisit").otherwise("response"),
-        "body": F.when(revisit, F.lit("").cast("binary")).otherwise(F.col("body")),
-        "record": F.concat(F.coalesce(F.col("page_id").cast("string"), F.lit("none")), F.lit("-"), F.monotonically_increasing_id()),
+    # The chunks are what is joined, never whole payloads. Of a revisit one is left, without its bytes.
+    cut = with_small(chunks(named, chunk), firsts, "digest", "left").withColumn("_again", F.coalesce(revisit, F.lit(False)))
+    kept = cut.filter(~F.col("_again") | (F.col("number") == 1)).withColumns({
+        "kind": F.when(F.col("_again"), "revisit").otherwise("response"),
+        "block": F.when(F.col("_again"), F.lit("").cast("binary")).otherwise(F.col("block")),
+        "of": F.when(F.col("_again"), 1).otherwise(F.col("of")),
     })
-    whole = chunks(kept.select("record", "page_id", "url", "body", "bytes", "digest", "kind", "first"), chunk)
-    segment_text(whole).write.option("lineSep", _END).option("compression", compression).text(folder)
+    segment_text(kept).write.option("lineSep", _END).option("compression", compression).text(folder)
 
 
 def read_chunks(spark: SparkSession, folder: str) -> DataFrame:

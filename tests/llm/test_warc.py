@@ -1,6 +1,7 @@
 import hashlib
 
 import pytest
+from conftest import plan_of
 from helpers import clashing
 
 from suretygraph.llm import warc
@@ -68,3 +69,16 @@ def test_damage_is_an_error(spark):
 
 def test_empty_table(spark):
     assert records(spark, pages(spark, []))[1] == []
+
+
+def test_a_payload_of_many_chunks_is_cut_before_any_shuffle(spark):
+    """Some megabytes each, three copies, and one page of its own."""
+    frame = spark.range(4).selectExpr("id AS page_id", "'u' AS url", "repeat(if(id = 3, '0123456789abcde\n', 'payload of a page\n'), 400000) AS html")
+    folder, found = records(spark, frame)
+    assert sorted((r.page_id, r.kind, r.refers_to, r.payload_bytes) for r in found) == [
+        (0, "response", None, 7_200_000), (1, "revisit", 0, 7_200_000), (2, "revisit", 0, 7_200_000), (3, "response", None, 6_400_000)]
+    blocks = warc.read_chunks(spark, folder).selectExpr("kind", "octet_length(block) AS n")
+    assert blocks.filter(f"n > {warc.CHUNK}").isEmpty()
+    assert blocks.filter("kind = 'continuation'").count() == -(-7_200_000 // warc.CHUNK) + -(-6_400_000 // warc.CHUNK) - 2
+    joined = warc.chunks(warc.payloads(frame, "page_id", "url", "html").selectExpr("*", "'r' AS record"))
+    assert "Exchange" not in plan_of(joined)
