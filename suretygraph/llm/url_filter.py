@@ -102,13 +102,7 @@ def contexts(texts: pa.Array) -> tuple[list[np.ndarray], list[np.ndarray], np.nd
     return names, grams, text, length
 
 
-def _slot(names: np.ndarray) -> np.ndarray:
-    return (names & U((1 << SLOT_BITS) - 1)).astype(np.int64)
-
-
-def _place(keys: np.ndarray | None, names: np.ndarray) -> np.ndarray:
-    if keys is None:
-        return _slot(names)
+def _place(keys: np.ndarray, names: np.ndarray) -> np.ndarray:
     at = np.searchsorted(keys, names)
     return np.where(np.append(keys, U(0))[at] == names, at, len(keys)) if len(keys) else np.zeros(len(names), np.int64)
 
@@ -124,7 +118,7 @@ def _keyed(found: pa.Table) -> Models:
         n0, n1, kinds0, kinds1 = (np.append(c, 0.0) for c in columns)
         parts.append((key[own], np.stack([n0, n1]), np.stack([kinds0, kinds1])))
     (gram_keys, grams, _), (context_keys, totals, kinds) = parts
-    return Models(grams, totals, kinds, gram_keys=gram_keys, context_keys=context_keys)
+    return Models(gram_keys, context_keys, grams, totals, kinds)
 
 
 def _count_rows(batches):
@@ -143,15 +137,13 @@ def _count_rows(batches):
 @dataclass
 class Models:
     """N-gram counts, context counts and numbers of different successors, for rejected and accepted URLs: of the sorted
-    keys given, with one place more for all others, which is 0; without keys, of the slots of the hashes."""
+    keys, with one place more for all others, which is 0."""
 
+    gram_keys: np.ndarray
+    context_keys: np.ndarray
     grams: np.ndarray
     totals: np.ndarray
     kinds: np.ndarray
-    slope: float = 1.0
-    shift: float = 0.0
-    gram_keys: np.ndarray | None = None
-    context_keys: np.ndarray | None = None
 
     def difference(self, texts: pa.Array) -> np.ndarray:
         """log P(accepted) - log P(rejected) of each text, divided by its length."""
@@ -167,9 +159,6 @@ class Models:
             out += sign * np.bincount(text, np.log(p), len(length))
         return out / length
 
-    def accept(self, texts: pa.Array) -> np.ndarray:
-        return 1 / (1 + np.exp(-np.clip(self.slope * self.difference(texts) + self.shift, -30, 30)))
-
 
 def logistic(x: np.ndarray, yes: np.ndarray, no: np.ndarray, steps: int = 50) -> tuple[float, float]:
     """Slope and shift of the curve through counted answers at x, slightly held to slope 0."""
@@ -211,14 +200,14 @@ def _wanted(batches):
 
 def _judge_block(texts: pa.Table, found: pa.Table) -> pa.Table:
     difference = _keyed(found).difference(texts["text"].combine_chunks())
-    return pa.table({"_row": texts["_row"], "none": texts["none"], "calibrate": texts["calibrate"], "host": texts["host"], "path": texts["path"],
+    return pa.table({"_row": texts["_row"], "calibrate": texts["calibrate"], "host": texts["host"], "path": texts["path"],
                      "rule": texts["rule"], "by_rule": texts["by_rule"], "difference": pa.array(difference)})
 
 
 def _judge(models):
     def run(batches):
         for b in batches:
-            kept = ["_row", "none", "calibrate", "host", "path", "rule", "by_rule"]
+            kept = ["_row", "calibrate", "host", "path", "rule", "by_rule"]
             yield pa.RecordBatch.from_arrays(
                 [*[b[x] for x in kept], pa.array(models.value.difference(b["text"]))], names=[*kept, "difference"])
 
@@ -228,7 +217,7 @@ def _judge(models):
 def _with_difference(rows: DataFrame, counts: DataFrame, most_keys: int) -> DataFrame:
     """The rows without ``text`` and with ``difference``."""
     schema = T.StructType([
-        *[rows.schema[x] for x in ("_row", "none", "calibrate", "host", "path", "rule", "by_rule")], T.StructField("difference", T.DoubleType())])
+        *[rows.schema[x] for x in ("_row", "calibrate", "host", "path", "rule", "by_rule")], T.StructField("difference", T.DoubleType())])
     if small(counts, 2 * most_keys):  # a context has an n-gram at least
         return arrow_map(rows, _judge(session_of(rows).sparkContext.broadcast(_keyed(counts.toArrow()))), schema)
     rows = stored(rows.withColumn("block", F.floor(F.monotonically_increasing_id() / BLOCK)), "blocks")
@@ -257,13 +246,13 @@ def judge_urls(pages: DataFrame, rules: Sequence[Rule], id_col: str = "page_id",
 
     The rule with the longest text that fits decides; rules are for hosts and their subdomains and the beginning of the
     path. Without one a URL is allowed if the models, which read all of it, find it acceptable with 0.5 or more. A URL
-    without :// has neither host nor path, so no rule fits. A null URL is allowed; so is every URL without a rule if the
-    rules accept none or reject none. Input columns of these names are replaced.
+    without :// has neither host nor path, so no rule fits. A null URL is the empty text. Every URL without a rule is allowed
+    if the rules accept none or reject none. Input columns of these names are replaced.
     """
     url = F.col(url_col)
     rows = pages.select(
         F.struct(*[F.col(f"`{c}`") for c in pages.columns]).alias("_row"), F.col(id_col).alias("_id"),
-        host_of(url).alias("host"), path_of(url).alias("path"), text_of(url).alias("text"), url.isNull().alias("none"),
+        host_of(url).alias("host"), path_of(url).alias("path"), text_of(url).alias("text"),
     )
     rows = rows.select(
         "*", _choose(rules, lambda r: r.text).alias("rule"), _choose(rules, lambda r: r.verdict).alias("by_rule"))
@@ -278,6 +267,5 @@ def judge_urls(pages: DataFrame, rules: Sequence[Rule], id_col: str = "page_id",
         slope, shift = curve(scored.filter("by_rule is not null and calibrate").select(accepted, "difference"))
         z = F.least(F.greatest(F.lit(slope) * F.col("difference") + F.lit(shift), F.lit(-30.0)), F.lit(30.0))
         out = scored.withColumn("accept", 1 / (1 + F.exp(-z)))
-    verdict = F.coalesce(
-        "by_rule", F.when((F.col("accept") >= 0.5) | F.col("none"), "allow").otherwise("block"))
+    verdict = F.coalesce("by_rule", F.when(F.col("accept") >= 0.5, "allow").otherwise("block"))
     return put(out.withColumn("verdict", verdict), "_row", "host", "path", "rule", "accept", "verdict")

@@ -180,6 +180,31 @@ def test_scores_are_those_of_the_features():
         assert math.isclose(score, 1 / (1 + math.exp(0.3 - sum(weight.get(x, 0) for x in present))))
 
 
+def test_ftrl_against_one_coordinate_at_a_time():
+    draw = np.random.default_rng(6)
+    lists = [np.unique(draw.integers(0, 12, 5)) for _ in range(40)]
+    labels = np.array([int(3 in x or 7 in x) for x in lists])
+    alpha, beta, l1, l2 = 0.5, 1.0, 1.5, 0.1
+    z, n = Counter(), Counter()
+
+    def weight(i):
+        if abs(z[i]) <= l1:
+            return 0.0
+        return -(z[i] - math.copysign(l1, z[i])) / ((beta + math.sqrt(n[i])) / alpha + l2)
+
+    for epoch in range(4):
+        for t in np.random.default_rng(epoch).permutation(len(lists)):
+            own = [*lists[t].tolist(), "intercept"]
+            w = {i: weight(i) for i in own}
+            gradient = 1 / (1 + math.exp(-sum(w.values()))) - labels[t]
+            for i in own:
+                z[i] += gradient - (math.sqrt(n[i] + gradient**2) - math.sqrt(n[i])) / alpha * w[i]
+                n[i] += gradient**2
+    values, intercept = toxicity.ftrl(lists, labels, 12, 4, alpha, beta, l1, l2)
+    assert np.allclose(values, [weight(i) for i in range(12)]) and math.isclose(intercept, weight("intercept"))
+    assert 0 < (values == 0).sum() < 12 and values[3] > 0 < values[7]
+
+
 def test_toxicity_of_awkward_rows(spark):
     docs = clashing(awkward(spark))
     labels = spark.createDataFrame([(4, 1), (4, 0), (5, 0), (6, 1), (9, 1)], "doc_id long, toxic int")
@@ -189,11 +214,12 @@ def test_toxicity_of_awkward_rows(spark):
     assert toxicity.score(docs.limit(0), toxicity.fit(docs.limit(0), labels)).count() == 0
 
 
-def test_url_models_against_counting_one_by_one():
+def test_url_models_against_counting_one_by_one(spark):
     accepted, rejected = ["a.org/fr/1", "b.org/fr/22", "a.org/fr/3"], ["x.net/q", "xx.net/qq/7"]
-    models = url_filter.Models(*(np.zeros((2, 1 << url_filter.SLOT_BITS), np.float32) for _ in range(3)))
+    judged = spark.createDataFrame([(side, t) for side, texts in ((False, rejected), (True, accepted)) for t in texts], "accepted boolean, text string")
+    models = url_filter._keyed(url_filter.counted(judged.repartition(3)).toArrow())
     probability = []
-    for side, texts in enumerate((rejected, accepted)):
+    for texts in (rejected, accepted):
         counts, kinds = Counter(), {}
         for text in texts:
             padded = "\0" * url_filter.ORDER + text + "\1"
@@ -201,12 +227,6 @@ def test_url_models_against_counting_one_by_one():
                 for k in range(url_filter.ORDER + 1):
                     counts[padded[i - k : i], padded[i]] += 1
                     kinds.setdefault(padded[i - k : i], Counter())[padded[i]] += 1
-        names, grams, _, _ = url_filter.contexts(pa.array(texts))
-        for name, gram in zip(names, grams):
-            g, first, n = np.unique(gram, return_index=True, return_counts=True)
-            np.add.at(models.grams[side], url_filter._slot(g), n)
-            np.add.at(models.totals[side], url_filter._slot(name[first]), n)
-            np.add.at(models.kinds[side], url_filter._slot(name[first]), 1)
 
         def log_p(text, counts=counts, kinds=kinds):
             padded, total = "\0" * url_filter.ORDER + text + "\1", 0.0
@@ -238,7 +258,8 @@ def test_urls_without_a_rule_follow_the_models(spark):
     out = {r.page_id: r for r in url_filter.judge_urls(pages, RULES).collect()}
     assert out[1000].verdict == "allow" and out[1001].verdict == "block" and out[1000].rule is None
     assert all(out[i].verdict == ("allow" if i % 2 else "block") for i in range(300))
-    assert [(out[i].host, out[i].path, out[i].verdict) for i in (1002, 1003, 1004)] == [("", "", "allow")] * 3
+    assert [(out[i].host, out[i].path, out[i].rule) for i in (1002, 1003, 1004)] == [("", "", None)] * 3
+    assert out[1002].verdict == out[1004].verdict  # null is the empty text
     assert out[None].rule == "net/" and out[1005].host == "net" and out[1005].rule is None
     assert (out[1006].host, out[1006].path) == ("b:", "//c/d")
     none = url_filter.judge_urls(pages, ())
@@ -257,8 +278,6 @@ def test_url_counts_are_kept_under_whole_hashes(spark, monkeypatch):
     out = verdicts()
     monkeypatch.setattr(url_filter, "BLOCK", 16)
     assert verdicts(most_keys=0) == out  # looked up by a join
-    monkeypatch.setattr(url_filter, "SLOT_BITS", 4)
-    assert verdicts() == out
 
 
 def test_url_models_read_query_fragment_and_urls_without_a_scheme(spark):
@@ -266,4 +285,4 @@ def test_url_models_read_query_fragment_and_urls_without_a_scheme(spark):
     rows += [(1000, "http://h3.c.com/en/?good=5"), (1001, "http://h3.c.com/en/?casino=5"), (1002, "casino=casino=8"), (1003, None)]
     out = {r.page_id: r for r in url_filter.judge_urls(spark.createDataFrame(rows, "page_id long, url string"), RULES).collect()}
     assert (out[1000].verdict, out[1001].verdict) == ("allow", "block")
-    assert (out[1002].host, out[1002].path, out[1002].verdict) == ("", "", "block") and out[1003].verdict == "allow"
+    assert (out[1002].host, out[1002].path, out[1002].verdict) == ("", "", "block") and out[1003].rule is None
