@@ -57,45 +57,38 @@ def account_pairs(edges: DataFrame, mode: str = "latest") -> DataFrame:
     )
 
 
+def _written(df: DataFrame) -> DataFrame:
+    """Read back from the staging folder: what it comes from is worked out once, whoever reads it."""
+    folder = staging_folder(df.sparkSession)
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
 def stored_pairs(edges: DataFrame, mode: str) -> tuple[DataFrame, DataFrame]:
-    """``account_pairs``, and the amounts on each ordered pair: of the latest edge, or in ``temporal`` mode for each day
-    (``source_account_id``, ``target_account_id``, ``transaction_day``, ``amount``).
+    """``account_pairs``, and the amounts on each ordered pair (``source_account_id``, ``target_account_id``, ``transaction_day``,
+    ``amount``): of the latest edge, or in ``temporal`` mode of every edge.
 
-    Both come from one read and one shuffle of the edges, which runs at once: the aggregate is written to the staging
-    folder. Readers of a plan need different columns of it, and each would else shuffle the edges anew for its own.
+    Both come from one read of the edges, which runs at once. In ``latest`` mode it is one shuffle, whose aggregate is
+    written. In ``temporal`` mode the edges' four columns are written as they are and the pairs counted from them: few pairs are
+    on a ring, so amounts are only added up for those, once the rings are known.
     """
-    spark = edges.sparkSession
     source, target = (F.col(c) for c in PAIR)
     upward, downward = source <= target, source > target
     day, amount = F.col("transaction_day"), F.col("guarantee_amount_usd")
-
-    def written(df: DataFrame) -> DataFrame:
-        folder = staging_folder(spark)
-        df.write.parquet(folder)
-        return spark.read.schema(df.schema).parquet(folder)
-
+    if mode == "temporal":
+        each = _written(connected(edges).select(*PAIR, day, amount.alias("amount")))
+        return _written(account_pairs(each, mode)), each
     ends = connected(edges).withColumns({"lo": F.least(source, target), "hi": F.greatest(source, target)})
-    if mode == "latest":
-        last = F.struct(day.alias("day"), amount.alias("amount"))  # nulls are least, so they come last
-        both = written(ends.groupBy("lo", "hi").agg(
-            F.max(F.when(upward, last)).alias("up_last"), F.max(F.when(downward, last)).alias("down_last")))
-        there, back = F.col("up_last"), F.col("down_last")
-        pairs = both.select(
-            "lo", "hi", there.isNotNull().cast("long").alias("up"), back.isNotNull().cast("long").alias("down"),
-            (F.col("lo") == F.col("hi")).alias("loop"))
-        ways = [F.struct(F.col(a).alias(PAIR[0]), F.col(b).alias(PAIR[1]), c.alias("x")) for a, b, c in (("lo", "hi", there), ("hi", "lo", back))]
-        steps = both.select(F.inline(F.array(*ways))).filter("x is not null")
-        return pairs, steps.select(*PAIR, F.col("x.day").alias("transaction_day"), F.col("x.amount").alias("amount"))
-    daily = written(ends.groupBy("lo", "hi", "transaction_day").agg(
-        F.count_if(upward).alias("up"), F.count_if(downward).alias("down"),
-        F.sum(F.when(upward, amount)).alias("up_amount"), F.sum(F.when(downward, amount)).alias("down_amount")))
-    pairs = written(daily.groupBy("lo", "hi").agg(
-        F.sum("up").alias("up"), F.sum("down").alias("down"), F.max(F.col("lo") == F.col("hi")).alias("loop")))
-    ways = [
-        F.struct(F.col(a).alias(PAIR[0]), F.col(b).alias(PAIR[1]), "transaction_day", F.col(n).alias("n"), F.col(f"{n}_amount").alias("amount"))
-        for a, b, n in (("lo", "hi", "up"), ("hi", "lo", "down"))
-    ]
-    return pairs, daily.select(F.inline(F.array(*ways))).filter("n > 0").drop("n")
+    last = F.struct(day.alias("day"), amount.alias("amount"))  # nulls are least, so they come last
+    both = _written(ends.groupBy("lo", "hi").agg(
+        F.max(F.when(upward, last)).alias("up_last"), F.max(F.when(downward, last)).alias("down_last")))
+    there, back = F.col("up_last"), F.col("down_last")
+    pairs = both.select(
+        "lo", "hi", there.isNotNull().cast("long").alias("up"), back.isNotNull().cast("long").alias("down"),
+        (F.col("lo") == F.col("hi")).alias("loop"))
+    ways = [F.struct(F.col(a).alias(PAIR[0]), F.col(b).alias(PAIR[1]), c.alias("x")) for a, b, c in (("lo", "hi", there), ("hi", "lo", back))]
+    steps = both.select(F.inline(F.array(*ways))).filter("x is not null")
+    return pairs, steps.select(*PAIR, F.col("x.day").alias("transaction_day"), F.col("x.amount").alias("amount"))
 
 
 def neighbours_above(pairs: DataFrame) -> DataFrame:
@@ -222,9 +215,10 @@ def _with_counts(triangles: DataFrame, pairs: DataFrame) -> DataFrame:
 
 
 def rings(edges: DataFrame, *, mode: str = "latest", min_len: int = 2, max_len: int = 3) -> DataFrame:
-    """Each ring once, whatever account it starts at."""
+    """Each ring once, whatever account it starts at. The pairs are aggregated, and written, when this is called: the parts of
+    the plan read them up to thirteen times, and the edges once."""
     _check(mode, min_len, max_len)
-    return rings_of_pairs(account_pairs(edges, mode), mode, min_len, max_len)
+    return rings_of_pairs(_written(account_pairs(edges, mode)), mode, min_len, max_len)
 
 
 def rings_of_pairs(pairs: DataFrame, mode: str, min_len: int, max_len: int) -> DataFrame:
@@ -329,11 +323,11 @@ def cycle_amounts_by_day(
 ) -> DataFrame:
     """Amount on the closed paths of each start account, per day of the edge.
 
-    An edge counts once for every path it is on. Instead of unrolling the paths, each pair's daily sum
-    is multiplied by the number of paths that use one of its edges. The pairs are aggregated when this is called.
+    An edge counts once for every path it is on. Instead of unrolling the paths, each edge's amount is multiplied by the
+    number of paths that use one edge of its pair. The pairs are aggregated when this is called.
     """
     _check(mode, min_len, max_len)
-    pairs, daily = stored_pairs(edges, mode)
+    pairs, amounts = stored_pairs(edges, mode)
     found = rings_of_pairs(pairs, mode, min_len, max_len)
     uses = (
         found.select(F.explode(F.slice("nodes", F.lit(1), F.col("starts"))).alias("account"), "steps")
@@ -342,7 +336,7 @@ def cycle_amounts_by_day(
         .agg(F.sum("uses").cast(PATH_COUNT).alias("uses"))
     )
     result = (
-        uses.join(daily, list(PAIR))
+        amounts.join(uses, list(PAIR))
         .groupBy("account", F.col("transaction_day").alias("day"))
         .agg(F.sum((F.col("amount") * F.col("uses")).cast("decimal(38,2)")).cast("decimal(38,2)").alias("total_amount"))
     )

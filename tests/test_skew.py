@@ -61,13 +61,12 @@ def test_a_hub_is_split_in_the_ring_joins(spark, hub_edges):
     assert "CartesianProduct" not in plan and "NestedLoop" not in plan
 
 
-def test_the_pairs_are_shuffled_once(spark, hub_edges):
-    with settings(spark, SPLIT):
-        count = rings.cycle_count(hub_edges)
-        count.collect()
-        plan = final_plan(count)
-    shuffles = re.findall(r"(.*)Exchange hashpartitioning\(lo#\d+, hi#\d+, _groupingexpression", plan)
-    assert len([line for line in shuffles if "Reused" not in line]) == 1
+@pytest.mark.parametrize("mode", rings.MODES)
+def test_the_edges_are_read_once(hub_edges, mode):
+    """By the aggregate that is written when the query is built: no plan of the rings reads them, reused or not."""
+    edge_files = set(hub_edges.inputFiles())
+    for query in (rings.cycle_count(hub_edges, mode=mode, min_len=1), rings.cycle_paths(hub_edges, mode=mode), rings.cycle_amounts_by_day(hub_edges, mode=mode)):
+        assert query.inputFiles() and not edge_files & set(query.inputFiles())
 
 
 def test_a_hot_account_is_split_in_the_fallback_exclusion(spark):
