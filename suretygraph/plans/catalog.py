@@ -480,7 +480,7 @@ def take_in_grown(spark, sf_dir):
     rows = tables.transactions(spark, sf_dir)
     for k in (0, 1):
         _deliver(_half(rows, k), root)
-        files.take_in(spark, root, store)
+        files.take_in(spark, root, store, tasks=_tasks(spark))
     return _amounts(files.scan_taken_in(spark, store))
 
 
@@ -490,10 +490,10 @@ def take_in_replaced(spark, sf_dir):
     root, store = staging(spark), staging(spark)
     rows = tables.transactions(spark, sf_dir)
     _deliver(rows, root)
-    files.take_in(spark, root, store)
+    files.take_in(spark, root, store, tasks=_tasks(spark))
     more = (F.col("guarantee_amount_usd") + 1).cast(schemas.MONEY)
     _deliver(rows.filter(F.col("timestamp") >= F.lit(AGAIN_FROM).cast("date")).withColumn("guarantee_amount_usd", more), root, "overwrite")
-    files.take_in(spark, root, store)
+    files.take_in(spark, root, store, tasks=_tasks(spark))
     return _amounts(files.scan_taken_in(spark, store))
 
 
@@ -505,7 +505,7 @@ def rejected_by_delivery(spark, sf_dir):
     amount = F.when(F.col("fee_amount_usd") < 0, F.lit("n/a")).otherwise(F.col("guarantee_amount_usd").cast("string"))
     for k in (0, 1):
         _deliver(_half(rows, k).withColumn("guarantee_amount_usd", amount), root)
-        files.take_in(spark, root, store, rejected_path=f"{store}/rejected")
+        files.take_in(spark, root, store, rejected_path=f"{store}/rejected", tasks=_tasks(spark))
     return files.scan_rejected(spark, f"{store}/rejected").groupBy("delivery").agg(F.count("*").alias("n_lines"))
 
 
@@ -614,7 +614,7 @@ def _outputs(spark, paths: jobs.Paths) -> DataFrame:
 
 def _run_transactions(spark, sf_dir, process_date) -> DataFrame:
     paths = jobs.Paths(_stage_transactions(spark, sf_dir), _stage_free_accounts(spark, sf_dir), "", staging(spark))
-    jobs.run_transactions(spark, paths, process_date)
+    jobs.run_transactions(spark, paths, process_date, tasks=_tasks(spark))
     return _outputs(spark, paths)
 
 
@@ -633,7 +633,7 @@ def run_transactions_all_days(spark, sf_dir):
 def transaction_counters(spark, sf_dir):
     """What the transaction job counted while it wrote."""
     paths = jobs.Paths(_stage_transactions(spark, sf_dir), _stage_free_accounts(spark, sf_dir), "", staging(spark))
-    return jobs.run_transactions(spark, paths).drop("files_taken")
+    return jobs.run_transactions(spark, paths, tasks=_tasks(spark)).drop("files_taken")
 
 
 @query
@@ -642,9 +642,9 @@ def run_transactions_late(spark, sf_dir):
     root, rows = staging(spark), tables.transactions(spark, sf_dir)
     paths = jobs.Paths(root, _stage_free_accounts(spark, sf_dir), "", staging(spark))
     _deliver(_half(rows, 0), root)
-    jobs.run_transactions(spark, paths)
+    jobs.run_transactions(spark, paths, tasks=_tasks(spark))
     _deliver(_half(rows, 1), root)
-    jobs.run_transactions(spark, paths, PROCESS_DATE, late_days=True)
+    jobs.run_transactions(spark, paths, PROCESS_DATE, late_days=True, tasks=_tasks(spark))
     return _amounts(files.scan_curated(spark, paths.out("transactions")).drop("processed_at"))
 
 

@@ -52,6 +52,7 @@ def run_transactions(
     *,
     again: Iterable[str] = (),
     late_days: bool = False,
+    tasks: int | None = None,
     processed_at=None,
 ) -> DataFrame:
     """Takes new files in, then publishes curated transactions, metrics, high-volume accounts and edges, and the delivered
@@ -61,10 +62,10 @@ def run_transactions(
     names deliveries to take in anew. With ``late_days`` a run for a date also does the days outside its window whose events
     came, or were replaced, since the last run that did (or that had no date). Metrics, accounts and edges come from the
     curated days just written, each only its own columns. Nothing is cached: what they need is on storage and outlives a
-    lost executor. A run that dies leaves the tables it hasn't published yet as they were; the next one does its days again.
+    lost executor. ``tasks`` sets the number of writers by day, for a first load of years. A run that dies leaves the tables it hasn't published yet as they were; the next one does its days again.
     """
     intake = paths.out("intake")
-    taken = files.take_in(spark, paths.transactions, intake, again, paths.out("rejected_lines"))
+    taken = files.take_in(spark, paths.transactions, intake, again, paths.out("rejected_lines"), tasks)
     curated, edges = sink.curated_table(paths.out("transactions")), sink.edge_table(paths.out("graph_edges"))
     at = files.intake_rows(intake).snapshot(spark).number
     days, note = None, {"intake": at}
@@ -78,13 +79,13 @@ def run_transactions(
     enriched = scored_transactions(
         files.scan_taken_in(spark, intake, wanted=days), files.scan_free_accounts(spark, paths.free_accounts),
         processed_at=processed_at, counters=counters)
-    sink.publish_by_day(enriched, curated, days)
+    sink.publish_by_day(enriched, curated, days, tasks=tasks)
 
     written = files.scan_curated(spark, paths.out("transactions"), wanted=days)
     sink.publish_risk_metrics(risk.daily_risk_metrics(written), paths.out("risk_metrics"))
     sink.publish_high_volume(risk.high_volume_accounts(written), paths.out("high_risk_accounts"))
     # The last of the day tables notes how far the run has come: one that died before is made up for by the next.
-    sink.publish_by_day(graph.graph_edges(written), edges, days, note)
+    sink.publish_by_day(graph.graph_edges(written), edges, days, note, tasks=tasks)
     row = counters.row(spark)
     sink.publish_whole(row, paths.out("transaction_counters"), row.schema)
     return row

@@ -16,7 +16,7 @@ The driver holds the names of the parts (days, buckets, deliveries), never rows.
 from __future__ import annotations
 
 import json
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 from uuid import uuid4
 
@@ -65,6 +65,13 @@ def _numbers(spark: SparkSession, path: str) -> list[int]:
     return sorted(int(n.removesuffix(".json")) for n in names if n.endswith(".json") and not n.startswith("."))
 
 
+def placed(rows: DataFrame, parts: Sequence[str], tasks: int | None = None) -> DataFrame:
+    """Rows brought together by part before they are written: rebalanced, so that a small part is one file and a large one is
+    split over tasks. Adaptive execution sizes the tasks by bytes, so very many small parts may come to few of them; ``tasks``
+    sets their number instead, for a first load of years of days."""
+    return rows.hint("rebalance", *parts) if tasks is None else rows.repartition(tasks, *parts)
+
+
 @dataclass(frozen=True)
 class Published:
     """A table at ``path`` with these columns, of which ``parts`` are folders, outermost first."""

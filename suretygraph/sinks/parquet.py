@@ -14,7 +14,7 @@ from suretygraph.constants import MAX_ATTEMPTS, WINDOW_DAYS
 from suretygraph.operators.graph import graph_nodes, upsert_edges
 from suretygraph.operators.quality import window_bounds
 from suretygraph.operators.vendors import merge_attempts
-from suretygraph.published import Published, Snapshot
+from suretygraph.published import Published, Snapshot, placed
 from suretygraph.storage import file_names, remove
 
 DAY = "transaction_day"
@@ -102,12 +102,13 @@ def edge_table(path: str) -> Published:
 
 
 def publish_by_day(
-    rows: DataFrame, table: Published, days: Collection[str] | None = None, info: dict | None = None, **options
+    rows: DataFrame, table: Published, days: Collection[str] | None = None, info: dict | None = None, *, tasks: int | None = None,
+    **options,
 ) -> Snapshot:
-    """Publishes rows by ``transaction_day``, rebalanced as in ``save_by_day``. A run owns the ``days`` it is for
+    """Publishes rows by ``transaction_day``, rebalanced, or by so many ``tasks``. A run owns the ``days`` it is for
     (YYYY-MM-DD): those it has no rows for go. Without, the days it has rows for are replaced."""
     owned = False if days is None else lambda part: part[DAY] in days
-    return table.publish(rows.hint("rebalance", DAY), owned, info, **options)
+    return table.publish(placed(rows, [DAY], tasks), owned, info, **options)
 
 
 def publish_risk_metrics(metrics: DataFrame, path: str) -> Snapshot:

@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 from suretygraph import schemas
 from suretygraph.constants import WINDOW_DAYS
 from suretygraph.operators.quality import incremental_window, transaction_day, window_bounds
-from suretygraph.published import Part, Published, is_published, part_values
+from suretygraph.published import Part, Published, is_published, part_values, placed
 from suretygraph.storage import file_names
 
 CORRUPT_COLUMN = "_corrupt"
@@ -98,7 +98,9 @@ class Taken:
     rejected: int = 0
 
 
-def take_in(spark: SparkSession, root: str, store: str, again: Iterable[str] = (), rejected_path: str | None = None) -> Taken:
+def take_in(
+    spark: SparkSession, root: str, store: str, again: Iterable[str] = (), rejected_path: str | None = None, tasks: int | None = None
+) -> Taken:
     """Takes delivered CSV files into ``store``, each once: Parquet by delivery and by the event's day, whatever folder the
     event came in. Lines that don't fit the schema keep their text as ``_corrupt``, and go to ``rejected_path`` too.
 
@@ -106,7 +108,7 @@ def take_in(spark: SparkSession, root: str, store: str, again: Iterable[str] = (
     a delivery with a file of another length or time than it knows, or with a new file where a known one is gone, is taken anew,
     from all the files it has now, and so are the deliveries that ``again`` names (YYYY-MM-DD). Files that are merely gone stay
     taken, as sources may be cleaned up. The rows are published before the manifest, so what a run that died has brought is taken again, in the place of its own rows.
-    Names of files and folders come to the driver, no rows.
+    Names of files and folders come to the driver, no rows. ``tasks`` sets the number of writers.
     """
     again = set(again)
     rows, manifest = intake_rows(store), intake_files(store)
@@ -139,7 +141,7 @@ def take_in(spark: SparkSession, root: str, store: str, again: Iterable[str] = (
         read = transaction_day(_delivered(spark, root, True, [f"{root}/{r.file}" for r in chosen])).withColumnRenamed(DELIVERY_FOLDER, DELIVERY)
         read = read.withColumn("take", F.lit(take)).select(*schemas.INTAKE.names).observe(
             counts, F.count("*").alias("lines"), F.count_if(F.col(CORRUPT_COLUMN).isNotNull()).alias("rejected"))
-        rows.publish(read.hint("rebalance", DELIVERY, "transaction_day"), goes)
+        rows.publish(placed(read, [DELIVERY, "transaction_day"], tasks), goes)
     else:
         rows.publish(spark.createDataFrame([], schemas.INTAKE), goes)
     mine = rows.scan(spark, lambda part: int(part["take"]) == take)
