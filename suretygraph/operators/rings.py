@@ -8,6 +8,8 @@ for all of them and says how many they are in ``path_count``.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -17,6 +19,8 @@ from suretygraph.schemas import PATH_COUNT
 from suretygraph.storage import staging_folder
 
 MODES = ("latest", "temporal")
+#: A list of neighbours is cut into blocks so that none is expected to hold more accounts.
+MOST_LISTED = 10_000
 
 
 def _check(mode: str, min_len: int, max_len: int) -> None:
@@ -91,8 +95,16 @@ def stored_pairs(edges: DataFrame, mode: str) -> tuple[DataFrame, DataFrame]:
     return pairs, steps.select(*PAIR, F.col("x.day").alias("transaction_day"), F.col("x.amount").alias("amount"))
 
 
-def neighbours_above(pairs: DataFrame) -> DataFrame:
-    """Per account ``low``, its neighbours of higher rank: ``to`` those it guarantees, ``from`` its guarantors.
+def list_blocks(pairs: DataFrame, most: int = MOST_LISTED) -> int:
+    """Into how many blocks the lists of ``neighbours_above`` are cut: by the bound of their length, which follows from the
+    number of pairs alone. A stored table's rows are counted from its footers."""
+    longest = math.isqrt(2 * pairs.count())
+    return 1 if longest <= most else 1 << math.ceil(math.log2(longest / most))
+
+
+def neighbours_above(pairs: DataFrame, blocks: int = 1) -> DataFrame:
+    """Per account ``low``, its neighbours of higher rank: ``to`` those it guarantees, ``from`` its guarantors. Lists are cut
+    into so many blocks by a hash of the neighbour, a row for each ``block`` that has any.
 
     Accounts are ranked by the number of their neighbours, and every pair is kept at its lower end. A list
     then holds at most sqrt(2 * pairs) accounts, however many neighbours its account has in all: a hub's
@@ -126,31 +138,35 @@ def neighbours_above(pairs: DataFrame) -> DataFrame:
         (F.when(lo_first, F.col("up")).otherwise(F.col("down")) > 0).alias("leaves"),
         (F.when(lo_first, F.col("down")).otherwise(F.col("up")) > 0).alias("enters"),
     ).filter(F.col("low").isNotNull())  # as a join on it would add: both readers share the shuffle
-    return kept.groupBy("low", split_key("low")).agg(
+    block = F.lit(0) if blocks == 1 else F.pmod(F.xxhash64("high"), F.lit(blocks)).cast("int")
+    return kept.groupBy("low", block.alias("block"), split_key("low")).agg(
         F.collect_list(F.when(F.col("leaves"), F.col("high"))).alias("to"),
         F.collect_list(F.when(F.col("enters"), F.col("high"))).alias("from"),
     ).drop("_split")
 
 
-def directed_triangles(pairs: DataFrame) -> DataFrame:
+def directed_triangles(pairs: DataFrame, blocks: int = 1) -> DataFrame:
     """Three-account rings ``a -> b -> c -> a``, each once, ``a`` being the account of lowest rank.
 
-    Rings come from intersecting two lists of ``neighbours_above``, so no open two-edge path is emitted.
+    Rings come from intersecting two lists of ``neighbours_above``, so no open two-edge path is emitted. With several blocks
+    each neighbour meets each block of the closing list, and that the same block of its own list.
     """
-    above = neighbours_above(pairs)
+    above = neighbours_above(pairs, blocks)
     # Forward: low -> mid -> top -> low. Backward: low -> top -> mid -> low.
     forward = F.struct(F.lit(True).alias("forward"), F.col("to").alias("mids"), F.col("from").alias("closing"))
     backward = F.struct(F.lit(False).alias("forward"), F.col("from").alias("mids"), F.col("to").alias("closing"))
-    steps = (
-        above.select("low", F.inline(F.array(forward, backward)))
-        .filter((F.size("mids") > 0) & (F.size("closing") > 0))
-        .select("low", "forward", "closing", F.explode("mids").alias("mid"))
-    )
-    onward = above.select(F.col("low").alias("mid"), F.col("to").alias("mid_to"), F.col("from").alias("mid_from"))
+    ways = above.select("low", "block", F.inline(F.array(forward, backward)))
+    if blocks == 1:
+        steps = ways.filter((F.size("mids") > 0) & (F.size("closing") > 0)).select(
+            "low", "forward", "block", "closing", F.explode("mids").alias("mid"))
+    else:
+        mids = ways.select("low", "forward", F.explode("mids").alias("mid"))
+        steps = mids.join(ways.filter(F.size("closing") > 0).select("low", "forward", "block", "closing"), ["low", "forward"])
+    onward = above.select(F.col("low").alias("mid"), "block", F.col("to").alias("mid_to"), F.col("from").alias("mid_from"))
     tops = F.array_intersect(
         F.col("closing"), F.when(F.col("forward"), F.col("mid_to")).otherwise(F.col("mid_from"))
     )
-    found = steps.join(onward, "mid").select("low", "mid", "forward", F.explode(tops).alias("top"))
+    found = steps.join(onward, "mid" if blocks == 1 else ["mid", "block"]).select("low", "mid", "forward", F.explode(tops).alias("top"))
     return found.select(
         F.col("low").alias("a"),
         F.when(F.col("forward"), F.col("mid")).otherwise(F.col("top")).alias("b"),
@@ -218,10 +234,11 @@ def rings(edges: DataFrame, *, mode: str = "latest", min_len: int = 2, max_len:
     """Each ring once, whatever account it starts at. The pairs are aggregated, and written, when this is called: the parts of
     the plan read them up to thirteen times, and the edges once."""
     _check(mode, min_len, max_len)
-    return rings_of_pairs(_written(account_pairs(edges, mode)), mode, min_len, max_len)
+    pairs = _written(account_pairs(edges, mode))
+    return rings_of_pairs(pairs, mode, min_len, max_len, list_blocks(pairs))
 
 
-def rings_of_pairs(pairs: DataFrame, mode: str, min_len: int, max_len: int) -> DataFrame:
+def rings_of_pairs(pairs: DataFrame, mode: str, min_len: int, max_len: int, blocks: int = 1) -> DataFrame:
     temporal = mode == "temporal"
     loops = pairs.filter("loop").select(F.col("lo").alias("v"), (F.col("up") + F.col("down")).alias("n"))
     mutual = pairs.filter(~F.col("loop") & (F.col("up") > 0) & (F.col("down") > 0))
@@ -234,7 +251,7 @@ def rings_of_pairs(pairs: DataFrame, mode: str, min_len: int, max_len: int) -> D
         if temporal:
             found.append(loops.filter(n > 1).select(*_ring([v, v], [n, n - 1], 1)))
     if max_len == 3:
-        triangles = directed_triangles(pairs)
+        triangles = directed_triangles(pairs, blocks)
         if temporal:
             triangles, counts = _with_counts(triangles, pairs), [F.col(f"n{i}") for i in range(3)]
         else:
@@ -293,7 +310,7 @@ def cycle_path_edges(edges: DataFrame, *, min_len: int = 1, max_len: int = 3) ->
     aggregated when this is called."""
     _check("latest", min_len, max_len)
     pairs, amounts = stored_pairs(edges, "latest")
-    sides = rings_of_pairs(pairs, "latest", min_len, max_len).select(
+    sides = rings_of_pairs(pairs, "latest", min_len, max_len, list_blocks(pairs)).select(
         "nodes", "starts", F.posexplode("steps").alias("step", "edge")
     ).select(
         "nodes", "starts", "step", F.col("edge.source").alias(PAIR[0]), F.col("edge.target").alias(PAIR[1])
@@ -328,7 +345,7 @@ def cycle_amounts_by_day(
     """
     _check(mode, min_len, max_len)
     pairs, amounts = stored_pairs(edges, mode)
-    found = rings_of_pairs(pairs, mode, min_len, max_len)
+    found = rings_of_pairs(pairs, mode, min_len, max_len, list_blocks(pairs))
     uses = (
         found.select(F.explode(F.slice("nodes", F.lit(1), F.col("starts"))).alias("account"), "steps")
         .select("account", F.inline("steps"))

@@ -161,3 +161,22 @@ def test_arguments_are_checked(edges):
         rings.cycle_count(edges(("A", "B", 1, 1)), mode="all")
     with pytest.raises(ValueError):
         rings.cycle_count(edges(("A", "B", 1, 1)), max_len=4)
+
+
+@pytest.mark.parametrize("mode", rings.MODES)
+def test_blocks_of_lists_give_the_same_rings(spark, edges, monkeypatch, mode):
+    """A dense graph: whole lists are long, with blocks none is longer than a few times the aim."""
+    draw = random.Random(11)
+    frame = edges(*[(f"A{draw.randint(0, 60)}", f"A{draw.randint(0, 60)}", 1, 1) for _ in range(1500)])
+    whole = sorted(rings.cycle_paths(frame, mode=mode).select("path", "path_count").collect())
+    pairs = rings.account_pairs(frame, mode)
+    longest = lambda n: rings.neighbours_above(pairs, n).selectExpr("max(greatest(size(to), size(`from`)))").first()[0]
+    assert longest(1) >= 18
+    monkeypatch.setattr(rings, "list_blocks", lambda pairs: 16)
+    assert sorted(rings.cycle_paths(frame, mode=mode).select("path", "path_count").collect()) == whole and longest(16) <= 8
+    plan = plan_of(rings.cycle_paths(frame, mode=mode))
+    assert "CartesianProduct" not in plan and "NestedLoop" not in plan
+
+
+def test_the_number_of_blocks_follows_from_that_of_pairs(spark):
+    assert [rings.list_blocks(spark.range(n), 100) for n in (0, 1, 5000, 5200, 20_000, 500_000)] == [1, 1, 1, 2, 2, 16]
