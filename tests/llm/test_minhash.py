@@ -87,3 +87,27 @@ def test_components_of_a_long_chain(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(10, 90)] + [(5, 3), (3, 4)], "a long, b long")
     out = {r.node: r.component for r in components(links).collect()}
     assert out == {**{i: 10 for i in range(10, 91)}, 3: 3, 4: 3, 5: 3}
+
+
+def test_a_node_with_very_many_links_is_split(spark):
+    """The join of the stars shuffles both sides for itself, so adaptive execution can split the hot centre."""
+    from pyspark.sql import functions as F
+
+    from suretygraph.llm import components as stars
+    from suretygraph.llm.staging import stored
+
+    links = stored(spark.range(1, 400_001).select(F.lit(0).cast("long").alias("b"), F.col("id").alias("a")), "links")
+    options = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20k",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k, None) for k in options}
+    try:
+        for k, v in options.items():
+            spark.conf.set(k, v)
+        out = stars._star(links, both=True)
+        assert len(out.collect()) == 400_000
+        assert "skew=true" in out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)

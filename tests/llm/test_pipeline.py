@@ -8,6 +8,7 @@ import pandas as pd
 import pyarrow as pa
 import pytest
 from conftest import SF
+from helpers import awkward, clashing
 from test_decontamination import words as item_words
 from test_minhash import brute as near_copies
 from test_native import levels
@@ -114,3 +115,18 @@ def test_run(spark, folder):
         rate = target[r["source"]] / of_source[r["source"]] if of_source[r["source"]] else 0
         assert sorted(found[i]) == list(range(1, len(found[i]) + 1))
         assert math.floor(rate - 1e-9) <= len(found[i]) <= math.floor(rate + 1e-9) + 1
+
+
+def test_columns_named_as_the_operators_own_stay(spark, folder):
+    """Every stage over rows with more columns, nulls in any of them, and no rows at all."""
+    docs = clashing(awkward(spark))
+    mine = [c for c in docs.columns if c not in awkward(spark).columns]
+    for _, stage in pipeline.STAGES:
+        out = stage(spark, docs, folder)
+        last = stage is pipeline.mix_sources
+        assert out.columns == docs.columns or last and set(out.columns) == set(docs.columns) | {"copy"}
+        for row in out.collect():
+            assert all(row[c] == "x" for c in mine if not (last and c == "copy"))
+        assert stage(spark, docs.limit(0), folder).count() == 0
+    cut = pipeline.remove_passages(spark, docs, folder).filter("doc_id = 5").first()
+    assert cut.text == "end" and cut.n_chars == 3 and cut.kept_text == "x"
