@@ -7,12 +7,14 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from suretygraph.operators.rings import _check, _product, account_pairs
+from suretygraph.operators.rings import _check, _product, account_pairs, list_blocks, triangles
 from suretygraph.operators.skew import split_key
 from suretygraph.schemas import PATH_COUNT
+from suretygraph.storage import written
 
 #: Edges of a pair from its lower end to its upper one and back, before and after.
 COUNTS = ("up0", "down0", "up1", "down1")
+WAYS = tuple((f"up{k}", f"down{k}", f"out{k}", f"into{k}") for k in (0, 1))
 
 
 def cycle_count_change(pairs: DataFrame, *, mode: str = "latest", min_len: int = 2, max_len: int = 3) -> DataFrame:
@@ -21,12 +23,13 @@ def cycle_count_change(pairs: DataFrame, *, mode: str = "latest", min_len: int =
     ``pairs`` has a row for each unordered pair, ``lo`` <= ``hi``, with ``COUNTS`` (a self-loop's edges in ``up``). It needs the
     pairs that changed and all others at either end of one; more do no harm. Paths without a changed pair cancel out.
 
-    A triangle is found from the least of its changed pairs: that pair's end with fewer neighbours gives the third account,
-    and the pair that closes it is looked up. So a hub's neighbours are only gone through for a pair of two hubs.
+    The pairs are written when this is called, as several parts read them. Triangles come from lists of neighbours of higher
+    rank, as those of ``rings`` do: a hub's pairs are held at their other ends, and no open two-edge path is emitted.
     """
     _check(mode, min_len, max_len)
+    pairs = written(pairs.select("lo", "hi", *COUNTS))
     temporal = mode == "temporal"
-    loop, changed = F.col("lo") == F.col("hi"), (F.col("up0") != F.col("up1")) | (F.col("down0") != F.col("down1"))
+    loop = F.col("lo") == F.col("hi")
     loops, sides = pairs.filter(loop), pairs.filter(~loop)
 
     def of_loop(n: int) -> DataFrame:
@@ -43,7 +46,7 @@ def cycle_count_change(pairs: DataFrame, *, mode: str = "latest", min_len: int =
         if temporal:
             found.append(of_loop(2))
     if max_len == 3:
-        found += [_triangles(sides, changed), _detours(sides, loops)]
+        found += [_triangles(sides, list_blocks(pairs)), _detours(sides, loops)]
         if temporal:
             found.append(of_loop(3))
     change = F.coalesce(F.sum(F.col("x").cast(PATH_COUNT)).cast(PATH_COUNT), F.lit(0).cast(PATH_COUNT))
@@ -59,7 +62,8 @@ def pair_changes(before: DataFrame, after: DataFrame, mode: str = "latest") -> D
 
 
 def near_changes(pairs: DataFrame) -> DataFrame:
-    """The pairs that changed and those at either end of one."""
+    """The pairs that changed and those at either end of one. The pairs are written when this is called: they are read three times."""
+    pairs = written(pairs)
     changed = pairs.filter((F.col("up0") != F.col("up1")) | (F.col("down0") != F.col("down1")))
     ends = changed.select(F.explode(F.array("lo", "hi")).alias("id"))
     ends = ends.groupBy("id", split_key("id")).agg(F.count("*").alias("_n")).select("id")
@@ -77,35 +81,19 @@ def halves(sides: DataFrame) -> DataFrame:
     return sides.select(F.inline(F.array(*ends)))
 
 
-def _triangles(sides: DataFrame, changed: Column) -> DataFrame:
-    ends = halves(sides)
-    degrees = ends.groupBy("a", split_key("a")).agg(F.count("*").alias("n")).drop("_split")
-    hit = sides.filter(changed)
-    ranked = (
-        hit.join(degrees.select(F.col("a").alias("lo"), F.col("n").alias("lo_n")), "lo")
-        .join(degrees.select(F.col("a").alias("hi"), F.col("n").alias("hi_n")), "hi")
-    )
-    lo_first = F.col("lo_n") <= F.col("hi_n")
-    seen = lambda yes, no, name: F.when(lo_first, F.col(yes)).otherwise(F.col(no)).alias(name)
-    base = ranked.select(
-        seen("lo", "hi", "a"), seen("hi", "lo", "top"), F.struct("lo", "hi").alias("base"),
-        *[seen(f"up{k}", f"down{k}", f"to_top{k}") for k in (0, 1)], *[seen(f"down{k}", f"up{k}", f"from_top{k}") for k in (0, 1)])
-    key = lambda x, y: F.struct(F.least(x, y).alias("lo"), F.greatest(x, y).alias("hi"))
-    first = lambda side: ~F.col("changed") | (F.col("base") < side)
-    a, mid, top = F.col("a"), F.col("mid"), F.col("top")
-    wedges = base.join(ends.withColumnRenamed("b", "mid"), "a").filter((mid != top) & first(key(a, mid))).drop("changed")
-    wedges = wedges.withColumns({"lo": F.least(mid, top), "hi": F.greatest(mid, top)})
-    closing = sides.select("lo", "hi", *COUNTS, changed.alias("changed"))
-    closed = wedges.join(closing, ["lo", "hi"]).filter(first(F.struct("lo", "hi")))
-    mid_low = mid < top
+def _triangles(sides: DataFrame, blocks: int) -> DataFrame:
+    """Triangles with a changed pair, from the sorted lists of ``rings.triangles``: each once, with the edges of its three sides."""
+    sides_of = ("low_mid", "low_top", "mid_top")
+    differs = [F.col(f"{side}.{name}0") != F.col(f"{side}.{name}1") for side in sides_of for name in ("out", "into")]
 
     def rings(k: int) -> Column:
-        mid_top = F.when(mid_low, F.col(f"up{k}")).otherwise(F.col(f"down{k}"))
-        top_mid = F.when(mid_low, F.col(f"down{k}")).otherwise(F.col(f"up{k}"))
-        one_way = _product(F.col(f"to_top{k}"), top_mid, F.col(f"in{k}"))
-        return _product(F.lit(3), (one_way + _product(F.col(f"out{k}"), mid_top, F.col(f"from_top{k}"))).cast(PATH_COUNT))
+        count = lambda way, side: F.col(f"{side}.{way}{k}")
+        forward = _product(count("out", "low_mid"), count("out", "mid_top"), count("into", "low_top"))
+        backward = _product(count("out", "low_top"), count("into", "mid_top"), count("into", "low_mid"))
+        return _product(F.lit(3), (forward + backward).cast(PATH_COUNT))
 
-    return closed.select((rings(1) - rings(0)).alias("x"))
+    found = triangles(sides, blocks, WAYS).filter(reduce(Column.__or__, differs))
+    return found.select((rings(1) - rings(0)).alias("x"))
 
 
 def _detours(sides: DataFrame, loops: DataFrame) -> DataFrame:

@@ -9,6 +9,8 @@ for all of them and says how many they are in ``path_count``.
 from __future__ import annotations
 
 import math
+from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -16,11 +18,14 @@ from pyspark.sql import functions as F
 from suretygraph.operators.graph import PAIR, connected
 from suretygraph.operators.skew import split_key
 from suretygraph.schemas import PATH_COUNT
-from suretygraph.storage import staging_folder
+from suretygraph.storage import written
 
 MODES = ("latest", "temporal")
 #: A list of neighbours is cut into blocks so that none is expected to hold more accounts.
 MOST_LISTED = 10_000
+#: Columns of a pair with its edges from ``lo`` to ``hi`` and back, and what they are called seen from its lower end by rank.
+Way = tuple[str, str, str, str]
+WAYS: tuple[Way, ...] = (("up", "down", "out", "into"),)
 
 
 def _check(mode: str, min_len: int, max_len: int) -> None:
@@ -61,13 +66,6 @@ def account_pairs(edges: DataFrame, mode: str = "latest") -> DataFrame:
     )
 
 
-def _written(df: DataFrame) -> DataFrame:
-    """Read back from the staging folder: what it comes from is worked out once, whoever reads it."""
-    folder = staging_folder(df.sparkSession)
-    df.write.parquet(folder)
-    return df.sparkSession.read.schema(df.schema).parquet(folder)
-
-
 def stored_pairs(edges: DataFrame, mode: str) -> tuple[DataFrame, DataFrame]:
     """``account_pairs``, and the amounts on each ordered pair (``source_account_id``, ``target_account_id``, ``transaction_day``,
     ``amount``): of the latest edge, or in ``temporal`` mode of every edge.
@@ -80,11 +78,11 @@ def stored_pairs(edges: DataFrame, mode: str) -> tuple[DataFrame, DataFrame]:
     upward, downward = source <= target, source > target
     day, amount = F.col("transaction_day"), F.col("guarantee_amount_usd")
     if mode == "temporal":
-        each = _written(connected(edges).select(*PAIR, day, amount.alias("amount")))
-        return _written(account_pairs(each, mode)), each
+        each = written(connected(edges).select(*PAIR, day, amount.alias("amount")))
+        return written(account_pairs(each, mode)), each
     ends = connected(edges).withColumns({"lo": F.least(source, target), "hi": F.greatest(source, target)})
     last = F.struct(day.alias("day"), amount.alias("amount"))  # nulls are least, so they come last
-    both = _written(ends.groupBy("lo", "hi").agg(
+    both = written(ends.groupBy("lo", "hi").agg(
         F.max(F.when(upward, last)).alias("up_last"), F.max(F.when(downward, last)).alias("down_last")))
     there, back = F.col("up_last"), F.col("down_last")
     pairs = both.select(
@@ -102,17 +100,20 @@ def list_blocks(pairs: DataFrame, most: int = MOST_LISTED) -> int:
     return 1 if longest <= most else 1 << math.ceil(math.log2(longest / most))
 
 
-def neighbours_above(pairs: DataFrame, blocks: int = 1) -> DataFrame:
-    """Per account ``low``, its neighbours of higher rank: ``to`` those it guarantees, ``from`` its guarantors. Lists are cut
-    into so many blocks by a hash of the neighbour, a row for each ``block`` that has any.
+def neighbours_above(pairs: DataFrame, blocks: int = 1, ways: Sequence[Way] = WAYS) -> DataFrame:
+    """Per account ``low``, its neighbours of higher rank: ``above``, sorted by ``id`` and with the edges each way, and as ``to``
+    those it guarantees, as ``from`` its guarantors. Lists are cut into so many blocks by a hash of the neighbour, a row for each
+    ``block`` that has any.
 
     Accounts are ranked by the number of their neighbours, and every pair is kept at its lower end. A list
     then holds at most sqrt(2 * pairs) accounts, however many neighbours its account has in all: a hub's
     pairs are held by its neighbours.
     """
-    pairs = pairs.filter(~F.col("loop"))
-    lower = F.struct(F.col("lo").alias("id"), F.col("up").alias("outgoing"), F.col("down").alias("incoming"))
-    upper = F.struct(F.col("hi").alias("id"), F.col("down").alias("outgoing"), F.col("up").alias("incoming"))
+    pairs = pairs.filter(F.col("lo") != F.col("hi"))
+    most = lambda columns: F.greatest(*columns) if len(columns) > 1 else columns[0]
+    upward, downward = most([F.col(up) for up, _, _, _ in ways]), most([F.col(down) for _, down, _, _ in ways])
+    lower = F.struct(F.col("lo").alias("id"), upward.alias("outgoing"), downward.alias("incoming"))
+    upper = F.struct(F.col("hi").alias("id"), downward.alias("outgoing"), upward.alias("incoming"))
     # An account that only gives or only takes guarantees is on no ring; its pairs drop out in the joins.
     ranks = (
         pairs.select(F.inline(F.array(lower, upper)))
@@ -132,46 +133,56 @@ def neighbours_above(pairs: DataFrame, blocks: int = 1) -> DataFrame:
     lo_first = (F.col("lo_degree") < F.col("hi_degree")) | (
         (F.col("lo_degree") == F.col("hi_degree")) & (F.col("lo") < F.col("hi"))
     )
-    kept = ranked.select(
-        F.when(lo_first, F.col("lo")).otherwise(F.col("hi")).alias("low"),
-        F.when(lo_first, F.col("hi")).otherwise(F.col("lo")).alias("high"),
-        (F.when(lo_first, F.col("up")).otherwise(F.col("down")) > 0).alias("leaves"),
-        (F.when(lo_first, F.col("down")).otherwise(F.col("up")) > 0).alias("enters"),
-    ).filter(F.col("low").isNotNull())  # as a join on it would add: both readers share the shuffle
-    block = F.lit(0) if blocks == 1 else F.pmod(F.xxhash64("high"), F.lit(blocks)).cast("int")
-    return kept.groupBy("low", block.alias("block"), split_key("low")).agg(
-        F.collect_list(F.when(F.col("leaves"), F.col("high"))).alias("to"),
-        F.collect_list(F.when(F.col("enters"), F.col("high"))).alias("from"),
-    ).drop("_split")
+    seen = lambda yes, no: F.when(lo_first, F.col(yes)).otherwise(F.col(no))
+    edges = [c for up, down, out, into in ways for c in (seen(up, down).alias(out), seen(down, up).alias(into))]
+    kept = ranked.select(seen("lo", "hi").alias("low"), seen("hi", "lo").alias("id"), *edges)
+    kept = kept.filter(F.col("low").isNotNull())  # as a join on it would add: both readers share the shuffle
+    block = F.lit(0) if blocks == 1 else F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int")
+    lists = kept.groupBy("low", block.alias("block"), split_key("low")).agg(
+        F.array_sort(F.collect_list(F.struct(*kept.columns[1:]))).alias("above")).drop("_split")
+    outs, ins = [out for _, _, out, _ in ways], [into for _, _, _, into in ways]
+    some = lambda names: lambda x: reduce(Column.__or__, [x[n] > 0 for n in names])
+    return lists.withColumns({"to": F.filter("above", some(outs))["id"], "from": F.filter("above", some(ins))["id"]})
+
+
+def triangles(pairs: DataFrame, blocks: int = 1, ways: Sequence[Way] = WAYS) -> DataFrame:
+    """Three accounts that are neighbours of each other, once: ``low``, ``mid`` and ``top`` by rank, with the edges between them
+    as ``low_mid``, ``low_top`` and ``mid_top``, each a struct with the fields that ``ways`` names, seen from the lower account.
+
+    They come from intersecting two lists of ``neighbours_above``, so no open two-edge path is emitted, and the lists carry the
+    edges, so no pair is looked up afterwards. The lists are sorted: sorting their concatenation merges two runs, and an account
+    of both then lies beside itself. With several blocks each neighbour meets each block of the closing list, and that the same
+    block of its own list.
+    """
+    above = neighbours_above(pairs, blocks, ways).select("low", "block", "above")
+    closing = above.withColumnRenamed("above", "closing")
+    if blocks == 1:
+        steps = closing.filter(F.size("closing") > 1).withColumn("low_mid", F.explode("closing"))
+    else:
+        steps = above.select("low", F.explode("above").alias("low_mid")).join(closing, "low")
+    onward = above.select(F.col("low").alias("mid"), "block", F.col("above").alias("onward"))
+    met = steps.withColumn("mid", F.col("low_mid.id")).join(onward, "mid" if blocks == 1 else ["mid", "block"])
+    edges = [name for _, _, out, into in ways for name in (out, into)]
+    side = lambda k: lambda x: F.struct(x["id"].alias("id"), F.lit(k).alias("side"), *[x[n].alias(n) for n in edges])
+    merged = met.filter(F.arrays_overlap("closing.id", "onward.id")).select(
+        "low", "mid", "low_mid", F.array_sort(F.concat(F.transform("closing", side(0)), F.transform("onward", side(1)))).alias("both"))
+    beside = F.zip_with("both", F.slice("both", 2, F.size("both")), lambda x, y: F.when(
+        x["id"] == y["id"], F.struct(x["id"].alias("top"), x.alias("low_top"), y.alias("mid_top"))))
+    return merged.select("low", "mid", "low_mid", F.inline(F.filter(beside, lambda x: x.isNotNull())))
 
 
 def directed_triangles(pairs: DataFrame, blocks: int = 1) -> DataFrame:
-    """Three-account rings ``a -> b -> c -> a``, each once, ``a`` being the account of lowest rank.
+    """Three-account rings ``a -> b -> c -> a``, each once, ``a`` being the account of lowest rank, with the number of edges on
+    each step as ``counts``."""
+    low, mid, top = (F.col(c) for c in ("low", "mid", "top"))
 
-    Rings come from intersecting two lists of ``neighbours_above``, so no open two-edge path is emitted. With several blocks
-    each neighbour meets each block of the closing list, and that the same block of its own list.
-    """
-    above = neighbours_above(pairs, blocks)
-    # Forward: low -> mid -> top -> low. Backward: low -> top -> mid -> low.
-    forward = F.struct(F.lit(True).alias("forward"), F.col("to").alias("mids"), F.col("from").alias("closing"))
-    backward = F.struct(F.lit(False).alias("forward"), F.col("from").alias("mids"), F.col("to").alias("closing"))
-    ways = above.select("low", "block", F.inline(F.array(forward, backward)))
-    if blocks == 1:
-        steps = ways.filter((F.size("mids") > 0) & (F.size("closing") > 0)).select(
-            "low", "forward", "block", "closing", F.explode("mids").alias("mid"))
-    else:
-        mids = ways.select("low", "forward", F.explode("mids").alias("mid"))
-        steps = mids.join(ways.filter(F.size("closing") > 0).select("low", "forward", "block", "closing"), ["low", "forward"])
-    onward = above.select(F.col("low").alias("mid"), "block", F.col("to").alias("mid_to"), F.col("from").alias("mid_from"))
-    tops = F.array_intersect(
-        F.col("closing"), F.when(F.col("forward"), F.col("mid_to")).otherwise(F.col("mid_from"))
-    )
-    found = steps.join(onward, "mid" if blocks == 1 else ["mid", "block"]).select("low", "mid", "forward", F.explode(tops).alias("top"))
-    return found.select(
-        F.col("low").alias("a"),
-        F.when(F.col("forward"), F.col("mid")).otherwise(F.col("top")).alias("b"),
-        F.when(F.col("forward"), F.col("top")).otherwise(F.col("mid")).alias("c"),
-    )
+    def ring(b: Column, c: Column, *steps: str) -> Column:
+        return F.struct(low.alias("a"), b.alias("b"), c.alias("c"), F.array(*steps).alias("counts"))
+
+    forward = ring(mid, top, "low_mid.out", "mid_top.out", "low_top.into")
+    backward = ring(top, mid, "low_top.out", "mid_top.into", "low_mid.into")
+    found = triangles(pairs, blocks).select(F.inline(F.array(forward, backward)))
+    return found.filter(F.array_min("counts") > 0)
 
 
 def _product(*counts: Column) -> Column:
@@ -208,33 +219,17 @@ def _ring(nodes: list[Column], choices: list[Column], starts: int) -> list[Colum
     ]
 
 
-def _with_counts(triangles: DataFrame, pairs: DataFrame) -> DataFrame:
-    """Adds the number of parallel edges on each step of a triangle, as ``n0``, ``n1``, ``n2``."""
-    steps = F.posexplode(
-        F.array(F.struct(F.col("a").alias("s"), F.col("b").alias("t")),
-                F.struct(F.col("b").alias("s"), F.col("c").alias("t")),
-                F.struct(F.col("c").alias("s"), F.col("a").alias("t")))
-    ).alias("step", "edge")
-    sides = triangles.select("a", "b", "c", steps).select(
-        "a", "b", "c", "step",
-        F.least("edge.s", "edge.t").alias("lo"),
-        F.greatest("edge.s", "edge.t").alias("hi"),
-        (F.col("edge.s") < F.col("edge.t")).alias("upward"),
-    )
-    # No side is a loop; saying so keeps the column, and with it the one shuffle of the pairs.
-    counted = sides.join(pairs.filter(~F.col("loop")), ["lo", "hi"]).withColumn(
-        "n", F.when(F.col("upward"), F.col("up")).otherwise(F.col("down"))
-    )
-    return counted.groupBy("a", "b", "c").agg(
-        *[F.max(F.when(F.col("step") == i, F.col("n"))).alias(f"n{i}") for i in range(3)]
-    )
+def _with_counts(triangles: DataFrame, pairs: DataFrame | None = None) -> DataFrame:
+    """The number of parallel edges on each step of a triangle, as ``n0``, ``n1``, ``n2``. The triangles carry them from the
+    lists they were found in: ``pairs`` isn't read."""
+    return triangles.select("a", "b", "c", *[F.col("counts")[i].alias(f"n{i}") for i in range(3)])
 
 
 def rings(edges: DataFrame, *, mode: str = "latest", min_len: int = 2, max_len: int = 3) -> DataFrame:
     """Each ring once, whatever account it starts at. The pairs are aggregated, and written, when this is called: the parts of
     the plan read them up to thirteen times, and the edges once."""
     _check(mode, min_len, max_len)
-    pairs = _written(account_pairs(edges, mode))
+    pairs = written(account_pairs(edges, mode))
     return rings_of_pairs(pairs, mode, min_len, max_len, list_blocks(pairs))
 
 
@@ -251,12 +246,12 @@ def rings_of_pairs(pairs: DataFrame, mode: str, min_len: int, max_len: int, bloc
         if temporal:
             found.append(loops.filter(n > 1).select(*_ring([v, v], [n, n - 1], 1)))
     if max_len == 3:
-        triangles = directed_triangles(pairs, blocks)
+        closed = directed_triangles(pairs, blocks)
         if temporal:
-            triangles, counts = _with_counts(triangles, pairs), [F.col(f"n{i}") for i in range(3)]
+            closed, counts = _with_counts(closed), [F.col(f"n{i}") for i in range(3)]
         else:
             counts = [F.lit(1)] * 3
-        found.append(triangles.select(*_ring([F.col("a"), F.col("b"), F.col("c")], counts, 3)))
+        found.append(closed.select(*_ring([F.col("a"), F.col("b"), F.col("c")], counts, 3)))
         # A self-loop taken on the way round a mutual pair.
         ends = [
             F.struct(
@@ -335,6 +330,32 @@ def cycle_path_edges(edges: DataFrame, *, min_len: int = 1, max_len: int = 3) ->
     )
 
 
+def _uses(found: DataFrame) -> DataFrame:
+    """How many paths use one given edge of an ordered pair, by the account they start at: ``by_source`` and ``by_target``, and in
+    rows of their own ``by_third`` for each other account. A ring has at most one account beside a step's two ends, so a step
+    is two rows at most however many starts the ring has, and the ends' rows of a pair are combined on the map side.
+    """
+    source, target, uses = F.col("s"), F.col("t"), F.col("uses")
+    steps = found.select("nodes", "starts", F.inline("steps")).withColumnsRenamed({"source": "s", "target": "t"})
+    start = [F.when(F.col("starts") > i, F.get("nodes", F.lit(i))) for i in range(3)]
+    third = F.coalesce(*[F.when((x != source) & (x != target), x) for x in start])
+
+    def by(account: Column) -> Column:
+        n = reduce(Column.__add__, [F.when(x == account, 1).otherwise(0) for x in start])
+        return F.when(n == 0, none).when(n == 1, uses).otherwise(_product(uses, n))
+
+    none = F.lit(0).cast(PATH_COUNT)
+    ends = F.struct(F.lit(None).cast("string").alias("third"), by(source).alias("x"),
+                    F.when(source == target, none).otherwise(by(target)).alias("y"), none.alias("z"))
+    beyond = F.struct(third.alias("third"), none.alias("x"), none.alias("y"), uses.alias("z"))
+    total = lambda column, name: F.sum(column).cast(PATH_COUNT).alias(name)
+    return (
+        steps.select("s", "t", F.inline(F.when(third.isNull(), F.array(ends)).otherwise(F.array(ends, beyond))))
+        .groupBy(F.col("s").alias(PAIR[0]), F.col("t").alias(PAIR[1]), "third")
+        .agg(total("x", "by_source"), total("y", "by_target"), total("z", "by_third"))
+    )
+
+
 def cycle_amounts_by_day(
     edges: DataFrame, *, mode: str = "latest", min_len: int = 2, max_len: int = 3, ordered: bool = True
 ) -> DataFrame:
@@ -346,15 +367,13 @@ def cycle_amounts_by_day(
     _check(mode, min_len, max_len)
     pairs, amounts = stored_pairs(edges, mode)
     found = rings_of_pairs(pairs, mode, min_len, max_len, list_blocks(pairs))
-    uses = (
-        found.select(F.explode(F.slice("nodes", F.lit(1), F.col("starts"))).alias("account"), "steps")
-        .select("account", F.inline("steps"))
-        .groupBy("account", F.col("source").alias(PAIR[0]), F.col("target").alias(PAIR[1]))
-        .agg(F.sum("uses").cast(PATH_COUNT).alias("uses"))
-    )
     result = (
-        amounts.join(uses, list(PAIR))
-        .groupBy("account", F.col("transaction_day").alias("day"))
+        amounts.join(_uses(found), list(PAIR))
+        .select(F.col("transaction_day").alias("day"), "amount", F.inline(F.array(*[
+            F.struct(F.col(account).alias("account"), F.col(uses).alias("uses"))
+            for account, uses in ((PAIR[0], "by_source"), (PAIR[1], "by_target"), ("third", "by_third"))])))
+        .filter("uses > 0")
+        .groupBy("account", "day")
         .agg(F.sum((F.col("amount") * F.col("uses")).cast("decimal(38,2)")).cast("decimal(38,2)").alias("total_amount"))
     )
     return result.orderBy("day", "account") if ordered else result

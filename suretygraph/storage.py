@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from uuid import uuid4
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def file_system(spark: SparkSession, folder: str):
@@ -69,3 +69,10 @@ def staging_folder(spark: SparkSession) -> str:
     system.mkdirs(location)
     system.deleteOnExit(location)
     return f"{folder}/data"
+
+
+def written(df: DataFrame) -> DataFrame:
+    """Read back from a staging folder: what it comes from is worked out once, whoever reads it."""
+    folder = staging_folder(df.sparkSession)
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)

@@ -129,3 +129,13 @@ def test_attempts_are_merged_in_any_order(spark, tmp_path):
     assert state.groupBy("vendor_id").count().filter("count > 5").isEmpty()
     outcome = lambda df: sorted(map(tuple, vendors.vendor_outcome(vendors.number_attempts(df)).collect()), key=str)
     assert outcome(state) == outcome(spark.createDataFrame(log, schemas.ATTEMPTS))
+
+
+def test_the_difference_reads_its_pairs_once(spark, tmp_path):
+    """They are written when the query is built: none of its parts works out again what the pairs come from."""
+    path = str(tmp_path / "pairs")
+    spark.createDataFrame([("A", "B", 1, 1, 1, 1), ("B", "C", 0, 0, 1, 0), ("A", "C", 0, 1, 1, 1)], "lo string, hi string, up0 int, down0 int, up1 int, down1 int").write.parquet(path)
+    pairs = spark.read.parquet(path)
+    for change in (cycle_count_change(pairs), cycle_count_change(near_changes(pairs))):
+        assert change.inputFiles() and not set(change.inputFiles()) & set(pairs.inputFiles())
+        assert change.first()[0] == 2 + 3
