@@ -27,6 +27,7 @@ from suretygraph.operators.graph import PAIR, connected, graph_nodes, upsert_edg
 from suretygraph.operators.ring_change import cycle_count_change
 from suretygraph.published import Published
 from suretygraph.sinks.parquet import BUCKET, BUCKETS
+from suretygraph.storage import written
 
 _BUCKET = T.StructField(BUCKET, T.IntegerType())
 
@@ -92,18 +93,18 @@ class GraphStore:
         touched = _numbers(incoming)
         existing = self.edge_table.scan(spark, _among(touched)).drop(BUCKET)
         fresh = incoming.select(*PAIR).distinct().join(existing.select(*PAIR), list(PAIR), "left_anti")
-        # Which pairs are new, from both ends, is needed for the neighbours, the nodes and the rings.
-        ends = self._placed(_both_ways(fresh), "account")
-        near = _numbers(ends)
-        around = self.neighbour_table.scan(spark, _among(near))
-        after = around.unionByName(ends).groupBy("account", "other", BUCKET).agg(
-            F.max("outgoing").alias("outgoing"), F.max("incoming").alias("incoming"))
-        change = cycle_count_change(_before_and_after(after, ends)).first()[0] if near else 0
+        # Which pairs are new, from both ends, is needed for the neighbours, the nodes and the rings: written, it is worked out once.
+        ends = written(self._placed(_both_ways(fresh), "account"))
+        near, change = _numbers(ends), 0
         if near:
-            known = self.node_table.scan(spark, _among(near))
+            known, around = (table.scan(spark, _among(near)) for table in (self.node_table, self.neighbour_table))
+            after = around.unionByName(ends).groupBy("account", "other", BUCKET).agg(
+                F.max("outgoing").alias("outgoing"), F.max("incoming").alias("incoming"))
             added = self._placed(ends.select(F.col("account").alias("id")).distinct(), "id").join(known.select("id"), "id", "left_anti")
             self._publish(self.node_table, known.unionByName(added), _among(near))
             self._publish(self.neighbour_table, after, _among(near))
+            # The new neighbours are read back where they were just written.
+            change = cycle_count_change(_before_and_after(self.neighbour_table.scan(spark, _among(near)), ends)).first()[0]
         merged = self._placed(upsert_edges(existing, offered), *PAIR)
         self._publish(self.edge_table, merged, _among(touched), {"cycle_count": str(count + int(change))} | (info or {}))
 

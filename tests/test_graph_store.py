@@ -139,3 +139,16 @@ def test_the_difference_reads_its_pairs_once(spark, tmp_path):
     for change in (cycle_count_change(pairs), cycle_count_change(near_changes(pairs))):
         assert change.inputFiles() and not set(change.inputFiles()) & set(pairs.inputFiles())
         assert change.first()[0] == 2 + 3
+
+
+def test_a_merge_works_out_its_new_pairs_once(spark, edges, tmp_path, monkeypatch):
+    from suretygraph.sinks import graph_store
+
+    store, seen, count = GraphStore(str(tmp_path / "g"), buckets=4), [], graph_store.cycle_count_change
+    store.build(edges(("A", "B", 1, 1), ("B", "C", 1, 1)))
+    monkeypatch.setattr(graph_store, "cycle_count_change", lambda pairs: seen.append(pairs) or count(pairs))
+    offered = stored(edges, spark, tmp_path, [("C", "A", 1, 2), ("B", "A", 1, 2)], "w")
+    store.merge(offered)
+    read = seen[0].inputFiles()
+    assert read and not [f for f in read if "/g/edges/" in f] and not set(read) & set(offered.inputFiles())
+    assert store.cycle_count(spark) == 2 + 3
