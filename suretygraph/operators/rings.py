@@ -26,6 +26,8 @@ MOST_LISTED = 10_000
 #: Columns of a pair with its edges from ``lo`` to ``hi`` and back, and what they are called seen from its lower end by rank.
 Way = tuple[str, str, str, str]
 WAYS: tuple[Way, ...] = (("up", "down", "out", "into"),)
+#: The latest edges of ``stored_pairs``, which the lists can carry along.
+LAST: tuple[Way, ...] = (("up_last", "down_last", "out_last", "into_last"),)
 
 
 def _check(mode: str, min_len: int, max_len: int) -> None:
@@ -71,7 +73,8 @@ def stored_pairs(edges: DataFrame, mode: str) -> tuple[DataFrame, DataFrame]:
     ``amount``): of the latest edge, or in ``temporal`` mode of every edge.
 
     Both come from one read of the edges, which runs at once. In ``latest`` mode it is one shuffle, whose aggregate is
-    written. In ``temporal`` mode the edges' four columns are written as they are and the pairs counted from them: few pairs are
+    written; the pairs then carry their latest edges too, as ``up_last`` and ``down_last`` (``day`` and ``amount``, null without
+    an edge). In ``temporal`` mode the edges' four columns are written as they are and the pairs counted from them: few pairs are
     on a ring, so amounts are only added up for those, once the rings are known.
     """
     source, target = (F.col(c) for c in PAIR)
@@ -87,7 +90,7 @@ def stored_pairs(edges: DataFrame, mode: str) -> tuple[DataFrame, DataFrame]:
     there, back = F.col("up_last"), F.col("down_last")
     pairs = both.select(
         "lo", "hi", there.isNotNull().cast("long").alias("up"), back.isNotNull().cast("long").alias("down"),
-        (F.col("lo") == F.col("hi")).alias("loop"))
+        (F.col("lo") == F.col("hi")).alias("loop"), "up_last", "down_last")
     ways = [F.struct(F.col(a).alias(PAIR[0]), F.col(b).alias(PAIR[1]), c.alias("x")) for a, b, c in (("lo", "hi", there), ("hi", "lo", back))]
     steps = both.select(F.inline(F.array(*ways))).filter("x is not null")
     return pairs, steps.select(*PAIR, F.col("x.day").alias("transaction_day"), F.col("x.amount").alias("amount"))
@@ -100,14 +103,14 @@ def list_blocks(pairs: DataFrame, most: int = MOST_LISTED) -> int:
     return 1 if longest <= most else 1 << math.ceil(math.log2(longest / most))
 
 
-def neighbours_above(pairs: DataFrame, blocks: int = 1, ways: Sequence[Way] = WAYS) -> DataFrame:
+def neighbours_above(pairs: DataFrame, blocks: int = 1, ways: Sequence[Way] = WAYS, carried: Sequence[Way] = ()) -> DataFrame:
     """Per account ``low``, its neighbours of higher rank: ``above``, sorted by ``id`` and with the edges each way, and as ``to``
     those it guarantees, as ``from`` its guarantors. Lists are cut into so many blocks by a hash of the neighbour, a row for each
     ``block`` that has any.
 
     Accounts are ranked by the number of their neighbours, and every pair is kept at its lower end. A list
     then holds at most sqrt(2 * pairs) accounts, however many neighbours its account has in all: a hub's
-    pairs are held by its neighbours.
+    pairs are held by its neighbours. ``carried`` names further columns of the pairs that the lists hold.
     """
     pairs = pairs.filter(F.col("lo") != F.col("hi"))
     most = lambda columns: F.greatest(*columns) if len(columns) > 1 else columns[0]
@@ -134,7 +137,7 @@ def neighbours_above(pairs: DataFrame, blocks: int = 1, ways: Sequence[Way] = WA
         (F.col("lo_degree") == F.col("hi_degree")) & (F.col("lo") < F.col("hi"))
     )
     seen = lambda yes, no: F.when(lo_first, F.col(yes)).otherwise(F.col(no))
-    edges = [c for up, down, out, into in ways for c in (seen(up, down).alias(out), seen(down, up).alias(into))]
+    edges = [c for up, down, out, into in (*ways, *carried) for c in (seen(up, down).alias(out), seen(down, up).alias(into))]
     kept = ranked.select(seen("lo", "hi").alias("low"), seen("hi", "lo").alias("id"), *edges)
     kept = kept.filter(F.col("low").isNotNull())  # as a join on it would add: both readers share the shuffle
     block = F.lit(0) if blocks == 1 else F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int")
@@ -145,16 +148,16 @@ def neighbours_above(pairs: DataFrame, blocks: int = 1, ways: Sequence[Way] = WA
     return lists.withColumns({"to": F.filter("above", some(outs))["id"], "from": F.filter("above", some(ins))["id"]})
 
 
-def triangles(pairs: DataFrame, blocks: int = 1, ways: Sequence[Way] = WAYS) -> DataFrame:
+def triangles(pairs: DataFrame, blocks: int = 1, ways: Sequence[Way] = WAYS, carried: Sequence[Way] = ()) -> DataFrame:
     """Three accounts that are neighbours of each other, once: ``low``, ``mid`` and ``top`` by rank, with the edges between them
-    as ``low_mid``, ``low_top`` and ``mid_top``, each a struct with the fields that ``ways`` names, seen from the lower account.
+    as ``low_mid``, ``low_top`` and ``mid_top``, each a struct with the fields that ``ways`` and ``carried`` name, seen from the lower account.
 
     They come from intersecting two lists of ``neighbours_above``, so no open two-edge path is emitted, and the lists carry the
     edges, so no pair is looked up afterwards. The lists are sorted: sorting their concatenation merges two runs, and an account
     of both then lies beside itself. With several blocks each neighbour meets each block of the closing list, and that the same
     block of its own list.
     """
-    above = neighbours_above(pairs, blocks, ways).select("low", "block", "above")
+    above = neighbours_above(pairs, blocks, ways, carried).select("low", "block", "above")
     closing = above.withColumnRenamed("above", "closing")
     if blocks == 1:
         steps = closing.filter(F.size("closing") > 1).withColumn("low_mid", F.explode("closing"))
@@ -162,7 +165,7 @@ def triangles(pairs: DataFrame, blocks: int = 1, ways: Sequence[Way] = WAYS) ->
         steps = above.select("low", F.explode("above").alias("low_mid")).join(closing, "low")
     onward = above.select(F.col("low").alias("mid"), "block", F.col("above").alias("onward"))
     met = steps.withColumn("mid", F.col("low_mid.id")).join(onward, "mid" if blocks == 1 else ["mid", "block"])
-    edges = [name for _, _, out, into in ways for name in (out, into)]
+    edges = [name for _, _, out, into in (*ways, *carried) for name in (out, into)]
     side = lambda k: lambda x: F.struct(x["id"].alias("id"), F.lit(k).alias("side"), *[x[n].alias(n) for n in edges])
     merged = met.filter(F.arrays_overlap("closing.id", "onward.id")).select(
         "low", "mid", "low_mid", F.array_sort(F.concat(F.transform("closing", side(0)), F.transform("onward", side(1)))).alias("both"))
@@ -171,17 +174,18 @@ def triangles(pairs: DataFrame, blocks: int = 1, ways: Sequence[Way] = WAYS) ->
     return merged.select("low", "mid", "low_mid", F.inline(F.filter(beside, lambda x: x.isNotNull())))
 
 
-def directed_triangles(pairs: DataFrame, blocks: int = 1) -> DataFrame:
+def directed_triangles(pairs: DataFrame, blocks: int = 1, carried: Sequence[Way] = ()) -> DataFrame:
     """Three-account rings ``a -> b -> c -> a``, each once, ``a`` being the account of lowest rank, with the number of edges on
-    each step as ``counts``."""
+    each step as ``counts``; with ``LAST`` carried also the latest edge on each step as ``lasts``."""
     low, mid, top = (F.col(c) for c in ("low", "mid", "top"))
 
     def ring(b: Column, c: Column, *steps: str) -> Column:
-        return F.struct(low.alias("a"), b.alias("b"), c.alias("c"), F.array(*steps).alias("counts"))
+        lasts = [F.array(*[f"{step}_last" for step in steps]).alias("lasts")] if carried else []
+        return F.struct(low.alias("a"), b.alias("b"), c.alias("c"), F.array(*steps).alias("counts"), *lasts)
 
     forward = ring(mid, top, "low_mid.out", "mid_top.out", "low_top.into")
     backward = ring(top, mid, "low_top.out", "mid_top.into", "low_mid.into")
-    found = triangles(pairs, blocks).select(F.inline(F.array(forward, backward)))
+    found = triangles(pairs, blocks, carried=carried).select(F.inline(F.array(forward, backward)))
     return found.filter(F.array_min("counts") > 0)
 
 
@@ -233,40 +237,52 @@ def rings(edges: DataFrame, *, mode: str = "latest", min_len: int = 2, max_len:
     return rings_of_pairs(pairs, mode, min_len, max_len, list_blocks(pairs))
 
 
-def rings_of_pairs(pairs: DataFrame, mode: str, min_len: int, max_len: int, blocks: int = 1) -> DataFrame:
+#: Rings of one kind: a table, the accounts in order, how many edges each step can take, and how many starts differ.
+Kind = tuple[DataFrame, list[Column], list[Column], int]
+
+
+def _kinds(pairs: DataFrame, mode: str, min_len: int, max_len: int, closed: DataFrame | None) -> list[Kind]:
+    """The kinds of rings by length and self-loops; ``closed`` are the ``directed_triangles``, needed for three edges. What else
+    the pairs carry stays with the rings: ``up_last`` and ``down_last``, after a detour ``loop_last``, ``there_last`` and ``back_last``."""
     temporal = mode == "temporal"
-    loops = pairs.filter("loop").select(F.col("lo").alias("v"), (F.col("up") + F.col("down")).alias("n"))
+    carried = {"up_last", "down_last"} <= set(pairs.columns)
+    last = lambda name: [F.col("up_last").alias(name)] if carried else []
+    loops = pairs.filter("loop").select(F.col("lo").alias("v"), (F.col("up") + F.col("down")).alias("n"), *last("loop_last"))
     mutual = pairs.filter(~F.col("loop") & (F.col("up") > 0) & (F.col("down") > 0))
     v, w, n = F.col("v"), F.col("w"), F.col("n")
-    found = []
+    found: list[Kind] = []
     if min_len <= 1:
-        found.append(loops.select(*_ring([v], [n], 1)))
+        found.append((loops, [v], [n], 1))
     if min_len <= 2 <= max_len:
-        found.append(mutual.select(*_ring([F.col("lo"), F.col("hi")], [F.col("up"), F.col("down")], 2)))
+        found.append((mutual, [F.col("lo"), F.col("hi")], [F.col("up"), F.col("down")], 2))
         if temporal:
-            found.append(loops.filter(n > 1).select(*_ring([v, v], [n, n - 1], 1)))
+            found.append((loops.filter(n > 1), [v, v], [n, n - 1], 1))
     if max_len == 3:
-        closed = directed_triangles(pairs, blocks)
         if temporal:
             closed, counts = _with_counts(closed), [F.col(f"n{i}") for i in range(3)]
         else:
             counts = [F.lit(1)] * 3
-        found.append(closed.select(*_ring([F.col("a"), F.col("b"), F.col("c")], counts, 3)))
+        found.append((closed, [F.col("a"), F.col("b"), F.col("c")], counts, 3))
         # A self-loop taken on the way round a mutual pair.
+        names = ("there", "back", *(("there_last", "back_last") if carried else ()))
         ends = [
-            F.struct(
-                F.col(one).alias("v"), F.col(other).alias("w"), F.col(there).alias("there"), F.col(back).alias("back")
-            )
-            for one, other, there, back in (("lo", "hi", "up", "down"), ("hi", "lo", "down", "up"))
+            F.struct(F.col(one).alias("v"), F.col(other).alias("w"), *[F.col(c).alias(name) for c, name in zip(sides, names)])
+            for one, other, *sides in (("lo", "hi", "up", "down", "up_last", "down_last"), ("hi", "lo", "down", "up", "down_last", "up_last"))
         ]
         detours = mutual.select(F.inline(F.array(*ends))).join(loops, "v")
-        found.append(detours.select(*_ring([v, v, w], [n, F.col("there"), F.col("back")], 3)))
+        found.append((detours, [v, v, w], [n, F.col("there"), F.col("back")], 3))
         if temporal:
-            found.append(loops.filter(n > 2).select(*_ring([v, v, v], [n, n - 1, n - 2], 1)))
-    result = found[0]
-    for more in found[1:]:
-        result = result.unionByName(more)
-    return result
+            found.append((loops.filter(n > 2), [v, v, v], [n, n - 1, n - 2], 1))
+    return found
+
+
+def _union(tables: list[DataFrame]) -> DataFrame:
+    return reduce(DataFrame.unionByName, tables)
+
+
+def rings_of_pairs(pairs: DataFrame, mode: str, min_len: int, max_len: int, blocks: int = 1) -> DataFrame:
+    closed = directed_triangles(pairs, blocks) if max_len == 3 else None
+    return _union([table.select(*_ring(nodes, choices, starts)) for table, nodes, choices, starts in _kinds(pairs, mode, min_len, max_len, closed)])
 
 
 def cycle_count(edges: DataFrame, *, mode: str = "latest", min_len: int = 2, max_len: int = 3) -> DataFrame:
@@ -287,17 +303,26 @@ def _from_each_start(values: Column) -> Column:
 
 
 def cycle_paths(edges: DataFrame, *, mode: str = "latest", min_len: int = 1, max_len: int = 3) -> DataFrame:
-    """The closed paths from every start: accounts in order, first one repeated at the end."""
-    listed = rings(edges, mode=mode, min_len=min_len, max_len=max_len)
-    turned = listed.select(F.explode(_from_each_start(F.col("nodes"))).alias("nodes"), "path_count")
-    nodes = F.concat(F.col("nodes"), F.slice("nodes", 1, 1))
-    return turned.select(
-        F.col("nodes")[0].alias("account"),
-        F.size("nodes").alias("cycle_length"),
-        nodes.alias("nodes"),
-        F.concat_ws(">", nodes).alias("path"),
-        "path_count",
-    )
+    """The closed paths from every start: accounts in order, first one repeated at the end. The pairs are aggregated, and written,
+    when this is called."""
+    _check(mode, min_len, max_len)
+    pairs = written(account_pairs(edges, mode))
+    closed = directed_triangles(pairs, list_blocks(pairs)) if max_len == 3 else None
+    return _paths(_kinds(pairs, mode, min_len, max_len, closed))
+
+
+def _paths(kinds: list[Kind]) -> DataFrame:
+    """Each kind has so many accounts and starts, so the turns are spelled out: plain columns, no functions over arrays."""
+    listed = []
+    for table, nodes, choices, starts in kinds:
+        names = [f"x{i}" for i in range(len(nodes))]
+        turns = [F.struct(*[node.alias(name) for node, name in zip(nodes[k:] + nodes[:k], names)]) for k in range(starts)]
+        turned = table.select(F.inline(F.array(*turns)), _product(*choices).alias("path_count"))
+        back = [*names, names[0]]
+        listed.append(turned.select(
+            F.col("x0").alias("account"), F.lit(len(nodes)).alias("cycle_length"), F.array(*back).alias("nodes"),
+            F.concat_ws(">", *back).alias("path"), "path_count"))
+    return _union(listed)
 
 
 def cycle_path_edges(edges: DataFrame, *, min_len: int = 1, max_len: int = 3) -> DataFrame:
@@ -336,30 +361,55 @@ def cycle_amounts_by_day(
     """Amount on the closed paths of each start account, per day of the edge.
 
     An edge counts once for every path it is on. Instead of unrolling the paths, each edge's amount is multiplied by the
-    number of paths that use one edge of its pair. The pairs are aggregated when this is called.
+    number of paths that use one edge of its pair. Of latest edges a step has one, which the pairs and lists carry: the amounts
+    are added up from the rings, without a join. The pairs are aggregated when this is called.
     """
     _check(mode, min_len, max_len)
     pairs, amounts = stored_pairs(edges, mode)
-    found = rings_of_pairs(pairs, mode, min_len, max_len, list_blocks(pairs))
+    if mode == "latest":
+        closed = directed_triangles(pairs, list_blocks(pairs), LAST) if max_len == 3 else None
+        result = _latest_amounts(pairs, closed, min_len, max_len)
+    else:
+        result = _amounts_by_uses(rings_of_pairs(pairs, mode, min_len, max_len, list_blocks(pairs)), amounts)
+    return result.orderBy("day", "account") if ordered else result
+
+
+def _amounts_by_uses(found: DataFrame, amounts: DataFrame) -> DataFrame:
     uses = (
         found.select(F.explode(F.slice("nodes", F.lit(1), F.col("starts"))).alias("account"), "steps")
         .select("account", F.inline("steps"))
         .groupBy("account", F.col("source").alias(PAIR[0]), F.col("target").alias(PAIR[1]))
         .agg(F.sum("uses").cast(PATH_COUNT).alias("uses"))
     )
-    result = (
+    return (
         amounts.join(uses, list(PAIR))
         .groupBy("account", F.col("transaction_day").alias("day"))
         .agg(F.sum((F.col("amount") * F.col("uses")).cast("decimal(38,2)")).cast("decimal(38,2)").alias("total_amount"))
     )
-    return result.orderBy("day", "account") if ordered else result
+
+
+def _latest_amounts(pairs: DataFrame, closed: DataFrame | None, min_len: int, max_len: int) -> DataFrame:
+    """``pairs`` and ``closed`` carry the latest edge of each step, whose rings have one path from each start."""
+    lasts = {1: [["loop_last"]], 2: [["up_last", "down_last"]], 3: [["lasts[0]", "lasts[1]", "lasts[2]"], ["loop_last", "there_last", "back_last"]]}
+    used = []
+    for table, nodes, _, starts in _kinds(pairs, "latest", min_len, max_len, closed):
+        steps = lasts[len(nodes)].pop(0)
+        # A detour starts twice at the account of its self-loop.
+        accounts = [(node, sum(other is node for other in nodes[:starts])) for i, node in enumerate(nodes) if not any(node is x for x in nodes[:i])]
+        rows = [F.struct(node.alias("account"), F.expr(step).alias("last"), F.lit(times).alias("times")) for node, times in accounts for step in steps]
+        used.append(table.select(F.inline(F.array(*rows))))
+    total = F.sum((F.col("last.amount") * F.col("times")).cast("decimal(38,2)")).cast("decimal(38,2)")
+    return _union(used).groupBy("account", F.col("last.day").alias("day")).agg(total.alias("total_amount"))
 
 
 def cycle_amount_change(
     edges: DataFrame, *, mode: str = "latest", min_len: int = 2, max_len: int = 3
 ) -> DataFrame:
     """Per start account, the change of its rings' amount against the day before it that has one."""
-    daily = cycle_amounts_by_day(edges, mode=mode, min_len=min_len, max_len=max_len, ordered=False)
+    return _change(cycle_amounts_by_day(edges, mode=mode, min_len=min_len, max_len=max_len, ordered=False))
+
+
+def _change(daily: DataFrame) -> DataFrame:
     # One row per account and day: a window is as long as the calendar at most.
     by_day = Window.partitionBy("account").orderBy("day")
     total, previous = F.col("total_amount"), F.col("previous_amount")
@@ -371,3 +421,11 @@ def cycle_amount_change(
         (total - previous).cast("decimal(38,2)").alias("change"),
         F.try_divide((total - previous).cast("double"), previous.cast("double")).alias("change_ratio"),
     )
+
+
+def latest_listings(edges: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``cycle_paths`` and ``cycle_amount_change`` of the latest edges, with the defaults of each. Both come from the same pairs
+    and triangles, which are written when this is called: found once, with the edges' days and amounts."""
+    pairs, _ = stored_pairs(edges, "latest")
+    closed = written(directed_triangles(pairs, list_blocks(pairs), LAST))
+    return _paths(_kinds(pairs, "latest", 1, 3, closed)), _change(_latest_amounts(pairs, closed, 2, 3))

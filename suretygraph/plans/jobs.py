@@ -184,9 +184,9 @@ def run_graph(
     else:
         store.merge(offered, note)
     if listings:
-        edges = store.edges(spark)
-        sink.publish_whole(rings.cycle_paths(edges), f"{target}/ring_paths", RING_PATHS)
-        sink.publish_whole(rings.cycle_amount_change(edges), f"{target}/ring_changes", RING_CHANGES)
+        paths_found, changes = rings.latest_listings(store.edges(spark))
+        sink.publish_whole(paths_found, f"{target}/ring_paths", RING_PATHS)
+        sink.publish_whole(changes, f"{target}/ring_changes", RING_CHANGES)
     edge_row = graph.edge_count(offered).select(F.lit("edge_count").alias("measure"), F.col("edge_count").cast(PATH_COUNT).alias("value"))
     cycle_row = spark.createDataFrame([("cycle_count", Decimal(store.cycle_count(spark)))], edge_row.schema)
     return edge_row.unionByName(cycle_row)

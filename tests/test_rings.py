@@ -193,3 +193,27 @@ def test_triangles_carry_their_edges(spark, blocks):
     # A -> B -> C -> A, whichever account it starts at.
     edges = {("A", "B"): 2, ("B", "C"): 11, ("C", "A"): 5}
     assert [{(r.a, r.b): r.n0, (r.b, r.c): r.n1, (r.c, r.a): r.n2} for r in found] == [edges]
+
+
+def found_once(monkeypatch) -> list:
+    """Counts the searches for triangles from here on."""
+    calls, search = [], rings.triangles
+    monkeypatch.setattr(rings, "triangles", lambda *args, **options: calls.append(1) or search(*args, **options))
+    return calls
+
+
+def test_listings_share_their_triangles(edges, monkeypatch):
+    """Paths and changes of amounts come from one search, and the amounts are those of the listed edges."""
+    draw = random.Random(5)
+    frame = edges(*[(f"A{draw.randint(0, 9)}", f"A{draw.randint(0, 9)}", k, draw.randint(1, 6)) for k in range(70)], ("A1", "A1", 5, 2), ("A1", "A2", 7, None))
+    wanted = sorted(rings.cycle_paths(frame).select("path", "path_count").collect())
+    days = {}
+    for r in rings.cycle_path_edges(frame, min_len=2).collect():
+        for e in r.edges:
+            key = r.account, e.transaction_day
+            days[key] = days.get(key, 0) + e.guarantee_amount_usd
+    calls = found_once(monkeypatch)
+    paths, changes = rings.latest_listings(frame)
+    assert sorted(paths.select("path", "path_count").collect()) == wanted
+    assert {(r.account, r.day): r.total_amount for r in changes.collect()} == days
+    assert len(calls) == 1 and len(days) > 20
