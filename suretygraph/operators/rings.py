@@ -282,15 +282,32 @@ def _union(tables: list[DataFrame]) -> DataFrame:
 
 def rings_of_pairs(pairs: DataFrame, mode: str, min_len: int, max_len: int, blocks: int = 1) -> DataFrame:
     closed = directed_triangles(pairs, blocks) if max_len == 3 else None
-    return _union([table.select(*_ring(nodes, choices, starts)) for table, nodes, choices, starts in _kinds(pairs, mode, min_len, max_len, closed)])
+    return _rings(_kinds(pairs, mode, min_len, max_len, closed))
+
+
+def _rings(kinds: list[Kind]) -> DataFrame:
+    return _union([table.select(*_ring(nodes, choices, starts)) for table, nodes, choices, starts in kinds])
 
 
 def cycle_count(edges: DataFrame, *, mode: str = "latest", min_len: int = 2, max_len: int = 3) -> DataFrame:
     """Number of closed paths, every start counted."""
+    return _counted(rings(edges, mode=mode, min_len=min_len, max_len=max_len))
+
+
+def _counted(found: DataFrame) -> DataFrame:
     total = F.sum((F.col("path_count") * F.col("starts")).cast(PATH_COUNT)).cast(PATH_COUNT)
-    return rings(edges, mode=mode, min_len=min_len, max_len=max_len).agg(
-        F.coalesce(total, F.lit(0).cast(PATH_COUNT)).alias("cycle_count")
-    )
+    return found.agg(F.coalesce(total, F.lit(0).cast(PATH_COUNT)).alias("cycle_count"))
+
+
+def cycle_counts(edges: DataFrame, *, min_len: int = 2, max_len: int = 3) -> DataFrame:
+    """``cycle_count`` of each of ``MODES``, a row each with its ``mode``. The modes have the same pairs and triangles, with other
+    numbers of edges: both are found once, and written, when this is called."""
+    _check("temporal", min_len, max_len)
+    pairs = written(account_pairs(edges, "temporal"))
+    closed = written(directed_triangles(pairs, list_blocks(pairs))) if max_len == 3 else None
+    one = {c: F.least(c, F.lit(1).cast("long")) for c in ("up", "down")}
+    seen = {"temporal": pairs, "latest": pairs.withColumns(one)}
+    return _union([_counted(_rings(_kinds(seen[mode], mode, min_len, max_len, closed))).withColumn("mode", F.lit(mode)) for mode in MODES])
 
 
 def _from_each_start(values: Column) -> Column:

@@ -267,9 +267,7 @@ def _folded(spark, sf_dir) -> DataFrame:
 
 @query
 def folded_cycle_counts(spark, sf_dir):
-    edges = _folded(spark, sf_dir)
-    return reduce(DataFrame.unionByName, [
-        _whole(rings.cycle_count(edges, mode=mode, min_len=1), "cycle_count").withColumn("mode", F.lit(mode)) for mode in rings.MODES])
+    return _whole(rings.cycle_counts(_folded(spark, sf_dir), min_len=1), "cycle_count")
 
 
 @query

@@ -217,3 +217,12 @@ def test_listings_share_their_triangles(edges, monkeypatch):
     assert sorted(paths.select("path", "path_count").collect()) == wanted
     assert {(r.account, r.day): r.total_amount for r in changes.collect()} == days
     assert len(calls) == 1 and len(days) > 20
+
+
+def test_counts_of_both_modes_share_their_triangles(edges, monkeypatch):
+    draw = random.Random(6)
+    frame = edges(*[(f"A{draw.randint(0, 7)}", f"A{draw.randint(0, 7)}", 1, 1) for _ in range(90)])
+    wanted = {mode: rings.cycle_count(frame, mode=mode, min_len=1).first().cycle_count for mode in rings.MODES}
+    calls = found_once(monkeypatch)
+    assert {r.mode: r.cycle_count for r in rings.cycle_counts(frame, min_len=1).collect()} == wanted
+    assert len(calls) == 1 and wanted["temporal"] > wanted["latest"] > 0
