@@ -36,20 +36,19 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "c_nationkey")
     lines = table(spark, sf_dir, "lineitem").join(placed, F.col("l_orderkey") == F.col("o_orderkey"))
 
-    quantity = F.col("l_quantity")
-    price = F.col("l_extendedprice").cast(MONEY)
-    return lines.select(
-        F.when(
-            quantity != 5, F.concat_ws("_", F.lit("TX"), F.col("l_orderkey"), F.col("l_linenumber"))
-        ).alias("transaction_id"),
+    # The price is cast once, in a step of its own: from double that is the dearest part of a row, and both amounts use it.
+    quantity, price = F.col("l_quantity"), F.col("_price")
+    line = F.coalesce(F.concat(F.lit("_"), F.col("l_linenumber")), F.lit(""))
+    return lines.withColumn("_price", F.col("l_extendedprice").cast(MONEY)).select(
+        F.when(quantity != 5, F.concat(F.lit("TX_"), F.col("l_orderkey"), line)).alias("transaction_id"),
         F.concat(F.lit("ACC_"), F.col("o_custkey")).alias("source_account_id"),
         F.concat(F.lit("ACC_"), F.col("l_partkey")).alias("target_account_id"),
+        # Cast branch by branch, so that the plain price stays as it is.
         F.when(quantity == 1, F.lit(None))
-        .when(quantity == 2, F.lit(0))
-        .when(quantity == 3, -price)
-        .when(quantity >= 45, price * 5)
+        .when(quantity == 2, F.lit(0).cast(MONEY))
+        .when(quantity == 3, (-price).cast(MONEY))
+        .when(quantity >= 45, (price * 5).cast(MONEY))
         .otherwise(price)
-        .cast(MONEY)
         .alias("guarantee_amount_usd"),
         F.when(quantity == 4, F.lit(None))
         .when(quantity == 6, F.lit(-1))
