@@ -43,14 +43,16 @@ def dedup_transactions(transactions: DataFrame) -> DataFrame:
     """One row per transaction id, rows without an id dropped.
 
     ``row_number() = 1`` also limits each map task to one row per id, so an id that is repeated
-    through the whole table is cut before the shuffle.
+    through the whole table is cut before the shuffle. Both sorts have a hash of the id before the id: ids that begin
+    alike, as numbered ones do, are then told apart by a number instead of text.
     """
-    order = Window.partitionBy("transaction_id").orderBy(*[F.asc_nulls_last(c) for c in KEEP_ORDER])
+    order = Window.partitionBy("_hash", "transaction_id").orderBy(*[F.asc_nulls_last(c) for c in KEEP_ORDER])
     return (
         transactions.filter(F.col("transaction_id").isNotNull())
+        .withColumn("_hash", F.xxhash64("transaction_id"))
         .withColumn("_row", F.row_number().over(order))
         .filter(F.col("_row") == 1)
-        .drop("_row")
+        .drop("_hash", "_row")
     )
 
 

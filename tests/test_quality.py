@@ -65,3 +65,9 @@ def test_a_repeated_id_is_cut_before_the_shuffle(transactions):
 def test_approved_is_exact(transactions):
     rows = transactions(tx(id="A"), tx(id="B", status="approved"), tx(id="C", status=None), tx(id="D", status="DECLINED"))
     assert ids(quality.approved_transactions(rows)) == ["A"]
+
+
+def test_dedup_sorts_by_a_hash_of_the_id_first(transactions):
+    plan = plan_of(quality.dedup_transactions(transactions(tx())))
+    sorts = [line for line in plan.splitlines() if " Sort [" in line]
+    assert len(sorts) == 2 and all(" Sort [_hash#" in line for line in sorts)
