@@ -10,7 +10,8 @@ n log2 n in 2**-20 bits, rounded), so it is exact whatever the way there. Window
 entropy are joined to spans where they overlap or touch. A candidate that matches the allow-list (UUIDs, named digests,
 placeholders, alphabets) gives none, and a span inside one of the patterns' is left out. The patterns' spans always stay.
 
-Built-in functions only; a text is one row throughout, nothing is shuffled. Long runs are cut to overlapping pieces of ``PIECE``
+Built-in functions only; a text is one row throughout, nothing is shuffled. Each pattern searches a text once, and again only
+where it matched; what several expressions use is worked out once (``bound``). Long runs are cut to overlapping pieces of ``PIECE``
 windows, so that a window's state stays small. Positions are code points, ends exclusive.
 
 A null text is empty; empty texts have no spans. Repeated rows and ids are rows of their own. Other columns pass through, but
@@ -19,6 +20,7 @@ for one named ``spans``, which is replaced.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from math import floor, log2
@@ -36,6 +38,14 @@ LEAST_ASSIGNED = 8
 #: As ``AKIA[A-Z0-9]+`` of 16 characters and ``[0-9a-f]+`` of 32: these runs can't hold another match that begins later.
 ACCESS, HEX = "AKIA[A-Z0-9]{12,}", "[0-9a-f]{32,}"
 BASE = ("assign", "access", "hex")
+#: What the first letters of the names can be, to be looked at before the names are tried one after the other.
+_FIRST = "".join("[" + "".join(sorted({c for name in NAMES for c in (name[k].upper(), name[k])})) + "]" for k in range(3))
+
+
+def spelled(pattern: str) -> str:
+    """The same pattern with the ranges of its classes written out: Java looks single characters up in one table, ranges it tries
+    one after the other."""
+    return re.sub(r"(\w)-(\w)", lambda m: "".join(map(chr, range(ord(m[1]), ord(m[2]) + 1))), pattern)
 
 
 @dataclass(frozen=True)
@@ -87,33 +97,49 @@ SPANS = "array<struct<start:int,end:int,s:string>>"
 RANGES = "array<struct<start:int,end:int>>"
 
 
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)``, the value worked out once however often it is used: functions over arrays are not among the expressions
+    whose common parts Spark shares."""
+    return F.transform(F.array(value), use)[0]
+
+
 def running(values: Column, zero: Column, step: Callable[[Column, Column], Column]) -> Column:
     """The states of a fold after each value. Appending to an array copies it, so the fold goes chunk by chunk."""
+    return bound(values, lambda known: _running(known, zero, step))
+
+
+def _running(values: Column, zero: Column, step: Callable[[Column, Column], Column]) -> Column:
 
     def states(chunk: Column, begin: Column) -> Column:
         every = F.aggregate(chunk, F.array(begin), lambda seen, x: F.array_append(seen, step(F.element_at(seen, -1), x)))
         return F.slice(every, F.lit(2), F.size(chunk))
 
+    def from_begins(chunks: Column) -> Column:
+        totals = states(F.transform(chunks, lambda chunk: F.aggregate(chunk, zero, step)), zero)
+        begins = bound(totals, lambda t: F.concat(F.array(zero), F.slice(t, F.lit(1), F.size(t) - 1)))
+        return F.flatten(F.zip_with(chunks, begins, states))
+
     chunks = F.transform(F.sequence(F.lit(0), F.floor((F.size(values) - 1) / _CHUNK).cast("int")), lambda k: F.slice(values, k * _CHUNK + 1, _CHUNK))
-    totals = states(F.transform(chunks, lambda chunk: F.aggregate(chunk, zero, step)), zero)
-    begins = F.concat(F.array(zero), F.slice(totals, F.lit(1), F.size(totals) - 1))
-    return F.when(F.size(values) > 0, F.flatten(F.zip_with(chunks, begins, states))).otherwise(F.array().cast("array<int>"))
+    return F.when(F.size(values) > 0, bound(chunks, from_begins)).otherwise(F.array().cast("array<int>"))
 
 
 def located(text: Column, pattern: str) -> Column:
     """All matches (``start``, ``end``, ``s``) of a pattern that never matches the empty text. Most texts have none and are
-    searched once."""
-    matches, between = F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), F.split(text, pattern, -1)
-    sizes = F.zip_with(matches, F.slice(between, F.lit(1), F.size(matches)), lambda m, b: F.length(m) + F.length(b))
-    ends = running(sizes, F.lit(0), lambda total, n: total + n)
-    spans = F.zip_with(ends, matches, lambda e, m: F.struct((e - F.length(m)).alias("start"), e.alias("end"), m.alias("s")))
-    return F.when(text.rlike(pattern), spans).otherwise(F.array().cast(SPANS))
+    searched once, the others twice."""
+
+    def spans(matches: Column) -> Column:
+        sizes = F.zip_with(matches, F.slice(F.split(text, pattern, -1), F.lit(1), F.size(matches)), lambda m, b: F.length(m) + F.length(b))
+        ends = running(sizes, F.lit(0), lambda total, n: total + n)
+        found = F.zip_with(ends, matches, lambda e, m: F.struct((e - F.length(m)).alias("start"), e.alias("end"), m.alias("s")))
+        return F.when(F.size(matches) > 0, found).otherwise(F.array().cast(SPANS))
+
+    return bound(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), spans)
 
 
 def base_spans(text: Column) -> list[Column]:
     """The spans of each of ``BASE``."""
-    assigned = F.filter(located(text, ASSIGN), lambda m: F.length(F.regexp_extract(m["s"], ASSIGN, 1)) >= LEAST_ASSIGNED)
-    return [assigned, located(text, ACCESS), located(text, HEX)]
+    assigned = F.filter(located(text, f"(?={_FIRST}){ASSIGN}"), lambda m: F.length(F.regexp_extract(m["s"], ASSIGN, 1)) >= LEAST_ASSIGNED)
+    return [assigned, located(text, ACCESS), located(text, spelled(HEX))]
 
 
 def _advance(s: Column, start: Column, end: Column) -> list[Column]:
@@ -144,9 +170,9 @@ def windows(piece: Column, c: CharacterClass) -> Column:
     """
     table = F.array(*[F.lit(n) for n in n_log_n(c.width)])
     weight = lambda n: F.element_at(table, n + 1)
-    codes = F.transform(F.split(piece, ""), lambda x: F.instr(F.lit(c.characters), x))
-    behind = F.slice(F.concat(F.array_repeat(F.lit(0), c.width), codes), F.lit(1), F.size(codes))
-    pairs = F.zip_with(codes, behind, lambda i, o: F.struct(i.alias("i"), o.alias("o")))
+    behind = lambda codes: F.slice(F.concat(F.array_repeat(F.lit(0), c.width), codes), F.lit(1), F.size(codes))
+    pairs = bound(F.transform(F.split(piece, ""), lambda x: F.instr(F.lit(c.characters), x)), lambda codes: F.zip_with(
+        codes, behind(codes), lambda i, o: F.struct(i.alias("i"), o.alias("o"))))
     limit = largest_sum(c)
 
     def times(counts: Column, code: Column) -> Column:
@@ -175,12 +201,16 @@ def windows(piece: Column, c: CharacterClass) -> Column:
     return F.aggregate(pairs, start, step, lambda s: _closed(settled(s)))
 
 
-def entropy_spans(text: Column, classes: Sequence[CharacterClass] = CLASSES, allowed: Sequence[str] = ALLOWED) -> list[Column]:
-    """For each class the ranges of high entropy in the candidates that aren't allowed."""
-    pattern = f"{CANDIDATE}{{{LEAST_CANDIDATE},}}"
-    candidates = located(text, pattern)
+def candidates_of(text: Column, allowed: Sequence[str] = ALLOWED) -> Column:
+    """The candidates that aren't allowed, as matches."""
+    candidates = located(text, f"{spelled(CANDIDATE)}{{{LEAST_CANDIDATE},}}")
     if allowed:
         candidates = F.filter(candidates, lambda m: ~m["s"].rlike("|".join(f"(?:{a})" for a in allowed)))
+    return candidates
+
+
+def entropy_spans(candidates: Column, classes: Sequence[CharacterClass] = CLASSES) -> list[Column]:
+    """For each class the ranges of high entropy in the candidates. Each class asks for them, so they should be a column."""
 
     def shifted(ranges: Column, by: Column) -> Column:
         return F.transform(ranges, lambda r: F.struct((r["start"] + by).alias("start"), (r["end"] + by).alias("end")))
@@ -205,7 +235,8 @@ def find_secrets(
     text = F.coalesce(F.col("_text"), F.lit(""))
     kinds = [*BASE, *(c.name for c in classes)]
     own = docs.select(row_of(docs).alias("_own"), F.col(f"`{text_col}`").alias("_text"))
-    found = own.select("_own", *[s.alias(f"_k{k}") for k, s in enumerate([*base_spans(text), *entropy_spans(text, classes, allowed)])])
+    found = own.select("_own", *[s.alias(f"_k{k}") for k, s in enumerate(base_spans(text))], candidates_of(text, allowed).alias("_candidates"))
+    found = found.withColumns({f"_k{k}": s for k, s in enumerate(entropy_spans(F.col("_candidates"), classes), len(BASE))})
 
     def of_kind(k: int) -> Column:
         return F.transform(f"_k{k}", lambda m: F.struct(m["start"].alias("start"), F.lit(k).alias("kind"), m["end"].alias("end")))

@@ -62,6 +62,19 @@ def test_spans_of_mixed_texts(spark):
     assert "Python" not in plan_of(found) and "Exchange" not in plan_of(found)
 
 
+def test_each_pattern_searches_a_text_once(spark):
+    """Three patterns and the candidates search texts, each class the candidates; no search is written twice into the plan."""
+    plan = plan_of(scan.find_secrets(documents(spark, [(1, "x", None, None, None)])))
+    assert plan.count("regexp_extract_all(") == plan.count("split(") - len(scan.CLASSES) == len(scan.BASE) + 1 + len(scan.CLASSES)
+
+
+def test_spelled_patterns_match_the_same():
+    assert scan.spelled("[a-c9_=-]{2,}") == "[abc9_=-]{2,}"
+    every = "".join(map(chr, range(1, 0x250)))
+    for c in (scan.CANDIDATE, scan.HEX.partition("{")[0]):
+        assert re.findall(scan.spelled(c), every) == re.findall(c, every) != []
+
+
 def test_the_allow_list(spark):
     draw = random.Random(3)
     mixed = lambda n: "".join(draw.choice(TOKEN[:62]) for _ in range(n)) + "a1"
