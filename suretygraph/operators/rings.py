@@ -96,6 +96,24 @@ def stored_pairs(edges: DataFrame, mode: str) -> tuple[DataFrame, DataFrame]:
     return pairs, steps.select(*PAIR, F.col("x.day").alias("transaction_day"), F.col("x.amount").alias("amount"))
 
 
+def counted_pairs(edges: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``stored_pairs`` for both modes at once: the pairs have the numbers of all their edges, as in ``temporal`` mode, and carry
+    the latest ones; the amounts are those of every edge."""
+    source, target = (F.col(c) for c in PAIR)
+    each = written(connected(edges).select(*PAIR, "transaction_day", F.col("guarantee_amount_usd").alias("amount")))
+    ends = each.withColumns({"lo": F.least(source, target), "hi": F.greatest(source, target)})
+    last = F.struct(F.col("transaction_day").alias("day"), "amount")
+    ways = {"up": source <= target, "down": source > target}
+    pairs = ends.groupBy("lo", "hi").agg(
+        *[F.count_if(way).alias(name) for name, way in ways.items()], *[F.max(F.when(way, last)).alias(f"{name}_last") for name, way in ways.items()])
+    return written(pairs.withColumn("loop", F.col("lo") == F.col("hi"))), each
+
+
+def _latest(pairs: DataFrame) -> DataFrame:
+    """Pairs with all their edges as ``latest`` mode sees them."""
+    return pairs.withColumns({c: F.least(c, F.lit(1).cast("long")) for c in ("up", "down")})
+
+
 def list_blocks(pairs: DataFrame, most: int = MOST_LISTED) -> int:
     """Into how many blocks the lists of ``neighbours_above`` are cut: by the bound of their length, which follows from the
     number of pairs alone. A stored table's rows are counted from its footers."""
@@ -196,28 +214,27 @@ def _product(*counts: Column) -> Column:
     return result
 
 
+def _uses(nodes: list[Column], choices: list[Column]) -> list[Column]:
+    """How many of a ring's paths from one start go through one given edge, for each step. By symmetry that is the product of the
+    other steps' choices, and where the steps share one self-loop's edges, the product of the later, smaller ones."""
+    shared = len(nodes) > 1 and all(node is nodes[0] for node in nodes)
+    others = [choices[1:] if shared else choices[:i] + choices[i + 1:] for i in range(len(nodes))]
+    return [_product(*(other or [F.lit(1)])) for other in others]
+
+
 def _ring(nodes: list[Column], choices: list[Column], starts: int) -> list[Column]:
     """Columns of a ring.
 
     ``choices`` says how many edges each step can take, given those taken before it. ``nodes`` are the
     accounts in order, ``starts`` how many of them a different path can start at, ``path_count`` the
     paths from each start. ``steps`` are the accounts of each edge and how many of those paths go through
-    one given edge of the step (``uses``). By symmetry that is the product of the other steps' choices,
-    and where the steps share one self-loop's edges, the product of the later, smaller ones.
+    one given edge of the step (``uses``).
     """
     size = len(nodes)
-    shared = size > 1 and all(node is nodes[0] for node in nodes)
-    steps = []
-    for i, node in enumerate(nodes):
-        others = choices[1:] if shared else choices[:i] + choices[i + 1:]
-        steps.append(F.struct(
-            node.alias("source"),
-            nodes[(i + 1) % size].alias("target"),
-            _product(*(others or [F.lit(1)])).alias("uses"),
-        ))
     return [
         F.array(*nodes).alias("nodes"),
-        F.array(*steps).alias("steps"),
+        F.array(*[F.struct(node.alias("source"), nodes[(i + 1) % size].alias("target"), uses.alias("uses"))
+                  for i, (node, uses) in enumerate(zip(nodes, _uses(nodes, choices)))]).alias("steps"),
         _product(*choices).alias("path_count"),
         F.lit(starts).alias("starts"),
     ]
@@ -305,8 +322,7 @@ def cycle_counts(edges: DataFrame, *, min_len: int = 2, max_len: int = 3) -> Dat
     _check("temporal", min_len, max_len)
     pairs = written(account_pairs(edges, "temporal"))
     closed = written(directed_triangles(pairs, list_blocks(pairs))) if max_len == 3 else None
-    one = {c: F.least(c, F.lit(1).cast("long")) for c in ("up", "down")}
-    seen = {"temporal": pairs, "latest": pairs.withColumns(one)}
+    seen = {"temporal": pairs, "latest": _latest(pairs)}
     return _union([_counted(_rings(_kinds(seen[mode], mode, min_len, max_len, closed))).withColumn("mode", F.lit(mode)) for mode in MODES])
 
 
@@ -387,19 +403,38 @@ def cycle_amounts_by_day(
         closed = directed_triangles(pairs, list_blocks(pairs), LAST) if max_len == 3 else None
         result = _latest_amounts(pairs, closed, min_len, max_len)
     else:
-        result = _amounts_by_uses(rings_of_pairs(pairs, mode, min_len, max_len, list_blocks(pairs)), amounts)
+        closed = written(directed_triangles(pairs, list_blocks(pairs))) if max_len == 3 else None
+        result = _amounts_by_uses(_kinds(pairs, mode, min_len, max_len, closed), amounts)
     return result.orderBy("day", "account") if ordered else result
 
 
-def _amounts_by_uses(found: DataFrame, amounts: DataFrame) -> DataFrame:
-    uses = (
-        found.select(F.explode(F.slice("nodes", F.lit(1), F.col("starts"))).alias("account"), "steps")
-        .select("account", F.inline("steps"))
-        .groupBy("account", F.col("source").alias(PAIR[0]), F.col("target").alias(PAIR[1]))
-        .agg(F.sum("uses").cast(PATH_COUNT).alias("uses"))
-    )
+def _amounts_by_uses(kinds: list[Kind], amounts: DataFrame) -> DataFrame:
+    """An edge counts for the accounts that rings through it start at. Most of them are its own ends: their uses are added up per
+    pair, in one row for both. The third account of a triangle has a row of its own, which needs no adding up, as there is no
+    other triangle with these steps. The triangles are read twice."""
+    ends, thirds = [], []
+    for table, nodes, choices, starts in kinds:
+        times = lambda node: sum(other is node for other in nodes[:starts])  # noqa: B023, E731
+        at_ends, at_others = [], []
+        for i, (node, uses) in enumerate(zip(nodes, _uses(nodes, choices))):
+            onward = nodes[(i + 1) % len(nodes)]
+            step = [node.alias(PAIR[0]), onward.alias(PAIR[1])]
+            share = lambda other: _product(F.lit(times(other)), uses)  # noqa: B023, E731
+            at_ends.append(F.struct(*step, share(node).alias("at_source"), (F.lit(0).cast(PATH_COUNT) if onward is node else share(onward)).alias("at_target")))
+            rest = [x for k, x in enumerate(nodes[:starts]) if x is not node and x is not onward and not any(x is y for y in nodes[:k])]
+            at_others += [F.struct(*step, other.alias("third"), share(other).alias("at_third")) for other in rest]
+        ends.append(table.select(F.inline(F.array(*at_ends))))
+        if at_others:
+            thirds.append(table.select(F.inline(F.array(*at_others))))
+    names = ("at_source", "at_target")
+    uses = _union(ends).groupBy(*PAIR).agg(*[F.sum(c).cast(PATH_COUNT).alias(c) for c in names])
+    if thirds:
+        uses = uses.unionByName(_union(thirds), allowMissingColumns=True)
+    accounts = [*zip(PAIR, names), *([("third", "at_third")] if thirds else [])]
+    shares = [F.struct(F.col(a).alias("account"), F.col(n).alias("uses")) for a, n in accounts]
     return (
         amounts.join(uses, list(PAIR))
+        .select("transaction_day", "amount", F.inline(F.array(*shares))).filter("uses > 0")
         .groupBy("account", F.col("transaction_day").alias("day"))
         .agg(F.sum((F.col("amount") * F.col("uses")).cast("decimal(38,2)")).cast("decimal(38,2)").alias("total_amount"))
     )
@@ -426,6 +461,20 @@ def cycle_amount_change(
     return _change(cycle_amounts_by_day(edges, mode=mode, min_len=min_len, max_len=max_len, ordered=False))
 
 
+def cycle_amount_changes(edges: DataFrame, *, min_len: int = 2, max_len: int = 3) -> DataFrame:
+    """``cycle_amount_change`` of each of ``MODES``, a row's ``mode`` beside it. The modes have the same pairs and triangles: both
+    are found once. They, and each mode's amounts by day, are written when this is called, so that no more lies on disk at a time
+    than these tables and one step's shuffles."""
+    _check("temporal", min_len, max_len)
+    pairs, each = counted_pairs(edges)
+    closed = written(directed_triangles(pairs, list_blocks(pairs), LAST)) if max_len == 3 else None
+    daily = {
+        "latest": _latest_amounts(_latest(pairs), closed, min_len, max_len),
+        "temporal": _amounts_by_uses(_kinds(pairs, "temporal", min_len, max_len, closed), each),
+    }
+    return _union([_change(written(daily[mode])).withColumn("mode", F.lit(mode)) for mode in MODES])
+
+
 def _change(daily: DataFrame) -> DataFrame:
     # One row per account and day: a window is as long as the calendar at most.
     by_day = Window.partitionBy("account").orderBy("day")

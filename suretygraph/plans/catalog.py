@@ -278,10 +278,7 @@ def folded_cycle_paths(spark, sf_dir):
 
 @query
 def folded_cycle_amount_change(spark, sf_dir):
-    edges = _folded(spark, sf_dir)
-    return reduce(DataFrame.unionByName, [
-        _money(rings.cycle_amount_change(edges, mode=mode), "total_amount", "previous_amount", "change").withColumn("mode", F.lit(mode))
-        for mode in rings.MODES])
+    return _money(rings.cycle_amount_changes(_folded(spark, sf_dir)), "total_amount", "previous_amount", "change")
 
 
 def _day(text: str) -> Column:

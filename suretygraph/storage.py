@@ -5,6 +5,8 @@ The only place that reaches for Hadoop's file system through the session's JVM;
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
@@ -71,8 +73,25 @@ def staging_folder(spark: SparkSession) -> str:
     return f"{folder}/data"
 
 
+#: Whether a query's shuffle files go when it ends, not when the driver happens to collect the garbage that stands for them.
+SHUFFLES_GO = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def shuffles_go(spark: SparkSession) -> Iterator[None]:
+    """What is written within leaves no shuffle files. For rows that are read back from where they were written: a job of several
+    steps then holds the shuffles of one step at a time. The session's setting is as before afterwards."""
+    before = spark.conf.get(SHUFFLES_GO, "false")
+    spark.conf.set(SHUFFLES_GO, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(SHUFFLES_GO, before)
+
+
 def written(df: DataFrame) -> DataFrame:
     """Read back from a staging folder: what it comes from is worked out once, whoever reads it."""
     folder = staging_folder(df.sparkSession)
-    df.write.parquet(folder)
+    with shuffles_go(df.sparkSession):
+        df.write.parquet(folder)
     return df.sparkSession.read.schema(df.schema).parquet(folder)

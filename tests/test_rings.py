@@ -226,3 +226,22 @@ def test_counts_of_both_modes_share_their_triangles(edges, monkeypatch):
     calls = found_once(monkeypatch)
     assert {r.mode: r.cycle_count for r in rings.cycle_counts(frame, min_len=1).collect()} == wanted
     assert len(calls) == 1 and wanted["temporal"] > wanted["latest"] > 0
+
+
+@pytest.mark.parametrize("low", [1, 2])
+def test_amount_changes_of_both_modes_at_once(edges, low):
+    """As each mode's own, with accounts and days missing."""
+    frame = edges(*random_graphs(seed=13), (None, "g0n0", 5, 1), ("g1n0", None, 5, 1), ("A", "B", 3, None), ("B", "A", 4, 2), ("A", "A", 6, None))
+    wanted = {(mode, *r) for mode in rings.MODES for r in rings.cycle_amount_change(frame, mode=mode, min_len=low).collect()}
+    found = rings.cycle_amount_changes(frame, min_len=low)
+    rows = found.select("mode", *[c for c in found.columns if c != "mode"]).collect()
+    assert len(rows) == len(wanted) and {tuple(r) for r in rows} == wanted
+
+
+def test_uses_of_a_pair_are_added_up_once_for_both_its_ends(edges):
+    """Before there was a row for each account that a ring through the pair starts at."""
+    frame = edges(*[(f"s{i}", f"s{j}", 1, 1) for i in range(8) for j in range(8) if i != j])
+    by_day = rings.cycle_amounts_by_day(frame, mode="temporal", ordered=False)
+    assert "explode" not in plan_of(by_day)
+    paths, amounts = expected([(f"s{i}", f"s{j}", 1, 1) for i in range(8) for j in range(8) if i != j], "temporal", 2, 3)
+    assert {(r.account, r.day): r.total_amount for r in by_day.collect()} == amounts
