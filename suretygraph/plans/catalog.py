@@ -15,6 +15,7 @@ from suretygraph.plans import jobs
 from suretygraph.published import Published
 from suretygraph.sinks import parquet as sink
 from suretygraph.sinks.graph_store import GraphStore
+from suretygraph.storage import shuffles_go
 from suretygraph.storage import staging_folder as staging
 from suretygraph.sources import files, tables
 
@@ -456,12 +457,13 @@ def scan_transactions(spark, sf_dir):
 
 
 def _deliver(rows: DataFrame, root: str, mode: str = "append") -> None:
-    """Writes rows into their months' delivery folders, in files of their own."""
-    (
-        rows.withColumn("day", F.trunc("timestamp", "month")).hint("rebalance", "day")
-        .write.mode(mode).option("partitionOverwriteMode", "dynamic").option("header", True)
-        .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss").partitionBy("day").csv(root)
-    )
+    """Writes rows into their months' delivery folders, in gzip files of their own; the rebalanced tasks bound their length."""
+    placed = rows.withColumn("day", F.trunc("timestamp", "month")).hint("rebalance", "day")
+    with shuffles_go(rows.sparkSession):
+        (
+            placed.write.mode(mode).option("partitionOverwriteMode", "dynamic").option("header", True).option("compression", "gzip")
+            .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss").partitionBy("day").csv(root)
+        )
 
 
 def _half(rows: DataFrame, k: int) -> DataFrame:

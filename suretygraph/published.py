@@ -23,7 +23,7 @@ from uuid import uuid4
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from suretygraph.storage import file_names, read_text, remove, write_text
+from suretygraph.storage import file_names, read_text, remove, shuffles_go, write_text
 
 SNAPSHOTS = "_snapshots"
 
@@ -108,7 +108,8 @@ class Published:
         run = uuid4().hex
         folder = f"{self.path}/run={run}"
         writer = rows.select(*self.schema.names).write.option("maxRecordsPerFile", max_records_per_file)
-        (writer.partitionBy(*self.parts) if self.parts else writer).parquet(folder)
+        with shuffles_go(spark):
+            (writer.partitionBy(*self.parts) if self.parts else writer).parquet(folder)
         goes = replaced if callable(replaced) else lambda _: replaced
         folders = {part: r for part, r in before.folders.items() if not goes(part_values(part))}
         parts = self._written(spark, folder)
